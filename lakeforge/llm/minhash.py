@@ -4,8 +4,10 @@ Words are runs without ASCII white space, A-Z lower-cased; a document's set is i
 sequence if it is shorter). Two collections of ``M`` minhash pairs are computed, and every pair of them, one from each
 collection, keys a table: M * M tables from 4 * M minhashes. Documents with equal sets are merged first. In each table
 entry, pairs whose sizes and sketches (a byte of each minhash) allow the threshold form a graph; only a spanning forest
-of it leaves the task. Its edges are verified on full sets. Where an edge fails, all pairs of that entry that still lie in
-different components are verified too, so that no link is lost that the tables hold. Entries with many documents are cut
+of it leaves the task. Its edges are verified on full sets. Where an edge fails, links may hide behind it; the documents of
+its entries are then joined exactly: in one order of all shingles, rare ones first, two sets that reach the threshold share
+one of their first ones (prefix filter) early enough for what follows to suffice (positional filter); pairs that do, and
+still lie in different components, are verified. Entries with many documents are cut
 into blocks, and pairs of blocks are worked on apart.
 
 Sets are 64-bit hashes of shingles; equal sets are told by two 64-bit sums and their size. Null texts and texts without
@@ -29,6 +31,10 @@ HASHES = 2 * M * ROWS
 #: Of ``HASHES`` bytes, so many must agree. A pair with similarity 0.8 has fewer with a chance of 0.0003.
 AGREE = 15
 BLOCK, GROUP = 1024, 40_000
+#: Slots of the table that orders shingles.
+BINS = 1 << 20
+#: Slots of the bitmap of documents whose sets are needed.
+SLOTS = 1 << 24
 
 rng = np.random.default_rng(20)
 _BYTES = rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -134,14 +140,16 @@ def compare(percent: int, spanning: bool):
         run_, blk, within, n = (pdf[c].to_numpy() for c in ("run", "blk", "within", "n"))
         ids, place = np.unique(pdf["id"].to_numpy(), return_inverse=True)
         sketch = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(-1, HASHES)
-        c = pdf["c"].to_numpy()
+        c, pos = pdf["c"].to_numpy(), pdf["pos"].to_numpy()
         found = []
         for i, j in run_pairs(run_):
             for a in range(0, len(i), 500_000):
                 p, q = i[a : a + 500_000], j[a : a + 500_000]
                 may = (within[p] | (blk[p] != blk[q])) & (100 * np.minimum(n[p], n[q]) >= percent * np.maximum(n[p], n[q])) & (place[p] != place[q])
                 if not spanning:
-                    may &= c[p] != c[q]
+                    # at the first shingle that two sets share, no more than what follows it in each can be common
+                    least = -(-percent * (n[p] + n[q]) // (100 + percent))
+                    may &= (c[p] != c[q]) & (np.minimum(n[p] - pos[p], n[q] - pos[q]) >= least)
                 p, q = p[may], q[may]
                 near = (sketch[p] == sketch[q]).sum(1) >= AGREE
                 pairs = np.unique(place[p[near]] * len(ids) + place[q[near]])
@@ -155,6 +163,48 @@ def compare(percent: int, spanning: bool):
     return run
 
 
+def meetings(keyed: DataFrame, crowded: DataFrame, *more: str) -> DataFrame:
+    """Rows of the entries ``crowded`` (``key``, number ``m``), once for each pair of blocks in which they meet others."""
+    met = keyed.join(crowded.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb")), "key")
+    met = met.withColumn("blk", F.pmod(F.xxhash64(F.lit(5), "id"), F.col("nb")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    return met.select("id", "n", "sketch", *more, "blk", (F.col("blk") == F.col("other")).alias("within"), F.xxhash64("key", F.least("blk", "other"), F.greatest("blk", "other")).alias("run"))
+
+
+def prefixes(docs: DataFrame, percent: int) -> DataFrame:
+    """``key, pos, id, n, sketch, c`` for the first shingles of each set: all but the last ceil(threshold * size), plus one.
+
+    The order is by how many of ``docs`` hold a shingle, counted in a table of ``BINS`` slots, then by hash. Any
+    order is exact; this one makes rare shingles come first. A slot counted once holds a shingle that no other set has.
+    """
+    def count(batches):
+        total = np.zeros(BINS, np.int64)
+        for batch in batches:
+            for x in batch.column("set"):
+                np.add.at(total, (np.frombuffer(x.as_buffer(), "<u8") & np.uint64(BINS - 1)).astype(np.int64), 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["slot", "m"])
+
+    counted = docs.select("set").mapInArrow(count, "slot long, m long").groupBy("slot").agg(F.sum("m").alias("m")).toArrow()
+    often = np.zeros(BINS, np.int32)
+    often[counted.column("slot").to_numpy()] = np.minimum(counted.column("m").to_numpy(), 2**31 - 1)
+    sent = docs.sparkSession.sparkContext.broadcast(often)  # BINS numbers, whatever the input
+
+    def run(batches):
+        for batch in batches:
+            keys, places = [], []
+            for x in batch.column("set"):
+                x = np.frombuffer(x.as_buffer(), "<u8")
+                m = sent.value[(x & np.uint64(BINS - 1)).astype(np.int64)]
+                first = np.lexsort((x, m))[: len(x) - -(-len(x) * percent // 100) + 1]
+                place = np.flatnonzero(m[first] > 1)
+                keys.append(x[first[place]].astype(np.int64))
+                places.append(place)
+            take = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(places).astype(np.int64)), *(batch.column(c).take(take) for c in ("id", "n", "sketch", "c"))], ["key", "pos", "id", "n", "sketch", "c"])
+
+    return docs.select("id", "n", "sketch", "c", "set").mapInArrow(run, "key long, pos long, id long, n long, sketch binary, c long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` with 100 * intersection >= percent * union of their full sets."""
     def run(batches):
@@ -171,6 +221,15 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def marked(bits: DataFrame) -> np.ndarray:
+    """Flags of all slots from Spark's bitmap buckets (at most ``SLOTS`` / 32768 rows of 4 KB)."""
+    out = np.zeros(SLOTS, bool)
+    for r in bits.toLocalIterator():
+        at = (r.bucket - 1) * 32_768
+        out[at : at + 32_768] |= np.unpackbits(np.frombuffer(r.bits, np.uint8), bitorder="little").astype(bool)
+    return out
+
+
 def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row."""
     signed = staged(signatures(docs, k))
@@ -179,26 +238,28 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
     reps = same.select(F.col("rep").alias("id"), "n", "s.a", "s.b", "s.sketch")
     i, j = reps.select("id", "n", "sketch", F.posexplode("a").alias("i", "x"), "b"), ("j", "y")
     keyed = i.select("id", "n", "sketch", "i", "x", F.posexplode("b").alias(*j)).select("id", "n", "sketch", F.xxhash64("i", "j", "x", "y").alias("key"))
-    crowded = staged(keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb")))
-    met = keyed.join(crowded, "key").withColumn("blk", F.pmod(F.xxhash64(F.lit(5), "id"), F.col("nb")).cast("int"))
-    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    met = staged(met.select("id", "n", "sketch", "blk", (F.col("blk") == F.col("other")).alias("within"), F.xxhash64("key", F.least("blk", "other"), F.greatest("blk", "other")).alias("run")))
+    met = staged(meetings(keyed, keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")))
     groups = max(1, -(-met.count() // GROUP))
     grouped = lambda df, spanning: df.withColumn("g", F.pmod("run", F.lit(groups))).groupBy("g").applyInPandas(compare(percent, spanning), "a long, b long").distinct()
-    pairs = staged(grouped(met.withColumn("c", F.lit(0).cast("long")), True))
-    # full sets of the documents that have a candidate
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    pairs = staged(grouped(met.withColumns({"c": F.lit(0).cast("long"), "pos": F.lit(0).cast("long")}), True))
+    # full sets of the documents that have a candidate. A bitmap of fixed size tells them where texts are read, so that texts
+    # needn't be shuffled; others that share a slot come along and do no harm
+    slot = F.pmod(F.xxhash64("id"), F.lit(SLOTS))
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).select(slot.alias("slot"))
+    bits = wanted.groupBy(F.bitmap_bucket_number(F.col("slot") + 1).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("slot") + 1)).alias("bits"))
+    sent = docs.sparkSession.sparkContext.broadcast(marked(bits))
 
     def full(batches):
         shingler = Shingler(k)
         for batch in batches:
+            some = batch.filter(pa.array(sent.value[batch.column("slot").to_numpy()]))
             at = 0
-            for part in pieces(batch.column("text").to_pylist()):
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(at, len(part)), pa.array([s.astype("<u8").tobytes() for s in shingler.sets(part)], pa.binary())], ["id", "set"])
+            for part in pieces(some.column("text").to_pylist()):
+                yield pa.RecordBatch.from_arrays([some.column("id").slice(at, len(part)), pa.array([s.astype("<u8").tobytes() for s in shingler.sets(part)], pa.binary())], ["id", "set"])
                 at += len(part)
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(wanted, "doc_id", "left_semi")
-    sets = staged(texts.withColumnRenamed("doc_id", "id").mapInArrow(full, "id long, set binary").where("length(set) > 0"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("id is not null").withColumn("slot", slot)
+    sets = staged(texts.mapInArrow(full, "id long, set binary").where("length(set) > 0"))
     # one edge for each document first; then those that still join different components; then what failed edges hid
     first = pairs.groupBy("a").agg(F.min("b").alias("b"))
     linked = staged(verified(first, sets, percent))
@@ -211,8 +272,11 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
     hidden = staged(open_.select(F.col("a").alias("id")).union(open_.select("b")).distinct())
     if hidden.take(1):
         runs = met.join(hidden, "id", "left_semi").select("run").distinct()
-        again = in_parts(met.join(runs, "run", "left_semi"), "id", "c")
-        more = grouped(again.select("id", "n", "sketch", "blk", "within", "run", "c"), False).join(pairs, ["a", "b"], "left_anti")
+        around = met.join(runs, "run", "left_semi").groupBy("id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+        around = staged(in_parts(around, "id", "c").join(sets, "id"))
+        keyed = prefixes(around, percent)
+        entries = keyed.groupBy("key").agg(F.count("*").alias("m"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+        more = grouped(meetings(keyed, entries, "c", "pos"), False).join(pairs, ["a", "b"], "left_anti")
         linked = staged(linked.union(verified(more, sets, percent)))
         parts = components(linked)
     rows = signed.select("id", "n", "f", "g").join(same.select("n", "f", "g", "rep"), ["n", "f", "g"], "left")
