@@ -10,11 +10,14 @@ Null texts count as empty and give no ids. Extra columns are ignored. Repeated r
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import mmap
+import re
 import tempfile
 import unicodedata
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -28,7 +31,8 @@ from lakeforge.llm.common import small_batches
 
 #: Characters for which lower-casing, NFC and character classes need no tables: all below U+0250 but file separators.
 UNUSUAL = regex.compile("[^\x00-\x1b\x20-ɏ]")
-PIECE_CHARS = 2_000_000
+UNUSUAL_ASCII = re.compile("[\x1c-\x1f]")
+PIECE_CHARS = 500_000
 LONG_WORD = 48
 
 
@@ -227,49 +231,71 @@ class Transducer:
 
 
 class Encoder:
-    """Texts to ids; ``resolve`` gives the ids of words (UTF-8) that the cache of chunks lacks."""
+    """Texts to ids; ``resolve`` gives the ids of words (UTF-8) that the caches of chunks lack.
 
-    def __init__(self, vocabulary: Vocabulary, resolve: Callable[[list[bytes]], list[bytes]], cached: int = 700_000):
-        self.v, self.resolve, self.cached, self.cache = vocabulary, resolve, cached, {}
+    There are two caches: what the young one lacks is moved over from the old one or resolved, and a full young one
+    becomes the old one. So memory is bounded and chunks in use stay.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, resolve: Callable[[list[bytes]], list[bytes]], cached: int = 300_000):
+        self.v, self.resolve, self.cached, self.old = vocabulary, resolve, cached, {}
+        self.fixed = {p: np.array([i], "<u4").tobytes() for p, i in vocabulary.special.items()}
+        self.young = dict(self.fixed)
 
     def chunks(self, text: str) -> list[str]:
         """White-space chunks of the normalised text."""
-        if UNUSUAL.search(text):
+        if UNUSUAL_ASCII.search(text) if text.isascii() else UNUSUAL.search(text):
             text = unicodedata.normalize("NFC", text)
             # one character at a time, as the library does: no rule for final sigma
             return regex.split(r"\s+", "".join(map(str.lower, text)))
         return text.lower().split()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        v, cache = self.v, self.cache
+        v = self.v
         parts: list[list[str]] = []
         for text in texts:
             if v.special and "<|" in text:
                 cut = v.split_special.split(text)
                 parts.append([x for i, p in enumerate(cut) for x in ([p] if i % 2 else self.chunks(p))])
-                for p in cut[1::2]:
-                    cache[p] = np.array([v.special[p]], "<u4").tobytes()
             else:
                 parts.append(self.chunks(text))
-        new = set()
-        for p in parts:
-            new.update(p)
-        if len(cache) + len(new) > self.cached:
-            cache.clear()
-            cache.update((p, np.array([i], "<u4").tobytes()) for p, i in v.special.items())
-        self._learn([w for w in new if w not in cache])
-        return [b"".join([cache[w] for w in p]) for p in parts]
+        if len(self.young) > self.cached:
+            self.old, self.young = self.young, dict(self.fixed)
+        young, old = self.young, self.old
+        lacking = [w for w in set().union(*parts) if w not in young]
+        new = []
+        for w in lacking:
+            if w in old:
+                young[w] = old[w]
+            else:
+                new.append(w)
+        if new:
+            self._learn(new)
+        return [b"".join([young[w] for w in p]) for p in parts]
 
     def _learn(self, new: list[str]) -> None:
-        plain = [w for w in new if w.isalpha() and not UNUSUAL.search(w)]
-        rest = set(new).difference(plain)
-        cut = {w: self.v.words.findall(w) for w in rest}
-        distinct = [*dict.fromkeys([*plain, *(x for p in cut.values() for x in p)])]
-        ids = dict(zip(distinct, self.resolve([w.encode() for w in distinct]), strict=True))
-        for w in plain:
-            self.cache[w] = ids[w]
+        young, old = self.young, self.old
+        cut = {w: [w] if w.isalpha() and (w.isascii() or not UNUSUAL.search(w)) else self.v.words.findall(w) for w in new}
+        ids = {}
+        for p in cut.values():
+            for x in p:
+                if x not in ids and x not in self.fixed:
+                    ids[x] = young.get(x) or old.get(x)
+        missing = [x for x, known in ids.items() if known is None]
+        ids.update(zip(missing, self.resolve([x.encode() for x in missing]), strict=True))
         for w, p in cut.items():
-            self.cache[w] = b"".join([ids[x] for x in p])
+            young[w] = ids[p[0]] if len(p) == 1 else b"".join([ids[x] for x in p])
+
+
+#: Encoders outlive a task where Spark reuses its Python workers, so that caches stay warm.
+_KEPT: dict[tuple, Encoder] = {}
+
+
+def kept(key: tuple, make: Callable[[], Encoder]) -> Encoder:
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
 
 
 def pieces(texts: list[str | None]) -> Iterator[list[str]]:
@@ -286,6 +312,48 @@ def pieces(texts: list[str | None]) -> Iterator[list[str]]:
 
 
 def own_encoder(path: str, blob: bytes) -> Encoder:
+    return kept((path, hashlib.md5(blob).digest()), lambda: _own_encoder(path, blob))
+
+
+class LibraryEncoder(Encoder):
+    """Words that are not cached go through the tokenizers library's own model, each when it is met."""
+
+    class Cache(dict):
+        def __init__(self, encoder: LibraryEncoder):
+            super().__init__(encoder.fixed)
+            self.encoder = encoder
+
+        def __missing__(self, chunk: str) -> bytes:
+            ids = self.encoder.old.get(chunk)
+            if ids is None:
+                words = [chunk] if chunk.isalpha() and (chunk.isascii() or not UNUSUAL.search(chunk)) else self.encoder.v.words.findall(chunk)
+                ids = self.encoder.resolve([chunk.encode()])[0] if words == [chunk] else b"".join([self[w] for w in words])
+            self[chunk] = ids
+            return ids
+
+    def __init__(self, vocabulary: Vocabulary, resolve: Callable[[list[bytes]], list[bytes]], cached: int = 220_000):
+        super().__init__(vocabulary, resolve, cached)
+        self.young = self.Cache(self)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.young) > self.cached:
+            self.old, self.young = dict(self.young), self.Cache(self)
+        ids, out = self.young.__getitem__, []
+        for text in texts:
+            if self.v.special and "<|" in text:
+                cut = self.v.split_special.split(text)
+                parts = [x for i, p in enumerate(cut) for x in ([p] if i % 2 else self.chunks(p))]
+            else:
+                parts = self.chunks(text)
+            out.append(b"".join(map(ids, parts)))
+        return out
+
+
+def library_encoder(path: str) -> Encoder:
+    return kept((path,), lambda: _library_encoder(path))
+
+
+def _own_encoder(path: str, blob: bytes) -> Encoder:
     v, t = Vocabulary(path), Transducer(blob)
 
     def resolve(words: list[bytes]) -> list[bytes]:
@@ -298,17 +366,17 @@ def own_encoder(path: str, blob: bytes) -> Encoder:
     return Encoder(v, resolve)
 
 
-def library_encoder(path: str) -> Encoder:
-    """Words that are not cached go through the tokenizers library's own model."""
+def _library_encoder(path: str) -> Encoder:
     from tokenizers import Tokenizer
 
     v, model = Vocabulary(path), Tokenizer.from_file(path).model
     chars = v.chars
 
     def resolve(words: list[bytes]) -> list[bytes]:
-        return [np.array([x.id for x in model.tokenize("".join([chars[b] for b in w]))], "<u4").tobytes() for w in words]
+        plain = lambda w: w.decode() if w.isalpha() else "".join([chars[b] for b in w])  # noqa: E731  ASCII letters stand for themselves
+        return [array("I", [x.id for x in model.tokenize(plain(w))]).tobytes() for w in words]
 
-    return Encoder(v, resolve)
+    return LibraryEncoder(v, resolve)
 
 
 def decode(v: Vocabulary, ids: bytes) -> str:

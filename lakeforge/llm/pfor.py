@@ -22,7 +22,7 @@ from lakeforge.llm.common import small_batches
 
 BLOCK = 128
 #: A segment ends with the document that reaches so many ids.
-SEGMENT_IDS = 1_000_000
+SEGMENT_IDS = 400_000
 #: In each block so many of the 128 values must fit the packed width.
 FITTING = 115
 
@@ -34,11 +34,11 @@ def widths(x: np.ndarray) -> np.ndarray:
 def pack(ids: np.ndarray) -> bytes:
     """Header (ids, blocks, words, exceptions), index, packed words, exceptions."""
     n, n_blocks = len(ids), -(-len(ids) // BLOCK)
-    grid = np.concatenate([ids, np.full(n_blocks * BLOCK - n, ids[-1] if n else 0, np.uint32)]).astype(np.uint64).reshape(-1, BLOCK)
-    base = grid.min(1) if n_blocks else np.zeros(0, np.uint64)
+    grid = np.concatenate([ids, np.full(n_blocks * BLOCK - n, ids[-1] if n else 0, np.uint32)]).astype(np.uint32).reshape(-1, BLOCK)
+    base = grid.min(1) if n_blocks else np.zeros(0, np.uint32)
     rest = grid - base[:, None]
     width = widths(np.partition(rest, FITTING - 1, axis=1)[:, FITTING - 1]) if n_blocks else np.zeros(0, np.int64)
-    limit = (np.uint64(1) << width.astype(np.uint64)) - np.uint64(1)
+    limit = ((np.uint64(1) << width.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)
     out_at = rest > limit[:, None]
     starts = np.cumsum([0, *(2 * width)])
     words = np.zeros(int(starts[-1]), np.uint64)
@@ -46,7 +46,7 @@ def pack(ids: np.ndarray) -> bytes:
         if not w:
             continue
         rows = np.flatnonzero(width == w)
-        column = np.ascontiguousarray((rest[rows] & limit[rows][:, None]).T)
+        column = np.ascontiguousarray((rest[rows] & limit[rows][:, None]).T).astype(np.uint64)
         lanes = np.zeros((2 * int(w), len(rows)), np.uint64)
         for j in range(BLOCK):
             word, shift = divmod(j * int(w), 64)
@@ -104,12 +104,12 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
     def run(batches):
         coder, part, seg = library_encoder(tokenizer), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
-        doc_ids, coded, n = [], [], 0
+        doc_ids, coded, n, before = [], [], 0, 0
 
         def flush():
             payload = pack(np.frombuffer(b"".join(coded), "<u4"))
-            row = [[part], [seg], [n], [doc_ids], [[len(x) // 4 for x in coded]], [payload]]
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()), strict=True)], ["part", "seg", "n_tokens", "doc_ids", "lengths", "payload"])
+            row = [[part], [seg], [before], [n], [doc_ids], [[len(x) // 4 for x in coded]], [payload]]
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()), strict=True)], ["part", "seg", "before", "n_tokens", "doc_ids", "lengths", "payload"])
 
         for batch in batches:
             at = 0
@@ -121,27 +121,25 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
                     n, at = n + len(x) // 4 + 1, at + 1
                     if n >= SEGMENT_IDS:
                         yield flush()
-                        doc_ids, coded, n, seg = [], [], 0, seg + 1
+                        doc_ids, coded, n, seg, before = [], [], 0, seg + 1, before + n
         if coded:
             yield flush()
 
     (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
      .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-     .mapInArrow(run, "part int, seg int, n_tokens long, doc_ids array<long>, lengths array<int>, payload binary")
+     .mapInArrow(run, "part int, seg int, before long, n_tokens long, doc_ids array<long>, lengths array<int>, payload binary")
      .write.mode("overwrite").parquet(path))
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` of each document, decoded from the files.
 
-    ``start`` counts the ids of all documents before it: sums over segments within a part and over parts
-    (one row each), then places within the segment.
+    ``start`` counts the ids of all documents before it: a segment knows those of its part, and the parts before are
+    summed from one row each (as many as the writing stage had tasks).
     """
     segs = spark.read.parquet(path)
     parts = segs.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     parts = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("part_start"))
-    places = segs.select("part", "seg", "n_tokens").withColumn("seg_start", F.sum("n_tokens").over(Window.partitionBy("part").orderBy("seg")) - F.col("n_tokens"))
-    starts = places.join(parts, "part").select("part", "seg", (F.col("part_start") + F.col("seg_start")).alias("start"))
 
     def run(batches):
         for batch in batches:
@@ -152,5 +150,5 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
                 ids = [raw[4 * a : 4 * (a + k)] for a, k in zip(at.tolist(), lengths, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(start + at), pa.array(n), pa.array(ids, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
-    return segs.join(starts, ["part", "seg"]).select("start", "doc_ids", "lengths", "payload").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    return segs.join(F.broadcast(parts), "part").select((F.col("part_start") + F.col("before")).alias("start"), "doc_ids", "lengths", "payload").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
