@@ -68,6 +68,8 @@ def fit(counts: list[tuple[int, int]], budget: int) -> dict[int, int]:
         return {}
     if budget >= total:
         return dict(counts)
+    if budget <= DP_WORDS:
+        return subset(counts, budget)
     taken = {n: c * budget // total for n, c in counts}
     left = budget - sum(n * c for n, c in taken.items())
     for n, c in reversed(counts):
