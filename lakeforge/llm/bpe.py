@@ -331,7 +331,7 @@ class LibraryEncoder(Encoder):
             self[chunk] = ids
             return ids
 
-    def __init__(self, vocabulary: Vocabulary, resolve: Callable[[list[bytes]], list[bytes]], cached: int = 220_000):
+    def __init__(self, vocabulary: Vocabulary, resolve: Callable[[list[bytes]], list[bytes]], cached: int = 80_000):
         super().__init__(vocabulary, resolve, cached)
         self.young = self.Cache(self)
 
