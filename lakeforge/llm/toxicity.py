@@ -1,7 +1,7 @@
 """Toxicity by noisy-channel deobfuscation.
 
-A character 4-gram model is counted over all documents. Tokens that look disguised (signs or digits inside words,
-letters three times in a row, letters set apart by blanks) become lattices: each character stands for itself, for
+A character 4-gram model is counted over all documents. Tokens of any length that look disguised (signs or digits in
+words or at their ends, letters three times in a row, letters set apart by blanks) become lattices: each character stands for itself, for
 letters it imitates, or for nothing (separators, repeats); Viterbi decoding picks the likeliest reading under
 channel and language model. Restored texts are scored by words that go with toxic labels and a logistic fit.
 
@@ -33,12 +33,21 @@ LETTERS_ONLY = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 # Letters that signs and digits imitate.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
 ANY = "*#%?"
-#: Disguised tokens: letters with signs or digits among them, a letter three times, single letters set apart.
-DISGUISED = re.compile(r"[a-z0-9@$!|+(€£*#%?._~-]*(?:[a-z][0-9@$!|+(€£*#%?._~-]+[a-z]|([a-z])\1\1|[0-9@$!][a-z]+[0-9@$!]|(?<![a-z0-9])[@$!0-9][a-z]{2,})[a-z0-9@$!|+(€£*#%?._~-]*|(?<![^\s])[a-z0-9@$!](?:\s+[a-z0-9@$!](?!\S)){2,}")
-QUICK = re.compile(r"[a-z][0-9@$!|+(€£*#%?._~-]+[a-z]|([a-z])\1\1|[0-9@$!][a-z]|(?<!\S)[a-z]\s+[a-z0-9@$!]\s+[a-z0-9@$!](?!\S)")
+SIGN = "[" + re.escape("".join(LEET)) + "]"
+ODD = f"[{re.escape(''.join(LEET))}{re.escape(ANY)}._~-]"
+PART = ODD.replace("[", "[a-z", 1)
+ALONE = SIGN.replace("[", "[a-z", 1)
+#: What a token in disguise holds: a sign beside a letter, letters with signs or separators between, a letter three times.
+CORE = rf"[a-z]{SIGN}|{SIGN}[a-z]|[a-z]{ODD}+[a-z]|([a-z])\1\1"
+CLOSING = r"""(?=[.,;:!?)\]}"'…»”]*(?!\S))"""
+#: Disguised tokens, with all signs at their ends, and single letters set apart, closing punctuation or not.
+DISGUISED = re.compile(rf"""(?<!{PART})(?!\([a-z]\s){PART}*?(?:{CORE}){PART}*|(?<![^\s"'\[{{(«“]){ALONE}(?:\s+{ALONE}(?!\S))+\s+{ALONE}{CLOSING}""")
+QUICK = re.compile(rf"{CORE}|(?<![^\W\d_]){ALONE}\s+{ALONE}\s+{ALONE}{CLOSING}")
 RUN = re.compile(r"(.)\1{3,}", re.S)
-#: Longer tokens (after runs are cut to three) are no words in disguise.
+#: Longer tokens (after runs are cut to three) are decoded like others, but not cached.
 LONGEST = 64
+#: From so many (state, reading) pairs on, a step of the lattice is done by numpy, with the same result.
+WIDE = 2000
 LM_KEEP = 4.0
 #: Bytes of a word's beginning.
 STEM = 6
@@ -78,7 +87,8 @@ class Restorer:
     """Viterbi decoding of disguised tokens, with a cache."""
 
     def __init__(self, lm: bytes):
-        self.lm, self.cache = np.frombuffer(lm, np.float32).tolist(), {}
+        self.probs = np.frombuffer(lm, np.float32).astype(float)
+        self.lm, self.cache = self.probs.tolist(), {}
 
     def options(self, c: str, before: str, run: bool) -> list[tuple[int, float]]:
         """Readings of one character: a code, or -1 for nothing, and its log-cost. run: it stands in a run of three."""
@@ -97,14 +107,32 @@ class Restorer:
         token = RUN.sub(r"\1\1\1", token)
         if token in self.cache:
             return self.cache[token]
-        if len(token) > LONGEST and not token[1:2].isspace():
-            return []
-        out: list[bytes] = []
-        for i in range(0, len(token), 4 * LONGEST):  # runs of single letters may be long; they are read in stretches
-            out += self.decode(token[i : i + 4 * LONGEST])
-        if len(self.cache) > 200_000:
-            self.cache.clear()
-        self.cache[token] = out
+        out = self.decode(token)
+        if len(token) <= LONGEST:
+            if len(self.cache) > 200_000:
+                self.cache.clear()
+            self.cache[token] = out
+        return out
+
+    def wide(self, states: dict, options: list[tuple[int, float]]) -> dict:
+        """A step of ``decode`` over many states."""
+        s, score = np.array(list(states)), np.array([x for x, _ in states.values()])
+        code, cost = np.array([c for c, _ in options]), np.array([c for _, c in options])
+        at = s[:, None] * A + np.maximum(code, 0)
+        x = score[:, None] + cost
+        x = np.where(code < 0, x, x + self.probs[at]).ravel()
+        t = np.where(code < 0, s[:, None], at % A**3).ravel()
+        best = np.full(A**3, -np.inf)
+        np.maximum.at(best, t, x)
+        top, seen = np.zeros(A**3, int), np.zeros(A**3, int)
+        seen[t[::-1]] = np.arange(len(t))[::-1]  # states in the order in which they are met; the first of equal readings wins
+        hit = np.flatnonzero(x == best[t])[::-1]
+        top[t[hit]] = hit
+        order = t[np.sort(seen[np.unique(t)])]
+        paths, out = [p for _, p in states.values()], {}
+        for u, i, v in zip(order.tolist(), top[order].tolist(), best[order].tolist(), strict=True):
+            c = options[i % len(options)][0]
+            out[u] = (v, paths[i // len(options)] if c < 0 else (paths[i // len(options)], c))
         return out
 
     def decode(self, token: str) -> list[bytes]:
@@ -113,6 +141,9 @@ class Restorer:
         for i, c in enumerate(token):
             after: dict[int, tuple[float, tuple | None]] = {}
             options = self.options(c, before, c * 3 in token[max(0, i - 2) : i + 3])
+            if len(states) * len(options) > WIDE:
+                states, before = self.wide(states, options), c
+                continue
             for s, (score, path) in states.items():
                 for code, cost in options:
                     if code < 0:
@@ -136,7 +167,8 @@ class Restorer:
         words = text.encode().translate(LETTERS_ONLY).split()
         if QUICK.search(text):
             for m in DISGUISED.finditer(text):
-                words += self.restore(m[0])
+                plain = Counter(m[0].encode().translate(LETTERS_ONLY).split())  # these are in ``words`` already
+                words += (Counter(self.restore(m[0])) - plain).elements()
         return words
 
 

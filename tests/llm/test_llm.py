@@ -161,6 +161,24 @@ def test_toxicity_restores_and_ranks(spark, odd, empty):
     assert toxicity.score(odd, model).count() == len(ODD) and toxicity.score(empty, toxicity.learn(empty, labels)).count() == 0
 
 
+def test_toxicity_reads_ends_and_long_tokens(spark):
+    docs = table(spark, SF.replace("0.001", "0.1"), "documents").where("lang = 'en'").limit(4000)
+    # words of the disguised tokens are made known to the model
+    plain = spark.createDataFrame([(-i, w) for i, w in enumerate(["you are an idiot", "dumbass", "shit happens"] * 40, 1)], "doc_id long, text string")
+    r = toxicity.Restorer(toxicity.language_model(docs.select("doc_id", "text").unionAll(plain)))
+    for w, want in {"dumba$$": b"dumbass", "shi7": b"shit", "shi7!": b"shit", "idio7": b"idiot", "|diot": b"idiot", "an i d i o t.": b"idiot", "(i d i o t)": b"idiot", "$hi+,": b"shit"}.items():
+        assert want in r.words(w), w
+    assert r.words("idiot!").count(b"idiot") == 1  # a reading that is the plain word counts once
+    dotted = ".".join("youareanidiot" * 8)
+    assert len(dotted) > 200 and b"".join(r.restore(dotted)).count(b"idiot") == 8
+    assert b"".join(r.restore("1d10t-" * 12)).count(b"idiot") == 12 and b"".join(r.restore(" ".join("idiot" * 80))).count(b"idiot") == 80
+    for token in ("a*b#c%d1?e5", "%e3%81%82%e3%81*8"):  # many states at once
+        wide, toxicity.WIDE = toxicity.WIDE, 10**9
+        narrow, toxicity.WIDE = r.decode(token), 0
+        assert r.decode(token) == narrow
+        toxicity.WIDE = wide
+
+
 def test_langid(spark, odd, empty):
     docs = table(spark, SF.replace("0.001", "0.01"), "documents")
     f = langid.learn(docs)
