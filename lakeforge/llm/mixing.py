@@ -2,8 +2,9 @@
 
 Documents are counted by exact length (words). Each source's target is met first by whole repeats, then a rest
 budget by picking documents: every length gives its share of documents, the longest that fit fill up what
-rounding left, and a bounded-knapsack dynamic program over the lengths still unused (and given back) hits the
-remaining budget exactly if any choice of lengths can. Which documents of a length are taken is decided by a
+rounding left, and a bounded-knapsack dynamic program runs over the lengths unused and given back. Ever more are
+given back until the budget is hit, or enough that no choice of lengths comes nearer. Only where that program's sets of
+sums would take more than ``BITS`` bits are lengths counted in larger units than a word, and a gap can stay. Which documents of a length are taken is decided by a
 seeded hash, so reruns agree.
 
 Null or blank texts have size 0 and are never taken. A null source is a source of its own, sorted last. A null
@@ -12,6 +13,8 @@ Null or blank texts have size 0 and are never taken. A null source is a source o
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,8 +23,10 @@ from lakeforge.llm.common import n_words, staged
 
 #: No document is taken more often.
 MOST = 3
-#: The dynamic program runs over budgets up to this many words; greedy filling leaves less in all but tiny sources.
+#: Smaller budgets go to the dynamic program whole; others from a quarter of this many words on.
 DP_WORDS = 1 << 14
+#: Bits of all the sets of sums that the dynamic program keeps (128 MB).
+BITS = 1 << 30
 
 
 def targets(sizes: list[tuple[str | None, int]], weights: tuple[int, ...] = (1, 2, 3)) -> list[float]:
@@ -42,14 +47,20 @@ def targets(sizes: list[tuple[str | None, int]], weights: tuple[int, ...] = (1,
     return out
 
 
-def subset(counts: list[tuple[int, int]], budget: int) -> dict[int, int]:
-    """Documents by length whose lengths sum as near below ``budget`` as can be; bits of an integer are reachable sums."""
-    mask, reach, steps = (1 << (budget + 1)) - 1, 1, []
+def subset(counts: list[tuple[int, int]], budget: int) -> dict[int, int] | None:
+    """Documents by length whose lengths sum as near below ``budget`` as can be; bits of an integer are reachable sums.
+
+    None where that would take more than ``BITS``.
+    """
+    mask, reach, steps, bits = (1 << (budget + 1)) - 1, 1, [], 0
     for length, count in counts:
         count, k = min(count, budget // length), 1
         while count > 0 and not reach >> budget & 1:
             k = min(k, count)
             steps.append((length, k, reach))
+            bits += reach.bit_length()
+            if bits > BITS:
+                return None
             reach |= (reach << (length * k)) & mask
             count, k = count - k, 2 * k
     at, taken = reach.bit_length() - 1, {}
@@ -60,28 +71,69 @@ def subset(counts: list[tuple[int, int]], budget: int) -> dict[int, int]:
     return taken
 
 
+def coarse(counts: list[tuple[int, int]], budget: int) -> dict[int, int]:
+    """``subset`` with lengths rounded up to a unit, the smallest power of two for which it fits ``BITS``."""
+    unit = 2
+    while True:
+        alike: dict[int, list[tuple[int, int]]] = {}
+        for n, c in counts:
+            alike.setdefault(-(-n // unit), []).append((n, c))
+        found = subset([(u, sum(c for _, c in same)) for u, same in alike.items()], budget // unit)
+        if found is not None:
+            break
+        unit *= 2
+    taken: dict[int, int] = {}
+    for u, k in found.items():
+        for n, c in reversed(alike[u]):
+            taken[n] = min(c, k)
+            k -= taken[n]
+    left = budget - sum(n * c for n, c in taken.items())
+    for n, c in reversed(counts):
+        more = min(c - taken.get(n, 0), left // n)
+        taken[n], left = taken.get(n, 0) + more, left - more * n
+    return taken
+
+
 def fit(counts: list[tuple[int, int]], budget: int) -> dict[int, int]:
-    """How many documents of each length to take so that their words come to ``budget``, or as near below as found."""
+    """How many documents of each length to take so that their words come to ``budget``, or as near below as can be.
+
+    A best choice differs from the greedy one in at most 2 L documents, L being the greatest length: put in a fitting
+    order, exchanges keep the sum within L of the budget, so of more than 2 L some in a row would cancel out.
+    So no more than 2 L of a length need be given back.
+    """
     counts = sorted((n, c) for n, c in counts if n > 0)
     total = sum(n * c for n, c in counts)
     if not total or budget <= 0:
         return {}
     if budget >= total:
         return dict(counts)
-    if budget <= DP_WORDS:
-        return subset(counts, budget)
-    taken = {n: c * budget // total for n, c in counts}
-    left = budget - sum(n * c for n, c in taken.items())
+    unit = math.gcd(*(n for n, _ in counts))
+    if unit > 1:
+        return {n * unit: c for n, c in fit([(n // unit, c) for n, c in counts], budget // unit).items()}
+    if budget <= DP_WORDS and (found := subset(counts, budget)) is not None:
+        return found
+    greedy = {n: c * budget // total for n, c in counts}
+    gap = budget - sum(n * c for n, c in greedy.items())
     for n, c in reversed(counts):
-        more = min(c - taken[n], left // n)
-        taken[n], left = taken[n] + more, left - more * n
-    for n, _ in counts:  # give short ones back while the dynamic program can take them over
-        back = min(taken[n], max(0, (DP_WORDS // 4 - left) // n))
-        taken[n], left = taken[n] - back, left + back * n
-    if left <= DP_WORDS:
-        for n, c in subset([(n, c - taken[n]) for n, c in counts if n <= left and c > taken[n]], left).items():
+        more = min(c - greedy[n], gap // n)
+        greedy[n], gap = greedy[n] + more, gap - more * n
+    best, room = (gap, greedy), DP_WORDS // 4
+    while best[0]:
+        taken, left, whole = dict(greedy), gap, True
+        for n, _ in counts:  # short ones go back first, long ones too where the room is not filled
+            most = min(greedy[n], 2 * counts[-1][0])
+            back = min(most, max(0, -(-(room - left) // n)))
+            taken[n], left, whole = taken[n] - back, left + back * n, whole and back == most
+        free = [(n, c - taken[n]) for n, c in counts if n <= left and c > taken[n]]
+        found = subset([x for ends in zip(free, reversed(free), strict=True) for x in ends][: len(free)], left)  # unlike lengths hit soonest
+        exact = found is not None
+        for n, c in (found if exact else coarse(free, left)).items():
             taken[n] += c
-    return taken
+        best = min(best, (budget - sum(n * c for n, c in taken.items()), taken), key=lambda x: x[0])
+        if whole or not exact:
+            break
+        room *= 4
+    return best[1]
 
 
 def chance(seed: int):

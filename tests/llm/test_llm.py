@@ -44,6 +44,24 @@ def test_mixing_targets_and_fit():
     assert mixing.subset([(4, 3)], 7) == {4: 1} and mixing.fit([], 5) == {}
 
 
+def test_mixing_fits_long_documents(monkeypatch):
+    words = lambda got: sum(n * c for n, c in got.items())
+    for extra in (0, 1):  # with and without a common divisor
+        assert words(mixing.fit([(100_000 + extra, 1), (70_000 + extra, 1), (50_000 + extra, 1)], 120_000 + 2 * extra)) == 120_000 + 2 * extra
+    rng = np.random.default_rng(2)
+    for lengths in [rng.integers(5_000, 60_000, 10) for _ in range(30)]:
+        sums = [int(lengths[[bool(i >> j & 1) for j in range(10)]].sum()) for i in range(1024)]
+        budget = int(rng.integers(20_000, lengths.sum()))
+        n, c = np.unique(lengths, return_counts=True)
+        counts = list(zip(n.tolist(), c.tolist(), strict=True))
+        assert words(mixing.fit(counts, budget)) == max(x for x in sums if x <= budget)
+        with monkeypatch.context() as m:  # coarser units: never above the budget nor above the counts, and near
+            m.setattr(mixing, "BITS", 20_000)
+            got = mixing.fit(counts, budget)
+            assert budget * 0.8 < words(got) <= budget and all(k <= dict(counts)[x] for x, k in got.items())
+    assert words(mixing.fit([(n, 1000) for n in range(50_000, 51_000)], 10**9 + 7)) == 10**9 + 7
+
+
 def test_mixing_edges(odd, empty):
     assert mixing.mix(odd).count() == len(ODD) and mixing.mix(empty).count() == 0
 
