@@ -3,7 +3,9 @@
 Rotations are learned on a bounded sample (``SAMPLE`` distinct vectors by hash): from a random start, codes are the
 signs of the rotated, centred vectors, and the rotation is refitted to the codes. Several rotations give enough bits for
 ``T`` tables of ``b`` bits each; ``b`` grows with the logarithm of the largest label, and ``T`` such that a pair at the
-threshold shares a table but for ``MISS`` of such pairs. Every vector is indexed in all tables. Vectors that share
+threshold shares a table but for ``MISS`` of such pairs. As centring widens the angle of vectors that share a direction,
+this is measured on partners made for the sample's vectors nearest to the mean, and tables are added until it holds; where
+``MOST`` times as many don't do, vectors are not centred. Every vector is indexed in all tables. Vectors that share
 a table entry are compared by exact cosine of the original vectors; a pair counts in the first table it shares.
 
 Equal vectors are merged first, with their number. Large entries are cut into blocks, and pairs of blocks are worked on
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from lakeforge.llm.common import components, staged
 from lakeforge.llm.topk import valid
 
-SAMPLE, MISS = 20_000, 0.02
+SAMPLE, MISS, MOST = 20_000, 0.02, 12
 #: Rows of a table entry that are compared in one piece, and rows of one task's group of entries.
 BLOCK, GROUP = 512, 20_000
 
@@ -48,6 +50,27 @@ def layout(largest: int, threshold: float) -> tuple[int, int]:
     return bits, math.ceil(math.log(MISS) / math.log(1 - hit))
 
 
+def learn(x: np.ndarray, bits: int, tables: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Mean to subtract and ``bits`` columns for each table, at least ``tables``, from unit vectors ``x``."""
+    d = x.shape[1]
+    for mean in (x.mean(0), np.zeros(d)):
+        near = x[np.argsort(np.linalg.norm(x - mean, axis=1), kind="stable")[: max(1000, len(x) // 4)]]
+        w = np.random.default_rng(0).normal(size=near.shape)
+        w -= (w * near).sum(1, keepdims=True) * near
+        w /= np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-12)
+        u, v = near - mean, threshold * near + math.sqrt(1 - threshold**2) * w - mean
+        r, shared, t = np.zeros((d, 0)), np.zeros(len(near), bool), 0
+        while t < tables or (shared.mean() < 1 - MISS and t < MOST * tables):
+            while r.shape[1] < (t + 1) * bits:
+                r = np.concatenate([r, rotation(x - mean, r.shape[1] // d)], 1)
+            part = r[:, t * bits : (t + 1) * bits]
+            shared |= ((u @ part >= 0) == (v @ part >= 0)).all(1)
+            t += 1
+        if shared.mean() >= 1 - MISS:
+            break
+    return mean, r[:, : t * bits]
+
+
 def min_labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Smallest place in the component of each of ``n`` places under pairs (i, j)."""
     label = np.arange(n)
@@ -87,15 +110,15 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame
     sizes = distinct.groupBy("label", "d").agg(F.count("*").alias("n")).agg(F.max("n"), F.sum("n"), F.max("d")).first()
     if sizes[0] is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.coalesce(F.lit(True) & F.col("vec_id").isNotNull()).alias("kept"))
-    bits, tables = layout(sizes[0], threshold)
+    bits, least = layout(sizes[0], threshold)
     # rotations for each length of vector (one, as a rule)
     drawn = distinct.where(F.pmod(F.xxhash64(F.lit(3), "rep"), F.lit(1_000_000)) < int(1e6 * min(1.0, SAMPLE / sizes[1])))
     learned: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for d in [r.d for r in distinct.select("d").distinct().collect()]:
         x = np.array(drawn.where(F.col("d") == d).select("v").toArrow().column("v").to_pylist(), float).reshape(-1, d)
         x = x / np.linalg.norm(x, axis=1, keepdims=True) if len(x) else np.eye(d)
-        mean = x.mean(0)
-        learned[d] = mean, np.concatenate([rotation(x - mean, seed) for seed in range(-(-bits * tables // d))], 1)[:, : bits * tables]
+        learned[d] = learn(x, bits, least, threshold)
+    tables = max(r.shape[1] for _, r in learned.values()) // bits
     sent = spark.sparkContext.broadcast(learned)
 
     def index(batches):
@@ -105,11 +128,12 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame
             for d, part in pdf.groupby("d"):
                 x = np.stack(part["v"].to_numpy()).astype(float)
                 mean, r = sent.value[d]
-                codes = ((x / np.linalg.norm(x, axis=1, keepdims=True) - mean) @ r >= 0).reshape(len(x), tables, bits) @ weights
+                codes = ((x / np.linalg.norm(x, axis=1, keepdims=True) - mean) @ r >= 0).reshape(len(x), -1, bits) @ weights
                 codes = codes.astype("<i4")
-                n, every = len(part), np.tile(np.arange(tables), len(part))
-                take = np.repeat(np.arange(n), tables)
-                yield pa.RecordBatch.from_arrays([pa.array(part["rep"].to_numpy()[take]), pa.array(part["w"].to_numpy()[take]), pa.array(part["label"].to_numpy()[take].astype(np.int64)) if part["label"].dtype.kind in "if" else pa.array([hash(str(v)) for v in part["label"].to_numpy()[take]], pa.int64()), pa.array(every.astype(np.int32)), pa.array(codes.reshape(-1)), pa.array([codes[i].tobytes() for i in range(n)], pa.binary()).take(pa.array(take)), pa.array([x[i].tobytes() for i in range(n)], pa.binary()).take(pa.array(take))], ["rep", "w", "label", "t", "code", "codes", "x"])
+                n, own = codes.shape
+                every, take = np.tile(np.arange(own), n), np.repeat(np.arange(n), own)
+                padded = np.pad(codes, ((0, 0), (0, tables - own)))  # lengths may differ in tables; rows of a task have equal ones
+                yield pa.RecordBatch.from_arrays([pa.array(part["rep"].to_numpy()[take]), pa.array(part["w"].to_numpy()[take]), pa.array(part["label"].to_numpy()[take].astype(np.int64)) if part["label"].dtype.kind in "if" else pa.array([hash(str(v)) for v in part["label"].to_numpy()[take]], pa.int64()), pa.array(every.astype(np.int32)), pa.array(codes.reshape(-1)), pa.array([padded[i].tobytes() for i in range(n)], pa.binary()).take(pa.array(take)), pa.array([x[i].tobytes() for i in range(n)], pa.binary()).take(pa.array(take))], ["rep", "w", "label", "t", "code", "codes", "x"])
 
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     entries = distinct.select("rep", "w", F.xxhash64(F.col("label"), "d").alias("label"), "d", "v").mapInArrow(index, "rep long, w long, label long, t int, code int, codes binary, x binary")

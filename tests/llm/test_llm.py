@@ -105,6 +105,21 @@ def test_itq_recall(spark):
     assert truth > 50 and 0.9 * truth <= found <= truth
 
 
+@pytest.mark.parametrize("common", [0.66, 0.97])
+def test_itq_recall_with_a_common_component(spark, common):
+    rng = np.random.default_rng(3)
+    unit = lambda a: a / np.linalg.norm(a, axis=1, keepdims=True)
+    base = np.sqrt(1 - common) * unit(rng.normal(size=(1000, 64)))
+    base[:, 0] += np.sqrt(common)
+    x = unit(base)
+    x = np.concatenate([x, 0.94 * x + np.sqrt(1 - 0.94**2) * unit(rng.normal(size=x.shape))])
+    n = unit(x)
+    truth = (np.triu(n @ n.T >= 0.93, 1)).sum()
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    found = itq.near_duplicates(df).agg(F.sum("n_links")).first()[0] / 2
+    assert truth > 500 and 0.95 * truth <= found <= truth
+
+
 def test_preference(spark):
     rows = [(0, True, 0, "user", "hi"), (0, True, 1, "assistant", "a"), (0, False, 0, "user", "hi"), (0, False, 1, "assistant", "b<|x"), (1, True, 0, "user", None), (1, False, 0, "user", None), (2, True, 0, "user", "alone")]
     got = {r.pair_id: r for r in preference.format_pairs(spark.createDataFrame(rows, "pair_id long, chosen boolean, turn int, role string, text string")).collect()}
