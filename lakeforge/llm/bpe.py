@@ -1,23 +1,22 @@
 """BPE encoding and decoding with a minimal acyclic transducer for frequent words and exact merges for the rest.
 
-Texts are cut into white-space chunks and those into the tokenizer's words. Frequent words (counted over
-all documents) are compiled into a minimal acyclic automaton whose arcs carry additive outputs: the sum along
-a word is its ordinal, which indexes its token ids. The automaton is a flat file that workers memory-map.
-Words outside it are merged by rank, many words at once. Results equal the tokenizers library's.
+Texts are cut into white-space chunks and those into the tokenizer's words; where characters are not plain, the tokenizers
+library's own normaliser and pre-tokenizer do it. Frequent words (counted over all documents) are compiled into a minimal
+acyclic automaton whose arcs carry additive outputs: the sum along a word is its ordinal, which indexes its token ids.
+The automaton is a flat file that workers memory-map. Words outside it are merged by rank, many words at once. Results equal the tokenizers library's.
 
 Null texts count as empty and give no ids. Extra columns are ignored. Repeated rows give repeated results.
 """
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import heapq
 import json
 import mmap
 import re
 import tempfile
-import unicodedata
-from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -57,13 +56,10 @@ class Vocabulary:
         order = np.argsort(code, kind="stable")
         self.code, self.rank = code[order], order.astype(np.int32)
         self.made = np.array([vocab[a + b] for a, b in pairs], np.int64)
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.texts = [""] * (1 + max([self.n - 1, *self.special.values()]))
-        for text, i in [*vocab.items(), *self.special.items()]:
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.texts = [""] * (1 + max([self.n - 1, *special.values()]))
+        for text, i in [*vocab.items(), *special.items()]:
             self.texts[i] = text
-        self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        parts = spec["pre_tokenizer"]["pretokenizers"]
-        self.words = regex.compile(parts[0]["pattern"]["Regex"])
         self.none = np.int32(2**31 - 1)
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -230,39 +226,59 @@ class Transducer:
         return [self.map[starts[t] : ends[t]] if f else None for f, t in zip(found.tolist(), total.tolist(), strict=True)]
 
 
-class Encoder:
-    """Texts to ids; ``resolve`` gives the ids of words (UTF-8) that the caches of chunks lack.
+class Cutter:
+    """A text's chunks and their words, as the tokenizer file has it."""
 
-    There are two caches: what the young one lacks is moved over from the old one or resolved, and a full young one
-    becomes the old one. So memory is bounded and chunks in use stay.
-    """
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
-    def __init__(self, vocabulary: Vocabulary, resolve: Callable[[list[bytes]], list[bytes]], cached: int = 300_000):
-        self.v, self.resolve, self.cached, self.old = vocabulary, resolve, cached, {}
-        self.fixed = {p: np.array([i], "<u4").tobytes() for p, i in vocabulary.special.items()}
-        self.young = dict(self.fixed)
+        self.library = Tokenizer.from_file(path)
+        self.normalise, self.pre_tokenise = self.library.normalizer.normalize_str, self.library.pre_tokenizer.pre_tokenize_str
+        self.fixed = {t.content: np.array([i], "<u4").tobytes() for i, t in self.library.get_added_tokens_decoder().items()}
+        self.split_fixed = regex.compile("(" + "|".join(map(regex.escape, sorted(self.fixed, key=len, reverse=True))) + ")") if self.fixed else None
+        parts = json.loads(self.library.pre_tokenizer.__getstate__())["pretokenizers"]
+        self.words = regex.compile(parts[0]["pattern"]["Regex"])
+        self.chars = "".join(byte_chars())
+        self.bytes = {c: bytes([b]) for b, c in enumerate(self.chars)}
 
     def chunks(self, text: str) -> list[str]:
         """White-space chunks of the normalised text."""
         if UNUSUAL_ASCII.search(text) if text.isascii() else UNUSUAL.search(text):
-            text = unicodedata.normalize("NFC", text)
-            # one character at a time, as the library does: no rule for final sigma
-            return regex.split(r"\s+", "".join(map(str.lower, text)))
+            return [c for c in self.normalise(text).split(" ") if c]
         return text.lower().split()
 
+    def parts(self, text: str) -> list[tuple[bool, list[str]]]:
+        """Chunks between special tokens, and those (True)."""
+        if not self.fixed or "<|" not in text:
+            return [(False, self.chunks(text))]
+        return [(True, [p]) if i % 2 else (False, self.chunks(p)) for i, p in enumerate(self.split_fixed.split(text))]
+
+    def cut(self, chunk: str) -> list[str | bytes]:
+        """Words of a chunk: text, or UTF-8 bytes (a word need not be whole characters for the library)."""
+        if chunk.isalpha() and chunk.isascii():
+            return [chunk]
+        if UNUSUAL.search(chunk):
+            return [b"".join([self.bytes[c] for c in w]) for w, _ in self.pre_tokenise(chunk)]
+        return [chunk] if chunk.isalpha() else self.words.findall(chunk)
+
+
+class Encoder(Cutter):
+    """Texts to ids; ``resolve`` gives the ids of words (UTF-8) that the caches of chunks lack.
+
+    There are two caches: what the young one lacks is moved over from the old one or resolved, and a full young one
+    becomes the old one. So memory is bounded and chunks in use stay.
+    """
+
+    def __init__(self, path: str, vocabulary: Vocabulary, resolve: Callable[[list[bytes]], list[bytes]], cached: int = 300_000):
+        super().__init__(path)
+        self.v, self.resolve, self.cached, self.young, self.old = vocabulary, resolve, cached, {}, {}
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        v = self.v
-        parts: list[list[str]] = []
-        for text in texts:
-            if v.special and "<|" in text:
-                cut = v.split_special.split(text)
-                parts.append([x for i, p in enumerate(cut) for x in ([p] if i % 2 else self.chunks(p))])
-            else:
-                parts.append(self.chunks(text))
+        parts = [self.parts(text) for text in texts]
         if len(self.young) > self.cached:
-            self.old, self.young = self.young, dict(self.fixed)
+            self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        lacking = [w for w in set().union(*parts) if w not in young]
+        lacking = [w for w in set().union(*(c for p in parts for special, c in p if not special)) if w not in young]
         new = []
         for w in lacking:
             if w in old:
@@ -271,27 +287,27 @@ class Encoder:
                 new.append(w)
         if new:
             self._learn(new)
-        return [b"".join([young[w] for w in p]) for p in parts]
+        return [b"".join([(self.fixed if special else young)[w] for special, c in p for w in c]) for p in parts]
 
     def _learn(self, new: list[str]) -> None:
         young, old = self.young, self.old
-        cut = {w: [w] if w.isalpha() and (w.isascii() or not UNUSUAL.search(w)) else self.v.words.findall(w) for w in new}
+        cut = {w: self.cut(w) for w in new}
         ids = {}
         for p in cut.values():
             for x in p:
-                if x not in ids and x not in self.fixed:
+                if x not in ids:
                     ids[x] = young.get(x) or old.get(x)
         missing = [x for x, known in ids.items() if known is None]
-        ids.update(zip(missing, self.resolve([x.encode() for x in missing]), strict=True))
+        ids.update(zip(missing, self.resolve([x.encode() if isinstance(x, str) else x for x in missing]), strict=True))
         for w, p in cut.items():
             young[w] = ids[p[0]] if len(p) == 1 else b"".join([ids[x] for x in p])
 
 
 #: Encoders outlive a task where Spark reuses its Python workers, so that caches stay warm.
-_KEPT: dict[tuple, Encoder] = {}
+_KEPT: dict[tuple, Cutter] = {}
 
 
-def kept(key: tuple, make: Callable[[], Encoder]) -> Encoder:
+def kept(key: tuple, make: Callable[[], Cutter]) -> Cutter:
     if key not in _KEPT:
         _KEPT.clear()
         _KEPT[key] = make()
@@ -315,42 +331,65 @@ def own_encoder(path: str, blob: bytes) -> Encoder:
     return kept((path, hashlib.md5(blob).digest()), lambda: _own_encoder(path, blob))
 
 
-class LibraryEncoder(Encoder):
-    """Words that are not cached go through the tokenizers library's own model, each when it is met."""
+class LibraryEncoder(Cutter):
+    """Words go through the tokenizers library's own model; the ids of chunks that are met again are cached."""
+
+    #: Slots that tell whether a chunk (or one that shares the slot) has been met.
+    MET = 1 << 20
 
     class Cache(dict):
         def __init__(self, encoder: LibraryEncoder):
-            super().__init__(encoder.fixed)
+            super().__init__()
             self.encoder = encoder
 
         def __missing__(self, chunk: str) -> bytes:
-            ids = self.encoder.old.get(chunk)
+            e = self.encoder
+            ids = e.old.get(chunk)
             if ids is None:
-                words = [chunk] if chunk.isalpha() and (chunk.isascii() or not UNUSUAL.search(chunk)) else self.encoder.v.words.findall(chunk)
-                ids = self.encoder.resolve([chunk.encode()])[0] if words == [chunk] else b"".join([self[w] for w in words])
+                if chunk.isalpha() and (e.plain or not UNUSUAL.search(chunk)):
+                    ids = e.model_ids(chunk)
+                elif e.plain and (letters := chunk[:-1]).isalpha():  # a word and one sign
+                    ids = self[letters] + self[chunk[-1]]
+                else:
+                    ids = e.composed(chunk)
+                slot = hash(chunk) % e.MET
+                if not e.met[slot]:
+                    e.met[slot] = 1
+                    return ids
             self[chunk] = ids
             return ids
 
-    def __init__(self, vocabulary: Vocabulary, resolve: Callable[[list[bytes]], list[bytes]], cached: int = 80_000):
-        super().__init__(vocabulary, resolve, cached)
-        self.young = self.Cache(self)
+    def __init__(self, path: str, cached: int = 160_000):
+        super().__init__(path)
+        self.cached, self.old, self.met, self.plain = cached, {}, bytearray(self.MET), True
+        self.tokenise, self.young = self.library.model.tokenize, self.Cache(self)
+        self.four = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
+
+    def model_ids(self, word: str | bytes) -> bytes:
+        if isinstance(word, bytes) or not (word.isascii() and word.isprintable()):
+            word = codecs.charmap_decode(word if isinstance(word, bytes) else word.encode(), "strict", self.chars)[0]
+        four = self.four
+        return b"".join([four[t.id] for t in self.tokenise(word)])
+
+    def composed(self, chunk: str) -> bytes:
+        words = self.cut(chunk)
+        return b"".join([self.young[w] if w != chunk and isinstance(w, str) else self.model_ids(w) for w in words])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.young) > self.cached:
-            self.old, self.young = dict(self.young), self.Cache(self)
-        ids, out = self.young.__getitem__, []
+            self.old, self.young, self.met = dict(self.young), self.Cache(self), bytearray(self.MET)
+        known, fixed, out = self.young.__getitem__, self.fixed.__getitem__, []
         for text in texts:
-            if self.v.special and "<|" in text:
-                cut = self.v.split_special.split(text)
-                parts = [x for i, p in enumerate(cut) for x in ([p] if i % 2 else self.chunks(p))]
+            self.plain = not (UNUSUAL_ASCII.search(text) if text.isascii() else UNUSUAL.search(text))
+            if self.plain and "<|" not in text:
+                out.append(b"".join(map(known, text.lower().split())))
             else:
-                parts = self.chunks(text)
-            out.append(b"".join(map(ids, parts)))
+                out.append(b"".join([x for special, chunks in self.parts(text) for x in map(fixed if special else known, chunks)]))
         return out
 
 
-def library_encoder(path: str) -> Encoder:
-    return kept((path,), lambda: _library_encoder(path))
+def library_encoder(path: str) -> LibraryEncoder:
+    return kept((path,), lambda: LibraryEncoder(path))
 
 
 def _own_encoder(path: str, blob: bytes) -> Encoder:
@@ -363,20 +402,7 @@ def _own_encoder(path: str, blob: bytes) -> Encoder:
             ids[i] = x
         return ids
 
-    return Encoder(v, resolve)
-
-
-def _library_encoder(path: str) -> Encoder:
-    from tokenizers import Tokenizer
-
-    v, model = Vocabulary(path), Tokenizer.from_file(path).model
-    chars = v.chars
-
-    def resolve(words: list[bytes]) -> list[bytes]:
-        plain = lambda w: w.decode() if w.isalpha() else "".join([chars[b] for b in w])  # noqa: E731  ASCII letters stand for themselves
-        return [array("I", [x.id for x in model.tokenize(plain(w))]).tobytes() for w in words]
-
-    return LibraryEncoder(v, resolve)
+    return Encoder(path, v, resolve)
 
 
 def decode(v: Vocabulary, ids: bytes) -> str:

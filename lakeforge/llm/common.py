@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words of the contracts: runs without blank and the five ASCII control spaces.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Rows per Arrow batch handed to Python, so that a batch of long texts stays small.
-ARROW_ROWS = 512
+#: Bytes of an Arrow batch handed to Python, about, so that batches of long texts stay small.
+ARROW_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    """Lowers the session's bound of Arrow batches to ``ARROW_BYTES`` (for good: frames are run after they are returned)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    bound = spark.conf.get(key, None)
+    if bound is None or not 0 < spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(bound) <= ARROW_BYTES:
+        spark.conf.set(key, str(ARROW_BYTES))
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,11 +35,38 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """``df`` written once as Parquet to the shared folder and read back: cuts lineage, survives lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Spark deletes a query's shuffle files as soon as it has ended."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def staged(df: DataFrame, *used: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read back: cuts lineage, survives lost executors.
+
+    Staged tables ``used``, which nothing else needs, are deleted then.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
+    with shuffles_freed(spark):
+        df.write.parquet(path)
+    dropped(*used)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes the files of staged tables."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.staged_path)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def n_words(text: Column) -> Column:
@@ -62,13 +94,14 @@ def components(edges: DataFrame) -> DataFrame:
         both = e.select("u", "v").unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         big = both.where("v > u").join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        big = staged(big)
+        big = staged(big, e)
         # small star: the smaller neighbours and the id itself go to the smallest of them
         low = big.groupBy("u").agg(F.min("v").alias("m"))
         small = big.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = staged(small.unionAll(low.select("u", F.col("m").alias("v"))).distinct())
+        e = staged(small.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), big)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
-            return e.select(F.col("u").alias("id"), F.col("v").alias("component_id")).unionAll(
+            out = e.select(F.col("u").alias("id"), F.col("v").alias("component_id")).unionAll(
                 e.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct())
+            return staged(out, e)
         before = now
