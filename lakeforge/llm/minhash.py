@@ -2,28 +2,32 @@
 
 Words are runs without ASCII white space, A-Z lower-cased; a document's set is its distinct word shingles (the whole
 sequence if it is shorter). Two collections of ``M`` minhash pairs are computed, and every pair of them, one from each
-collection, keys a table: M * M tables from 4 * M minhashes. Documents with equal sets are merged first. In each table
-entry, pairs whose sizes and sketches (a byte of each minhash) allow the threshold form a graph; only a spanning forest
-of it leaves the task. Its edges are verified on full sets. Where an edge fails, links may hide behind it; the documents of
-its entries are then joined exactly: in one order of all shingles, rare ones first, two sets that reach the threshold share
-one of their first ones (prefix filter) early enough for what follows to suffice (positional filter); pairs that do, and
-still lie in different components, are verified. Entries with many documents are cut
-into blocks, and pairs of blocks are worked on apart.
-
-Sets are 64-bit hashes of shingles; equal sets are told by two 64-bit sums and their size. Null texts and texts without
-words have empty sets and link with nothing, as do rows without id. Rows that share an id are one node.
+collection, keys a table: M * M tables from 4 * M minhashes. Documents with equal sets are merged first. Table entries that hold
+the same documents are one entry. In each entry, pairs whose sizes and sketches (a byte of each minhash) allow the threshold
+form a graph; only a spanning forest of it, of the pairs that agree most, leaves the task. Its edges are verified on full
+sets. Where an edge fails, links may hide behind it; the documents of its entries are then joined exactly: in one order of all
+shingles, rare ones first, two sets that reach the threshold share one of their first ones (prefix filter) early enough for
+what follows to suffice (positional filter). Of the pairs that do and lie in different components, each component's best
+are verified and components merged, then more of each, until none is left. Entries with many documents are cut into
+blocks, and pairs of blocks are worked on apart.
+
+Sets are 64-bit hashes of shingles; equal sets are told by 128 bits of the SHA-256 of the whole sorted set, and their size.
+Null texts and texts without words have empty sets and link with nothing. Rows are told apart by id and text, not by id
+alone: rows that share an id, or have none, are documents of their own. A component's id is the smallest there is in it.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeforge.llm.bpe import pieces
-from lakeforge.llm.common import components, small_batches, staged
+from lakeforge.llm.common import WORD, components, dropped, small_batches, staged
 from lakeforge.llm.itq import run_pairs
 
 M, ROWS = 7, 2
@@ -85,56 +89,87 @@ class Shingler:
         return out
 
 
-def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """``id, n`` (set size), two sums over the set, the two collections of hash pairs, the sketch."""
+def key_columns(docs: DataFrame) -> tuple[Column, Column, Column]:
+    """id, hash of the text, hash of the other columns: rows that agree in them are the same document."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")), F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0).cast("long")
+
+
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """``id, h, o, text``."""
+    return docs.select(*(e.alias(n) for e, n in zip(key_columns(docs), ("id", "h", "o"), strict=True)), F.col("text").cast("string").alias("text"))
+
+
+def signatures(rows: DataFrame, k: int) -> DataFrame:
+    """``id, h, o``, ``n`` (set size), a digest of the set, the two collections of hash pairs, the sketch."""
     def run(batches):
         shingler = Shingler(k)
         for batch in batches:
-            ids, at = batch.column("id"), 0
+            at = 0
             for part in pieces(batch.column("text").to_pylist()):
                 sets = shingler.sets(part)
                 n = np.array([len(s) for s in sets])
                 full = np.flatnonzero(n)
                 flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
                 begin = np.cumsum(n[full]) - n[full]
-                low, sums = np.zeros((HASHES, len(part)), np.uint64), np.zeros((2, len(part)), np.uint64)
+                low = np.zeros((HASHES, len(part)), np.uint64)
                 if len(full):
                     for h in range(HASHES):
                         low[h, full] = np.minimum.reduceat((flat ^ _XOR[h]) * _MULT[h], begin)
-                    sums[0, full], sums[1, full] = np.add.reduceat(flat, begin), np.add.reduceat(mixed(flat ^ _XOR[0]), begin)
+                digest = np.frombuffer(b"".join([hashlib.sha256(s.astype("<u8")).digest()[:16] for s in sets]), "<i8").reshape(-1, 2)
                 low = mixed(low)
                 pair = mixed(low[::2] * np.uint64(3) + low[1::2]).astype(np.int64)
                 sketch = np.ascontiguousarray((low & np.uint64(255)).astype(np.uint8).T)
                 listed = lambda rows: pa.ListArray.from_arrays(pa.array(np.arange(0, M * len(part) + 1, M), pa.int32()), pa.array(np.ascontiguousarray(rows.T).reshape(-1)))
-                yield pa.RecordBatch.from_arrays([ids.slice(at, len(part)), pa.array(n.astype(np.int64)), pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)), listed(pair[:M]), listed(pair[M:]), pa.array([s.tobytes() for s in sketch], pa.binary())], ["id", "n", "f", "g", "a", "b", "sketch"])
+                same = [batch.column(c).slice(at, len(part)) for c in ("id", "h", "o")]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(n.astype(np.int64)), pa.array(digest[:, 0]), pa.array(digest[:, 1]), listed(pair[:M]), listed(pair[M:]), pa.array([s.tobytes() for s in sketch], pa.binary())], ["id", "h", "o", "n", "f", "g", "a", "b", "sketch"])
                 at += len(part)
 
-    small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string")).mapInArrow(run, "id long, n long, f long, g long, a array<long>, b array<long>, sketch binary")
+    small_batches(rows.sparkSession)
+    return rows.mapInArrow(run, "id long, h long, o long, n long, f long, g long, a array<long>, b array<long>, sketch binary")
 
 
 def forest(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the graph of pairs (i, j): each root is hooked to the smallest root next to it, until none is left."""
-    label, out = np.arange(n), ([], [])
-    while len(i):
-        a, b = label[i], label[j]
-        i, j, a, b = (x[a != b] for x in (i, j, a, b))
-        if not len(i):
+    """A spanning forest of the graph of pairs (i, j), best first: of each tree its best pair to another, until none is left."""
+    label, e, out = np.arange(n), np.arange(len(i)), [np.zeros(0, int)]
+    while True:
+        a, b = label[i[e]], label[j[e]]
+        e, a, b = (x[a != b] for x in (e, a, b))
+        if not len(e):
             break
-        high, low = np.maximum(a, b), np.minimum(a, b)
-        order = np.lexsort((low, high))
-        roots, first = np.unique(high[order], return_index=True)
-        pick = order[first]
-        out[0].append(i[pick])
-        out[1].append(j[pick])
-        label[roots] = low[pick]
-        while (label[label] != label).any():
-            label = label[label]
-    return tuple(np.concatenate([*x, np.zeros(0, int)]).astype(int) for x in out)
-
-
-def compare(percent: int, spanning: bool):
-    """Edges of a group of entries: a spanning forest, or all pairs in different components."""
+        best = np.full(n, len(i))
+        np.minimum.at(best, a, e)
+        np.minimum.at(best, b, e)
+        roots = np.flatnonzero(best < len(i))
+        pick = best[roots]
+        out.append(np.unique(pick))
+        up = np.arange(n)
+        up[roots] = label[i[pick]] + label[j[pick]] - roots
+        mutual = roots[(up[up[roots]] == roots) & (roots < up[roots])]
+        up[mutual] = mutual
+        while (up[up] != up).any():
+            up = up[up]
+        label = up[label]
+    chosen = np.concatenate(out)
+    return i[chosen], j[chosen]
+
+
+def best_of_each(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
+    """Flags of the pairs (a, b), best first, that are among the first ``k`` of one of their ends."""
+    ends, at = np.concatenate([a, b]), np.tile(np.arange(len(a)), 2)
+    order = np.lexsort((at, ends))
+    new = np.flatnonzero(np.diff(ends[order], prepend=-1))
+    rank = np.arange(len(ends)) - np.repeat(new, np.diff(np.append(new, len(ends))))
+    out = np.zeros(len(a), bool)
+    out[at[order[rank < k]]] = True
+    return out
+
+
+def compare(percent: int, k: int = 0):
+    """Edges of a group of entries: a spanning forest; or the ``k`` best pairs of each component with others, and whether
+    there are ``more``."""
+    spanning = k == 0
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["run", "id"], kind="stable")
         run_, blk, within, n = (pdf[c].to_numpy() for c in ("run", "blk", "within", "n"))
@@ -151,27 +186,35 @@ def compare(percent: int, spanning: bool):
                     least = -(-percent * (n[p] + n[q]) // (100 + percent))
                     may &= (c[p] != c[q]) & (np.minimum(n[p] - pos[p], n[q] - pos[q]) >= least)
                 p, q = p[may], q[may]
-                near = (sketch[p] == sketch[q]).sum(1) >= AGREE
-                pairs = np.unique(place[p[near]] * len(ids) + place[q[near]])
-                found.append(pairs)
-        pairs = np.unique(np.concatenate([*found, np.zeros(0, int)])).astype(int)
+                alike = (sketch[p] == sketch[q]).sum(1)
+                p, q, alike = (x[alike >= AGREE] for x in (p, q, alike))
+                found.append(np.unique((HASHES - alike) * len(ids) ** 2 + place[p] * len(ids) + place[q]))
+        # those whose sketches agree most come first
+        pairs = np.unique(np.concatenate([*found, np.zeros(0, int)])).astype(int) % max(1, len(ids) ** 2)
         i, j = pairs // len(ids), pairs % len(ids)
         if spanning:
             i, j = forest(len(ids), i, j)
-        return pd.DataFrame({"a": ids[np.maximum(i, j)], "b": ids[np.minimum(i, j)]})
+            more = False
+        else:
+            part = np.zeros(len(ids), np.int64)
+            part[place] = np.unique(c, return_inverse=True)[1]
+            some = best_of_each(part[i], part[j], k)
+            more = not some.all()
+            i, j = i[some], j[some]
+        return pd.DataFrame({"a": ids[np.maximum(i, j)], "b": ids[np.minimum(i, j)], "more": more})
 
     return run
 
 
-def meetings(keyed: DataFrame, crowded: DataFrame, *more: str) -> DataFrame:
-    """Rows of the entries ``crowded`` (``key``, number ``m``), once for each pair of blocks in which they meet others."""
-    met = keyed.join(crowded.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb")), "key")
+def meetings(members: DataFrame, *more: str) -> DataFrame:
+    """Members of entries (``key``, of ``m`` rows), once for each pair of blocks in which they meet others."""
+    met = members.withColumn("nb", F.ceil(F.col("m") / BLOCK).cast("int"))
     met = met.withColumn("blk", F.pmod(F.xxhash64(F.lit(5), "id"), F.col("nb")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     return met.select("id", "n", "sketch", *more, "blk", (F.col("blk") == F.col("other")).alias("within"), F.xxhash64("key", F.least("blk", "other"), F.greatest("blk", "other")).alias("run"))
 
 
 def prefixes(docs: DataFrame, percent: int) -> DataFrame:
-    """``key, pos, id, n, sketch, c`` for the first shingles of each set: all but the last ceil(threshold * size), plus one.
+    """``key, pos, id`` for the first shingles of each set: all but the last ceil(threshold * size), plus one.
 
     The order is by how many of ``docs`` hold a shingle, counted in a table of ``BINS`` slots, then by hash. Any
     order is exact; this one makes rare shingles come first. A slot counted once holds a shingle that no other set has.
@@ -200,9 +243,9 @@ def prefixes(docs: DataFrame, percent: int) -> DataFrame:
                 keys.append(x[first[place]].astype(np.int64))
                 places.append(place)
             take = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(places).astype(np.int64)), *(batch.column(c).take(take) for c in ("id", "n", "sketch", "c"))], ["key", "pos", "id", "n", "sketch", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(places).astype(np.int64)), batch.column("id").take(take)], ["key", "pos", "id"])
 
-    return docs.select("id", "n", "sketch", "c", "set").mapInArrow(run, "key long, pos long, id long, n long, sketch binary, c long")
+    return docs.select("id", "set").mapInArrow(run, "key long, pos long, id long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -230,66 +273,119 @@ def marked(bits: DataFrame) -> np.ndarray:
     return out
 
 
-def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row."""
-    signed = staged(signatures(docs, k))
-    same = signed.where("n > 0 and id is not null").groupBy("n", "f", "g").agg(F.min("id").alias("rep"), F.first(F.struct("a", "b", "sketch")).alias("s"))
-    same = staged(same)
-    reps = same.select(F.col("rep").alias("id"), "n", "s.a", "s.b", "s.sketch")
-    i, j = reps.select("id", "n", "sketch", F.posexplode("a").alias("i", "x"), "b"), ("j", "y")
-    keyed = i.select("id", "n", "sketch", "i", "x", F.posexplode("b").alias(*j)).select("id", "n", "sketch", F.xxhash64("i", "j", "x", "y").alias("key"))
-    met = staged(meetings(keyed, keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")))
-    groups = max(1, -(-met.count() // GROUP))
-    grouped = lambda df, spanning: df.withColumn("g", F.pmod("run", F.lit(groups))).groupBy("g").applyInPandas(compare(percent, spanning), "a long, b long").distinct()
-    pairs = staged(grouped(met.withColumns({"c": F.lit(0).cast("long"), "pos": F.lit(0).cast("long")}), True))
-    # full sets of the documents that have a candidate. A bitmap of fixed size tells them where texts are read, so that texts
-    # needn't be shuffled; others that share a slot come along and do no harm
-    slot = F.pmod(F.xxhash64("id"), F.lit(SLOTS))
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).select(slot.alias("slot"))
-    bits = wanted.groupBy(F.bitmap_bucket_number(F.col("slot") + 1).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("slot") + 1)).alias("bits"))
-    sent = docs.sparkSession.sparkContext.broadcast(marked(bits))
-
-    def full(batches):
+def full_sets(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """``id`` (node) and ``set`` of the rows ``wanted`` (``node, id, h, o``).
+
+    A bitmap of fixed size tells most others apart where texts are read, so that few texts are shuffled. Others that share a
+    slot are left to the join.
+    """
+    slot = F.pmod(F.xxhash64("id", "h", "o"), F.lit(SLOTS))
+    at = F.col("slot") + 1
+    bits = wanted.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    sent = rows.sparkSession.sparkContext.broadcast(marked(bits))
+
+    def some(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(sent.value[batch.column("slot").to_numpy()]))
+
+    def run(batches):
         shingler = Shingler(k)
         for batch in batches:
-            some = batch.filter(pa.array(sent.value[batch.column("slot").to_numpy()]))
             at = 0
-            for part in pieces(some.column("text").to_pylist()):
-                yield pa.RecordBatch.from_arrays([some.column("id").slice(at, len(part)), pa.array([s.astype("<u8").tobytes() for s in shingler.sets(part)], pa.binary())], ["id", "set"])
+            for part in pieces(batch.column("text").to_pylist()):
+                yield pa.RecordBatch.from_arrays([batch.column("node").slice(at, len(part)), pa.array([s.astype("<u8").tobytes() for s in shingler.sets(part)], pa.binary())], ["id", "set"])
                 at += len(part)
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("id is not null").withColumn("slot", slot)
-    sets = staged(texts.mapInArrow(full, "id long, set binary").where("length(set) > 0"))
+    few = rows.withColumn("slot", slot).mapInArrow(some, "id long, h long, o long, text string, slot long")
+    w = wanted.select("node", *(F.col(c).alias(f"w{c}") for c in ("id", "h", "o")))
+    found = few.join(w, F.col("id").eqNullSafe(F.col("wid")) & (F.col("h") == F.col("wh")) & (F.col("o") == F.col("wo")))
+    return found.groupBy("node").agg(F.first("text").alias("text")).mapInArrow(run, "id long, set binary")
+
+
+def linked_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Two staged tables: ``id, h, o, n, f, g`` of each row, and ``n, f, g, c, row`` of each different set that is not empty.
+
+    ``c`` is the component; ``row`` the first of the set's rows: with id before without, then by ``id, h, o``.
+    """
+    rows = keyed_rows(docs)
+    signed = staged(signatures(rows, k))
+    first_row = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "h", "o")).alias("row")
+    same = signed.where("n > 0").groupBy("n", "f", "g").agg(first_row, F.first(F.struct("a", "b", "sketch")).alias("s"))
+    # numbered in the order of rows, as copies tend to come after what they are made from
+    same = same.repartitionByRange("row").sortWithinPartitions("row")
+    same = staged(same.select(F.monotonically_increasing_id().alias("node"), "n", "f", "g", "row", "s.*"))
+    narrow = staged(signed.select("id", "h", "o", "n", "f", "g"), signed)
+    i = same.select(F.col("node").alias("id"), F.posexplode("a").alias("i", "x"), "b")
+    keyed = i.select("id", "i", "x", F.posexplode("b").alias("j", "y")).select("id", F.xxhash64("i", "j", "x", "y").alias("key"))
+    # entries with the same documents are one
+    entries = keyed.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("low"), F.bit_xor(F.xxhash64("id")).alias("all")).where("m > 1")
+    entries = staged(entries.groupBy("m", "low", "all").agg(F.min("key").alias("key")).select("key", "m"))
+    members = staged(keyed.join(entries, "key"))
+    met = members.select("id", "key", "m").join(same.select(F.col("node").alias("id"), "n", "sketch"), "id")
+    met = staged(meetings(met), entries, members)
+    groups = max(1, -(-met.count() // GROUP))
+    grouped = lambda df, fn: df.withColumn("g", F.pmod("run", F.lit(groups))).groupBy("g").applyInPandas(fn, "a long, b long, more boolean")
+    pairs = staged(grouped(met.withColumns({"c": F.lit(0).cast("long"), "pos": F.lit(0).cast("long")}), compare(percent)).select("a", "b").distinct())
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(same.select("node", "row.id", "row.h", "row.o"), "node")
+    wanted = staged(wanted)
+    sets = staged(full_sets(rows, wanted, k), wanted)
     # one edge for each document first; then those that still join different components; then what failed edges hid
     first = pairs.groupBy("a").agg(F.min("b").alias("b"))
     linked = staged(verified(first, sets, percent))
     parts = components(linked)
     in_parts = lambda df, col, new: df.join(parts.select(F.col("id").alias(col), F.col("component_id").alias(new)), col, "left").withColumn(new, F.coalesce(new, col))
     rest = in_parts(in_parts(pairs.join(first, ["a", "b"], "left_anti"), "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b")
-    linked = staged(linked.union(verified(rest, sets, percent)))
-    parts = components(linked)
+    more = staged(linked.union(verified(rest, sets, percent)), linked, parts)
+    linked, parts = more, components(more)
     open_ = in_parts(in_parts(pairs, "a", "ca"), "b", "cb").where("ca <> cb")
     hidden = staged(open_.select(F.col("a").alias("id")).union(open_.select("b")).distinct())
     if hidden.take(1):
         runs = met.join(hidden, "id", "left_semi").select("run").distinct()
-        around = met.join(runs, "run", "left_semi").groupBy("id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-        around = staged(in_parts(around, "id", "c").join(sets, "id"))
-        keyed = prefixes(around, percent)
-        entries = keyed.groupBy("key").agg(F.count("*").alias("m"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
-        more = grouped(meetings(keyed, entries, "c", "pos"), False).join(pairs, ["a", "b"], "left_anti")
-        linked = staged(linked.union(verified(more, sets, percent)))
-        parts = components(linked)
-    rows = signed.select("id", "n", "f", "g").join(same.select("n", "f", "g", "rep"), ["n", "f", "g"], "left")
-    rows = rows.join(parts.select(F.col("id").alias("rep"), "component_id"), "rep", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "rep", "id"))
-    return rows.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
+        around = staged(met.join(runs, "run", "left_semi").groupBy("id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+        firsts = staged(prefixes(sets.join(around.select("id"), "id", "left_semi"), percent))
+        tried, k, more = pairs, 4, True
+        while more:
+            now = staged(in_parts(around, "id", "c"))
+            kept = firsts.join(now.select("id", "c"), "id").groupBy("key").agg(F.count("*").alias("m"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key", "m")
+            shared = staged(kept)
+            found = staged(grouped(meetings(firsts.join(shared, "key").join(now, "id"), "c", "pos"), compare(percent, k)), shared, now)
+            more = bool(found.where("more").take(1))
+            fresh = staged(found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), found)
+            wider = staged(linked.union(verified(fresh, sets, percent)), linked, parts)
+            linked, parts = wider, components(wider)
+            tried, old, k = staged(tried.union(fresh), fresh), tried, 8 * k
+            if old is not pairs:
+                dropped(old)
+        dropped(tried, firsts, around)
+    component = F.coalesce("component_id", "node").alias("c")
+    out = staged(same.join(parts.withColumnRenamed("id", "node"), "node", "left").select("n", "f", "g", component, "row"), same, met, pairs, sets, linked, parts, hidden)
+    return narrow, out
+
+
+def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row; rows without id are never kept."""
+    signed, found = linked_sets(docs, k, percent)
+    least = found.groupBy("c").agg(F.min("row.id").alias("component"))
+    rows = signed.select("id", "n", "f", "g").join(found.join(least, "c").select("n", "f", "g", "component"), ["n", "f", "g"], "left")
+    component = F.coalesce(F.when(F.col("n") > 0, F.col("component")), F.col("id"))
+    return staged(rows.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept")), signed, found)
 
 
 def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The columns of ``docs``; of each group of near duplicates the row with the smallest id stays, rows without id stay."""
-    found = staged(near_duplicates(docs, k, percent))
-    stay = found.where("kept").groupBy("doc_id").agg(F.count("*").alias("rows"))
-    kept = docs.join(stay.select("doc_id"), "doc_id", "left_semi")
-    if stay.where("rows > 1").take(1):
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """The columns of ``docs``; one row of each group of near duplicates stays: the smallest by id (null last), text hash, hash of the rest.
+
+    Rows that share an id but not a group all stay, and so do all rows whose text is null or has no word.
+    """
+    signed, found = linked_sets(docs, k, percent)
+    key = ["id", "h", "o"]
+    stay = found.groupBy("c").agg(F.min("row").alias("row")).select("row.id", "row.h", "row.o")
+    repeated = signed.groupBy(*key).agg(F.count("*").alias("m")).where("m > 1")
+    same = lambda a, b: a.id.eqNullSafe(b.id) & (a.h == b.h) & (a.o == b.o)
+    stay = staged(stay.alias("a").join(repeated.alias("b"), F.expr("a.id <=> b.id and a.h = b.h and a.o = b.o"), "left").select("a.*", F.col("m").isNotNull().alias("many")), signed, found)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    keyed = docs.select(row.alias("row"), *(e.alias(n) for e, n in zip(key_columns(docs), key, strict=True)))
+    has_words = F.coalesce(F.regexp_like(F.col("row.text").cast("string"), F.lit(WORD)), F.lit(False))
+    full = keyed.where(has_words)
+    once, many = stay.where("not many"), stay.where("many")
+    kept = full.join(once, same(full, once), "left_semi").unionAll(full.join(many, same(full, many), "left_semi").dropDuplicates(key))
+    return kept.unionAll(keyed.where(~has_words)).select("row.*")
