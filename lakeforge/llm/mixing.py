@@ -4,11 +4,12 @@ Documents are counted by exact length (words). Each source's target is met first
 budget by picking documents: every length gives its share of documents, the longest that fit fill up what
 rounding left, and a bounded-knapsack dynamic program runs over the lengths unused and given back. Ever more are
 given back until the budget is hit, or enough that no choice of lengths comes nearer. Only where that program's sets of
-sums would take more than ``BITS`` bits are lengths counted in larger units than a word, and a gap can stay. Which documents of a length are taken is decided by a
-seeded hash, so reruns agree.
+sums would take more than ``BITS`` bits are lengths counted in larger units than a word, and a gap can stay. Which documents
+of a length are taken is decided by a seeded hash of id and text, so reruns agree; of rows that agree in both, as many as are needed.
 
 Null or blank texts have size 0 and are never taken. A null source is a source of its own, sorted last. A null
-``doc_id`` is a document like any other. Repeated rows are documents of their own. All sizes 0: nothing is taken.
+``doc_id`` is a document like any other. Repeated rows are documents of their own. All sizes 0, or an empty table: nothing
+is taken. Extra columns may have any names.
 """
 
 from __future__ import annotations
@@ -16,10 +17,10 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import n_words, staged
+from lakeforge.llm.common import dropped, n_words, staged
 
 #: No document is taken more often.
 MOST = 3
@@ -29,22 +30,27 @@ DP_WORDS = 1 << 14
 BITS = 1 << 30
 
 
-def targets(sizes: list[tuple[str | None, int]], weights: tuple[int, ...] = (1, 2, 3)) -> list[float]:
-    """Targets by weight of all sizes together, none above ``MOST`` times its source; excess is reshared by weight."""
-    weight = [weights[i % len(weights)] for i in range(len(sizes))]
-    left, open_, out = float(sum(n for _, n in sizes)), set(range(len(sizes))), [0.0] * len(sizes)
-    while open_:
-        unit = left / sum(weight[i] for i in open_)
-        full = {i for i in open_ if unit * weight[i] >= MOST * sizes[i][1]}
-        if not full:
-            for i in open_:
-                out[i] = unit * weight[i]
+def with_targets(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
+    """``s, source_size`` with ``target``: by weight of all sizes together, none above ``MOST`` times its source; excess is reshared by weight.
+
+    Sources are numbered in code-point order, null last, within ranges. A source is full where the words due to each unit of weight
+    fill it; that number only grows as full sources leave, and one row of sums for each step reaches the driver.
+    """
+    order = F.asc_nulls_last("s")
+    ranged = staged(sources.repartitionByRange(order).withColumn("part", F.spark_partition_id()))
+    before = ranged.groupBy("part").agg(F.count("*").alias("m")).select("part", (F.sum("m").over(Window.orderBy("part")) - F.col("m")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1 + F.col("before")
+    weight = F.element_at(F.array(*map(F.lit, weights)), (place % len(weights)).cast("int") + 1)
+    placed = staged(ranged.join(before, "part").select("s", "source_size", weight.cast("long").alias("w")), ranged)
+    full = lambda unit: unit * F.col("w") >= MOST * F.col("source_size")
+    unit, count = 0.0, -1
+    while True:
+        is_full = full(F.lit(unit)) if count >= 0 else F.lit(False)
+        t = placed.agg(F.sum("source_size").alias("n"), F.sum(F.when(is_full, F.col("source_size"))).alias("fixed"), F.sum(F.when(~is_full, F.col("w"))).alias("w"), F.count_if(is_full).alias("full")).first()
+        if not t.w or t.full == count:
             break
-        for i in full:
-            out[i] = float(MOST * sizes[i][1])
-            left -= out[i]
-        open_ -= full
-    return out
+        unit, count = float(t.n - MOST * (t.fixed or 0)) / t.w, t.full
+    return placed.select("s", "source_size", F.when(full(F.lit(unit)), MOST * F.col("source_size")).otherwise(F.lit(unit) * F.col("w")).cast("double").alias("target"))
 
 
 def subset(counts: list[tuple[int, int]], budget: int) -> dict[int, int] | None:
@@ -136,21 +142,14 @@ def fit(counts: list[tuple[int, int]], budget: int) -> dict[int, int]:
     return best[1]
 
 
-def chance(seed: int):
-    """A 63-bit hash of the document's id."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), "did"), 1)
-
+def budgets(keyed: DataFrame, weights: tuple[int, ...]) -> DataFrame:
+    """For each source and length: whole repeats, and the hash ``cut`` below which a document is taken once more.
 
-def budgets(keyed: DataFrame, weights: tuple[int, ...], seed: int) -> DataFrame:
-    """For each source and length: whole repeats, and the hash up to which a document is taken once more.
-
-    ``keyed`` has ``src, size, did``. All that moves is counts and, for the bucket in which a cut lies, hashes.
+    ``keyed`` has ``src, size`` and a 63-bit hash ``u``. Of the ``ties`` documents at the cut itself, ``spare`` are taken. All that
+    moves is counts and, for the bucket in which a cut lies, counts of hashes.
     """
     histogram = staged(keyed.groupBy("src", "size").agg(F.count("*").alias("c")))
-    per_source = histogram.groupBy("src").agg(F.sum(F.col("size") * F.col("c")).alias("n"))
-    sources = sorted(((r.src, int(r.n)) for r in per_source.toLocalIterator()), key=lambda x: (x[0] is None, x[0] or ""))
-    rows = [(s, n, t) for (s, n), t in zip(sources, targets(sources, weights), strict=True)]
-    goals = keyed.sparkSession.createDataFrame(rows, "s string, source_size long, target double")
+    sources = histogram.groupBy(F.col("src").alias("s")).agg(F.sum(F.col("size") * F.col("c")).alias("source_size"))
 
     def quota(pdf: pd.DataFrame) -> pd.DataFrame:
         n, t = int(pdf["source_size"].iloc[0]), float(pdf["target"].iloc[0])
@@ -159,30 +158,46 @@ def budgets(keyed: DataFrame, weights: tuple[int, ...], seed: int) -> DataFrame:
         return pdf.assign(repeats=repeats, k=[taken.get(x, 0) for x in pdf["size"]])
 
     schema = "src string, size long, c long, source_size long, target double, repeats int, k long"
-    quotas = staged(histogram.join(goals, F.col("src").eqNullSafe(F.col("s"))).drop("s").groupBy("src").applyInPandas(quota, schema))
-    # the k-th hash of a length: about sqrt(c) buckets in hash order are counted, then the bucket of the cut is ranked
+    quotas = staged(histogram.join(with_targets(sources, weights), F.col("src").eqNullSafe(F.col("s"))).drop("s").groupBy("src").applyInPandas(quota, schema), histogram)
+    # the k-th hash of a length: about sqrt(c) buckets in hash order are counted, then the hashes in the bucket of the cut
     partly = quotas.where("k > 0 and k < c").select(F.col("src").alias("qs"), F.col("size").alias("qz"), "c", "k")
     same = F.col("src").eqNullSafe(F.col("qs")) & (F.col("size") == F.col("qz"))
-    u = chance(seed)
-    slots = keyed.join(partly, same).select("src", "size", "k", u.alias("u"), F.shiftright(F.shiftright(u, 32) * F.ceil(F.sqrt("c")), 31).alias("slot"))
+    slots = keyed.join(partly, same).select("src", "size", "k", "u", F.shiftright(F.shiftright("u", 32) * F.ceil(F.sqrt("c")), 31).alias("slot"))
     counted = slots.groupBy("src", "size", "k", "slot").agg(F.count("*").alias("m"))
     upto = F.sum("m").over(Window.partitionBy("src", "size").orderBy("slot"))
     last = counted.withColumn("left", F.col("k") - upto + F.col("m")).where("left > 0 and left <= m")
     last = last.select(F.col("src").alias("qs"), F.col("size").alias("qz"), F.col("slot").alias("at"), "left")
-    ranked = slots.join(last, same & (F.col("slot") == F.col("at"))).withColumn("rn", F.row_number().over(Window.partitionBy("src", "size").orderBy("u")))
-    cuts = ranked.where("rn = left").select(F.col("src").alias("qs"), F.col("size").alias("qz"), F.col("u").alias("cut"))
-    everything = F.when((F.col("k") == F.col("c")) & (F.col("k") > 0), F.lit((1 << 63) - 1))
-    return staged(quotas.join(cuts, same, "left").select("src", "size", "source_size", "target", "repeats", F.coalesce(everything, "cut").alias("cut")))
+    hashes = slots.join(last, same & (F.col("slot") == F.col("at"))).groupBy("src", "size", "left", "u").agg(F.count("*").alias("ties"))
+    spare = F.col("left") - F.sum("ties").over(Window.partitionBy("src", "size").orderBy("u")) + F.col("ties")
+    cuts = hashes.withColumn("spare", spare).where("spare > 0 and spare <= ties").select(F.col("src").alias("qs"), F.col("size").alias("qz"), F.col("u").alias("cut"), "spare", "ties")
+    whole = F.when((F.col("k") == F.col("c")) & (F.col("k") > 0), F.lit((1 << 63) - 1))
+    plan = quotas.join(cuts, same, "left").select("src", "size", "source_size", "target", "repeats", F.coalesce(whole, "cut", F.lit(-1)).alias("cut"), "spare", "ties")
+    return staged(plan, quotas)
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: int = 7) -> DataFrame:
-    """``row`` (all columns of ``docs``), ``did, size, source_size, target, copies, taken`` (words) of each document.
-
-    Rows that share an id and a length are decided together.
-    """
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("did"), F.col("source").cast("string").alias("src"), n_words(F.col("text").cast("string")).alias("size"))
-    plan = budgets(staged(keyed.select("src", "size", "did")), weights, seed)
-    plan = plan.select(F.col("src").alias("qs"), F.col("size").alias("qz"), "source_size", "target", "repeats", "cut")
-    copies = F.when(F.col("size") > 0, F.col("repeats") + F.coalesce((chance(seed) <= F.col("cut")).cast("int"), F.lit(0))).otherwise(0)
-    placed = keyed.join(plan, F.col("src").eqNullSafe(F.col("qs")) & (F.col("size") == F.col("qz")))
-    return placed.select("row", "did", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).cast("long").alias("taken"))
+    """``row`` (all columns of ``docs``), ``did, size, source_size, target, copies, taken`` (words) of each document."""
+    text = F.col("text").cast("string")
+    u = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id"), text), 1)
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("did"), F.col("source").cast("string").alias("src"), n_words(text).alias("size"), u.alias("u"))
+    narrow = staged(keyed.select("src", "size", "u"))
+    plan = budgets(narrow, weights)
+    dropped(narrow)
+    placed = keyed.join(plan.select(F.col("src").alias("qs"), F.col("size").alias("qz"), "source_size", "target", "repeats", "cut", "spare", "ties"), F.col("src").eqNullSafe(F.col("qs")) & (F.col("size") == F.col("qz")))
+    tied = (F.col("u") == F.col("cut")) & F.coalesce(F.col("spare") < F.col("ties"), F.lit(False))
+
+    def result(rows: DataFrame, once_more: Column) -> DataFrame:
+        copies = F.when(F.col("size") > 0, F.col("repeats") + once_more.cast("int")).otherwise(0)
+        return rows.select("row", "did", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).cast("long").alias("taken"))
+
+    clear = result(placed.where(~tied), F.col("u") <= F.col("cut"))
+    if not plan.where("spare < ties").take(1):
+        return clear
+    # equal documents at a cut are numbered, partition by partition
+    rows = staged(placed.where(tied).select("*", F.monotonically_increasing_id().alias("mid")))
+    ids = rows.select("src", "size", "mid", F.shiftright("mid", 33).alias("part"))
+    n = ids.groupBy("src", "size", "part").agg(F.count("*").alias("m"))
+    n = n.select(F.col("src").alias("ns"), F.col("size").alias("nz"), F.col("part").alias("np"), (F.sum("m").over(Window.partitionBy("src", "size").orderBy("part")) - F.col("m")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("src", "size", "part").orderBy("mid")) + F.col("before")
+    numbered = ids.join(n, F.col("src").eqNullSafe(F.col("ns")) & (F.col("size") == F.col("nz")) & (F.col("part") == F.col("np"))).select("mid", place.alias("place"))
+    return clear.unionAll(result(rows.join(numbered, "mid"), F.col("place") <= F.col("spare")))
