@@ -7,7 +7,9 @@ over those counts estimates how far each labeler can be trusted, and a logistic
 posteriors becomes one SQL expression. Proposals it accepts that overlap no base span are added.
 
 Places are code points from 0, ends exclusive. Null texts count as empty. Patterns have no nested
-loops that recurse or scan quadratically, so long runs of digits or letters are safe. Extra columns are kept.
+loops that recurse or scan quadratically, so long runs of digits or letters are safe; n matches in a text are worked on in
+blocks of about sqrt(n), each with its own stretch of the text. Extra columns are kept, whatever their names. Repeated rows are
+treated alike. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -65,26 +67,57 @@ def octets(x: Column) -> Column:
     return x.rlike(r"^(0*(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(\.|$)){4}$")
 
 
+def let(value: Column, fn) -> Column:
+    """``fn`` of a value that is computed once, however often ``fn`` uses it."""
+    return F.transform(F.array(value), fn)[0]
+
+
+def blocks(items: Column) -> Column:
+    """An array cut into arrays of about the square root of its size."""
+    def cut(x):
+        n = F.size(x["items"])
+        return F.transform(F.filter(F.sequence(F.lit(0), n, x["size"]), lambda i: i < n), lambda i: F.slice(x["items"], i + 1, x["size"]))
+
+    sized = lambda a: F.struct(a.alias("items"), F.greatest(F.ceil(F.sqrt(F.size(a))).cast("int"), F.lit(1)).alias("size"))
+    return let(items, lambda a: let(sized(a), cut))
+
+
+def running(sums: Column) -> Column:
+    """For each item of an integer array the sum of those before it."""
+    none = F.expr("cast(array() as array<int>)")
+    return F.aggregate(sums, F.struct(F.lit(0).alias("at"), none.alias("out")), lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+
 def matches(text: Column, pattern: str, sign: str = "") -> Column:
-    """Array of (start, end, value) of all matches; texts without ``sign`` are not searched."""
+    """Array of (start, end, value, before: the text before it, sides: the characters around it) of all matches.
+
+    Texts without ``sign`` are not searched.
+    """
     values, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    empty = F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)")
+    empty = F.expr("cast(array() as array<struct<start:int,end:int,value:string,before:string,sides:string>>)")
+    pairs = F.filter(F.zip_with(between, values, lambda b, v: F.struct(F.length(b).alias("gap"), F.length(v).alias("n"), v.alias("value"))), lambda p: p["value"].isNotNull())
+    parts = F.transform(blocks(pairs), lambda b: F.struct(b.alias("pairs"), F.aggregate(b, F.lit(0), lambda acc, p: acc + p["gap"] + p["n"]).alias("n")))
+    # of each block: where it starts, and its text with what comes just before and after
+    placed = let(parts, lambda ps: F.zip_with(ps, running(F.transform(ps, lambda x: x["n"])), lambda x, at: F.struct(x["pairs"].alias("pairs"), at.alias("at"), F.substring(text, F.greatest(at - BEFORE, F.lit(0)) + 1, x["n"] + BEFORE + 1).alias("piece"))))
+
+    def found(x):
+        def step(acc, p):
+            start = acc["at"] + p["gap"]
+            end = start + p["n"]
+            origin = F.greatest(x["at"] - BEFORE, F.lit(0))
+            before = F.substring(x["piece"], F.greatest(start - BEFORE, F.lit(0)) - origin + 1, F.least(start, F.lit(BEFORE)))
+            sides = F.concat(F.when(start > 0, F.substring(x["piece"], start - origin, F.lit(1))).otherwise(" "), F.substring(x["piece"], end - origin + 1, F.lit(1)))
+            one = F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), p["value"].alias("value"), before.alias("before"), sides.alias("sides"))
+            return F.struct(end.cast("int").alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    def step(acc, pair):
-        start = acc["at"] + F.length(pair["between"])
-        end = start + F.length(pair["value"])
-        return F.struct(end.cast("int").alias("at"), F.concat(acc["out"], F.array(F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), pair["value"].alias("value")))).alias("out"))
+        return F.aggregate(x["pairs"], F.struct(x["at"].alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
 
-    pairs = F.filter(F.zip_with(between, values, lambda b, v: F.struct(b.alias("between"), v.alias("value"))), lambda p: p["value"].isNotNull())
-    found = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
-    return F.when(F.contains(text, F.lit(sign)) & text.rlike(pattern) if sign else text.rlike(pattern), found).otherwise(empty)
+    return F.when(F.contains(text, F.lit(sign)) & text.rlike(pattern) if sign else text.rlike(pattern), F.flatten(F.transform(placed, found))).otherwise(empty)
 
 
-def votes(text: Column, kind: int, base: bool, m: Column) -> Column:
+def votes(kind: int, base: bool, m: Column) -> Column:
     """One proposal as (kind, start, end, base, the five votes)."""
-    value, d = m["value"], digits(m["value"])
-    before = F.lower(F.substring(text, F.greatest(m["start"] - BEFORE + 1, F.lit(1)), F.least(m["start"], F.lit(BEFORE))))
-    sides = F.concat(F.when(m["start"] > 0, F.substring(text, m["start"], F.lit(1))).otherwise(" "), F.substring(text, m["end"] + 1, F.lit(1)))
+    value, d, before, sides = m["value"], digits(m["value"]), F.lower(m["before"]), m["sides"]
     sign = lambda good, bad=None: F.when(good, 1).otherwise(F.lit(-1) if bad is None else F.when(bad, -1).otherwise(0)).cast("int")
     check = {0: F.lit(0), 1: sign(octets(value)) if base else F.lit(0), 2: sign(luhn(d)), 3: sign(F.length(d).between(8, 15)), 4: sign(value.rlike(r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)"))}[kind]
     form = F.lit(1) if base else (sign(F.length(d) >= 15, F.length(d) < 13) if kind == 2 else sign(value.rlike(r"[-.()@:\[]")))
@@ -100,17 +133,25 @@ def proposals(text: Column) -> tuple[Column, Column]:
         (2, CARD, "", lambda m: luhn(digits(m["value"]))),
         (3, PHONE, "+", lambda m: F.length(digits(m["value"])).between(8, 15)),
     )
-    base = F.concat(*(F.transform(F.filter(matches(text, p, s), ok), partial(votes, text, k, True)) for k, p, s, ok in good))
-    weak = F.concat(*(F.transform(matches(text, p, s), partial(votes, text, k, False)) for k, p, s in WEAK))
+    base = F.concat(*(F.transform(F.filter(matches(text, p, s), ok), partial(votes, k, True)) for k, p, s, ok in good))
+    weak = F.concat(*(F.transform(matches(text, p, s), partial(votes, k, False)) for k, p, s in WEAK))
     return base, weak
 
 
-def with_proposals(docs: DataFrame) -> DataFrame:
-    """Adds ``pii_base`` and ``pii_weak``."""
+def clear_of(weak: Column, base: Column) -> Column:
+    """The spans of ``weak`` that overlap none of ``base``, which is searched block by block in the order of starts."""
+    ordered = blocks(F.array_sort(F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))))
+    bounds = F.transform(ordered, lambda b: F.struct(b.alias("spans"), F.array_max(F.transform(b, lambda s: s["end"])).alias("end"), b[0]["start"].alias("start")))
+    meets = lambda b, w: (b["start"] < w["end"]) & (w["start"] < b["end"])
+    return let(bounds, lambda all_: F.filter(weak, lambda w: ~F.exists(all_, lambda b: meets(b, w) & F.exists(b["spans"], lambda s: meets(s, w)))))
+
+
+def with_proposals(rows: DataFrame) -> DataFrame:
+    """``row``, ``pii_base`` and ``pii_weak`` of rows ``row, text``."""
     base, weak = proposals(F.col("text"))
-    some = docs.withColumns({"pii_base": base, "pii_weak": weak})
-    clear = F.filter("pii_weak", lambda w: ~F.exists("pii_base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
-    return some.withColumn("pii_weak", F.when(F.size("pii_weak") > 0, clear).otherwise(F.col("pii_weak")))
+    some = rows.select("row", base.alias("pii_base"), weak.alias("pii_weak"))
+    some_of_both = (F.size("pii_weak") > 0) & (F.size("pii_base") > 0)
+    return some.withColumn("pii_weak", F.when(some_of_both, clear_of(F.col("pii_weak"), F.col("pii_base"))).otherwise(F.col("pii_weak")))
 
 
 @dataclass
@@ -172,16 +213,20 @@ def train(spans: DataFrame) -> Classifier:
     return Classifier(bias, weight, trust)
 
 
-def find(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns ``keep`` with ``base`` and ``spans``: arrays of (kind number, start, end), sorted."""
-    found = with_proposals(docs).select(*keep, "pii_base", "pii_weak")
-    found = staged(found)
+def found_in(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """``row`` (a struct of the columns ``keep``), ``base`` and ``spans``: arrays of (kind number, start, end), sorted."""
+    found = staged(with_proposals(docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col("text").cast("string").alias("text"))))
     spans = found.where("size(pii_base) + size(pii_weak) > 0").select(F.inline(F.concat("pii_base", "pii_weak")))
     model = train(spans)
     short = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
     base = F.transform("pii_base", short)
     added = F.transform(F.filter("pii_weak", model.accepts), short)
-    return found.select(*keep, base.alias("base"), F.array_sort(F.concat(base, F.when(F.size("pii_weak") > 0, added).otherwise(F.slice(base, 1, 0)))).alias("spans"))
+    return found.select("row", base.alias("base"), F.array_sort(F.concat(base, F.when(F.size("pii_weak") > 0, added).otherwise(F.slice(base, 1, 0)))).alias("spans"))
+
+
+def find(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Columns ``keep`` with ``base`` and ``spans``, which replace columns of these names."""
+    return found_in(docs, keep).select(*(f"row.`{c}`" for c in keep if c not in ("base", "spans")), "base", "spans")
 
 
 def written(spans: Column) -> Column:
@@ -195,16 +240,27 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """The columns of ``docs`` with every found span replaced by its kind in brackets."""
-    found = find(docs, keep=tuple(docs.columns))
+    """The columns of ``docs`` with every found span replaced by its kind in brackets; of overlapping ones the first."""
+    found = found_in(docs, tuple(docs.columns))
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
     by_start = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    text = F.coalesce(F.col("text"), F.lit(""))
-
-    def step(acc, s):
-        label = F.concat(F.lit("["), F.upper(F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1)), F.lit("]"))
-        grown = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), label)
-        inside = s["start"] < acc["at"]
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(inside, acc["out"]).otherwise(grown).alias("out"))
-
-    masked = F.aggregate(by_start, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return found.withColumn("text", F.when(F.size("spans") > 0, masked).otherwise(F.col("text"))).select(*docs.columns)
+    none = F.expr("cast(array() as array<int>)")
+    # each block of spans with the end of all before it, and its own stretch of the text
+    ends = lambda bs: F.aggregate(bs, F.struct(F.lit(0).alias("at"), none.alias("out")), lambda acc, b: F.struct(F.greatest(acc["at"], F.array_max(F.transform(b, lambda s: s["end"]))).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: F.concat(acc["out"], F.array(acc["at"])))
+    with_ends = let(blocks(by_start), lambda bs: F.struct(bs.alias("bs"), ends(bs).alias("ends")))
+    piece = lambda b, at: F.substring(text, at + 1, F.greatest(F.array_max(F.transform(b, lambda s: s["end"])) - at, F.lit(0)))
+    cut = let(with_ends, lambda x: F.struct(F.zip_with(x["bs"], F.slice(x["ends"], F.lit(1), F.size(x["bs"])), lambda b, at: F.struct(b.alias("spans"), at.alias("from"), piece(b, at).alias("piece"))).alias("blocks"), F.element_at(x["ends"], -1).alias("end")))
+
+    def masked(b):
+        def step(acc, s):
+            label = F.concat(F.lit("["), F.upper(F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1)), F.lit("]"))
+            grown = F.concat(acc["out"], F.substring(b["piece"], acc["at"] - b["from"] + 1, s["start"] - acc["at"]), label)
+            inside = s["start"] < acc["at"]
+            return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(inside, acc["out"]).otherwise(grown).alias("out"))
+
+        return F.aggregate(b["spans"], F.struct(b["from"].alias("at"), F.lit("").alias("out")), step, lambda acc: acc["out"])
+
+    whole = let(cut, lambda x: F.concat(F.array_join(F.transform(x["blocks"], masked), ""), F.substring(text, x["end"] + 1, F.length(text))))
+    kind = found.schema["row"].dataType["text"].dataType
+    redacted = F.when(F.size("spans") > 0, whole).otherwise(F.col("row.text").cast("string")).cast(kind)
+    return found.select(*(redacted.alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
