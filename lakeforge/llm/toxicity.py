@@ -7,7 +7,8 @@ channel and language model. Restored texts are scored by words that go with toxi
 
 Word statistics and the fit use a bounded sample of labelled rows (``SAMPLE`` by hash of the id). Null and empty
 texts have no words and get the score of texts without toxic words. Without usable labels all score the smoothed
-base rate. Rows with a null id are not held out and never teach. Repeated rows are scored alike.
+base rate. Rows with a null id are not held out and never teach. Repeated rows are scored alike; rows of ``docs`` that share a
+labelled id all teach, and a larger number of them is sampled once more by text. Extra columns may have any names.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from lakeforge.llm.bpe import pieces
 from lakeforge.llm.common import crc32_of_id, small_batches
@@ -192,12 +194,14 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     spark = docs.sparkSession
     small_batches(spark)
     lm = language_model(docs)
-    usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").cast("int"))
+    usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").cast("int")).distinct()
     n = usable.count()
     if not n:
         return Model(lm)
-    drawn = usable.where(F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(1_000_000)) < int(1e6 * min(1.0, sample / n)))
-    taught = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # about ``sample`` rows of two numbers
+    share = lambda rows, *by: F.pmod(F.xxhash64(F.lit(8), *by), F.lit(1_000_000)) < int(1e6 * min(1.0, sample / max(1, rows)))
+    drawn = usable.where(share(n, "doc_id"))  # about ``sample`` ids, with two labels at most
+    n = docs.select("doc_id").join(F.broadcast(drawn), "doc_id").count()  # more, where ids repeat in ``docs``
+    taught = docs.select("doc_id", "text").where(share(n / 2, "doc_id", F.xxhash64("text"))).join(F.broadcast(drawn), "doc_id")
     lm_sent = spark.sparkContext.broadcast(lm)
 
     def count(batches):
@@ -218,7 +222,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     odds = F.log((F.col("bad") + 0.5) / (total.bad + 1)) - F.log((F.col("good") + 0.5) / (total.good + 1))
     error = F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
     strong = sums.where("word <> '' and bad >= 4").withColumn("odds", odds).where((F.col("odds") > 1.2) & (F.col("odds") > 3.5 * error))
-    words = {r.word.encode(): r.odds for r in strong.select("word", "odds").orderBy(F.desc("odds"), "word").limit(5000).collect()}
+    words = {r.word.encode(): r.odds for r in strong.select("word", "odds").toLocalIterator()}  # of a bounded sample
 
     def measure(batches):
         r = Restorer(lm_sent.value)
@@ -236,8 +240,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(lm, words, tuple(w.tolist()))
 
 
-def score(docs: DataFrame, model: Model, threshold: float = 0.3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns ``keep`` with ``score`` and ``predicted``."""
+def scored(docs: DataFrame, model: Model, threshold: float = 0.3, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """``row`` (the columns ``keep`` of ``docs``, all by default, as a struct), ``score``, ``predicted``."""
     small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -246,13 +250,18 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, keep: tuple[str
         r = Restorer(m.lm)
         for batch in batches:
             out = []
-            for text in batch.column("__text").to_pylist():
+            for text in batch.column("text").to_pylist():
                 x = features(r.words(text or ""), m.words)
                 z = m.weights[0] + sum(w * v for w, v in zip(m.weights[1:], x, strict=True))
                 out.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.float64())], ["row", "score"])
 
-    rows = docs.select(F.struct(*keep).alias("row"), F.col("text").cast("string").alias("__text"))
-    kind = rows.schema["row"].dataType.simpleString()
-    scored = rows.mapInArrow(run, f"row {kind}, score double")
-    return scored.select("row.*", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep or docs.columns)).alias("row"), F.col("text").cast("string").alias("text"))
+    got = rows.mapInArrow(run, StructType([rows.schema["row"], StructField("score", DoubleType())]))
+    return got.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def score(docs: DataFrame, model: Model, threshold: float = 0.3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Columns ``keep`` with ``score`` and ``predicted``, which replace columns of these names."""
+    rest = [f"row.`{c}`" for c in keep if c not in ("score", "predicted")]
+    return scored(docs, model, threshold, keep).select(*rest, "score", "predicted")
