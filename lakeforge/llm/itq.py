@@ -5,14 +5,16 @@ signs of the rotated, centred vectors, and the rotation is refitted to the codes
 ``T`` tables of ``b`` bits each; ``b`` grows with the logarithm of the largest label, and ``T`` such that a pair at the
 threshold shares a table but for ``MISS`` of such pairs. As centring widens the angle of vectors that share a direction,
 this is measured on partners made for the sample's vectors nearest to the mean, and tables are added until it holds; where
-``MOST`` times as many don't do, vectors are not centred. Every vector is indexed in all tables. Vectors that share
-a table entry are compared by exact cosine of the original vectors; a pair counts in the first table it shares.
+``MOST`` times as many don't do, vectors are not centred. Every vector is indexed in all tables. Keys alone are counted and
+joined first; vectors follow to the entries that have more than one. Those that share an entry are compared by exact cosine of
+the original vectors; a pair counts in the first table it shares.
 
 Equal vectors are merged first, with their number. Large entries are cut into blocks, and pairs of blocks are worked on
 apart. Pairs never leave a task: it returns sums of links and one edge for each vector to its local component.
 
 Vectors that are null, empty, zero or non-finite, or whose label or id is null, link with nothing and form their own component.
-Repeated rows link with each other. Vectors of unequal length do not link.
+Repeated rows link with each other. Vectors of unequal length do not link. Extra columns are ignored, whatever their names; long
+vectors take more room and time in proportion. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import components, staged
+from lakeforge.llm.common import components, small_batches, staged
 from lakeforge.llm.topk import valid
 
 SAMPLE, MISS, MOST = 20_000, 0.02, 12
@@ -105,7 +107,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame
     """``vec_id, n_links, component_id, kept`` of every row."""
     spark = embeddings.sparkSession
     ok = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & valid(F.col("embedding")) & F.exists("embedding", lambda x: x != 0)
-    rows = embeddings.select(F.col("vec_id").cast("long"), F.col("label"), F.when(ok, F.transform("embedding", lambda x: x + F.lit(0.0).cast("float") if "float" in embeddings.schema["embedding"].dataType.simpleString() else x + 0.0)).alias("v"))
+    single = "float" in embeddings.schema["embedding"].dataType.simpleString()
+    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").alias("label"), F.when(ok, F.transform("embedding", lambda x: x + F.lit(0.0).cast("float") if single else x + 0.0)).alias("v"))
     distinct = staged(rows.where(F.col("v").isNotNull()).groupBy("label", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("w")).withColumn("d", F.size("v")))
     sizes = distinct.groupBy("label", "d").agg(F.count("*").alias("n")).agg(F.max("n"), F.sum("n"), F.max("d")).first()
     if sizes[0] is None:
@@ -121,38 +124,43 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame
     tables = max(r.shape[1] for _, r in learned.values()) // bits
     sent = spark.sparkContext.broadcast(learned)
 
+    kind = "<f4" if single else "<f8"  # as stored; all arithmetic is in double precision
+
     def index(batches):
         weights = (1 << np.arange(bits)).astype(np.int64)
         for batch in batches:
             pdf = batch.to_pandas()
             for d, part in pdf.groupby("d"):
-                x = np.stack(part["v"].to_numpy()).astype(float)
+                stored = np.stack(part["v"].to_numpy()).astype(kind)
+                x = stored.astype(float)
                 mean, r = sent.value[d]
-                codes = ((x / np.linalg.norm(x, axis=1, keepdims=True) - mean) @ r >= 0).reshape(len(x), -1, bits) @ weights
-                codes = codes.astype("<i4")
-                n, own = codes.shape
-                every, take = np.tile(np.arange(own), n), np.repeat(np.arange(n), own)
-                padded = np.pad(codes, ((0, 0), (0, tables - own)))  # lengths may differ in tables; rows of a task have equal ones
-                yield pa.RecordBatch.from_arrays([pa.array(part["rep"].to_numpy()[take]), pa.array(part["w"].to_numpy()[take]), pa.array(part["label"].to_numpy()[take].astype(np.int64)) if part["label"].dtype.kind in "if" else pa.array([hash(str(v)) for v in part["label"].to_numpy()[take]], pa.int64()), pa.array(every.astype(np.int32)), pa.array(codes.reshape(-1)), pa.array([padded[i].tobytes() for i in range(n)], pa.binary()).take(pa.array(take)), pa.array([x[i].tobytes() for i in range(n)], pa.binary()).take(pa.array(take))], ["rep", "w", "label", "t", "code", "codes", "x"])
-
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    entries = distinct.select("rep", "w", F.xxhash64(F.col("label"), "d").alias("label"), "d", "v").mapInArrow(index, "rep long, w long, label long, t int, code int, codes binary, x binary")
-    entries = staged(entries.withColumn("key", F.xxhash64("label", "t", "code")))
-    crowded = entries.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > 1).select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb"))
+                codes = (((x / np.linalg.norm(x, axis=1, keepdims=True) - mean) @ r >= 0).reshape(len(x), -1, bits) @ weights).astype("<i4")
+                own = codes.shape[1]
+                padded = np.pad(codes, ((0, 0), (0, tables - own)))  # lengths may differ in tables
+                listed = pa.ListArray.from_arrays(pa.array(np.arange(0, codes.size + 1, own), pa.int32()), pa.array(codes.reshape(-1)))
+                raw = lambda a: pa.array([y.tobytes() for y in a], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(part["rep"].to_numpy()), pa.array(part["w"].to_numpy()), pa.array(part["space"].to_numpy()), listed, raw(padded), raw(stored)], ["rep", "w", "space", "list", "codes", "x"])
+
+    small_batches(spark)
+    coded = distinct.select("rep", "w", F.xxhash64(F.col("label"), "d").alias("space"), "d", "v").mapInArrow(index, "rep long, w long, space long, list array<int>, codes binary, x binary")
+    coded = staged(coded)
+    keyed = coded.select("rep", "space", F.posexplode("list").alias("t", "code")).select("rep", "t", F.xxhash64("space", "t", "code").alias("key"))
     # an entry of one row has no pair and stays behind; a large one is cut into nb blocks, and each pair of blocks meets once
+    crowded = staged(keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb")))
     own = F.pmod(F.xxhash64(F.lit(5), "rep"), F.col("nb")).cast("int")
-    met = entries.join(crowded, "key").withColumn("blk", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    met = met.select("rep", "w", "t", "codes", "x", "blk", (F.col("blk") == F.col("other")).alias("within"), F.xxhash64("key", F.least("blk", "other"), F.greatest("blk", "other")).alias("run"))
-    groups = max(1, -(-sizes[1] * tables // GROUP))
+    met = keyed.join(crowded, "key").withColumn("blk", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    met = staged(met.select("rep", "t", "blk", (F.col("blk") == F.col("other")).alias("within"), F.xxhash64("key", F.least("blk", "other"), F.greatest("blk", "other")).alias("run")), crowded)
+    groups = max(1, -(-met.count() // GROUP))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("run", kind="stable")
         run, blk, within, t = (pdf[c].to_numpy() for c in ("run", "blk", "within", "t"))
         codes = np.frombuffer(b"".join(pdf["codes"]), "<i4").reshape(len(pdf), -1)
         sizes_ = pdf["x"].map(len).to_numpy()
-        x = np.zeros((len(pdf), sizes_.max() // 8))
+        size = np.dtype(kind).itemsize
+        x = np.zeros((len(pdf), sizes_.max() // size))
         for i, raw in enumerate(pdf["x"]):
-            x[i, : len(raw) // 8] = np.frombuffer(raw)
+            x[i, : len(raw) // size] = np.frombuffer(raw, kind)
         norm = np.sqrt(np.einsum("ij,ij->i", x, x))
         ids, place = np.unique(pdf["rep"].to_numpy(), return_inverse=True)
         w, links, edges = pdf["w"].to_numpy(), np.zeros(len(ids), np.int64), []
@@ -172,7 +180,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame
         hit = np.unique(np.concatenate([i, j])).astype(int)
         return pd.DataFrame({"a": ids[hit], "b": ids[label[hit]], "links": links[hit]})
 
-    found = staged(met.withColumn("g", F.pmod("run", F.lit(groups))).groupBy("g").applyInPandas(compare, "a long, b long, links long"))
+    whole = met.join(coded.select("rep", "w", "codes", "x"), "rep").withColumn("g", F.pmod("run", F.lit(groups)))
+    found = staged(whole.groupBy("g").applyInPandas(compare, "a long, b long, links long"), met, coded)
     links = found.groupBy("a").agg(F.sum("links").alias("links"))
     parts = components(found.select("a", "b"))
     known = distinct.join(links, distinct.rep == links.a, "left").join(parts, distinct.rep == parts.id, "left").select(F.col("label").alias("l"), F.col("v").alias("u"), "w", "rep", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component_id", "rep").alias("c"))
