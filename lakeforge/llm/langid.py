@@ -6,7 +6,9 @@ table of positions whose words hold a bit for each language, so that one lookup
 all languages that contain a trigram. A text's popcounts by language, corrected for each filter's false positives,
 decide; ties go to the smaller language. Sizes are fixed by ``BINS`` and the number of languages.
 
-Texts that are null or have no letter are ``und`` with score 0. Without teaching rows everything is ``und``.
+Texts that are null or have no letter are ``und`` with score 0. Without teaching rows everything is ``und``. Long texts are read
+whole; repeated rows teach and are answered as often as they stand there. Extra columns are ignored, whatever their names. Empty
+tables give no rows.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeforge.llm.bpe import pieces
-from lakeforge.llm.common import crc32_of_id, small_batches
+from lakeforge.llm.common import crc32_of_id, dropped, small_batches, staged
 
 BINS = 1 << 20
 POSITIONS = 1 << 19
@@ -93,11 +95,12 @@ def learn(docs: DataFrame) -> Filters:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(n[at].astype(np.int64))], ["lang", "bin", "n"])
 
     taught = docs.where(teaches(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", F.col("lang").cast("string"))
-    sums = taught.mapInArrow(count, "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")).persist()
+    sums = taught.mapInArrow(count, "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+    sums = staged(sums)
     totals = {r.lang: r.n for r in sums.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
     kept = sums.join(F.broadcast(docs.sparkSession.createDataFrame([(k, int(v)) for k, v in totals.items()], "lang string, total long")), "lang").where(F.col("n") >= F.greatest(F.lit(2.0), F.col("total") * SHARE)).select("lang", "bin").toArrow()
-    sums.unpersist()
+    dropped(sums)
     table = np.zeros((POSITIONS, max(1, -(-len(languages) // 64))), np.uint64)
     which, bins = np.array([languages.index(x) for x in kept.column("lang").to_pylist()], np.int64), kept.column("bin").to_numpy()
     wrong = np.zeros(len(languages))

@@ -5,7 +5,9 @@ once as the prompt. What follows in each is its completion, with the spans (code
 turns; everything outside them is masked from the loss. Turns are ordered by number, then role and text.
 
 Null roles and texts count as empty. ``<|`` in a text is written ``< |``, so no text can forge a marker. Pairs that lack a
-side are left out. Equal conversations give empty completions. Rows without pair or side are left out.
+side are left out. Equal conversations give empty completions. Rows without pair or side are left out. Repeated rows are turns
+of their own. Extra columns are ignored, whatever their names. A pair is one row, as long as its conversations. Empty tables give
+no rows.
 """
 
 from __future__ import annotations

@@ -33,7 +33,7 @@ def op3_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations 2n (chosen) and 2n + 1 (rejected) are a pair."""
     c = table(spark, sf_dir, "conversations")
-    return preference.format_pairs(c.select(F.floor(F.col("conv_id") / 2).alias("pair_id"), (F.col("conv_id") % 2 == 0).alias("chosen"), "turn", "role", "text"))
+    return preference.format_pairs(c.select(F.shiftright("conv_id", 1).alias("pair_id"), (F.col("conv_id") % 2 == 0).alias("chosen"), "turn", "role", "text"))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +71,7 @@ QUERIES = {f.__name__: f for f in (op1_mixing, op2_topk, op3_itq, op4_preference
 ORACLES = {
     "op4_preference": r"""
 with t as (
-  select conv_id // 2 as pair_id, conv_id % 2 = 0 as chosen, coalesce(role, '') as role, coalesce(text, '') as text,
+  select conv_id >> 1 as pair_id, conv_id % 2 = 0 as chosen, coalesce(role, '') as role, coalesce(text, '') as text,
     row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) as pos
   from conversations where conv_id is not null),
 both_sides as (select pair_id from t group by pair_id having count(distinct chosen) = 2),
@@ -86,12 +86,12 @@ turns as (
   from t join both_sides using (pair_id) left join prefix using (pair_id)),
 rendered as (select *, head || body || '<|end|>' || chr(10) as r from turns),
 placed as (
-  select *, coalesce(sum(length(r)) over (partition by pair_id, chosen order by pos rows between unbounded preceding and 1 preceding), 0) as at
+  select *, coalesce(sum(length(r)) over (partition by pair_id, chosen order by pos rows between unbounded preceding and 1 preceding), 0) as pos_before
   from rendered where pos > n)
 select p.pair_id, cast(p.n as integer) as prompt_turns, p.prompt,
   coalesce(a.r, '') as chosen, coalesce(a.s, '') as chosen_spans, coalesce(b.r, '') as rejected, coalesce(b.s, '') as rejected_spans
 from (select pair_id, max(n) as n, coalesce(string_agg(case when pos <= n and chosen then r end, '' order by pos), '') as prompt from rendered group by pair_id) p
-left join (select pair_id, string_agg(r, '' order by pos) as r, string_agg(case when role = 'assistant' then cast(at + length(head) as bigint)::varchar || ':' || cast(at + length(head) + length(body) + 7 as bigint)::varchar end, ',' order by pos) as s from placed where chosen group by pair_id) a on p.pair_id = a.pair_id
-left join (select pair_id, string_agg(r, '' order by pos) as r, string_agg(case when role = 'assistant' then cast(at + length(head) as bigint)::varchar || ':' || cast(at + length(head) + length(body) + 7 as bigint)::varchar end, ',' order by pos) as s from placed where not chosen group by pair_id) b on p.pair_id = b.pair_id
+left join (select pair_id, string_agg(r, '' order by pos) as r, string_agg(case when role = 'assistant' then cast(pos_before + length(head) as bigint)::varchar || ':' || cast(pos_before + length(head) + length(body) + 7 as bigint)::varchar end, ',' order by pos) as s from placed where chosen group by pair_id) a on p.pair_id = a.pair_id
+left join (select pair_id, string_agg(r, '' order by pos) as r, string_agg(case when role = 'assistant' then cast(pos_before + length(head) as bigint)::varchar || ':' || cast(pos_before + length(head) + length(body) + 7 as bigint)::varchar end, ',' order by pos) as s from placed where not chosen group by pair_id) b on p.pair_id = b.pair_id
 """,
 }
