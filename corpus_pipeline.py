@@ -1,4 +1,8 @@
-"""Five stages from raw documents to token ids; each works on all that the one before kept."""
+"""Five stages from raw documents to token ids; each works on all that the one before kept.
+
+Extra columns, whatever their names, go through to the last stage. Null and empty texts pass until the mixing, which never
+takes documents without words. Empty tables give empty results. Rows that share an id or have none are documents of their own.
+"""
 
 from __future__ import annotations
 
@@ -11,19 +15,20 @@ from lakeforge.llm.queries import tokenizer_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity operator predicts as toxic go."""
+    """Documents that the toxicity operator predicts as toxic go; null and empty texts stay."""
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, keep=tuple(docs.columns)).where("predicted = 0").select(*docs.columns)
+    return toxicity.scored(docs, model).where("predicted = 0").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays."""
+    """One document of each group stays; rows are told apart by id and text, and texts without words all stay."""
     return minhash.deduplicated(docs, k=5, percent=80)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind; the length is counted anew."""
-    return pii.redact(docs).withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    kind, length = docs.schema["n_chars"].dataType, F.length(F.col("text"))
+    return pii.redact(docs).withColumn("n_chars", F.coalesce(length, F.col("n_chars")).cast(kind))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +56,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for _, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir))
+        docs = staged(stage(spark, docs, sf_dir), *before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
