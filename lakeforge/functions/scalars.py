@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Texts that stand for a missing value, and renames of payload keys.
+# Texts that stand for a missing value, renames of payload keys, page numbers in file names, words in data types.
 MISSING = ("None", "null", "undefined", "", "[]", "{}")
 RENAMES = {
     "afid": "scopus_affiliation_id",
@@ -23,12 +23,13 @@ RENAMES = {
     "authkeywords": "author_keywords",
     "freetoreadLabel": "open_access_status",
 }
+PAGE_PATTERNS = (r"page(\d+)", r"page_(\d+)", r"p(\d+)", r"_(\d+)\.json", r"_(\d+)_")
 COUNT_RENAMES = {"@limit": "exported_limit", "@total": "total", "$": "exported_count"}
 TYPE_WORDS = (
     ("string", "VARCHAR|TEXT|CHAR|STRING"),
     ("integer", "INTEGER|INT|BIGINT|SMALLINT"),
     ("numeric", "DECIMAL|NUMERIC|FLOAT|DOUBLE|REAL"),
-    ("boolean", "BOOLEAN"),
+    ("boolean", "BOOLEAN|BOOL"),
     ("datetime", "DATE|TIME|TIMESTAMP"),
     ("json", "JSON"),
 )
@@ -100,8 +101,7 @@ def strip_prefix(c: Column, prefix: str) -> Column:
 
 def page_from_filename(name: Column) -> Column:
     """Page number by the first pattern that fits, else null."""
-    patterns = (r"page[_-]?(\d+)", r"[_-]p(\d+)[_.-]", r"_(\d+)\.json$", r"-(\d+)\.json$", r"(\d+)\.json$")
-    return F.coalesce(*(F.nullif(F.regexp_extract(F.lower(name), p, 1), F.lit("")) for p in patterns)).try_cast("int")
+    return F.coalesce(*(F.nullif(F.regexp_extract(F.lower(name), p, 1), F.lit("")) for p in PAGE_PATTERNS)).try_cast("int")
 
 
 def load_id(source: Column, ts: Column, seed: Column) -> Column:

@@ -8,25 +8,32 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DateType, DecimalType, DoubleType, FloatType, IntegralType, MapType, StringType, StructType, TimestampNTZType, TimestampType, VariantType
 
+from lakeforge.functions.scalars import varchar_length
+
 CATALOGUE = "table_name string, name string, data_type string, is_nullable boolean, default_value string, position int, type_category string, max_length int"
-# The seed compatibility rules
-# (id, change, from constraint, to constraint, from category, to category, level, action).
+# The seed compatibility rules (id, change, from constraint, to constraint, category, level, action).
 RULES = (
-    ("R001", "add_column", None, "nullable", None, None, "safe", "proceed"),
-    ("R002", "add_column", None, "not_null", None, None, "breaking", "halt"),
-    ("R003", "remove_column", None, None, None, None, "breaking", "halt"),
-    ("R004", "change_datatype", None, None, "integer", "numeric", "safe", "proceed"),
-    ("R005", "change_datatype", None, None, "integer", "string", "warning", "review"),
-    ("R006", "change_datatype", None, None, "string", "integer", "breaking", "halt"),
-    ("R007", "change_datatype", "integer", "bigint", None, None, "safe", "proceed"),
-    ("R008", "change_nullable", "not_null", "nullable", None, None, "safe", "proceed"),
-    ("R009", "change_nullable", "nullable", "not_null", None, None, "breaking", "halt"),
-    ("R010", "change_default", None, None, None, None, "safe", "proceed"),
-    ("R011", "reorder_columns", None, None, None, None, "warning", "review"),
-    ("R012", "change_constraint", None, None, None, None, "warning", "review"),
+    ("R001", "add_column", "any", "nullable", "any", "safe", "proceed"),
+    ("R002", "add_column", "any", "not_null", "any", "breaking", "halt"),
+    ("R003", "remove_column", "any", "any", "any", "breaking", "halt"),
+    ("R004", "change_datatype", "any", "any", "string_to_numeric", "breaking", "halt"),
+    ("R005", "change_datatype", "varchar_small", "varchar_large", "string", "safe", "proceed"),
+    ("R006", "change_datatype", "varchar_large", "varchar_small", "string", "warning", "warn_proceed"),
+    ("R007", "change_datatype", "integer", "bigint", "numeric", "safe", "proceed"),
+    ("R008", "change_nullable", "not_null", "nullable", "any", "safe", "proceed"),
+    ("R009", "change_nullable", "nullable", "not_null", "any", "breaking", "halt"),
+    ("R010", "reorder_columns", "any", "any", "any", "safe", "proceed"),
+    ("R011", "add_index", "any", "any", "any", "safe", "proceed"),
+    ("R012", "change_primary_key", "any", "any", "any", "breaking", "halt"),
 )
+# Levels from loose to strict; (level, method, severity, mail, halt); levels without a rule; base severities.
 LEVELS = ("safe", "warning", "breaking")
-POLICIES = (("safe", "log", "info", False, False), ("warning", "log", "warning", True, False), ("breaking", "alert", "critical", True, True))
+POLICIES = (("safe", "log", "info", False, False), ("warning", "both", "warning", True, False), ("breaking", "both", "error", True, True))
+HEURISTICS = {"add_column": "warning", "remove_column": "breaking", "change_datatype": "breaking", "change_nullable": "warning", "change_default": "safe", "reorder_columns": "safe"}
+ACTIONS = {"safe": "proceed", "warning": "warn_proceed", "breaking": "halt"}
+SEVERITY = {"add_column": "safe", "remove_column": "breaking", "change_datatype": "breaking", "change_nullable": "warning", "change_default": "safe", "change_constraint": "warning", "reorder_columns": "safe"}
+#: Order in which a table's changes are reported.
+KINDS = ("add_column", "remove_column", "change_datatype", "change_nullable", "change_default", "change_constraint", "reorder_columns")
 
 
 def category(kind) -> str:
@@ -60,12 +67,14 @@ def pk_candidates(df: DataFrame) -> DataFrame:
     names = [c for c in df.columns if c.lower().endswith(("id", "key"))]
     if not names:
         return df.sparkSession.createDataFrame([], "column_name string, n long")
-    wide = df.agg(F.count(F.lit(1)).alias("n"), *(F.count_distinct(F.col(c)).alias(c) for c in names))
-    return wide.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col("n"), F.col(c).alias("d")) for c in names)))).where("n = d and n > 0").select("column_name", "n")
+    # one pass: rows of (column, value), counted by value, then by column
+    values = df.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in names))))
+    by_value = values.groupBy("column_name", "value").agg(F.count("*").alias("m"))
+    return by_value.groupBy("column_name").agg(F.sum("m").alias("n"), F.max("m").alias("most"), F.count_if(F.col("value").isNull()).alias("nulls")).where("most = 1 and nulls = 0").select("column_name", "n")
 
 
 def compare(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Change rows between two catalogues: ``table_name, name, change_type, from_value, to_value, from_category, to_category, nullable, relative_reorder``."""
+    """Change rows between two catalogues: ``table_name, name, change_type, from_value, to_value, from_category, to_category, nullable, to_default, relative_reorder``."""
     cols = ["data_type", "is_nullable", "default_value", "position", "type_category", "max_length"]
     side = lambda df, s: df.select("table_name", "name", F.struct(*cols).alias(s))
     both = side(old, "o").join(side(new, "n"), ["table_name", "name"], "full_outer")
@@ -88,61 +97,80 @@ def compare(old: DataFrame, new: DataFrame) -> DataFrame:
         change(common & ~o("max_length").eqNullSafe(n("max_length")), "change_constraint", o("max_length"), n("max_length")),
         change(common & (o("position") != n("position")), "reorder_columns", o("position"), n("position")),
     )
-    found = both.select("table_name", "name", o("type_category").alias("from_category"), n("type_category").alias("to_category"), n("is_nullable").alias("nullable"), "moved", F.explode(F.filter(rows, lambda x: x.isNotNull())).alias("c"))
-    return found.select("table_name", "name", "c.*", "from_category", "to_category", "nullable", ((F.col("c.change_type") == "reorder_columns") & F.col("moved")).alias("relative_reorder"))
+    found = both.select("table_name", "name", o("type_category").alias("from_category"), n("type_category").alias("to_category"), n("is_nullable").alias("nullable"), n("default_value").alias("to_default"), "moved", F.explode(F.filter(rows, lambda x: x.isNotNull())).alias("c"))
+    return found.select("table_name", "name", "c.*", "from_category", "to_category", "nullable", "to_default", ((F.col("c.change_type") == "reorder_columns") & F.col("moved")).alias("relative_reorder"))
+
 
+def looked_up(values: Mapping[str, str], key: Column, default: str | None = None) -> Column:
+    out = F.lit(default)
+    for k, v in values.items():
+        out = F.when(key == k, v).otherwise(out)
+    return out
 
-def base_severity(change: Column, nullable: Column, to_value: Column) -> Column:
-    return (F.when(change == "add_column", F.when(nullable, "safe").otherwise("breaking")).when(change == "remove_column", "breaking").when(change == "change_datatype", "breaking")
-            .when(change == "change_nullable", F.when(to_value == "nullable", "safe").otherwise("breaking")).when(change == "reorder_columns", "warning").otherwise("warning"))
+
+def base_severity(change: Column, nullable: Column, default_value: Column, to_value: Column) -> Column:
+    """Severity before any rule: added NOT NULL columns without a default break, and so does a column that becomes NOT NULL."""
+    breaks = ((change == "add_column") & ~nullable & default_value.isNull()) | ((change == "change_nullable") & (to_value == "not_null"))
+    return F.when(breaks, "breaking").when((change == "change_nullable") & (to_value == "nullable"), "safe").otherwise(looked_up(SEVERITY, change, "warning"))
 
 
 def rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(RULES), "rule_id string, change_type string, from_constraint string, to_constraint string, from_category string, to_category string, level string, action string").withColumnsRenamed({"change_type": "rule_type", "from_category": "rule_from", "to_category": "rule_to"})
+    """The seed rules, all active."""
+    return spark.createDataFrame([(*r, True) for r in RULES], "rule_id string, rule_type string, from_constraint string, to_constraint string, category string, level string, action string, is_active boolean")
+
+
+def meets(constraint: Column, value: Column) -> Column:
+    """Whether a nullability (``nullable``, ``not_null``) or data type meets a rule's constraint."""
+    length, kind = varchar_length(value), F.upper(value)
+    kinds = F.when(constraint == "varchar_small", length <= 50).when(constraint == "varchar_large", length > 50).when(constraint == "integer", kind.isin("INT", "INTEGER")).when(constraint == "bigint", kind == "BIGINT")
+    return (constraint == "any") | F.coalesce(kinds, value == constraint, F.lit(False))
 
 
 def matches(changes: DataFrame, rule_table: DataFrame) -> DataFrame:
-    """Change x rule: type equal or any, constraints and categories as far as the rule names them. Rules are few and hand-made."""
-    c, r = changes, rule_table
-    fold = lambda x: F.when(x.isin("int", "integer", "smallint", "tinyint"), "integer").otherwise(x)
-    to_state = F.when(c.change_type == "add_column", F.when(c.nullable, "nullable").otherwise("not_null")).otherwise(fold(c.to_value))
-    named = lambda rule, value: rule.isNull() | F.coalesce(rule == value, F.lit(False))
-    on = ((r.rule_type == c.change_type) | (r.rule_type == "any")) & named(r.from_constraint, fold(c.from_value)) & named(r.to_constraint, to_state) & named(r.rule_from, c.from_category) & named(r.rule_to, c.to_category)
+    """Change x rule: type equal or any, constraints and category as far as the rule names them. Rules are few and hand-made.
+
+    ``numeric`` takes integers too, as the rule from integer to bigint needs it.
+    """
+    c, r = changes, rule_table.where("is_active")
+    to_state = F.when(c.change_type == "add_column", F.when(c.nullable, "nullable").otherwise("not_null")).otherwise(c.to_value)
+    number = lambda x: x.isin("integer", "numeric")
+    target = F.coalesce(c.to_category, c.from_category)
+    fits = F.when(r.category == "any", True).when(r.category == "string_to_numeric", (c.from_category == "string") & number(c.to_category)).when(r.category == "numeric_to_string", number(c.from_category) & (c.to_category == "string")).when(r.category == "numeric", number(target)).otherwise(target == r.category)
+    on = ((r.rule_type == c.change_type) | (r.rule_type == "any")) & meets(r.from_constraint, c.from_value) & meets(r.to_constraint, to_state) & F.coalesce(fits, F.lit(False))
     return c.join(F.broadcast(r), on)
 
 
 def best_rule(matched: DataFrame) -> DataFrame:
     """The most specific rule for each change; ties by rule type, then id."""
-    score = F.when(F.col("rule_type") == F.col("change_type"), 10).otherwise(0) + sum(F.when(F.col(c).isNotNull(), p).otherwise(0) for c, p in (("from_constraint", 5), ("to_constraint", 5), ("rule_from", 3), ("rule_to", 3)))
+    score = F.when(F.col("rule_type") != "any", 10).otherwise(0) + sum(F.when(F.col(c) != "any", p).otherwise(0) for c, p in (("from_constraint", 5), ("to_constraint", 5), ("category", 3)))
     w = Window.partitionBy("table_name", "name", "change_type").orderBy(F.desc("score"), "rule_type", "rule_id")
     return matched.withColumn("score", score).withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
 
 
 def evaluate(changes: DataFrame, rule_table: DataFrame, strict_reference: bool = False) -> DataFrame:
-    """Level, action and rule of each change. Without a matching rule: added columns and looser types warn, the rest breaks.
+    """Level, action and rule of each change; without a matching rule, level and action by the kind of change.
 
     ``strict_reference`` leaves out the three rules that could never match in the system whose outcomes it reproduces.
     """
     r = rule_table.where(~F.col("rule_id").isin("R002", "R007", "R009")) if strict_reference else rule_table
     best = best_rule(matches(changes, r)).select("table_name", "name", "change_type", "rule_id", "level", "action")
-    guess = F.when(F.col("change_type").isin("remove_column", "change_datatype"), "breaking").otherwise("warning")
     joined = changes.join(best, ["table_name", "name", "change_type"], "left")
-    level = F.coalesce("level", guess)
-    return joined.withColumn("level", level).withColumn("action", F.coalesce("action", F.when(level == "breaking", "halt").otherwise("review")))
+    level = F.coalesce("level", looked_up(HEURISTICS, F.col("change_type"), "warning"))
+    return joined.withColumn("action", F.coalesce("action", looked_up(ACTIONS, level))).withColumn("level", level)
 
 
 def overall(evaluated: DataFrame) -> DataFrame:
-    """The most restrictive level of each table and the action that goes with it."""
+    """The most restrictive level of each table and the action of the first change that reaches it (by kind, then name)."""
     rank = F.array_position(F.array(*map(F.lit, LEVELS)), F.col("level"))
-    return evaluated.groupBy("table_name").agg(F.max_by("level", rank).alias("level"), F.max_by("action", F.struct(rank, F.col("action"))).alias("action"))
+    first = F.struct((-rank).alias("rank"), F.array_position(F.array(*map(F.lit, KINDS)), F.col("change_type")).alias("kind"), F.col("name"))
+    return evaluated.groupBy("table_name").agg(F.min_by("level", first).alias("level"), F.min_by("action", first).alias("action"))
 
 
 def recommend(evaluated: DataFrame) -> DataFrame:
     """A rule for each change that none matched."""
-    nullable_add = (F.col("change_type") == "add_column") & F.col("nullable")
-    level = F.when(nullable_add, "safe").when(F.col("change_type").isin("add_column", "remove_column"), "breaking").otherwise("warning")
-    action = F.when(nullable_add, "proceed").when(level == "breaking", "halt").otherwise("review")
-    return evaluated.where("rule_id is null").select("table_name", "name", "change_type", level.alias("suggested_level"), action.alias("suggested_action"))
+    nullable = F.coalesce("nullable", F.lit(True))
+    level = F.when(F.col("change_type") != "add_column", "warning").when(nullable, "safe").otherwise("breaking")
+    return evaluated.where("rule_id is null").select("table_name", "name", "change_type", level.alias("suggested_level"), looked_up(ACTIONS, level).alias("suggested_action"))
 
 
 def notification(levels: DataFrame) -> DataFrame:

@@ -290,9 +290,13 @@ def _(t):
     return entries(t).select("o_orderkey", S.strip_prefix(F.col("eid"), "2-s2.0-").alias("id"))
 
 
-@query("page_from_filename", "select doc_id, case doc_id % 3 when 0 then cast(doc_id as integer) when 1 then cast(doc_id as integer) end as page from documents")
+@query("page_from_filename", "select doc_id, case when doc_id % 6 < 5 then cast(doc_id as integer) end as page from documents")
 def _(t):
-    name = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("X_PAGE_"), F.col("doc_id"), F.lit(".json"))).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("a-"), F.col("doc_id"), F.lit(".json"))).otherwise("none.txt")
+    n, r = F.col("doc_id").cast("string"), F.col("doc_id") % 6
+    forms = [("X_PAGE", ".json"), ("a_page_", ".txt"), ("p", "-x"), ("a_", ".json"), ("a_", "_b.txt")]
+    name = F.lit("none.txt")
+    for i, (head, tail) in enumerate(forms):
+        name = F.when(r == i, F.concat(F.lit(head), n, F.lit(tail))).otherwise(name)
     return t.documents.select("doc_id", S.page_from_filename(name).alias("page"))
 
 
