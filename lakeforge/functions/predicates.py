@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Payload keys, and names of errors that stop a run.
+# Payload keys, the usual place of the announced total, and names of errors that stop a run.
 STRUCTURE_KEYS = ("search-results", "results", "data", "response", "entries")
-ITEM_PATHS = ('$["search-results"].entry', "$.results", "$.data", "$.entries")
-TOTAL_PATHS = ('$["search-results"]["opensearch:totalResults"]', "$.total", "$.count")
-STOPPING = ("AuthenticationError", "RateLimitError", "ConfigurationError", "QuotaExceededError")
+TOTAL_PATH = '$["search-results"]["opensearch:totalResults"]'
+STOPPING = ("RateLimitError", "AuthenticationError", "PermanentAPIError", "ConfigurationError")
 
 
 def valid_length(c: Column, low: int | None = None, high: int | None = None) -> Column:
@@ -19,31 +18,51 @@ def valid_length(c: Column, low: int | None = None, high: int | None = None) ->
     return (n >= low if low is not None else F.lit(True)) & (n <= high if high is not None else F.lit(True))
 
 
-def total_of(v: Column) -> Column:
-    """The announced total of a parsed response."""
-    return F.coalesce(*(F.try_variant_get(v, p, "long") for p in TOTAL_PATHS))
+def total_of(v: Column, path: str = TOTAL_PATH) -> Column:
+    """The announced total of a parsed response; ``path`` is configured by source."""
+    return F.try_variant_get(v, path, "long")
+
+
+def has(v: Column, path: str, kind: str = "variant") -> Column:
+    return F.try_variant_get(v, path, kind).isNotNull()
+
+
+def length_of(v: Column, path: str) -> Column:
+    """Items of an array; 0 for what is none."""
+    return F.coalesce(F.size(F.try_variant_get(v, path, "array<variant>")), F.lit(0))
 
 
 def items_of(v: Column) -> Column:
-    """How many items a parsed response holds."""
-    return F.coalesce(*(F.size(F.try_variant_get(v, p, "array<variant>")) for p in ITEM_PATHS), F.lit(0))
+    """How many items a parsed response holds, in the first place that is there."""
+    results = F.when(has(v, "$.results.data"), length_of(v, "$.results.data")).otherwise(length_of(v, "$.results.items"))
+    return F.when(has(v, '$["search-results"]'), length_of(v, '$["search-results"].entry')).when(has(v, "$.results", "map<string,variant>"), results).when(has(v, "$.data"), length_of(v, "$.data")).otherwise(length_of(v, "$.items"))
 
 
-def response_complete(s: Column) -> Column:
+def response_complete(s: Column, path: str = TOTAL_PATH) -> Column:
     v = F.try_parse_json(s)
-    return F.coalesce(total_of(v) == items_of(v), F.lit(False))
+    return F.coalesce(total_of(v, path) == items_of(v), F.lit(False))
 
 
 def response_empty(s: Column) -> Column:
-    """Unparseable, no object, an empty one, total zero, or no items."""
+    """Unparseable or no object, an empty one, or a result part that announces no items or holds none."""
     v = F.try_parse_json(s)
-    return v.isNull() | F.coalesce(F.size(F.json_object_keys(s)) == 0, F.lit(True)) | F.coalesce(total_of(v) == 0, F.lit(False)) | (items_of(v) == 0)
+    search = has(v, '$["search-results"]') & ((F.coalesce(total_of(v), F.lit(0)) == 0) | (length_of(v, '$["search-results"].entry') == 0))
+    count = F.coalesce(F.try_variant_get(v, "$.results.totalCount", "long"), F.try_variant_get(v, "$.results.count", "long"), F.lit(0))
+    items = F.when(has(v, "$.results.data"), length_of(v, "$.results.data")).otherwise(length_of(v, "$.results.items"))
+    results = has(v, "$.results", "map<string,variant>") & ((count == 0) | (items == 0))
+    return v.isNull() | F.coalesce(F.size(F.json_object_keys(s)) == 0, F.lit(True)) | search | results
 
 
 def response_structure(s: Column, keys: Sequence[str] = STRUCTURE_KEYS) -> Column:
     return F.coalesce(F.exists(F.json_object_keys(s), lambda k: k.isin(*keys)), F.lit(False))
 
 
+def response_valid(s: Column, complete: Column, not_empty: Column, structure: Column, path: str = TOTAL_PATH) -> Column:
+    """All checks that are enabled (boolean columns, null: off) pass."""
+    on = lambda flag, ok: ~F.coalesce(flag, F.lit(False)) | ok
+    return on(complete, response_complete(s, path)) & on(not_empty, ~response_empty(s)) & on(structure, response_structure(s))
+
+
 def header_present(headers: Column, required: str | None) -> Column:
     return F.lit(True) if required is None else F.coalesce(F.map_contains_key(headers, required), F.lit(False))
 

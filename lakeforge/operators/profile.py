@@ -93,9 +93,13 @@ NULL_MARK = "\u0000"
 
 
 def row_bits(columns: Sequence[str], null_mode: str = "mark") -> Column:
-    """48 bits for a row: columns in name order as text; nulls are marked, or skipped on request."""
+    """48 bits for a row: columns in name order as text, each with its length before it; nulls are marked, or skipped on request.
+
+    ``skip`` joins the bare texts, as the outcomes that it reproduces do.
+    """
     texts = [F.col(f"`{c}`").cast("string") for c in sorted(columns)]
-    return stable_bits(F.concat_ws("|", *(texts if null_mode == "skip" else [F.coalesce(t, F.lit(NULL_MARK)) for t in texts])))
+    whole = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit(NULL_MARK)) for t in texts]
+    return stable_bits(F.concat_ws("|", *(texts if null_mode == "skip" else whole)))
 
 
 def multiset_hash(columns: Sequence[str], null_mode: str = "mark") -> list[Column]:

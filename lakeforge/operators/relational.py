@@ -63,10 +63,18 @@ def fresh_lookup(requests: DataFrame, cached: DataFrame, key: Sequence[str], ts:
 
 
 def usage(log: DataFrame, by: str, ts: str, seconds: int, limit: int) -> DataFrame:
-    """Requests in the trailing window (bound included) of each request, and whether that is within the limit."""
-    s = F.unix_timestamp(F.col(ts).cast("timestamp"))
-    w = Window.partitionBy(by).orderBy("__s").rangeBetween(-seconds, 0)
-    return log.withColumn("__s", s).withColumn("used", F.count("*").over(w)).withColumn("within", F.col("used") < limit).drop("__s")
+    """Requests in the trailing window (bound included) of each request, and whether that is within the limit.
+
+    Counted by second first, then in stretches of the window's length, each with the one before it: a task has at most two
+    rows for each second of the window, however large a group is.
+    """
+    log = log.withColumn("__s", F.unix_timestamp(F.col(ts).cast("timestamp")))
+    each = log.groupBy(by, "__s").agg(F.count("*").alias("__n")).withColumn("__own", F.explode(F.array(F.lit(True), F.lit(False))))
+    stretch = F.floor(F.col("__s") / seconds) + F.when(F.col("__own"), 0).otherwise(1)
+    w = Window.partitionBy(by, "__stretch").orderBy("__s").rangeBetween(-seconds, 0)
+    used = each.withColumn("__stretch", stretch).withColumn("used", F.sum("__n").over(w)).where("__own").select(F.col(by).alias("__by"), F.col("__s").alias("__at"), "used")
+    joined = log.join(used, F.col(by).eqNullSafe(F.col("__by")) & F.col("__s").eqNullSafe(F.col("__at")))
+    return joined.withColumn("within", F.col("used") < limit).drop("__s", "__by", "__at")
 
 
 def first_by(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -214,7 +214,7 @@ def _(t):
     return t.events.select("event_id", S.clean_json(drop=["@_fa"], rename={"k": "key"})("props").alias("props"))
 
 
-@query("udaf_multiset_hash", "select event_type, count(*) as n_rows, bit_xor(cast('0x' || substr(md5(coalesce(cast(event_id as varchar), chr(0)) || '|' || coalesce(props, chr(0))), 1, 12) as bigint)) as hash_xor from events group by 1")
+@query("udaf_multiset_hash", "select event_type, count(*) as n_rows, bit_xor(cast('0x' || substr(md5(coalesce(length(cast(event_id as varchar)) || ':' || cast(event_id as varchar), chr(0)) || '|' || coalesce(length(props) || ':' || props, chr(0))), 1, 12) as bigint)) as hash_xor from events group by 1")
 def _(t):
     n, _, x = profile.multiset_hash(["event_id", "props"])
     return t.events.groupBy("event_type").agg(n, x)

@@ -388,9 +388,9 @@ def _(t):
     return p.where("p.metadata.load_id is not null").select(F.explode(F.col("p.raw_response")["search-results"]["entry"]["eid"]).alias("eid"), F.col("p.metadata.load_id").alias("load_id"))
 
 
-@query("explode_errors", f"select load_id, entity_id, string_agg(distinct page_number::varchar, ',' order by page_number::varchar) as failed from ({PAGES_SQL}) where event_type = 'error' group by 1, 2")
+@query("explode_errors", f"select load_id, entity_id, array_to_string(list_sort(list(distinct page_number)), ',') as failed from ({PAGES_SQL}) where event_type = 'error' group by 1, 2")
 def _(t):
-    return pages(t).where("event_type = 'error'").groupBy("load_id", "entity_id").agg(F.array_join(F.sort_array(F.collect_set(F.col("page_number").cast("string"))), ",").alias("failed"))
+    return pages(t).where("event_type = 'error'").groupBy("load_id", "entity_id").agg(F.array_join(F.sort_array(F.collect_set("page_number")).cast("array<string>"), ",").alias("failed"))
 
 
 @query("array_append_distinct", "select user_id, string_agg(distinct event_type, ',' order by event_type) || case when max(case when event_type = 'view' then 1 else 0 end) = 0 then ',view' else '' end as types from events group by 1")

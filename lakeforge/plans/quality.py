@@ -36,36 +36,43 @@ def _(t):
 
 
 def responses(t: Tables) -> DataFrame:
-    """Event batches as responses: the announced total is one too high for every fifth user and the payload is broken for every seventh."""
-    n = t.events.groupBy("user_id").agg(F.count("*").alias("n"), F.transform(F.sort_array(F.collect_list("event_id")), lambda x: F.struct(x.alias("id"))).alias("results"))
-    total = F.col("n") + (F.col("user_id") % 5 == 0).cast("int")
-    body = F.to_json(F.struct(total.alias("total"), F.col("results")))
-    return n.select("user_id", "n", F.when(F.col("user_id") % 7 == 0, "oops").when(F.col("user_id") % 11 == 0, "{}").otherwise(body).alias("raw"))
+    """A user's events of a day as a response in one of three shapes; the announced total is one too high for every fifth user.
 
+    Payloads are broken for every seventh user, empty for every eleventh, without results for every thirteenth.
+    """
+    day = F.to_date("ts").alias("day")
+    n = t.events.groupBy("user_id", day).agg(F.count("*").alias("n"), F.transform(F.sort_array(F.collect_list("event_id")), lambda x: F.struct(x.alias("id"))).alias("items"))
+    u, total = F.col("user_id"), F.col("n") + (F.col("user_id") % 5 == 0).cast("int")
+    search = F.struct(F.struct(total.cast("string").alias("opensearch:totalResults"), F.col("items").alias("entry")).alias("search-results"))
+    results = F.struct(F.struct(total.alias("totalCount"), F.col("items").alias("data")).alias("results"))
+    body = F.when(u % 3 == 0, F.to_json(search)).when(u % 3 == 1, F.to_json(results)).otherwise(F.to_json(F.struct(F.col("items").alias("data"))))
+    return n.select("user_id", "day", "n", F.when(u % 7 == 0, "oops").when(u % 11 == 0, "{}").when(u % 13 == 0, '{"note": 1}').otherwise(body).alias("raw"))
 
-USERS = "(select user_id, count(*) as n from events group by 1)"
 
+USERS = "(select user_id, cast(ts as date) as day, count(*) as n from events group by 1, 2)"
+SOUND = "user_id % 7 <> 0 and user_id % 11 <> 0 and user_id % 13 <> 0"
 
-@query("response_complete_page", f"select user_id, user_id % 5 <> 0 and user_id % 7 <> 0 and user_id % 11 <> 0 as ok from {USERS}")
+
+@query("response_complete_page", f"select user_id, day, user_id % 3 = 0 and user_id % 5 <> 0 and {SOUND} as ok from {USERS}")
 def _(t):
-    return responses(t).select("user_id", P.response_complete("raw").alias("ok"))
+    return responses(t).select("user_id", "day", P.response_complete(F.col("raw")).alias("ok"))
 
 
-@query("response_complete_entity", f"select user_id % 10 as entity, max(n) as total, sum(n)::bigint as items, max(n) = sum(n) as ok from {USERS} where user_id % 7 <> 0 and user_id % 5 <> 0 and user_id % 11 <> 0 group by 1")
+@query("response_complete_entity", f"select user_id as entity, sum(n + case when user_id % 5 = 0 then 1 else 0 end)::bigint as total, sum(n)::bigint as items, user_id % 5 <> 0 as ok from {USERS} where user_id % 3 = 0 and {SOUND} group by 1")
 def _(t):
-    r = responses(t).where("user_id % 7 <> 0 and user_id % 5 <> 0 and user_id % 11 <> 0").withColumn("v", F.try_parse_json("raw"))
-    g = r.groupBy((F.col("user_id") % 10).alias("entity")).agg(F.max(P.total_of(F.col("v"))).alias("total"), F.sum(P.items_of(F.col("v"))).alias("items"))
-    return g.withColumn("ok", F.col("total") == F.col("items"))
+    r = responses(t).withColumn("v", F.try_parse_json("raw"))
+    g = r.groupBy(F.col("user_id").alias("entity")).agg(F.sum(P.total_of(F.col("v"))).alias("total"), F.sum(P.items_of(F.col("v"))).alias("items"))
+    return g.where("total is not null").withColumn("ok", F.col("total") == F.col("items"))
 
 
-@query("response_empty", f"select user_id, user_id % 7 = 0 or user_id % 11 = 0 as ok from {USERS}")
+@query("response_empty", f"select user_id, day, user_id % 7 = 0 or user_id % 11 = 0 as ok from {USERS}")
 def _(t):
-    return responses(t).select("user_id", P.response_empty(F.col("raw")).alias("ok"))
+    return responses(t).select("user_id", "day", P.response_empty(F.col("raw")).alias("ok"))
 
 
-@query("response_structure", f"select user_id, user_id % 7 <> 0 and user_id % 11 <> 0 as ok from {USERS}")
+@query("response_structure", f"select user_id, day, {SOUND} as ok from {USERS}")
 def _(t):
-    return responses(t).select("user_id", P.response_structure(F.col("raw")).alias("ok"))
+    return responses(t).select("user_id", "day", P.response_structure(F.col("raw")).alias("ok"))
 
 
 @query("header_present", "select event_id, event_id % 2 = 0 as ok from events")
@@ -74,17 +81,17 @@ def _(t):
     return t.events.select("event_id", P.header_present(h, "X-Id").alias("ok"))
 
 
-@query("response_valid", f"select user_id, user_id % 5 <> 0 and user_id % 7 <> 0 and user_id % 11 <> 0 as ok from {USERS}")
+@query("response_valid", f"select user_id, day, {SOUND} and (n % 2 <> 0 or user_id % 3 = 0 and user_id % 5 <> 0) as ok from {USERS}")
 def _(t):
-    raw = F.col("raw")
-    return responses(t).select("user_id", (P.response_complete(raw) & P.response_structure(raw) & ~P.response_empty(raw)).alias("ok"))
+    """Completeness is enabled for responses of an even number of events."""
+    return responses(t).select("user_id", "day", P.response_valid(F.col("raw"), F.col("n") % 2 == 0, F.lit(True), F.lit(True)).alias("ok"))
 
 
 @query("error_is_critical", "select event_id, event_id % 4 <> 2 as critical from events")
 def _(t):
     r = F.col("event_id") % 4
     m = F.when(r == 0, "Rate Limit exceeded").when(r == 1, "missing author").otherwise("other")
-    k = F.when(r == 3, "AuthenticationError").otherwise("TimeoutError")
+    k = F.when(r == 3, "PermanentAPIError").otherwise("TimeoutError")
     return t.events.select("event_id", P.error_is_critical(m, k).alias("critical"))
 
 
@@ -252,7 +259,7 @@ def _(t):
     return profile.suggest(profile.basic(holey(t), PROFILED))
 
 
-BITS = "cast('0x' || substr(md5(concat_ws('|', coalesce(cast(c_custkey as varchar), chr(0)), coalesce(c_mktsegment, chr(0)), coalesce(c_name, chr(0)))), 1, 12) as bigint)"
+BITS = "cast('0x' || substr(md5(concat_ws('|', coalesce(length(cast(c_custkey as varchar)) || ':' || cast(c_custkey as varchar), chr(0)), coalesce(length(c_mktsegment) || ':' || c_mktsegment, chr(0)), coalesce(length(c_name) || ':' || c_name, chr(0)))), 1, 12) as bigint)"
 
 
 @query("table_checksum", f"select count(*) as n_rows, cast(sum({BITS}) as varchar) as hash_sum, bit_xor({BITS}) as hash_xor, 'ok' as status from customer")

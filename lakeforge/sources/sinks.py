@@ -9,9 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """``target`` with ``updates`` by key. Updates win (nulls too), but for ``keep``, which rows that exist retain."""
-    new = updates.select(*keys, F.struct(*(c for c in target.columns if c not in keys)).alias("new"))
+def last_by(updates: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
+    """One row for each key: the greatest by ``order``, then by a hash of the row (so that reruns agree)."""
+    at = [F.col(order)] if order else []
+    row = F.struct(*updates.columns)
+    return updates.groupBy(*keys).agg(F.max_by(row, F.struct(*at, F.xxhash64(F.to_json(row)))).alias("row")).select("row.*")
+
+
+def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], keep: Sequence[str] = (), order: str | None = None) -> DataFrame:
+    """``target`` with ``updates`` by key. Updates win (nulls too), but for ``keep``, which rows that exist retain.
+
+    Of updates with one key the last by ``order`` counts. Rows with a null key never match and are added.
+    """
+    new = last_by(updates, keys, order).select(*keys, F.struct(*(c for c in target.columns if c not in keys)).alias("new"))
     old = target.select(*keys, F.struct(*(c for c in target.columns if c not in keys)).alias("old"))
     both = old.join(new, list(keys), "full_outer")
     value = lambda c: F.col(f"old.{c}") if c in keep else F.col(f"new.{c}")
@@ -19,13 +29,14 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], keep: Seq
 
 
 def insert_or_replace(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Whole rows by key; the update replaces."""
+    """Whole rows by key; the update replaces, of several the last by a hash of the row."""
+    updates = last_by(updates, keys)
     return target.join(updates, list(keys), "left_anti").unionByName(updates)
 
 
 def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of ``source`` whose key ``target`` lacks, by name in ``target``'s columns, missing ones null."""
-    new = source.join(target, list(keys), "left_anti")
+    """The rows of ``source`` whose key ``target`` lacks, by name in ``target``'s columns, missing ones null; no null keys."""
+    new = source.where(" and ".join(f"`{k}` is not null" for k in keys)).join(target, list(keys), "left_anti")
     return new.select(*(F.col(c) if c in source.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in target.columns))
 
 

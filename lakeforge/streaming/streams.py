@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lakeforge.operators import dq
 from lakeforge.sources.sinks import upsert
@@ -28,30 +26,41 @@ def for_each_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], chec
     stream.writeStream.outputMode(mode).foreachBatch(fn).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the committed versions (folders with a ``_SUCCESS`` file) in ``path``, ascending."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [x.getPath() for x in fs.listStatus(folder)] if fs.exists(folder) else []
+    return sorted(int(p.getName()) for p in names if p.getName().isdigit() and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def newest(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The last committed version; an empty table where there is none."""
+    found = versions(spark, path)
+    return spark.read.schema(schema).parquet(f"{path}/{found[-1]}") if found else spark.createDataFrame([], schema)
+
+
 def latest(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """The complete result after the last batch; a batch run again overwrites its own folder."""
-    last = []
-
-    def keep(batch: DataFrame, n: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{n}")
-        last.append(n)
+    for_each_batch(stream, lambda batch, n: batch.write.mode("overwrite").parquet(f"{path}/{n}"), checkpoint, "complete")
+    return newest(stream.sparkSession, path, stream.schema)
 
-    for_each_batch(stream, keep, checkpoint, "complete")
-    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/{last[-1]}")
 
+def land(stream: DataFrame, keys: Sequence[str], path: str, checkpoint: str, keep: Sequence[str] = (), order: str | None = None) -> DataFrame:
+    """Micro-batches upserted by key into numbered versions of a table; of rows with one key the last by ``order`` counts.
 
-def land(stream: DataFrame, keys: Sequence[str], path: str, checkpoint: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Micro-batches upserted by key into versions of a table; replaying a batch changes nothing."""
-    spark, done = stream.sparkSession, []
+    What a batch starts from is found on storage: the newest committed version with a smaller number. So restarts go on from
+    there, a batch run again makes the same version again, and a start without new data returns what is there.
+    """
+    spark = stream.sparkSession
 
     def merge(batch: DataFrame, n: int) -> None:
-        new = batch.dropDuplicates(list(keys))
-        merged = upsert(spark.read.parquet(f"{path}/{done[-1]}"), new, keys, keep) if done and done[-1] != n else new
-        merged.write.mode("overwrite").parquet(f"{path}/{n}")
-        done.append(n)
+        before = [v for v in versions(spark, path) if v < n]
+        old = spark.read.schema(batch.schema).parquet(f"{path}/{before[-1]}") if before else spark.createDataFrame([], batch.schema)
+        upsert(old, batch, keys, keep, order).write.mode("overwrite").parquet(f"{path}/{n}")
 
     for_each_batch(stream, merge, checkpoint)
-    return spark.read.schema(stream.schema).parquet(f"{path}/{done[-1]}")
+    return newest(spark, path, stream.schema)
 
 
 def dedup_hash(stream: DataFrame, ts: str, key: Sequence[str], horizon: str) -> DataFrame:
@@ -75,15 +84,8 @@ def sessions(stream: DataFrame, by: str, ts: str, gap: str = "30 minutes", late:
 
 
 def entity_state(stream: DataFrame, by: str) -> DataFrame:
-    """Running pages and errors of each entity; a row for each entity and batch, the last is current."""
-    def step(key, frames, state: GroupState):
-        pages, errors = state.get if state.exists else (0, 0)
-        for pdf in frames:
-            pages, errors = pages + len(pdf), errors + int((pdf["event_type"] == "error").sum())
-        state.update((pages, errors))
-        yield pd.DataFrame({by: [key[0]], "pages": [pages], "errors": [errors]})
-
-    return stream.groupBy(by).applyInPandasWithState(step, f"{by} long, pages long, errors long", "pages long, errors long", "update", GroupStateTimeout.NoTimeout)
+    """Running pages and errors of each entity (update mode: a row for each entity that a batch touches, the last is current)."""
+    return stream.groupBy(by).agg(F.count("*").alias("pages"), F.count_if(F.col("event_type") == "error").alias("errors"))
 
 
 def gate(stream: DataFrame, checks: Sequence[dq.Check], good: str, bad: str, checkpoint: str) -> None:

@@ -33,8 +33,9 @@ def test_keywords(spark):
 
 
 def test_responses(spark):
-    rows = spark.createDataFrame([('{"total": 2, "results": [1, 2]}',), ('{"total": 3, "results": [1]}',), ("{}",), ("x",), (None,)], "s string")
-    got = rows.select(P.response_complete("s"), P.response_empty(F.col("s")), P.response_structure(F.col("s"))).collect()
+    # as the rules have it: a list under "results" is no place for items
+    rows = spark.createDataFrame([('{"total": 2, "data": [1, 2], "response": 1}',), ('{"total": 3, "results": [1]}',), ("{}",), ("x",), (None,)], "s string")
+    got = rows.select(P.response_complete(F.col("s"), "$.total"), P.response_empty(F.col("s")), P.response_structure(F.col("s"))).collect()
     assert [tuple(r) for r in got] == [(True, False, True), (False, False, True), (False, True, False), (False, True, False), (False, True, False)]
 
 
@@ -89,3 +90,62 @@ def test_cache_hit_within_ttl_only(spark):
     req = rows([("a", "2024-01-01 00:10:00", 1), ("a", "2024-01-01 02:00:00", 2), ("b", "2024-01-01 00:10:00", 3)], "r")
     hit = fresh_lookup(req, rows([("a", "2024-01-01 00:00:00", 9)], "v"), ["k"], "ts", 3600, "v")
     assert {x.r: x.hit for x in hit.collect()} == {1: 9, 2: None, 3: None}
+
+
+def test_landing_survives_restart_replay_and_empty_starts(spark, tmp_path):
+    from lakeforge.streaming import streams as X
+
+    source, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    put = lambda rows: spark.createDataFrame(rows, "k int, v string, seq int").coalesce(1).write.mode("append").parquet(source)
+    start = lambda checkpoint=progress: {r.k: r.v for r in X.land(spark.readStream.schema("k int, v string, seq int").parquet(source), ["k"], out, checkpoint, order="seq").collect()}
+    put([(1, "a", 1), (2, "b", 1), (2, "c", 2)])
+    assert start() == {1: "a", 2: "c"}
+    put([(2, "d", 3), (3, "e", 1)])
+    assert start() == {1: "a", 2: "d", 3: "e"}  # a second start goes on from what is there
+    assert start() == {1: "a", 2: "d", 3: "e"}  # a third one has nothing new
+    assert start(str(tmp_path / "lost")) == {1: "a", 2: "d", 3: "e"}  # all read again
+
+
+def test_bad_batches_are_set_aside(spark, tmp_path):
+    from lakeforge.streaming import streams as X
+
+    source, good, bad, progress = (str(tmp_path / n) for n in ("in", "good", "bad", "progress"))
+    for rows in ([(1, "a"), (2, "b")], [(None, "c")]):
+        spark.createDataFrame(rows, "k int, v string").coalesce(1).write.mode("append").parquet(source)
+        X.gate(spark.readStream.schema("k int, v string").parquet(source), [dq.Check("critical", "keys", "missing_count", "k", fail_high=0)], good, bad, progress)
+    assert spark.read.parquet(good).count() == 2 and [r.v for r in spark.read.parquet(bad).collect()] == ["c"]
+
+
+def test_merges_take_one_update_for_each_key(spark):
+    from lakeforge.sources import sinks
+
+    target = spark.createDataFrame([(1, "old", 0), (2, "same", 0)], "k int, v string, seq int")
+    new = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (3, "z", 1), (None, "n", 1)], "k int, v string, seq int")
+    assert sorted((r.k or 0, r.v) for r in sinks.upsert(target, new, ["k"], order="seq").collect()) == [(0, "n"), (1, "y"), (2, "same"), (3, "z")]
+    assert sinks.insert_or_replace(target, new, ["k"]).where("k = 1").count() == 1
+    once = sinks.insert_missing(target, new.where("k = 3 or k is null"), ["k"])
+    assert [r.k for r in once.collect()] == [3]
+
+
+def test_responses_as_the_rules_have_them(spark):
+    from lakeforge.functions import predicates as P
+
+    rows = [('{"search-results": {"opensearch:totalResults": "2", "entry": [1, 2]}}', True, False), ('{"search-results": {"opensearch:totalResults": "0", "entry": []}}', True, True), ('{"results": [1]}', False, False), ('{"results": {"count": 1, "items": [1]}}', False, False), ('{"results": {"totalCount": 0, "data": [1]}}', False, True), ('{"note": 1}', False, False), ("{}", False, True), ("[1]", False, True), ("oops", False, True), (None, False, True)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, s string, complete boolean, empty boolean")
+    for r in df.select("*", P.response_complete(F.col("s")).alias("c"), P.response_empty(F.col("s")).alias("e")).collect():
+        assert (r.c, r.e) == (r.complete, r.empty), r.s
+
+
+def test_checksum_tells_columns_apart(spark):
+    sums = [profile.table_checksum(spark.createDataFrame([r], "x string, y string")).first() for r in (("a|b", "c"), ("a", "b|c"))]
+    assert sums[0].hash_sum != sums[1].hash_sum
+
+
+def test_usage_across_stretches_and_null_groups(spark):
+    from lakeforge.operators.relational import usage
+
+    at = [0, 5, 9, 10, 11, 19, 20, 30, 30, 41]
+    rows = [(g, x) for g in ("a", None) for x in at]
+    df = spark.createDataFrame(rows, "g string, t long").withColumn("ts", F.timestamp_seconds("t"))
+    got = sorted((r.g or "", r.t, r.used, r.within) for r in usage(df, "g", "ts", 10, 3).collect())
+    assert got == sorted((g or "", x, n := sum(x - 10 <= y <= x for y in at), n < 3) for g, x in rows)
