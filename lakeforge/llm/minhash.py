@@ -265,11 +265,11 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def marked(bits: DataFrame) -> np.ndarray:
-    """Flags of all slots from Spark's bitmap buckets (at most ``SLOTS`` / 32768 rows of 4 KB)."""
-    out = np.zeros(SLOTS, bool)
+    """Bits of all slots from Spark's bitmap buckets (at most ``SLOTS`` / 32768 rows of 4 KB)."""
+    out = np.zeros(SLOTS // 8, np.uint8)
     for r in bits.toLocalIterator():
-        at = (r.bucket - 1) * 32_768
-        out[at : at + 32_768] |= np.unpackbits(np.frombuffer(r.bits, np.uint8), bitorder="little").astype(bool)
+        at = (r.bucket - 1) * 4096
+        out[at : at + 4096] |= np.frombuffer(r.bits, np.uint8)
     return out
 
 
@@ -286,7 +286,8 @@ def full_sets(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
     def some(batches):
         for batch in batches:
-            yield batch.filter(pa.array(sent.value[batch.column("slot").to_numpy()]))
+            at = batch.column("slot").to_numpy()
+            yield batch.filter(pa.array((sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1) == 1))
 
     def run(batches):
         shingler = Shingler(k)
