@@ -28,13 +28,13 @@ from pyspark.sql import functions as F
 
 from lakeforge.llm.bpe import pieces
 from lakeforge.llm.common import WORD, components, dropped, small_batches, staged
-from lakeforge.llm.itq import run_pairs
+from lakeforge.llm.itq import min_labels, run_pairs
 
 M, ROWS = 7, 2
 HASHES = 2 * M * ROWS
 #: Of ``HASHES`` bytes, so many must agree. A pair with similarity 0.8 has fewer with a chance of 0.0003.
 AGREE = 15
-BLOCK, GROUP = 1024, 40_000
+BLOCK, GROUP = 1024, 20_000
 #: Slots of the table that orders shingles.
 BINS = 1 << 20
 #: Slots of the bitmap of documents whose sets are needed.
@@ -154,6 +154,55 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return i[chosen], j[chosen]
 
 
+def dense_forest(alike: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that hold a spanning forest of the best pairs of a square matrix (0: no pair): each tree's best to another, round by round."""
+    rows = np.arange(len(alike))
+    label, out = rows, ([], [])
+    while True:
+        other = alike * (label[:, None] != label[None])
+        j = other.argmax(1)
+        w = other[rows, j].astype(int)
+        live = np.flatnonzero(w)
+        if not len(live):
+            return tuple(np.concatenate([np.zeros(0, int), *x]) for x in out)
+        order = live[np.lexsort((np.maximum(live, j[live]), np.minimum(live, j[live]), -w[live], label[live]))]
+        i = order[np.unique(label[order], return_index=True)[1]]
+        out[0].append(i)
+        out[1].append(j[i])
+        label = min_labels(len(rows), label[i], label[j[i]])[label]
+
+
+def alike_pairs(run: np.ndarray, sketch: np.ndarray, allowed, spanning: bool):
+    """Places (p, q) of ``allowed`` pairs in one run (sorted) whose sketches agree in ``AGREE`` bytes or more, and in how many; piece by piece.
+
+    ``spanning``: of large runs only pairs that hold a spanning forest.
+    """
+    start = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+    size = np.diff(np.append(start, len(run)))
+    few = np.flatnonzero(np.repeat(size <= 32, size))
+    for p, q in run_pairs(run[few]):
+        for a in range(0, len(p), 500_000):
+            i, j = few[p[a : a + 500_000]], few[q[a : a + 500_000]]
+            alike = (sketch[i] == sketch[j]).sum(1)
+            near = (alike >= AGREE) & allowed(i, j)
+            yield i[near], j[near], alike[near]
+    for s, m in zip(start[size > 32].tolist(), size[size > 32].tolist(), strict=True):
+        columns, at = np.ascontiguousarray(sketch[s : s + m].T), np.arange(s, s + m)
+        alike = np.zeros((m, m), np.uint8)
+        for col in columns:
+            alike += col[:, None] == col[None]
+        alike[alike < AGREE] = 0
+        if spanning:
+            alike *= allowed(at[:, None], at[None])
+            i, j = dense_forest(alike)
+            yield s + i, s + j, alike[i, j]
+            continue
+        for a in range(0, m, 512):
+            i, j = np.nonzero(np.triu(alike[a : a + 512], a + 1))
+            ok = allowed(s + a + i, s + j)
+            yield s + a + i[ok], s + j[ok], alike[a + i[ok], j[ok]]
+
+
 def best_of_each(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
     """Flags of the pairs (a, b), best first, that are among the first ``k`` of one of their ends."""
     ends, at = np.concatenate([a, b]), np.tile(np.arange(len(a)), 2)
@@ -177,18 +226,17 @@ def compare(percent: int, k: int = 0):
         sketch = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(-1, HASHES)
         c, pos = pdf["c"].to_numpy(), pdf["pos"].to_numpy()
         found = []
-        for i, j in run_pairs(run_):
-            for a in range(0, len(i), 500_000):
-                p, q = i[a : a + 500_000], j[a : a + 500_000]
-                may = (within[p] | (blk[p] != blk[q])) & (100 * np.minimum(n[p], n[q]) >= percent * np.maximum(n[p], n[q])) & (place[p] != place[q])
-                if not spanning:
-                    # at the first shingle that two sets share, no more than what follows it in each can be common
-                    least = -(-percent * (n[p] + n[q]) // (100 + percent))
-                    may &= (c[p] != c[q]) & (np.minimum(n[p] - pos[p], n[q] - pos[q]) >= least)
-                p, q = p[may], q[may]
-                alike = (sketch[p] == sketch[q]).sum(1)
-                p, q, alike = (x[alike >= AGREE] for x in (p, q, alike))
-                found.append(np.unique((HASHES - alike) * len(ids) ** 2 + place[p] * len(ids) + place[q]))
+        def allowed(p, q):
+            may = (within[p] | (blk[p] != blk[q])) & (100 * np.minimum(n[p], n[q]) >= percent * np.maximum(n[p], n[q])) & (place[p] != place[q])
+            if not spanning:
+                # at the first shingle that two sets share, no more than what follows it in each can be common
+                least = -(-percent * (n[p] + n[q]) // (100 + percent))
+                may &= (c[p] != c[q]) & (np.minimum(n[p] - pos[p], n[q] - pos[q]) >= least)
+            return may
+
+        for p, q, alike in alike_pairs(run_, sketch, allowed, spanning):
+            low, high = np.minimum(place[p], place[q]), np.maximum(place[p], place[q])
+            found.append(np.unique((HASHES - alike.astype(np.int64)) * len(ids) ** 2 + low * len(ids) + high))
         # those whose sketches agree most come first
         pairs = np.unique(np.concatenate([*found, np.zeros(0, int)])).astype(int) % max(1, len(ids) ** 2)
         i, j = pairs // len(ids), pairs % len(ids)
@@ -344,7 +392,7 @@ def linked_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataF
         runs = met.join(hidden, "id", "left_semi").select("run").distinct()
         around = staged(met.join(runs, "run", "left_semi").groupBy("id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")))
         firsts = staged(prefixes(sets.join(around.select("id"), "id", "left_semi"), percent))
-        tried, k, more = pairs, 4, True
+        tried, k, more = pairs, 16, True
         while more:
             now = staged(in_parts(around, "id", "c"))
             kept = firsts.join(now.select("id", "c"), "id").groupBy("key").agg(F.count("*").alias("m"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key", "m")
@@ -352,12 +400,14 @@ def linked_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataF
             found = staged(grouped(meetings(firsts.join(shared, "key").join(now, "id"), "c", "pos"), compare(percent, k)), shared, now)
             more = bool(found.where("more").take(1))
             fresh = staged(found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), found)
-            wider = staged(linked.union(verified(fresh, sets, percent)), linked, parts)
-            linked, parts = wider, components(wider)
-            tried, old, k = staged(tried.union(fresh), fresh), tried, 8 * k
-            if old is not pairs:
-                dropped(old)
-        dropped(tried, firsts, around)
+            if fresh.take(1):
+                wider = staged(linked.union(verified(fresh, sets, percent)), linked, parts)
+                linked, parts = wider, components(wider)
+            if more:
+                tried, old, k = staged(tried.union(fresh)), tried, 16 * k
+                dropped(*(x for x in (old,) if x is not pairs))
+            dropped(fresh)
+        dropped(firsts, around, *(x for x in (tried,) if x is not pairs))
     component = F.coalesce("component_id", "node").alias("c")
     out = staged(same.join(parts.withColumnRenamed("id", "node"), "node", "left").select("n", "f", "g", component, "row"), same, met, pairs, sets, linked, parts, hidden)
     return narrow, out

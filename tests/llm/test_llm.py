@@ -466,6 +466,21 @@ def test_forest_spans_and_takes_the_best():
         assert sum(place[p, q] for p, q in zip(a.tolist(), b.tolist(), strict=True)) == kruskal
 
 
+def test_dense_forest_holds_the_best_forest():
+    rng = np.random.default_rng(11)
+    for _ in range(10):
+        a = np.triu(rng.integers(0, 6, (40, 40)) * (rng.random((40, 40)) < 0.1), 1).astype(np.uint8)
+        a += a.T
+        weight = lambda i, j: sum(int(a[x, y]) for x, y in zip(*minhash.forest(40, i, j), strict=True))
+
+        def best_first(i, j):
+            order = np.argsort(-a[i, j].astype(int), kind="stable")
+            return i[order], j[order]
+
+        i, j = np.nonzero(np.triu(a, 1))
+        assert weight(*best_first(*minhash.dense_forest(a))) == weight(*best_first(i, j))
+
+
 def test_components(spark):
     e = spark.createDataFrame([(5, 4), (4, 3), (3, 9), (9, 8), (20, 21), (7, 7)], "a long, b long")
     assert {r.id: r.component_id for r in components(e).collect()} == {3: 3, 4: 3, 5: 3, 8: 3, 9: 3, 20: 20, 21: 20}
