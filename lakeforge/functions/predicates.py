@@ -70,3 +70,9 @@ def header_present(headers: Column, required: str | None) -> Column:
 def error_is_critical(message: Column, kind: Column) -> Column:
     m = F.lower(F.coalesce(message, F.lit("")))
     return m.like("%rate limit%") | m.like("%auth%") | m.like("%401%") | F.coalesce(kind.isin(*STOPPING), F.lit(False))
+
+
+def envelope(s: Column, result: str = '["search-results"]') -> Column:
+    """A payload file has its metadata, a raw response, and the result part in it."""
+    v = F.try_parse_json(s)
+    return F.coalesce(has(v, "$.metadata") & has(v, "$.raw_response" + result), F.lit(False))

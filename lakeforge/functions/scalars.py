@@ -13,18 +13,18 @@ from pyspark.sql import functions as F
 MISSING = ("None", "null", "undefined", "", "[]", "{}")
 RENAMES = {
     "afid": "scopus_affiliation_id",
-    "affilname": "affiliation_name",
-    "affiliation-city": "affiliation_city",
-    "affiliation-country": "affiliation_country",
-    "affiliation-url": "affiliation_url",
+    "affilname": "scopus_affiliation_name",
+    "affiliation-city": "scopus_affiliation_city",
+    "affiliation-country": "scopus_affiliation_country",
+    "affiliation-url": "scopus_affiliation_url",
     "@seq": "author_list_position",
-    "author-url": "author_url",
-    "authid": "author_id",
-    "authkeywords": "author_keywords",
+    "author-url": "scopus_author_page_url",
+    "authid": "scopus_author_id",
+    "authkeywords": "publication_keywords",
     "freetoreadLabel": "open_access_status",
 }
 PAGE_PATTERNS = (r"page(\d+)", r"page_(\d+)", r"p(\d+)", r"_(\d+)\.json", r"_(\d+)_")
-COUNT_RENAMES = {"@limit": "exported_limit", "@total": "total", "$": "exported_count"}
+COUNT_RENAMES = {"@limit": "scopus_exported_authors_limit", "@total": "scopus_total_authors_count", "$": "scopus_exported_authors_count"}
 TYPE_WORDS = (
     ("string", "VARCHAR|TEXT|CHAR|STRING"),
     ("integer", "INTEGER|INT|BIGINT|SMALLINT"),
@@ -68,7 +68,24 @@ def rename_fields(struct: Column, names: Mapping[str, str]) -> Column:
 
 
 def unwrap_dollar(items: Column) -> Column:
-    return F.transform(items, lambda x: x["$"])
+    """Of an array of variants each ``{"$": v}`` as v, other items unchanged."""
+    return F.transform(items, lambda x: F.coalesce(F.try_variant_get(x, '$["$"]', "variant"), x))
+
+
+def unwrap_value(v: Column) -> Column:
+    """JSON text of a variant: ``{"value": [...]}`` as its unwrapped items, anything else unchanged."""
+    return F.coalesce(F.to_json(unwrap_dollar(F.try_variant_get(v, "$.value", "array<variant>"))), F.to_json(v))
+
+
+def drop_listed(s: Column, keys: Column) -> Column:
+    """A JSON object without the top-level keys in the array ``keys``; unchanged where there is no list or no object."""
+    kept = F.map_filter(F.from_json(s, "map<string,variant>"), lambda k, _: ~F.array_contains(keys, k))
+    return F.coalesce(F.when(keys.isNotNull(), F.to_json(kept)), s)
+
+
+def json_path_int(v: Column, path: str) -> Column:
+    """The integer at a dotted path of a variant (keys may hold colons and hyphens); null when missing or no number."""
+    return F.try_variant_get(v, "$" + "".join(f'["{k}"]' for k in path.split(".")), "int")
 
 
 def split_keywords(s: Column) -> Column:
@@ -123,9 +140,10 @@ def hash_equal(a: Column, b: Column) -> Column:
     return F.coalesce(a == b, F.lit(False))
 
 
-def request_fingerprint(url: Column, method: Column, params: Column) -> Column:
-    ordered = F.map_from_entries(F.array_sort(F.map_entries(params)))
-    return F.md5(F.concat_ws("|", method, url, F.to_json(ordered)).cast("binary"))
+def request_fingerprint(url: Column, method: Column, params: Column, headers: Column) -> Column:
+    """One hash for requests that differ in the order of parameters or headers alone."""
+    ordered = lambda m: F.coalesce(F.to_json(F.map_from_entries(F.array_sort(F.map_entries(m)))), F.lit("{}"))
+    return F.md5(F.concat_ws("|", method, url, ordered(params), ordered(headers)).cast("binary"))
 
 
 def type_category(c: Column) -> Column:

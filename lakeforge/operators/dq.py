@@ -26,6 +26,14 @@ class Check:
     warn_high: float | None = None
 
 
+SPEC = "tier string, name string, metric string, column string, valid string, fail_low double, fail_high double, warn_low double"
+
+
+def compiled(spec: DataFrame) -> list[Check]:
+    """Checks from rows of a check table; the rows, one for each check of a table, come to the driver."""
+    return [Check(**{k: v for k, v in row.asDict().items() if v is not None}) for row in spec.orderBy("tier", "name").collect()]
+
+
 def metric(check: Check) -> Column | None:
     """The aggregate of a check; None for those that need their own pass (duplicates)."""
     c = F.col(f"`{check.column}`") if check.column else F.lit(1)
@@ -88,6 +96,21 @@ def required_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return want.join(have, "column_name", "left_anti")
 
 
+def validate_audit(audit: DataFrame, required: Sequence[str], latest: Column) -> DataFrame:
+    """``check_name, ok`` of six checks on an audit table; repeated load ids come from one count by load id."""
+    some = lambda c: F.max(F.coalesce(c, F.lit(False)))
+    lacks = F.lit(False)
+    for c in required:
+        lacks = lacks | F.col(c).isNull()
+    ts, params = F.col("ingest_timestamp"), F.col("query_parameters")
+    by_id = audit.groupBy("load_id").agg(
+        F.count("*").alias("n"), some(lacks).alias("lacks"), some((ts > latest) | (ts < F.lit("2020-01-01").cast("timestamp_ntz"))).alias("late"),
+        some(params.isNotNull() & F.try_parse_json(params).isNull()).alias("broken"), some(F.col("is_reprocessed") & F.col("reprocessing_reason").isNull()).alias("unexplained"))
+    none = lambda c: ~F.coalesce(F.max(c), F.lit(False))
+    checks = {"no_duplicates": none(F.col("n") > 1), "all_fields_populated": none("lacks"), "valid_timestamps": none("late"), "valid_json": none("broken"), "reprocessed_flag_consistent": none("unexplained"), "has_data": F.count("*") > 0}
+    return by_id.agg(*(c.alias(k) for k, c in checks.items())).unpivot([], list(checks), "check_name", "ok")
+
+
 def tier_counts(results: DataFrame) -> DataFrame:
     count = lambda o: F.count_if(F.col("outcome") == o).alias({"pass": "passed", "fail": "failed", "error": "errors", "warn": "warned"}[o])
     return results.groupBy("tier").agg(*(count(o) for o in ("pass", "fail", "error", "warn")))

@@ -89,6 +89,32 @@ def suggest(profile: DataFrame) -> DataFrame:
     return profile.select("column_name", F.inline(F.filter(found, lambda x: x.isNotNull())))
 
 
+def suggest_all(df: DataFrame, columns: Sequence[str] | None = None, patterns: dict | None = None) -> DataFrame:
+    """:func:`suggest`, and types, ranges, lengths and patterns: ``column_name, expectation, strength, detail``.
+
+    ``patterns`` maps a column to (regular expression, completeness in percent above which it is suggested, strength).
+    """
+    columns = list(columns or df.columns)
+    kinds = {f.name: f.dataType for f in df.schema if f.name in columns}
+    row = lambda c, name, strength, detail: F.struct(F.lit(c).alias("column_name"), F.lit(name).alias("expectation"), F.lit(strength).alias("strength"), detail.cast("string").alias("detail"))
+    span = lambda low, high: F.concat(low.cast("string"), F.lit(".."), high.cast("string"))
+    exact = lambda x: x.cast("decimal(20,1)")
+    numbers = [c for c in columns if isinstance(kinds[c], NumericType)]
+    texts = [c for c in columns if isinstance(kinds[c], StringType)]
+    n = lambda c: F.length(F.when(F.col(f"`{c}`") != "", F.col(f"`{c}`")))
+    aggs = [F.count(F.lit(1)).alias("all")] + [f(F.col(f"`{c}`")).alias(f"{c}#{k}") for c in numbers for k, f in (("low", F.min), ("high", F.max))]
+    aggs += [f(n(c)).alias(f"{c}#{k}") for c in texts for k, f in (("short", F.min), ("long", F.max))]
+    aggs += [F.count(F.col(f"`{c}`")).alias(f"{c}#some") for c in patterns or {}]
+    found = [row(c, "of_type", "strict", F.lit(kinds[c].simpleString())) for c in columns]
+    for c in numbers:
+        low, high = range_buffer(F.col(f"`{c}#low`"), F.col(f"`{c}#high`"))
+        found.append(F.when(F.col(f"`{c}#low`").isNotNull(), row(c, "between", "strict", span(exact(low), exact(high)))))
+    found += [F.when(F.col(f"`{c}#short`") > 0, row(c, "length_between", "strict", span(F.col(f"`{c}#short`"), F.col(f"`{c}#long`") + 5))) for c in texts]
+    found += [F.when(100.0 * F.col(f"`{c}#some`") > least * F.col("all"), row(c, "matches", strength, F.lit(regex))) for c, (regex, least, strength) in (patterns or {}).items()]
+    more = df.agg(*aggs).select(F.inline(F.filter(F.array(*found), lambda x: x.isNotNull())))
+    return suggest(basic(df, columns)).withColumn("detail", F.lit(None).cast("string")).unionByName(more)
+
+
 NULL_MARK = "\u0000"
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from lakeforge.functions import scalars as S
+from lakeforge.operators import dq, staging
 from lakeforge.plans.fixtures import PAGES_SQL, entries, pages, payload_files, states
 from lakeforge.plans.registry import Tables, query
 from lakeforge.sources import files as R
@@ -28,27 +29,23 @@ def text_of(files: DataFrame) -> DataFrame:
 
 @query("scan_payload_json", f"with g as ({GROUPS}) select count(*) as files from g where grp not in (48, 49)")
 def _(t):
-    path = scratch(t.spark, "payload")
-    payload_files(t, path)
     # part files of the text writer stand for the payload files
-    files = R.scan_json(t.spark, path, "*.txt")
-    v = F.try_parse_json("value")
-    return files.where(F.try_variant_get(v, "$.metadata.load_id", "string").isNotNull()).agg(F.count("*").alias("files"))
+    return R.scan_payload(t.spark, landed(t), "*.txt").agg(F.count("*").alias("files"))
 
 
 @query("scan_quarantine", f"with g as ({GROUPS}) select case grp when 48 then 'malformed' else 'no load_id' end as reason, count(*) as files from g where grp in (48, 49) group by 1")
 def _(t):
-    files = R.scan_json(t.spark, landed(t), "*.txt")
-    v = F.try_parse_json("value")
-    reason = F.when(v.isNull(), "malformed").when(F.try_variant_get(v, "$.metadata.load_id", "string").isNull(), "no load_id")
-    return files.withColumn("reason", reason).where("reason is not null").groupBy("reason").agg(F.count("*").alias("files"))
+    return R.scan_quarantine(t.spark, landed(t), "*.txt").groupBy("reason").agg(F.count("*").alias("files"))
 
 
 @query("scan_manifest_json", "select strftime(o_orderdate, '%Y%m') as load_id, count(*) as n from orders group by 1")
 def _(t):
     path = scratch(t.spark, "manifest")
-    t.orders.groupBy(F.date_format("o_orderdate", "yyyyMM").alias("load_id")).agg(F.count("*").alias("n")).write.json(path)
-    return t.spark.read.schema("load_id string, n long").json(path)
+    n = t.orders.groupBy(F.date_format("o_orderdate", "yyyyMM").alias("load_id")).agg(F.count("*").alias("n"))
+    n.select(F.to_json(F.struct("load_id", "n")).alias("value"), F.concat(F.lit("x_manifest_"), F.col("load_id")).alias("of")).repartition("of").write.partitionBy("of").text(path)
+    files = R.scan_manifest(t.spark, path, "*.txt").where(F.col("path").contains("_manifest_"))
+    rows = F.explode(F.split(F.trim(F.regexp_replace("value", r"\s+$", "")), "\n"))
+    return files.select(rows.alias("value")).select(F.from_json("value", "load_id string, n long").alias("m")).select("m.*")
 
 
 @query("scan_id_list", "select cast(doc_id as varchar) as id from documents union all select cast(doc_id as varchar) from documents where doc_id % 10 = 0")
@@ -67,13 +64,15 @@ def _(t):
 @query("scan_date_partition", "select cast(event_id as varchar) as value from events where cast(ts as date) = date '2024-01-05'")
 def _(t):
     path = scratch(t.spark, "dated")
-    K.write_dated(t.events.select("ts", F.col("event_id").cast("string").alias("value")).drop("x").select("value", "ts").withColumn("ts", F.to_date("ts")), "ts", path, "parquet")
-    return t.spark.read.parquet(path).where("yyyymm = 202401 and dd = 5").select("value")
+    dated = t.events.select(F.col("event_id").cast("string").alias("value"), F.date_format("ts", "yyyyMM").cast("int").alias("yyyymm"), F.dayofmonth("ts").alias("dd"))
+    dated.write.partitionBy("yyyymm", "dd").text(path)
+    return R.dated_files(t.spark, path, "20240105", "part-*.txt").select("value")
 
 
-@query("scan_table", "select count(*) as n, count(distinct l_orderkey) as orders, sum(l_quantity) as quantity from lineitem")
+@query("scan_table", "select count(*) as n, count(distinct l_orderkey) as orders, sum(l_quantity) as quantity, least(count(*), 1000) as sampled from lineitem")
 def _(t):
-    return t.lineitem.agg(F.count("*").alias("n"), F.count_distinct("l_orderkey").alias("orders"), F.sum("l_quantity").alias("quantity"))
+    whole = R.scan_table(t.lineitem).agg(F.count("*").alias("n"), F.count_distinct("l_orderkey").alias("orders"), F.sum("l_quantity").alias("quantity"))
+    return whole.crossJoin(R.scan_table(t.lineitem, 1000).agg(F.count("*").alias("sampled")))  # one row each
 
 
 @query("scan_file_stats", f"with g as ({GROUPS}) select count(*) as files, true as all_sized from g")
@@ -83,10 +82,13 @@ def _(t):
     return sized.agg(F.count("*").alias("files"), F.bool_and(F.col("size_kb") > 0).alias("all_sized"))
 
 
-@query("scan_check_spec", "select event_type as column_value, count(*) as n from events where event_type in ('click', 'view') group by 1")
+@query("scan_check_spec", "select 'known' as check_name, cast(count(*) filter (event_type not in ('click', 'view')) as double) as value, case when count(*) filter (event_type not in ('click', 'view')) > 0 then 'fail' else 'pass' end as outcome from events union all select 'low', min(value), case when min(value) < 0 then 'fail' when min(value) < 1 then 'warn' else 'pass' end from events union all select 'users', cast(count(*) filter (user_id is null) as double), case when count(*) filter (user_id is null) > 0 then 'fail' else 'pass' end from events")
 def _(t):
-    spec = t.spark.createDataFrame([("event_type", "click"), ("event_type", "view")], "column_name string, allowed string")
-    return t.events.join(F.broadcast(spec.select(F.col("allowed").alias("event_type"))), "event_type", "left_semi").groupBy(F.col("event_type").alias("column_value")).agg(F.count("*").alias("n"))
+    """Checks written as rows of JSON, read back and compiled to one aggregate."""
+    path = scratch(t.spark, "checks")
+    spec = [("quality", "known", "invalid_count", "event_type", "event_type in ('click', 'view')", None, 0.0, None), ("quality", "low", "min", "value", None, 0.0, None, 1.0), ("critical", "users", "missing_count", "user_id", None, None, 0.0, None)]
+    t.spark.createDataFrame(spec, dq.SPEC).write.json(path)
+    return dq.run_checks(t.events, dq.compiled(t.spark.read.schema(dq.SPEC).json(path))).select("check_name", "value", "outcome")
 
 
 # sinks
@@ -152,11 +154,13 @@ def _(t):
     return K.flag_update(s, s.where("pages > 60").withColumn("completed", F.lit(True)), "user_id", "completed").select("user_id", "completed")
 
 
-@query("sink_report_json", "select event_type, count(*) as n, strftime(ts, '%Y%m%d') as load_id from events group by 1, 3")
+@query("sink_report_json", "select report || case when rn > 1 then '_' || (rn - 1) else '' end as report, count(*) as n from (select report, row_number() over (partition by report) as rn from (select event_type || '_' || strftime(ts, '%Y%m%d') || '_' || strftime(date_trunc('hour', ts), '%Y%m%d_%H%M%S') as report from events)) group by 1")
 def _(t):
+    """A report for each event, its time cut to the hour so that names are taken more than once."""
     path = scratch(t.spark, "reports")
-    K.write_reports(t.events.groupBy("event_type", F.date_format("ts", "yyyyMMdd").alias("load_id")).agg(F.count("*").alias("n")), path)
-    return t.spark.read.schema("event_type string, n long, load_id string").json(path)
+    named = t.events.select("event_type", F.date_format("ts", "yyyyMMdd").alias("load_id"), F.date_trunc("hour", "ts").alias("at"), "event_id")
+    K.write_reports(K.report_names(named, "event_type", "load_id", "at").select("report", "load_id"), path)
+    return t.spark.read.schema("report string, load_id string").json(path).groupBy("report").agg(F.count("*").alias("n"))
 
 
 @query("sink_sorted_text", "select cast(doc_id as varchar) as id from documents")
@@ -186,26 +190,32 @@ def _(t):
     return t.events.select("event_id", S.clean_json(drop=["k"])("props").alias("props"))
 
 
-@query("json_drop_patterns", "select event_id, case when event_type = 'click' then '{}' else props end as props from events")
+@query("json_drop_patterns", "select event_id, case event_type when 'click' then '{}' when 'view' then replace(props, ': ', ':') else props end as props from events")
 def _(t):
-    drop = S.clean_json(drop=["k"])
-    return t.events.select("event_id", F.when(F.col("event_type") == "click", drop("props")).otherwise(F.col("props")).alias("props"))
+    """Keys to drop by source: one row each."""
+    listed = t.spark.createDataFrame([("click", ["k", "debug"]), ("view", ["debug"])], "event_type string, keys array<string>")
+    return t.events.join(F.broadcast(listed), "event_type", "left").select("event_id", S.drop_listed(F.col("props"), F.col("keys")).alias("props"))
 
 
 AUTHORS = "select '2-s2.0-' || l_orderkey as eid, cast(l_linenumber as varchar) as author_list_position, cast(l_suppkey as varchar) as author_id, cast(l_partkey as varchar) as affiliation, trim(l_returnflag || ' ' || l_linestatus) as author_name from lineitem join orders on l_orderkey = o_orderkey"
 
 
 def authors(t: Tables) -> DataFrame:
-    renamed = lambda a: F.struct(a["@seq"].alias("author_list_position"), a["authid"].alias("author_id"), S.unwrap_dollar(a["afid"]).alias("scopus_affiliation_id"), S.author_name(a["given-name"], a["surname"]).alias("author_name"))
+    renamed = lambda a: F.struct(a["@seq"].alias("author_list_position"), a["authid"].alias("author_id"), F.transform(a["afid"], lambda x: F.to_variant_object(x)).alias("scopus_affiliation_id"), S.author_name(a["given-name"], a["surname"]).alias("author_name"))
     return entries(t).select("eid", F.transform("author", renamed).alias("author")).select("eid", F.inline("author"))
 
 
-@query("json_rename_keys", f"select eid, author_list_position, author_id from ({AUTHORS})")
+@query("json_rename_keys", "select '{\"eid\": \"2-s2.0-' || o_orderkey || '\", \"publication_keywords\": \"' || o_orderpriority || '\", \"open_access_status\": {\"value\": \"' || o_orderstatus || '\"}, \"author\": [{\"author_list_position\": \"1\", \"scopus_author_id\": \"' || o_custkey || '\", \"scopus_author_page_url\": \"u\", \"scopus_affiliation_id\": [\"7\"]}], \"affiliation\": {\"scopus_affiliation_name\": \"n\", \"scopus_affiliation_city\": \"c\", \"scopus_affiliation_country\": \"d\", \"scopus_affiliation_url\": \"u\"}}' as entry from orders")
 def _(t):
-    return authors(t).select("eid", "author_list_position", "author_id")
+    """All ten renames, at every depth."""
+    s = lambda name, v: F.lit(v).alias(name)
+    author = F.struct(s("@seq", "1"), F.col("o_custkey").cast("string").alias("authid"), s("author-url", "u"), F.array(F.lit("7")).alias("afid"))
+    place = F.struct(s("affilname", "n"), s("affiliation-city", "c"), s("affiliation-country", "d"), s("affiliation-url", "u"))
+    entry = F.struct(F.concat(F.lit("2-s2.0-"), F.col("o_orderkey").cast("string")).alias("eid"), F.col("o_orderpriority").alias("authkeywords"), F.struct(F.col("o_orderstatus").alias("value")).alias("freetoreadLabel"), F.array(author).alias("author"), place.alias("affiliation"))
+    return t.orders.select(S.clean_json(rename=S.RENAMES)(F.to_json(entry)).alias("entry"))
 
 
-COUNT = "select '2-s2.0-' || l_orderkey as eid, '100' as exported_limit, cast(count(*) as varchar) as total, cast(count(*) as varchar) as exported_count from lineitem join orders on l_orderkey = o_orderkey group by l_orderkey"
+COUNT = "select '2-s2.0-' || l_orderkey as eid, '100' as scopus_exported_authors_limit, cast(count(*) as varchar) as scopus_total_authors_count, cast(count(*) as varchar) as scopus_exported_authors_count from lineitem join orders on l_orderkey = o_orderkey group by l_orderkey"
 
 
 @query("json_rename_context", COUNT)
@@ -213,14 +223,18 @@ def _(t):
     return entries(t).select("eid", S.rename_fields(F.col("author-count"), S.COUNT_RENAMES).alias("c")).select("eid", "c.*")
 
 
-@query("array_unwrap_dollar", f"select eid, author_id, affiliation from ({AUTHORS})")
+@query("array_unwrap_dollar", f"select eid, author_id, affiliation, 'plain' as other from ({AUTHORS})")
 def _(t):
-    return authors(t).select("eid", "author_id", F.explode("scopus_affiliation_id").alias("affiliation"))
+    """Each list with an item that is not wrapped at its end."""
+    items = S.unwrap_dollar(F.concat("scopus_affiliation_id", F.array(F.parse_json(F.lit('"plain"')))))
+    return authors(t).select("eid", "author_id", F.transform(items, lambda x: F.variant_get(x, "$", "string")).alias("a")).select("eid", "author_id", F.col("a")[0].alias("affiliation"), F.col("a")[1].alias("other"))
 
 
-@query("struct_value_unwrap", "select '2-s2.0-' || o_orderkey as eid, o_orderstatus as status from orders where o_orderkey in (select l_orderkey from lineitem)")
+@query("struct_value_unwrap", "select '2-s2.0-' || o_orderkey as eid, case when o_orderkey % 3 = 0 then '{\"none\":\"' || o_orderstatus || '\"}' else '[\"' || o_orderstatus || '\"]' end as status from orders where o_orderkey in (select l_orderkey from lineitem)")
 def _(t):
-    return entries(t).select("eid", F.explode(S.unwrap_dollar(F.col("freetoreadLabel.value"))).alias("status"))
+    """Every third label has no value and stays as it is."""
+    label = F.when(F.col("o_orderkey") % 3 == 0, F.to_json(F.struct(F.col("freetoreadLabel.value")[0]["$"].alias("none")))).otherwise(F.to_json("freetoreadLabel"))
+    return entries(t).select("eid", S.unwrap_value(F.parse_json(label)).alias("status"))
 
 
 @query("split_keywords", "select '2-s2.0-' || o_orderkey as eid, case when o_orderkey % 7 = 0 or o_orderkey % 5 = 0 then null else o_orderstatus || ';' || o_orderpriority end as keywords from orders where o_orderkey in (select l_orderkey from lineitem)")
@@ -255,14 +269,28 @@ def _(t):
     return S.null_normalise(dirty(t).select("event_id", "event_type", "value"), keep=["event_id"])
 
 
-@query("stage_projection", "select '2-s2.0-' || o_orderkey as eid, cast(o_orderkey as integer) as citations, cast(o_orderdate as date) as cover_date, o_orderpriority as title from orders where o_orderkey in (select l_orderkey from lineitem)")
+STAGED = """with a as (select l_orderkey, '[' || string_agg('{"@seq":"' || l_linenumber || '","afid":[{"$":"' || l_partkey || '"}],"authid":"' || l_suppkey || '","given-name":"' || l_returnflag || '","surname":"' || l_linestatus || '"}', ',' order by cast(l_linenumber as varchar), cast(l_suppkey as varchar), l_returnflag, l_linestatus, cast(l_partkey as varchar)) || ']' as authors, count(*) as n from lineitem group by 1)
+select 'scopus_20240101000000' as load_id, 'scopus_search_api' as data_source, '2-s2.0-' || o_orderkey as eid, o_orderpriority as title, o_orderstatus as first_author, 'J' || o_custkey % 50 as journal_name, cast(null as varchar) as issn, cast(null as varchar) as eissn, case when o_orderkey % 6 <> 0 then cast(o_orderkey % 40 as integer) end as journal_volume, cast(null as varchar) as journal_issue, o_orderkey || '-' || (o_orderkey + 9) as journal_page_range, case when o_orderkey % 4 <> 0 then cast(o_orderdate as date) end as publication_date, '10.1/' || o_orderkey as doi, cast(null as varchar) as abstract, cast(o_orderkey as integer) as citations, '{"a":1,"b":"' || o_orderstatus || '"}' as affiliations, case when o_orderkey % 5 <> 0 then cast(o_orderkey as bigint) end as pubmed_id, 'Journal' as publishing_format, cast(null as varchar) as document_type, '{"$":"' || n || '","@limit":"100","@total":"' || n || '"}' as author_count, authors, cast(null as varchar) as publication_keywords, cast(null as varchar) as funder_source_id, cast(null as varchar) as funder_acronym, cast(null as varchar) as funder_number, cast(null as varchar) as funder_name, o_orderkey % 2 = 0 as open_access_flag, '{"value":[{"$":"' || o_orderstatus || '"}]}' as open_access_status
+from orders join a on o_orderkey = l_orderkey"""
+
+
+@query("stage_projection", STAGED)
 def _(t):
-    return entries(t).select("eid", F.col("citedby-count").try_cast("int").alias("citations"), F.col("`prism:coverDate`").try_cast("date").alias("cover_date"), F.col("`dc:title`").alias("title"))
+    """Volumes, dates and ids that do not parse, and columns that payloads lack, are null."""
+    k = F.col("o_orderkey")
+    odd = lambda m, c: F.when(k % m == 0, "none").otherwise(c)
+    e = entries(t).withColumns({
+        "load_id": F.lit("scopus_20240101000000"), "data_source": F.lit("scopus_search_api"), "dc:creator": F.col("freetoreadLabel.value")[0]["$"], "prism:publicationName": F.concat(F.lit("J"), F.col("grp").cast("string")),
+        "prism:volume": odd(6, (k % 40).cast("string")), "prism:pageRange": F.concat_ws("-", k.cast("string"), (k + 9).cast("string")), "prism:coverDate": odd(4, F.col("`prism:coverDate`")), "prism:doi": F.concat(F.lit("10.1/"), k.cast("string")),
+        "affiliation": F.to_json(F.struct(F.col("freetoreadLabel.value")[0]["$"].alias("b"), F.lit(1).alias("a"))), "pubmed-id": odd(5, k.cast("string")), "prism:aggregationType": F.lit("Journal"), "author-count": F.to_json("author-count"), "author": F.to_json("author"),
+        "openaccessFlag": (k % 2 == 0).cast("string"), "open_access_status": F.to_json("freetoreadLabel")})
+    return staging.stage(e)
 
 
-@query("audit_projection", f"select load_id, 1 as audit_schema_version, 'orders' as data_source, orders from ({AUDIT})")
+@query("audit_projection", f"select load_id, 'orders' as data_source, cast(strptime(load_id, '%Y%m%d') as timestamp) as ingest_timestamp, '{{\"n\":' || orders || '}}' as query_parameters, 1 as audit_schema_version, cast(orders as double) / 4 as ingestion_time, '[\"' || load_id || '.json\"]' as payload_files, cast(null as varchar) as payload_results, md5(load_id) as audit_schema_hash_value from ({AUDIT})")
 def _(t):
-    return audits(t).select("load_id", F.lit(1).alias("audit_schema_version"), F.lit("orders").alias("data_source"), "orders")
+    a = audits(t)
+    return staging.audit(a.select("load_id", F.lit("orders").alias("data_source"), F.regexp_replace("load_id", r"(\d{4})(\d\d)(\d\d)", "$1-$2-$3 00:00:00").alias("ingest_timestamp"), F.to_json(F.struct(F.col("orders").alias("n"))).alias("query_parameters"), (F.col("orders") / 4).alias("ingestion_time"), F.to_json(F.array(F.concat("load_id", F.lit(".json")))).alias("payload_files"), F.md5(F.col("load_id").cast("binary")).alias("audit_schema_hash_value")))
 
 
 @query("nest_to_json", "select '2-s2.0-' || o_orderkey as eid, '{\"value\":[{\"$\":\"' || o_orderstatus || '\"}]}' as label from orders where o_orderkey in (select l_orderkey from lineitem)")
@@ -275,9 +303,13 @@ def _(t):
     return entries(t).select("eid", F.json_array_length(F.to_json("author")).alias("n"))
 
 
-@query("json_path_int", "select event_id, cast(json_extract_string(props, '$.k') as integer) as k from events")
+@query("json_path_int", "select event_id, case event_id % 4 when 0 then null when 1 then null else cast(user_id as integer) end as total from events")
 def _(t):
-    return t.events.select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "int").alias("k"))
+    """Every fourth total is missing, every fourth no number."""
+    r = F.col("event_id") % 4
+    total = F.when(r == 1, "many").when(r > 1, F.col("user_id").cast("string"))
+    raw = F.to_json(F.struct(F.struct(total.alias("opensearch:totalResults")).alias("search-results")))
+    return t.events.select("event_id", S.json_path_int(F.try_parse_json(raw), "search-results.opensearch:totalResults").alias("total"))
 
 
 @query("first_non_empty", f"select event_id, coalesce(nullif({DIRTY}, ''), nullif(props, ''), '') as v from events")
@@ -335,10 +367,11 @@ def _(t):
     return t.events.select("event_id", S.hash_equal(a, b).alias("same"))
 
 
-@query("request_fingerprint", "select event_id, md5('GET|' || event_type || '|{\"a\":\"1\",\"b\":\"' || user_id || '\"}') as fingerprint from events")
+@query("request_fingerprint", "select event_id, md5('GET|' || event_type || '|{\"a\":\"1\",\"b\":\"' || user_id || '\"}|' || case when event_id % 2 = 0 then '{\"A\":\"1\",\"B\":\"2\"}' else '{}' end) as fingerprint from events")
 def _(t):
     params = F.create_map(F.lit("b"), F.col("user_id").cast("string"), F.lit("a"), F.lit("1"))
-    return t.events.select("event_id", S.request_fingerprint(F.col("event_type"), F.lit("GET"), params).alias("fingerprint"))
+    headers = F.when(F.col("event_id") % 2 == 0, F.create_map(F.lit("B"), F.lit("2"), F.lit("A"), F.lit("1")))
+    return t.events.select("event_id", S.request_fingerprint(F.col("event_type"), F.lit("GET"), params, headers).alias("fingerprint"))
 
 
 @query("safe_name", "select page_id, replace(url, '/', '_') as name from pages")
@@ -406,11 +439,13 @@ def _(t):
     return t.events.select("event_id", m.alias("m")).select("event_id", F.try_element_at(u, F.lit("a")).alias("old_value"), F.try_element_at(u, F.lit("b")).alias("new_value"), F.size(u).alias("n"))
 
 
-@query("restart_trim", f"select load_id, entity_id, 2 as last_page, least(count(*), 2) as files, sum(case when event_type = 'error' and page_number < 3 then 1 else 0 end)::bigint as errors, false as completed from ({PAGES_SQL}) group by 1, 2")
+@query("restart_trim", f"select load_id, entity_id, entity_id % 5 as last_page, count(*) filter (page_number <= entity_id % 5) as files, count(distinct case when page_number <= entity_id % 5 then md5(props) end) as hashes, count(*) filter (event_type = 'error' and page_number <= entity_id % 5) as errors, false as completed from ({PAGES_SQL}) group by 1, 2")
 def _(t):
-    s = pages(t).groupBy("load_id", "entity_id").agg(F.collect_list("page_number").alias("files"), F.collect_list(F.when(F.col("event_type") == "error", F.col("page_number"))).alias("errors"))
-    below = lambda c: F.size(F.filter(c, lambda p: p < 3)).cast("long")
-    return s.select("load_id", "entity_id", F.lit(2).alias("last_page"), below("files").alias("files"), below("errors").alias("errors"), F.lit(False).alias("completed"))
+    """Each entity restarts at its own page; what earlier pages left stays."""
+    p = pages(t).withColumn("restart", F.col("entity_id") % 5 + 1)
+    below = F.col("page_number") < F.col("restart")
+    s = p.groupBy("load_id", "entity_id", "restart").agg(F.count_if(below).alias("files"), F.count_distinct(F.when(below, F.md5(F.col("props").cast("binary")))).alias("hashes"), F.count_if(below & (F.col("event_type") == "error")).alias("errors"))
+    return s.select("load_id", "entity_id", (F.col("restart") - 1).alias("last_page"), "files", "hashes", "errors", F.lit(False).alias("completed"))
 
 
 @query("range_buffer", "select event_type, min(value) - (max(value) - min(value)) * 0.1 as low, max(value) + (max(value) - min(value)) * 0.1 as high, max(length(props)) + 5 as max_length from events group by 1")
@@ -431,5 +466,5 @@ def _(t):
 def _(t):
     from lakeforge.functions.predicates import error_is_critical
 
-    e = t.events.groupBy("user_id").agg(F.collect_list(F.when(F.col("event_type") == "error", F.lit("Rate limit hit"))).alias("errors"))
-    return e.select("user_id", F.when(F.exists("errors", lambda m: error_is_critical(m, F.lit(None).cast("string"))), "failed").otherwise("completed").alias("status"))
+    critical = error_is_critical(F.when(F.col("event_type") == "error", F.lit("Rate limit hit")), F.lit(None).cast("string"))
+    return t.events.groupBy("user_id").agg(F.when(F.bool_or(critical), "failed").otherwise("completed").alias("status"))

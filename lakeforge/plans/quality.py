@@ -107,11 +107,16 @@ def _(t):
     return pages(t).groupBy("load_id", "entity_id").agg(((F.count("*") > 0) & (F.count(raw) == F.count("*"))).alias("ok"))
 
 
-@query("file_integrity", "select event_id, event_id % 13 <> 0 as ok from events")
+@query("file_integrity", "select event_id, event_id % 13 <> 0 and event_id % 7 <> 0 and event_id % 11 <> 0 as ok from events")
 def _(t):
-    stored = t.events.select("event_id", F.when(F.col("event_id") % 13 != 0, S.content_hash(F.col("props"))).otherwise("stale").alias("stored"))
-    found = t.events.select("event_id", S.content_hash(F.replace("props", F.lit(" "), F.lit("  "))).alias("found"))
-    return stored.join(found, "event_id", "left").select("event_id", S.hash_equal(F.col("stored"), F.col("found")).alias("ok"))
+    """Every 13th stored hash is stale, every 7th file lacks its metadata, every 11th is missing."""
+    result = F.struct(F.struct(F.col("props").alias("entry")).alias("search-results"))
+    whole = F.to_json(F.struct(F.struct(F.col("event_type").alias("load_id")).alias("metadata"), result.alias("raw_response")))
+    n = F.col("event_id")
+    found = t.events.where(n % 11 != 0).select("event_id", F.when(n % 7 == 0, F.to_json(F.struct(result.alias("raw_response")))).otherwise(whole).alias("raw"))
+    stored = t.events.select("event_id", F.when(n % 13 == 0, "stale").when(n % 7 == 0, S.content_hash(F.to_json(F.struct(result.alias("raw_response"))))).otherwise(S.content_hash(whole)).alias("stored"))
+    ok = P.envelope(F.col("raw")) & S.hash_equal(F.col("stored"), S.content_hash(F.col("raw")))
+    return stored.join(found, "event_id", "left").select("event_id", F.coalesce(ok, F.lit(False)).alias("ok"))
 
 
 @query("range_extract", "select event_id, event_type from events where ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-12' and event_type = 'click'")
@@ -254,9 +259,19 @@ def _(t):
     return profile.distribution(holey(t), PROFILED)
 
 
-@query("suggest_expectations", f"with p as ({BASIC}) select column_name, 'not_null' as expectation, 'strict' as strength from p where null_percent = 0 union all select column_name, 'not_null', 'mostly' from p where null_percent > 0 and null_percent < 5 union all select column_name, 'unique', 'strict' from p where uniqueness = 100 union all select column_name, 'unique', 'mostly' from p where uniqueness > 95 and uniqueness < 100 union all select column_name, 'in_set', 'strict' from p where distinct_count between 1 and 10")
+BOUNDS = " union all ".join(f"select '{c}' as column_name, '{kind}' as data_type, {low} as low, {high} as high, {short} as short, {long} as long from {HOLEY}" for c, kind, low, high, short, long in (("event_type", "string", "null", "null", "min(length(event_type))", "max(length(event_type))"), ("user_id", "bigint", "min(user_id)", "max(user_id)", "null", "null"), ("props", "string", "null", "null", "min(length(props))", "max(length(props))")))
+
+
+@query("suggest_expectations", f"""with p as ({BASIC}), b as ({BOUNDS})
+select column_name, 'not_null' as expectation, 'strict' as strength, cast(null as varchar) as detail from p where null_percent = 0 union all select column_name, 'not_null', 'mostly', null from p where null_percent > 0 and null_percent < 5
+union all select column_name, 'unique', 'strict', null from p where uniqueness = 100 union all select column_name, 'unique', 'mostly', null from p where uniqueness > 95 and uniqueness < 100
+union all select column_name, 'in_set', 'strict', null from p where distinct_count between 1 and 10
+union all select column_name, 'of_type', 'strict', data_type from b
+union all select column_name, 'between', 'strict', cast(cast(low - pad as decimal(20, 1)) as varchar) || '..' || cast(cast(high + pad as decimal(20, 1)) as varchar) from (select *, case when high = low then 1 else (high - low) * 0.1 end as pad from b) where low is not null
+union all select column_name, 'length_between', 'strict', short || '..' || (long + 5) from b where short > 0
+union all select column_name, 'matches', 'mostly', '^[{{]' from p where column_name = 'props' and completeness > 50""")
 def _(t):
-    return profile.suggest(profile.basic(holey(t), PROFILED))
+    return profile.suggest_all(holey(t).select(*PROFILED), patterns={"props": ("^[{]", 50.0, "mostly")})
 
 
 BITS = "cast('0x' || substr(md5(concat_ws('|', coalesce(length(cast(c_custkey as varchar)) || ':' || cast(c_custkey as varchar), chr(0)), coalesce(length(c_mktsegment) || ':' || c_mktsegment, chr(0)), coalesce(length(c_name) || ':' || c_name, chr(0)))), 1, 12) as bigint)"
@@ -267,9 +282,16 @@ def _(t):
     return profile.table_checksum(t.customer, ["c_custkey", "c_name", "c_mktsegment"], key="c_custkey")
 
 
-@query("checksum_compare", "select 'PASSED' as verdict, count(*) as source_rows, count(*) as target_rows from customer")
+@query("checksum_compare", "select 'same' as pair, 'PASSED' as verdict, count(*) as source_rows, count(*) as target_rows from customer union all select 'changed', 'FAILED', count(*), count(*) from customer union all select 'short', 'FAILED', count(*), count(*) filter (c_custkey % 7 <> 0) from customer union all select 'empty', 'error', count(*), 0 from customer")
 def _(t):
-    return profile.compare_checksums(profile.table_checksum(t.customer), profile.table_checksum(t.customer.repartition(5, "c_name")))
+    """Customers against the same rows in other partitions, with one column changed, with rows lost, and against none."""
+    whole = profile.table_checksum(t.customer)
+    others = {"same": t.customer.repartition(5, "c_name"), "changed": t.customer.withColumn("c_name", F.upper(F.concat("c_name", F.lit("!")))), "short": t.customer.where("c_custkey % 7 <> 0"), "empty": t.customer.where("c_custkey < 0")}
+    out = None
+    for pair, df in others.items():
+        one = profile.compare_checksums(whole, profile.table_checksum(df)).select(F.lit(pair).alias("pair"), "*")
+        out = one if out is None else out.unionAll(one)
+    return out
 
 
 @query("checksum_diff_rows", "select c_custkey, case when c_custkey % 10 = 0 then 'both' when c_custkey % 10 = 1 then 'source' else 'target' end as side from customer where c_custkey % 10 in (0, 1, 2)")
@@ -313,10 +335,12 @@ def _(t):
     return entities(t).select("load_id", "user_id", "status", "pages", "errors")
 
 
-@query("manifest_authors", "select o_custkey % 20 as author_id, count(distinct o_orderkey) as publications, count(distinct l_partkey) as unique_ids, count(*) as ids from orders join lineitem on o_orderkey = l_orderkey group by 1")
+@query("manifest_authors", "select o_custkey % 20 as author_id, count(distinct o_orderkey) as publications, count(distinct l_partkey) as unique_ids, count(*) as ids, count(distinct case when l_returnflag = 'R' then o_orderkey end) as failed, count(*) filter (l_returnflag = 'R') > 0 as with_errors from orders join lineitem on o_orderkey = l_orderkey group by 1")
 def _(t):
+    """Lines that came back stand for errors."""
     j = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
-    return j.groupBy((F.col("o_custkey") % 20).alias("author_id")).agg(F.count_distinct("o_orderkey").alias("publications"), F.count_distinct("l_partkey").alias("unique_ids"), F.count("*").alias("ids"))
+    bad = F.col("l_returnflag") == "R"
+    return j.groupBy((F.col("o_custkey") % 20).alias("author_id")).agg(F.count_distinct("o_orderkey").alias("publications"), F.count_distinct("l_partkey").alias("unique_ids"), F.count("*").alias("ids"), F.count_distinct(F.when(bad, F.col("o_orderkey"))).alias("failed"), F.bool_or(bad).alias("with_errors"))
 
 
 @query("manifest_chunks", "with c as (select doc_id, (row_number() over (order by doc_id) - 1) // 25 + 1 as chunk from documents), l as (select distinct doc_id, 1 as hit from labels) select cast(chunk as bigint) as chunk, count(*) as ids, count(hit) as results, round(100.0::double * count(hit) / count(*), 2) as coverage from c left join l using (doc_id) group by 1")
@@ -380,10 +404,14 @@ def _(t):
     return t.events.groupBy("user_id", "event_type").agg(F.count("*").alias("n")).where("n > 1")
 
 
-@query("audit_validation", f"with a as ({AUDIT}) select 'no_duplicates' as check_name, count(*) = count(distinct load_id) as ok from a union all select 'required', count(*) filter (load_id is null or orders is null) = 0 from a union all select 'positive', count(*) filter (total <= 0) = 0 from a union all select 'not_empty', count(*) > 0 from a")
+AUDITED = "(select case when event_id % 501 = 0 then 'again' else cast(event_id as varchar) end as load_id, case when event_id % 17 <> 0 then event_type end as data_source, ts as ingest_timestamp, case when event_id % 19 = 0 then 'broken' else props end as query_parameters, event_id % 3 = 0 as is_reprocessed, case when event_id % 6 = 0 then 'manual' end as reprocessing_reason from events)"
+
+
+@query("audit_validation", f"select 'no_duplicates' as check_name, count(*) = count(distinct load_id) as ok from {AUDITED} union all select 'all_fields_populated', count(*) filter (load_id is null or data_source is null or ingest_timestamp is null) = 0 from {AUDITED} union all select 'valid_timestamps', count(*) filter (ingest_timestamp < timestamp '2020-01-01' or ingest_timestamp > timestamp '2030-01-01') = 0 from {AUDITED} union all select 'valid_json', count(*) filter (query_parameters is not null and not json_valid(query_parameters)) = 0 from {AUDITED} union all select 'reprocessed_flag_consistent', count(*) filter (is_reprocessed and reprocessing_reason is null) = 0 from {AUDITED} union all select 'has_data', count(*) > 0 from {AUDITED}")
 def _(t):
-    n = audits(t).agg((F.count("*") == F.count_distinct("load_id")).alias("no_duplicates"), (F.count_if(F.col("load_id").isNull() | F.col("orders").isNull()) == 0).alias("required"), (F.count_if(F.col("total") <= 0) == 0).alias("positive"), (F.count("*") > 0).alias("not_empty"))
-    return n.unpivot([], ["no_duplicates", "required", "positive", "not_empty"], "check_name", "ok")
+    n = F.col("event_id")
+    a = t.events.select(F.when(n % 501 == 0, "again").otherwise(n.cast("string")).alias("load_id"), F.when(n % 17 != 0, F.col("event_type")).alias("data_source"), F.col("ts").alias("ingest_timestamp"), F.when(n % 19 == 0, "broken").otherwise(F.col("props")).alias("query_parameters"), (n % 3 == 0).alias("is_reprocessed"), F.when(n % 6 == 0, "manual").alias("reprocessing_reason"))
+    return dq.validate_audit(a, ["load_id", "data_source", "ingest_timestamp"], F.expr("timestamp_ntz '2030-01-01 00:00:00'"))
 
 
 @query("ops_metrics", "select count(*) as total, count(*) filter (ts > timestamp '2024-01-30' - interval 24 hours and ts <= timestamp '2024-01-30') as last_day, min(ts) as oldest, max(ts) as newest, count(distinct event_type) as sources from events")

@@ -72,6 +72,14 @@ def write_dated(df: DataFrame, ts: str, path: str, form: str = "parquet") -> Non
     dated.write.mode("overwrite").partitionBy("yyyymm", "dd").format(form).save(path)
 
 
+def report_names(df: DataFrame, table: str, load: str, ts: str) -> DataFrame:
+    """``report``: table, load and second of each report; where several share it, all but the first by time get a counter."""
+    base = F.concat_ws("_", F.col(table), F.col(load), F.date_format(ts, "yyyyMMdd_HHmmss"))
+    w = Window.partitionBy("report").orderBy(ts, F.xxhash64(F.to_json(F.struct(*df.columns))))
+    named = df.withColumn("report", base).withColumn("__n", F.row_number().over(w) - 1)
+    return named.withColumn("report", F.when(F.col("__n") > 0, F.concat_ws("_", "report", F.col("__n").cast("string"))).otherwise(F.col("report"))).drop("__n")
+
+
 def write_reports(df: DataFrame, path: str) -> None:
     df.write.mode("append").partitionBy("load_id").json(path)
 
