@@ -96,6 +96,13 @@ def required_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return want.join(have, "column_name", "left_anti")
 
 
+def missing_columns(catalogue: DataFrame, required: Sequence[str]) -> DataFrame:
+    """``table_name, column_name``: required columns that tables of a catalogue (``table_name, name``) lack."""
+    want = F.array(*(F.lit(c) for c in required))
+    have = catalogue.groupBy("table_name").agg(F.collect_set(F.when(F.col("name").isin(*required), F.col("name"))).alias("have"))
+    return have.select("table_name", F.explode(F.array_except(want, "have")).alias("column_name"))
+
+
 def validate_audit(audit: DataFrame, required: Sequence[str], latest: Column) -> DataFrame:
     """``check_name, ok`` of six checks on an audit table; repeated load ids come from one count by load id."""
     some = lambda c: F.max(F.coalesce(c, F.lit(False)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -119,6 +119,28 @@ def rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(*r, True) for r in RULES], "rule_id string, rule_type string, from_constraint string, to_constraint string, category string, level string, action string, is_active boolean")
 
 
+# Kinds of change that every rule table should speak of.
+EXPECTED = ("add_column", "remove_column", "change_datatype", "change_nullable")
+
+
+def active_rules(rule_table: DataFrame, change_type: str | None = None) -> DataFrame:
+    """The active rules, of one kind of change or of all, by kind and time of creation."""
+    on = rule_table.where("is_active")
+    return (on if change_type is None else on.where(F.col("rule_type") == change_type)).orderBy("rule_type", "created_at")
+
+
+def missing_types(rule_table: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Expected kinds of change without any rule, in the whole table or in each group ``by``."""
+    seen = rule_table.groupBy(*by).agg(F.collect_set(F.when(F.col("rule_type").isin(*EXPECTED), F.col("rule_type"))).alias("seen"))
+    return seen.select(*by, F.explode(F.array_except(F.array(*(F.lit(x) for x in EXPECTED)), "seen")).alias("missing"))
+
+
+def log_evolution(evaluated: DataFrame, path: str) -> None:
+    """Appends one row for each table: its changes, and the evaluation, nested. A table has as many changes as columns at most."""
+    log = evaluated.groupBy("table_name").agg(F.collect_list(F.struct("name", "change_type", "level", "action")).alias("changes"))
+    log.join(overall(evaluated).select("table_name", F.struct("level", "action").alias("evaluation")), "table_name").write.mode("append").parquet(path)
+
+
 def meets(constraint: Column, value: Column) -> Column:
     """Whether a nullability (``nullable``, ``not_null``) or data type meets a rule's constraint."""
     length, kind = varchar_length(value), F.upper(value)

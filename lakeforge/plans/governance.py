@@ -15,6 +15,7 @@ from lakeforge.functions import scalars as S
 from lakeforge.operators import dq, profile, registry as R
 from lakeforge.plans.registry import Tables, query
 from lakeforge.sources import sinks as K
+from lakeforge.sources.scratch import scratch
 
 
 def observed(t: Tables, condition: str) -> DataFrame:
@@ -102,17 +103,12 @@ def _(t):
     return changes(t).select("table_name", "name", "change_type", R.base_severity(F.col("change_type"), F.col("nullable"), F.col("to_default"), F.col("to_value")).alias("base_severity"))
 
 
-def rule_log(t: Tables) -> DataFrame:
-    """Events as evolution log rows, each naming the rule that decided it."""
-    return t.events.select("event_id", F.concat(F.lit("R"), F.lpad((F.col("event_id") % 14 + 1).cast("string"), 3, "0")).alias("rule_id"))
-
-
-LOG = "(select event_id, 'R' || lpad(cast(event_id % 14 + 1 as varchar), 3, '0') as rule_id from events)"
-
-
-@query("scan_rule_table", f"select rule_id, count(*) as uses from {LOG} where rule_id <= 'R012' group by 1")
+@query("scan_rule_table", "select event_id, 'remove_column' as rule_type, ts as created_at from events where event_id % 3 <> 0 and event_type = 'error'")
 def _(t):
-    return rule_log(t).join(F.broadcast(R.rules(t.spark).where("is_active").select("rule_id")), "rule_id").groupBy("rule_id").agg(F.count("*").alias("uses"))
+    """Events as rules: errors speak of removed columns, the others of added ones; every third is off."""
+    kind = F.when(F.col("event_type") == "error", "remove_column").otherwise("add_column")
+    table = t.events.select("event_id", kind.alias("rule_type"), F.col("ts").alias("created_at"), (F.col("event_id") % 3 != 0).alias("is_active"))
+    return R.active_rules(table, "remove_column").drop("is_active")
 
 
 @query("rule_match_theta", f"select table_name, name, change_type, count(*) as rules from {LEVEL} where rule_id is not null group by all")
@@ -147,11 +143,19 @@ def _(t):
     return R.schema_hash(versions(t)[0])
 
 
-@query("rule_inventory", f"select case when rule_id <= 'R002' then 'add_column' when rule_id = 'R003' then 'remove_column' when rule_id <= 'R007' then 'change_datatype' when rule_id <= 'R009' then 'change_nullable' when rule_id = 'R010' then 'reorder_columns' when rule_id = 'R011' then 'add_index' when rule_id = 'R012' then 'change_primary_key' else 'unknown' end as change_type, count(distinct rule_id) as rules, count(*) as uses from {LOG} group by 1")
+INVENTORY = "(select user_id, case event_id % 5 when 0 then 'add_column' when 1 then 'remove_column' when 2 then 'change_datatype' when 3 then 'change_nullable' else 'reorder_columns' end as rule_type, event_id % 3 <> 0 as is_active from events where event_type <> 'view')"
+
+
+@query("rule_inventory", f"""select user_id, rule_type as kind, count(*) as rules, count(*) filter (is_active) as active, false as missing from {INVENTORY} group by 1, 2
+union all select user_id, kind, 0, 0, true from (select distinct user_id from {INVENTORY}) u, (values ('add_column'), ('remove_column'), ('change_datatype'), ('change_nullable')) e(kind) where not exists (select 1 from {INVENTORY} i where i.user_id = u.user_id and i.rule_type = e.kind)""")
 def _(t):
-    known = R.rules(t.spark).select("rule_id", "rule_type")
-    j = rule_log(t).join(F.broadcast(known), "rule_id", "left")
-    return j.groupBy(F.coalesce("rule_type", F.lit("unknown")).alias("change_type")).agg(F.count_distinct("rule_id").alias("rules"), F.count("*").alias("uses"))
+    """Events other than views as rules, each user's as a table of its own: counts by kind, and the expected kinds that lack."""
+    r = F.col("event_id") % 5
+    kind = F.when(r == 0, "add_column").when(r == 1, "remove_column").when(r == 2, "change_datatype").when(r == 3, "change_nullable").otherwise("reorder_columns")
+    table = t.events.where("event_type <> 'view'").select("user_id", kind.alias("rule_type"), (F.col("event_id") % 3 != 0).alias("is_active"))
+    counts = table.groupBy("user_id", F.col("rule_type").alias("kind")).agg(F.count("*").alias("rules"), F.count_if("is_active").alias("active"), F.lit(False).alias("missing"))
+    zero = F.lit(0).cast("long")
+    return counts.unionAll(R.missing_types(table, ["user_id"]).select("user_id", "missing", zero, zero, F.lit(True)))
 
 
 def validated(t: Tables) -> DataFrame:
@@ -173,9 +177,12 @@ def _(t):
 
 @query("log_evolution", f"select table_name, count(*) as changes, any_value(o.level) as level, any_value(o.action) as action from {CHANGES} join {OVERALL} o using (table_name) group by 1")
 def _(t):
-    ev = evaluated(t)
-    log = ev.groupBy("table_name").agg(F.collect_list(F.struct("name", "change_type", "level")).alias("changes"))  # at most 20 columns each
-    return log.join(R.overall(ev), "table_name").select("table_name", F.size("changes").alias("changes"), "level", "action")
+    """Two runs append to one log, each for its half of the tables; the log is read back."""
+    path = scratch(t.spark, "evolution")
+    half = F.abs(F.xxhash64("table_name")) % 2
+    for i in (0, 1):
+        R.log_evolution(evaluated(t).where(half == i), path)
+    return t.spark.read.parquet(path).select("table_name", F.size("changes").alias("changes"), "evaluation.level", "evaluation.action")
 
 
 @query("force_update", "select user_id, v as version, cur as is_current from (select user_id, '0.' || count(*) || '.0' as v, false as cur from events group by 1 union all select user_id, '0.' || count(*) || '.1', true from events group by 1)")

@@ -35,10 +35,16 @@ def _(t):
     return J.update_from(c, c.where("c_custkey % 3 = 0").withColumn("c_mktsegment", F.lit("X")), ["c_custkey"], "c_mktsegment")
 
 
-@query("lookup_default", "select c_custkey, coalesce(o_orderstatus, 'scopus_search_api') as source from customer left join (select o_custkey, max(o_orderstatus) as o_orderstatus from orders group by 1) on c_custkey = o_custkey")
+@query("lookup_default", "select c_custkey, coalesce(o_orderstatus, 'scopus_search_api') as source, case c_custkey % 3 when 0 then '[\"a\",\"b\"]' when 1 then '[\"' || c_mktsegment || '\"]' else '[]' end as query_parameters from customer left join (select o_custkey, max(o_orderstatus) as o_orderstatus from orders group by 1) on c_custkey = o_custkey")
 def _(t):
+    """Manifests in three forms: with all parameters, with the one of the query, with none."""
+    r = F.col("c_custkey") % 3
+    manifest = F.when(r == 0, F.to_json(F.struct(F.array(F.lit("a"), F.lit("b")).alias("all_query_parameters")))).when(r == 1, F.to_json(F.struct(F.col("c_mktsegment").alias("query_parameters")))).otherwise("{}")
+    m = t.customer.select("c_custkey", F.try_parse_json(manifest).alias("m"))
     o = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderstatus").alias("s"))
-    return t.customer.select("c_custkey").join(o, "c_custkey", "left").select("c_custkey", F.coalesce("s", F.lit("scopus_search_api")).alias("source"))
+    every, one = F.try_variant_get("m", "$.all_query_parameters", "array<variant>"), F.try_variant_get("m", "$.query_parameters", "variant")
+    parameters = F.coalesce(every, F.when(one.isNotNull(), F.array(one)))
+    return m.join(o, "c_custkey", "left").select("c_custkey", F.coalesce("s", F.lit("scopus_search_api")).alias("source"), F.coalesce(F.to_json(parameters), F.lit("[]")).alias("query_parameters"))
 
 
 @query("log_with_version", "select l_orderkey, l_linenumber, o_orderstatus from lineitem join orders on l_orderkey = o_orderkey where o_orderpriority = '1-URGENT'")

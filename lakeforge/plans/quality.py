@@ -171,9 +171,11 @@ def _(t):
     return value_of(t.documents, dq.Check("critical", "low", "min_length", "text"), dq.Check("critical", "high", "max_length", "text"))
 
 
-@query("dq_required_columns", "select 'load_id' as column_name from region limit 1")
+@query("dq_required_columns", "select u.table_name, r.column_name from (select distinct user_id || '/' || strftime(ts, '%Y%m%d') as table_name from events) u, (values ('click'), ('purchase')) r(column_name) where not exists (select 1 from events e where e.user_id || '/' || strftime(e.ts, '%Y%m%d') = u.table_name and e.event_type = r.column_name)")
 def _(t):
-    return dq.required_columns(t.events, ["event_id", "ts", "load_id"])
+    """A user's day as a table, its kinds of events as columns."""
+    catalogue = t.events.select(F.concat_ws("/", F.col("user_id").cast("string"), F.date_format("ts", "yyyyMMdd")).alias("table_name"), F.col("event_type").alias("name"))
+    return dq.missing_columns(catalogue, ["click", "purchase"])
 
 
 CHECKS = (
@@ -372,9 +374,11 @@ def _(t):
     return stored.join(valid, ["event_id", "stored"], "left_semi").groupBy((F.col("user_id") % 20).alias("author_id")).agg(F.count("*").alias("pages"), F.count_distinct("event_type").alias("kinds"))
 
 
-@query("collect_query_params", "select event_type as load_id, string_agg(cast(event_id as varchar), ',' order by event_id) as params from events group by 1")
+@query("collect_query_params", "select event_type as load_id, event_id // 1000 as page, string_agg(cast(event_id as varchar), ',' order by event_id) as params from events group by 1, 2")
 def _(t):
-    return t.events.groupBy(F.col("event_type").alias("load_id")).agg(F.array_join(F.transform(F.sort_array(F.collect_list("event_id")), lambda x: x.cast("string")), ",").alias("params"))
+    """In pages of a thousand ids, so that no row holds all of a load."""
+    ids = F.transform(F.sort_array(F.collect_list("event_id")), lambda x: x.cast("string"))
+    return t.events.groupBy(F.col("event_type").alias("load_id"), F.floor(F.col("event_id") / 1000).alias("page")).agg(F.array_join(ids, ",").alias("params"))
 
 
 @query("collect_payload_audit", "select cast(user_id % 10 as varchar) as load_id, string_agg(user_id || ':' || n, ',' order by user_id) as authors from (select user_id, count(*) as n from events group by 1) group by 1")

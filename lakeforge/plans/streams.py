@@ -63,8 +63,13 @@ def _(t):
     return rows.groupBy("user_id").agg(F.max("pages").alias("pages"), F.max_by("errors", "batch").alias("errors"))
 
 
-@query("stream_dq", "select count(*) as n from events")
+@query("stream_dq", "select 'good' as route, count(*) as n from events union all select 'bad', count(*) from events")
 def _(t):
-    good, bad = scratch(t.spark, "good"), scratch(t.spark, "bad")
-    X.gate(stream(t), [dq.Check("critical", "ids", "missing_count", "event_id", fail_high=0)], good, bad, scratch(t.spark, "progress"))
-    return t.spark.read.parquet(good).agg(F.count("*").alias("n"))
+    """The stream passes one gate, and fails at another that takes no errors."""
+    out = None
+    for route, check in (("good", dq.Check("critical", "ids", "missing_count", "event_id", fail_high=0)), ("bad", dq.Check("critical", "errors", "invalid_count", "event_type", valid="event_type <> 'error'", fail_high=0))):
+        paths = {x: scratch(t.spark, x) for x in ("good", "bad")}
+        X.gate(stream(t), [check], paths["good"], paths["bad"], scratch(t.spark, "progress"))
+        n = t.spark.read.parquet(paths[route]).agg(F.lit(route).alias("route"), F.count("*").alias("n"))
+        out = n if out is None else out.unionAll(n)
+    return out

@@ -1,5 +1,6 @@
 """Edge cases and properties on small rows."""
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from lakeforge.functions import scalars as S
 from lakeforge.operators import dq, profile, registry
 from lakeforge.operators.relational import chunked, fresh_lookup
 from lakeforge.sources.files import scan_payload, scan_quarantine
-from lakeforge.sources.sinks import insert_missing, upsert
+from lakeforge.sources.sinks import insert_missing, report_names, upsert
 
 SLOW = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -149,3 +150,40 @@ def test_usage_across_stretches_and_null_groups(spark):
     df = spark.createDataFrame(rows, "g string, t long").withColumn("ts", F.timestamp_seconds("t"))
     got = sorted((r.g or "", r.t, r.used, r.within) for r in usage(df, "g", "ts", 10, 3).collect())
     assert got == sorted((g or "", x, n := sum(x - 10 <= y <= x for y in at), n < 3) for g, x in rows)
+
+
+def test_staging_tolerates_numbers_but_not_json(spark):
+    from lakeforge.operators import staging
+
+    e = spark.createDataFrame([("x", "12", "{\"b\":1,\"a\":2}"), ("y", "twelve", None)], "eid string, `citedby-count` string, author string")
+    rows = {r["eid"]: r for r in staging.stage(e).collect()}
+    assert len(rows["x"]) == 28 and rows["x"]["citations"] == 12 and rows["x"]["authors"] == '{"a":2,"b":1}'
+    assert rows["y"]["citations"] is None and rows["y"]["authors"] is None and rows["y"]["title"] is None
+    broken = spark.createDataFrame([("x", "{")], "eid string, author string")
+    with pytest.raises(Exception, match="MALFORMED"):
+        staging.stage(broken).collect()
+    assert len(staging.audit(e).columns) == 9
+
+
+def test_report_names_count_up_when_taken(spark):
+    df = spark.sql("select * from values ('t', 'l', timestamp '2024-01-01 00:00:00', 1), ('t', 'l', timestamp '2024-01-01 00:00:00', 2), ('u', 'l', timestamp '2024-01-01 00:00:00', 3) as v(tab, load, at, i)")
+    names = sorted(r["report"] for r in report_names(df, "tab", "load", "at").collect())
+    assert names == ["t_l_20240101_000000", "t_l_20240101_000000_1", "u_l_20240101_000000"]
+
+
+def test_unwrap_leaves_other_items(spark):
+    df = spark.sql("""select parse_json('{"value":[{"$":1},"x",{"y":2}]}') as a, parse_json('{"other":1}') as b""")
+    r = df.select(S.unwrap_value(F.col("a")).alias("a"), S.unwrap_value(F.col("b")).alias("b")).first()
+    assert r["a"] == '[1,"x",{"y":2}]' and r["b"] == '{"other":1}'
+
+
+def test_missing_rule_types_and_active_order(spark):
+    t = spark.sql("select * from values ('add_column', true, 2), ('add_column', true, 1), ('remove_column', false, 3) as v(rule_type, is_active, created_at)")
+    assert sorted(r["missing"] for r in registry.missing_types(t).collect()) == ["change_datatype", "change_nullable"]
+    assert [r["created_at"] for r in registry.active_rules(t).collect()] == [1, 2]
+    assert registry.active_rules(t, "remove_column").count() == 0
+
+
+def test_checks_from_rows(spark):
+    spec = spark.createDataFrame([("critical", "some", "row_count", None, None, 1.0, None, None)], dq.SPEC)
+    assert dq.compiled(spec) == [dq.Check("critical", "some", "row_count", fail_low=1.0)]
