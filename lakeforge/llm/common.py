@@ -47,15 +47,15 @@ def shuffles_freed(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def staged(df: DataFrame, *used: DataFrame) -> DataFrame:
+def staged(df: DataFrame, *used: DataFrame, by: str | None = None) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read back: cuts lineage, survives lost executors.
 
-    Staged tables ``used``, which nothing else needs, are deleted then.
+    ``by``: a column with few values, for a folder each. Staged tables ``used``, which nothing else needs, are deleted then.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
     with shuffles_freed(spark):
-        df.write.parquet(path)
+        df.write.parquet(path, partitionBy=by)
     dropped(*used)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path

@@ -1,15 +1,18 @@
 """The numbered operators against brute force on small rows and on sf0.001, with their edge cases."""
 
 import hashlib
+import math
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
-from lakeforge.llm import bpe, itq, langid, minhash, mixing, pfor, pii, preference, queries, topk, toxicity
+from lakeforge.llm import bpe, dualtree, hostrules, itq, langid, minhash, mixing, pfor, phrases, pii, preference, queries, topk, toxicity
 from lakeforge.llm.common import components, table
 
 ODD = [None, "", " \t\n", "a", "one two three", "a@b.com +1 (555) 555-1234 4111 1111 1111 1111 10.0.0.256 1.2.3.4", "x" * 60_000, "word " * 20_000, "ΣΑΣ İ é 日本 😀 <|endoftext|> it's", "word " * 20_000]
@@ -509,3 +512,184 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
         out = p.run(spark, str(tmp_path / name))
         assert {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(out.columns)
         assert (out.count() > 0) == (name == "odd")
+
+
+# Ranked lexical search
+
+
+def ranked(docs, items, k=50):
+    """Every document scored for every item."""
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    cut = lambda t: term.findall((t or "").translate(lower))
+    rows = [(i, Counter(cut(t))) for i, t in docs]
+    n, total = sum(bool(c) for _, c in rows), sum(sum(c.values()) for _, c in rows)
+    df = Counter(t for _, c in rows for t in c)
+    out = []
+    for item, text in items:
+        scores = []
+        for i, c in rows:
+            m = 50 + (50 * sum(c.values()) * n) // total if total else 0
+            score = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 20 * m)) for t in set(cut(text)) if t in c)
+            if score > 0:
+                scores.append((-score, i is None, i))
+        out += [(item, r, i, -s) for r, (s, _, i) in enumerate(sorted(scores)[:k], 1)]
+    return Counter(out)
+
+
+def test_dualtree_equals_brute_force(spark, odd, empty):
+    for sf in (SF,):
+        docs, items = table(spark, sf, "documents"), table(spark, sf, "benchmark")
+        want = ranked([tuple(r) for r in docs.select("doc_id", "text").collect()], [tuple(r) for r in items.select("item_id", "text").collect()])
+        assert Counter(tuple(r) for r in dualtree.search(docs, items).collect()) == want
+        assert Counter(tuple(r) for r in dualtree.search(docs, items, share=1).collect()) == want
+    items = [(1, "Word word"), (None, "three ΣΑΣ"), (2, None), (3, " ,"), (1, "Word word"), (4, "absent")]
+    asked = spark.createDataFrame(items, "item_id long, text string").withColumn("score", F.lit("clash"))
+    rows = odd.unionAll(odd.where("doc_id in (4, 7)")).unionAll(odd.where("doc_id = 4").withColumn("doc_id", F.lit(None).cast("long")))
+    want = ranked([tuple(r) for r in rows.select("doc_id", "text").collect()], items)
+    assert want and Counter(tuple(r) for r in dualtree.search(rows, asked).collect()) == want
+    assert not dualtree.search(empty, asked).collect() and not dualtree.search(odd, asked.limit(0)).collect()
+
+
+def test_dualtree_prunes_and_cuts_long_texts():
+    rng = np.random.default_rng(0)
+    held = [sorted(rng.choice(np.arange(i % 16 * 20, i % 16 * 20 + 20), 6, replace=False).tolist()) for i in range(64)]
+    search = dualtree.Search(held, np.full(320, 1000), 5)
+    whole = []
+    for b in range(6):
+        rows = np.zeros((512, 320), np.int32)
+        for d, r in enumerate(rows):
+            r[rng.choice(np.arange(d % 16 * 20, d % 16 * 20 + 20), 8)] = rng.integers(1, 1000, 8)
+        search.add(np.arange(b * 512, b * 512 + 512), rows)
+        whole.append(rows)
+    whole = np.concatenate(whole).astype(int)
+    for item, score, ids in search.found():
+        exact = whole[:, held[item]].sum(1) * 1000
+        best = np.lexsort((np.arange(len(exact)), -exact))[:5]
+        assert ids.tolist() == best.tolist() and score.tolist() == exact[best].tolist()
+    assert search.scored < 0.5 * search.met
+    text = "Aé b2,c " * 400_000
+    total, doc, term, n = dualtree.counts([None, text, "", "b2"], dualtree.Terms([b"b2", "aé".encode(), b"zz"]))
+    assert total.tolist() == [0, 1_200_000, 0, 1] and list(zip(doc.tolist(), term.tolist(), n.tolist(), strict=True)) == [(1, 0, 400_000), (1, 1, 400_000), (3, 0, 1)]
+
+
+# Phrases
+
+
+def collocations(docs, threshold, top=2000):
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    f, n = Counter(), Counter()
+    for text, lang in docs:
+        lang = lang or "und"
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", (text or "").translate(lower)):
+            w = [x for x in re.split("[ \t]", piece) if x]
+            n[lang] += len(w)
+            f.update((lang, tuple(w[i : i + k])) for k in range(1, 6) for i in range(len(w) - k + 1))
+    f = {p: a for p, a in f.items() if a >= threshold}
+    longer = {(lang, w[i : i + k], a) for (lang, w), a in f.items() for k in range(2, len(w)) for i in range(len(w) - k + 1)}
+    out = []
+    for lang in n:
+        rows = []
+        for (g, w), a in f.items():
+            if g == lang and len(w) > 1 and (lang, w, a) not in longer:
+                s, c = min((1000 * a * n[lang] // (f[lang, w[:c]] * f[lang, w[c:]]), c) for c in range(1, len(w)))
+                rows.append((-s, -a, " ".join(w).encode(), f[lang, w[:c]], f[lang, w[c:]]))
+        out += [(lang, i, w.decode(), -a, left, right, n[lang], -s) for i, (s, a, w, left, right) in enumerate(sorted(rows)[:top], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("threshold, shards, slots, top", [(20, 4, 1 << 24, 2000), (5, 3, 1 << 24, 50), (30, 4, 64, 2000), (10, 1, 1 << 20, 2000)])
+def test_phrases_equal_brute_force(spark, threshold, shards, slots, top):
+    """Also with so few slots that nearly every phrase is counted in vain."""
+    docs = table(spark, SF, "documents")
+    want = collocations([tuple(r) for r in docs.select("text", "lang").collect()], threshold, top)
+    assert want and sorted(tuple(r) for r in phrases.mine(docs, threshold, top, shards, slots).collect()) == want
+
+
+def test_phrases_on_odd_texts(spark, odd, empty):
+    rows = [("A b\tc  d. a b c d, " * 3, "x"), (None, "x"), ("a b c d", None), ("é  É é\r\nb\x0bc", None), ("a\x00b c " * 9, "x"), ("x " * 9, "und")] * 4
+    docs = spark.createDataFrame(rows, "text string, lang string").withColumn("phrase", F.lit("clash")).withColumn("n", F.lit(1))
+    want = collocations(rows, 3)
+    assert want and sorted(tuple(r) for r in phrases.mine(docs, 3).collect()) == want
+    assert sorted(tuple(r) for r in phrases.mine(odd, 10).collect()) == collocations([tuple(r) for r in odd.select("text", "lang").collect()], 10)
+    assert not phrases.mine(empty).collect()
+
+
+def test_phrase_keys_may_collide(spark, monkeypatch):
+    """With keys of nine bits the last pass still counts words."""
+    docs = table(spark, SF, "documents").limit(60)
+    batch = pa.RecordBatch.from_pylist([{"lang": r.lang, "text": r.text} for r in docs.collect()])
+    monkeypatch.setattr(phrases, "mixed", lambda x: x & np.uint64(511))
+
+    class All:
+        value = bytes([1]) * 1024
+
+    run = phrases.tallied(All)
+    got = Counter()
+    for b in run([batch]):
+        for r in b.to_pylist():
+            got[r["lang"], r["phrase"]] += r["n"]
+    want = Counter()
+    for r in batch.to_pylist():
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", r["text"].translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))):
+            w = [x for x in re.split("[ \t]", piece) if x]
+            want.update((r["lang"], " ".join(w[i : i + k])) for k in range(1, 6) for i in range(len(w) - k + 1))
+            want[r["lang"], ""] += len(w)
+    assert got == want
+
+
+# Host rules
+
+
+def measures(text):
+    t = text or ""
+    w = [x for x in re.split("[\x20\x09-\x0d]+", t) if x]
+    lines = [x for x in t.split("\n") if re.search("[^\x20\x09-\x0d]", x)]
+    seen = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    covered = {j for i in range(len(w) - 4) if seen[tuple(w[i : i + 5])] > 1 for j in range(i, i + 5)}
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(covered)
+
+
+def test_host_rules_measure_like_brute_force(spark, odd, empty):
+    for docs in (table(spark, SF, "documents"), odd.unionAll(odd).withColumn("host", F.lit("clash")).withColumn("kept", F.lit("clash"))):
+        got = hostrules.judged(docs, F.col("source")).select("row.text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept").collect()
+        assert len(got) == docs.count()
+        for r in got:
+            m = measures(r.text)
+            assert tuple(r)[1:6] == m
+            assert r.base_failed == (m[0] < 10 or 100 * m[4] > 20 * m[0]) and not (r.base_failed and r.kept)
+    assert not hostrules.judged(empty, F.col("source")).collect()
+
+
+def test_host_verdicts(spark, monkeypatch):
+    good, signs = "some plain words that make up a text of more than ten words", "a # b $ c % d & e < f > g | h * some more words here"
+    rows = [(f"h{h}", good if i % 20 else signs) for h in range(30) for i in range(60)]
+    rows += [("bad", signs)] * 50 + [("bad", good)] * 10  # most documents fail: all go
+    rows += [("strict", signs)] * 18 + [("strict", good)] * 42  # those that fail go
+    rows += [("tiny", signs), (None, signs), (None, "few")]  # one document is no evidence, and there is no host to judge
+    docs = spark.createDataFrame(rows, "source string, text string")
+    for bound in (hostrules.BROADCAST, -1):
+        monkeypatch.setattr(hostrules, "BROADCAST", bound)
+        got = Counter((r.host, r.row.text == good, r.kept) for r in hostrules.judged(docs, F.col("source")).collect())
+        assert got["bad", True, False] == 10 and got["bad", False, False] == 50
+        assert got["strict", True, True] == 42 and got["strict", False, False] == 18
+        assert got["h3", False, True] == 3 and got["h3", True, True] == 57 and got["tiny", False, True] == 1
+        assert got[None, False, True] == 1 and got[None, False, False] == 1
+    assert hostrules.prior(0.5, 1, 10, 100, 3.0) == (0.5, 1e6) and hostrules.prior(None, 0, 0, 0, 0.0)[0] == 0
+    assert hostrules.prior(0.5, 4, 40, 400, 20.0)[1] == 0  # hosts fail in all or none
+    assert hostrules.prior(0.5, 4, 40, 400, 10.0)[1] > 1e5  # hosts are alike
+
+
+def test_new_queries_equal_their_sql(spark):
+    import os
+
+    import duckdb
+
+    c = duckdb.connect()
+    for n in os.listdir(SF):
+        c.execute(f"create view {n.split('.')[0]} as select * from '{SF}/{n}'")
+    for name in ("op11_dualtree", "op12_phrases", "op13_hostrules"):
+        got, want = queries.QUERIES[name](spark, SF), c.execute(queries.ORACLES[name])
+        names = [d[0] for d in want.description]
+        assert sorted(got.columns) == sorted(names)
+        assert Counter(tuple(r) for r in got.select(*names).collect()) == Counter(want.fetchall())
