@@ -17,11 +17,12 @@ whole. Empty tables give no rows. Ties are settled by the order given. Scores ar
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeforge.llm.common import dropped, shuffles_freed, small_batches, staged
@@ -65,10 +66,19 @@ def levels(w: Words, piece: np.ndarray, reached: np.ndarray):
         key, since = mixed(key * STEP + w.keys[at + k]), np.maximum(known[at], known[at + 1])
 
 
+def sent(spark: SparkSession, reached: np.ndarray):
+    """The table for tasks, compressed, as it is mostly empty."""
+    return spark.sparkContext.broadcast(zlib.compress(reached.tobytes(), 1))
+
+
+def unpacked(table) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(table.value), np.uint8)
+
+
 def counted(shard: DataFrame, table, scan: int, cycle: int) -> DataFrame:
     """``h, k, since, n``: what a scan counts of the phrases that are open."""
     def run(batches):
-        reached = np.frombuffer(table.value, np.uint8)
+        reached = unpacked(table)
         for batch in batches:
             for _, w, piece in chunks(batch):
                 for k, at, key, since, _ in levels(w, piece, reached):
@@ -81,14 +91,14 @@ def counted(shard: DataFrame, table, scan: int, cycle: int) -> DataFrame:
     return shard.mapInArrow(run, "h long, k short, since short, n long")
 
 
-def frequent_keys(texts: DataFrame, threshold: int, cycle: int, slots: int) -> bytes:
+def frequent_keys(texts: DataFrame, threshold: int, cycle: int, slots: int) -> np.ndarray:
     """The table of phrases of all lengths that reach the threshold, found by cyclic scans of the shards of ``texts``."""
     if not 0 < cycle <= 50:  # no phrase is open after LONGEST cycles, and scans are numbered in a byte
         raise ValueError(f"from 1 to 50 shards, not {cycle}")
     spark, reached, state = texts.sparkSession, np.zeros(slots, np.uint8), None
     scan = last = 1
     while scan < max(cycle + 1, last + cycle):
-        table = spark.sparkContext.broadcast(reached.tobytes())
+        table = sent(spark, reached)
         shard = texts.where(F.col("shard") == (scan - 1) % cycle).select("lang", "text")
         none = F.lit(None).cast("int")
         rows = counted(shard, table, scan, cycle).select("h", "k", "since", none.alias("reached"), F.lit(0).cast("long").alias("old"), F.col("n").alias("new"))
@@ -100,7 +110,7 @@ def frequent_keys(texts: DataFrame, threshold: int, cycle: int, slots: int) -> b
         merged = staged(merged.select("h", "k", "since", "reached", "n"), *([state] if state is not None else []))
         slot = F.col("h").bitwiseAND(slots - 1).cast("int").alias("slot")
         got = merged.where(F.col("reached") == scan + 1).groupBy(slot).agg(F.min("k").alias("k")).toArrow()  # one row for each slot at most
-        table.unpersist()
+        table.destroy()
         slot, k = got.column("slot").to_numpy(), got.column("k").to_numpy()
         fresh = reached[slot] == 0  # a slot stays as first set, so the cycle in which a phrase counts never changes
         reached[slot[fresh]] = scan + 1
@@ -110,13 +120,13 @@ def frequent_keys(texts: DataFrame, threshold: int, cycle: int, slots: int) -> b
         state.staged_path = before.staged_path
         scan += 1
     dropped(state)
-    return reached.tobytes()
+    return reached
 
 
 def tallied(table):
     """A function of batches of texts: their counts of the phrases in ``table``, and of all words as phrase of no word (k = 0)."""
     def run(batches):
-        reached = np.frombuffer(table.value, np.uint8)
+        reached = unpacked(table)
         for batch in batches:
             for lang, w, piece in chunks(batch):
                 lengths, phrases, numbers = [0], [b""], [len(w.keys)]
@@ -166,10 +176,10 @@ def mine(docs: DataFrame, threshold: int = 100, top: int = 2000, shards: int = S
     shard = F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int")  # by row: copies of a text spread evenly
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"), shard.alias("shard"))
     texts = staged(texts, by="shard")
-    table = spark.sparkContext.broadcast(frequent_keys(texts, threshold, shards, slots))
+    table = sent(spark, frequent_keys(texts, threshold, shards, slots))
     counts = occurrences(texts, table)
     frequent = staged(counts.where((F.col("n") >= threshold) | (F.col("k") == 0)), texts)
-    table.unpersist()
+    table.destroy()
     total = frequent.where("k = 0").select("lang", "n")
     frequent = frequent.where("k > 0")
     found = scored(frequent, total)

@@ -622,7 +622,7 @@ def test_phrase_keys_may_collide(spark, monkeypatch):
     monkeypatch.setattr(phrases, "mixed", lambda x: x & np.uint64(511))
 
     class All:
-        value = bytes([1]) * 1024
+        value = zlib.compress(bytes([1]) * 1024)
 
     run = phrases.tallied(All)
     got = Counter()
