@@ -48,8 +48,10 @@ QUICK = re.compile(rf"{CORE}|(?<![^\W\d_]){ALONE}\s+{ALONE}\s+{ALONE}{CLOSING}")
 RUN = re.compile(r"(.)\1{3,}", re.S)
 #: Longer tokens (after runs are cut to three) are decoded like others, but not cached.
 LONGEST = 64
-#: From so many (state, reading) pairs on, a step of the lattice is done by numpy, with the same result.
+#: From so many (state, reading) pairs on, the rest of the lattice is worked on as arrays of all states, with the same result.
 WIDE = 2000
+#: Characters of which such a lattice keeps back pointers (22 KB each).
+BLOCK, STAY = 2048, 255
 LM_KEEP = 4.0
 #: Bytes of a word's beginning.
 STEM = 6
@@ -91,6 +93,7 @@ class Restorer:
     def __init__(self, lm: bytes):
         self.probs = np.frombuffer(lm, np.float32).astype(float)
         self.lm, self.cache = self.probs.tolist(), {}
+        self.turned = self.probs.reshape(A, A, A, A).transpose(1, 2, 3, 0).reshape(A * A, A, A)
 
     def options(self, c: str, before: str, run: bool) -> list[tuple[int, float]]:
         """Readings of one character: a code, or -1 for nothing, and its log-cost. run: it stands in a run of three."""
@@ -116,47 +119,72 @@ class Restorer:
             self.cache[token] = out
         return out
 
-    def wide(self, states: dict, options: list[tuple[int, float]]) -> dict:
-        """A step of ``decode`` over many states."""
-        s, score = np.array(list(states)), np.array([x for x, _ in states.values()])
-        code, cost = np.array([c for c, _ in options]), np.array([c for _, c in options])
-        at = s[:, None] * A + np.maximum(code, 0)
-        x = score[:, None] + cost
-        x = np.where(code < 0, x, x + self.probs[at]).ravel()
-        t = np.where(code < 0, s[:, None], at % A**3).ravel()
-        best = np.full(A**3, -np.inf)
-        np.maximum.at(best, t, x)
-        top, seen = np.zeros(A**3, int), np.zeros(A**3, int)
-        seen[t[::-1]] = np.arange(len(t))[::-1]  # states in the order in which they are met; the first of equal readings wins
-        hit = np.flatnonzero(x == best[t])[::-1]
-        top[t[hit]] = hit
-        order = t[np.sort(seen[np.unique(t)])]
-        paths, out = [p for _, p in states.values()], {}
-        for u, i, v in zip(order.tolist(), top[order].tolist(), best[order].tolist(), strict=True):
-            c = options[i % len(options)][0]
-            out[u] = (v, paths[i // len(options)] if c < 0 else (paths[i // len(options)], c))
-        return out
+    def step(self, score: np.ndarray, options: list[tuple[int, float]]) -> tuple[np.ndarray, np.ndarray]:
+        """A step of ``decode`` over all states at once: scores, and for each state the first character of the one before it
+        (``STAY`` where the character was read as nothing)."""
+        codes, cost = [c for c, _ in options if c >= 0], np.array([x for c, x in options if c >= 0])
+        before = score.reshape(A, A * A)
+        live = np.flatnonzero((before > -np.inf).any(0))  # pairs of last characters that occur
+        x = self.turned[live[:, None], codes] + before[:, live].T[:, None]
+        first = x.argmax(-1)
+        after, back = np.full((A * A, A), -np.inf), np.full((A * A, A), STAY, np.uint8)
+        after[live[:, None], codes] = x.reshape(-1, A)[np.arange(first.size), first.ravel()].reshape(first.shape) + cost
+        back[live[:, None], codes] = first
+        after, back = after.ravel(), back.ravel()
+        for stay in (score + x for c, x in options if c < 0):
+            better = stay > after
+            after[better], back[better] = stay[better], STAY
+        return after, back
+
+    def dense(self, options: list[list[tuple[int, float]]], states: dict) -> tuple:
+        """The likeliest path from ``states`` on; back pointers are kept for ``BLOCK`` characters, and made again from there for more."""
+        score, marks, back = np.full(A**3, -np.inf), [], []
+        score[list(states)] = [x for x, _ in states.values()]
+        for i, o in enumerate(options):
+            if i % BLOCK == 0:
+                marks.append(score)
+                back = []
+            score, way = self.step(score, o)
+            back.append(way)
+        s, codes = int((score + self.probs.reshape(-1, A)[:, 0]).argmax()), []
+        for b in reversed(range(len(marks))):
+            if b < len(marks) - 1:
+                score, back = marks[b], []
+                for o in options[b * BLOCK : (b + 1) * BLOCK]:
+                    score, way = self.step(score, o)
+                    back.append(way)
+            for way in reversed(back):
+                if way[s] != STAY:
+                    codes.append(s % A)
+                    s = int(way[s]) * A * A + s // A
+        path = states[s][1]
+        for c in reversed(codes):
+            path = (path, c)
+        return path
 
     def decode(self, token: str) -> list[bytes]:
-        lm, before = self.lm, ""
+        lm = self.lm
         states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
-        for i, c in enumerate(token):
+        options = lambda i: self.options(token[i], token[i - 1] if i else "", token[i] * 3 in token[max(0, i - 2) : i + 3])
+        path = None
+        for i in range(len(token)):
             after: dict[int, tuple[float, tuple | None]] = {}
-            options = self.options(c, before, c * 3 in token[max(0, i - 2) : i + 3])
-            if len(states) * len(options) > WIDE:
-                states, before = self.wide(states, options), c
-                continue
-            for s, (score, path) in states.items():
-                for code, cost in options:
+            read = options(i)
+            if len(states) * len(read) > WIDE:
+                path = self.dense([options(j) for j in range(i, len(token))], states)
+                break
+            for s, (score, way) in states.items():
+                for code, cost in read:
                     if code < 0:
-                        t, x, way = s, score + cost, path
+                        t, x, new = s, score + cost, way
                     else:
                         t = (s * A + code) % A**3
-                        x, way = score + cost + lm[s * A + code], (path, code)
+                        x, new = score + cost + lm[s * A + code], (way, code)
                     if t not in after or after[t][0] < x:
-                        after[t] = (x, way)
-            states, before = after, c
-        path = max(((x + lm[s * A], str(s), p) for s, (x, p) in states.items()), key=lambda y: y[:2])[2]
+                        after[t] = (x, new)
+            states = after
+        else:
+            path = max(((x + lm[s * A], str(s), p) for s, (x, p) in states.items()), key=lambda y: y[:2])[2]
         codes = []
         while path:
             path, code = path

@@ -316,7 +316,9 @@ def test_toxicity_reads_ends_and_long_tokens(spark):
         wide, toxicity.WIDE = toxicity.WIDE, 10**9
         narrow, toxicity.WIDE = r.decode(token), 0
         assert r.decode(token) == narrow
-        toxicity.WIDE = wide
+        block, toxicity.BLOCK = toxicity.BLOCK, 3  # back pointers are made again
+        assert r.decode(token) == narrow
+        toxicity.WIDE, toxicity.BLOCK = wide, block
 
 
 def test_toxicity_viterbi_equals_all_readings(spark):
