@@ -26,7 +26,7 @@ class Check:
     warn_high: float | None = None
 
 
-SPEC = "tier string, name string, metric string, column string, valid string, fail_low double, fail_high double, warn_low double"
+SPEC = "tier string, name string, metric string, column string, valid string, fail_low double, fail_high double, warn_low double, warn_high double"
 
 
 def compiled(spec: DataFrame) -> list[Check]:
@@ -64,6 +64,14 @@ def outcome(value: Column, check: Check) -> Column:
     return F.when(value.isNull(), "error").when(beyond(check.fail_low, check.fail_high), "fail").when(beyond(check.warn_low, check.warn_high), "warn").otherwise("pass")
 
 
+def judged(value, check: Check) -> str:
+    """:func:`outcome` of a value that is known."""
+    beyond = lambda low, high: low is not None and value < low or high is not None and value > high
+    if value is None:
+        return "error"
+    return "fail" if beyond(check.fail_low, check.fail_high) else "warn" if beyond(check.warn_low, check.warn_high) else "pass"
+
+
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """``tier, check_name, column_name, metric, value, outcome``; a check on an absent column is an error."""
     known = set(df.columns)
@@ -76,10 +84,12 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         parts.append(wide.select(F.inline(F.array(*(row(c, F.col(f"m{i}")) for i, c in enumerate(plain))))))
     twice = [c for c in ok if c.metric.startswith("duplicate")]
     if twice:
-        counted = duplicates(df, sorted({c.column for c in twice}))
-        for c in twice:
-            value = F.col("duplicates").cast("double") if c.metric == "duplicate_count" else 100.0 * F.col("duplicates") / F.col("rows")
-            parts.append(counted.where(F.col("column") == c.column).select(F.inline(F.array(row(c, value)))))
+        columns = sorted({c.column for c in twice})
+        of = lambda c, field: F.max(F.when(F.col("column") == c, F.col(field)))
+        counted = duplicates(df, columns).agg(*(of(c, f).alias(f"{i}{f}") for i, c in enumerate(columns) for f in ("duplicates", "rows")))
+        n = lambda c, field: F.coalesce(F.col(f"{columns.index(c.column)}{field}"), F.lit(0))
+        value = lambda c: n(c, "duplicates").cast("double") if c.metric == "duplicate_count" else F.try_divide(100.0 * n(c, "duplicates"), n(c, "rows"))
+        parts.append(counted.select(F.inline(F.array(*(row(c, value(c)) for c in twice)))))
     absent = [c for c in checks if c.column and c.column not in known]
     if absent:
         parts.append(df.sparkSession.range(1).select(F.inline(F.array(*(row(c, F.lit(None).cast("double")) for c in absent)))))

@@ -163,9 +163,9 @@ def matches(changes: DataFrame, rule_table: DataFrame) -> DataFrame:
 
 
 def best_rule(matched: DataFrame) -> DataFrame:
-    """The most specific rule for each change; ties by rule type, then id."""
+    """The most specific rule for each change; ties by rule type, then by time of creation where rules have one, then id."""
     score = F.when(F.col("rule_type") != "any", 10).otherwise(0) + sum(F.when(F.col(c) != "any", p).otherwise(0) for c, p in (("from_constraint", 5), ("to_constraint", 5), ("category", 3)))
-    w = Window.partitionBy("table_name", "name", "change_type").orderBy(F.desc("score"), "rule_type", "rule_id")
+    w = Window.partitionBy("table_name", "name", "change_type").orderBy(F.desc("score"), "rule_type", *(["created_at"] if "created_at" in matched.columns else []), "rule_id")
     return matched.withColumn("score", score).withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.observation import Observation
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def incomplete(ids: DataFrame, states: DataFrame, key: str, completed: str = "completed") -> DataFrame:
@@ -51,29 +54,40 @@ def rehydrate(results: DataFrame, completed: DataFrame, key: str) -> DataFrame:
 def fresh_lookup(requests: DataFrame, cached: DataFrame, key: Sequence[str], ts: str, ttl_seconds: int, value: str) -> DataFrame:
     """Each request with the newest cached value of its key that is older than the request by at most ``ttl_seconds``.
 
-    A running last value over both sides together: one shuffle by key and no pairs of requests and entries.
+    Both sides are cut into stretches of the time to live. An entry goes to its own stretch and the next one, so a request finds
+    all that can be fresh in its own; a running last value over both sides together then needs no pairs, and a hot key
+    is as many groups as it has stretches. A null key matches nothing.
     """
-    t = F.unix_micros(F.col(ts).cast("timestamp"))
-    a = requests.select("*", t.alias("__t"), F.lit(1).alias("__side"), F.lit(None).cast(cached.schema[value].dataType).alias("__v"), F.lit(None).cast("long").alias("__at"))
-    b = cached.select(*(F.col(c) if c in key else F.lit(None).cast(requests.schema[c].dataType).alias(c) for c in requests.columns), t.alias("__t"), F.lit(0).alias("__side"), F.col(value).alias("__v"), t.alias("__at"))
-    w = Window.partitionBy(*key).orderBy("__t", F.desc("__side")).rowsBetween(Window.unboundedPreceding, -1)
+    t, ttl = F.unix_micros(F.col(ts).cast("timestamp")), ttl_seconds * 1_000_000
+    stretch = F.floor(F.col("__t") / ttl)
+    a = requests.select("*", t.alias("__t"), F.lit(1).alias("__side"), F.lit(None).cast(cached.schema[value].dataType).alias("__v"), F.lit(None).cast("long").alias("__at")).withColumn("__stretch", stretch)
+    b = cached.where(" and ".join(f"`{k}` is not null" for k in [*key, ts])).select(*(F.col(c) if c in key else F.lit(None).cast(requests.schema[c].dataType).alias(c) for c in requests.columns), t.alias("__t"), F.lit(0).alias("__side"), F.col(value).alias("__v"), t.alias("__at"))
+    b = b.withColumn("__stretch", F.explode(F.array(stretch, stretch + 1)))
+    w = Window.partitionBy(*key, "__stretch").orderBy("__t", F.desc("__side")).rowsBetween(Window.unboundedPreceding, -1)
     both = a.unionByName(b).withColumn("hit", F.last("__v", ignorenulls=True).over(w)).withColumn("__hit_at", F.last("__at", ignorenulls=True).over(w))
-    ok = F.col("__t") - F.col("__hit_at") <= ttl_seconds * 1_000_000
-    return both.where("__side = 1").withColumn("hit", F.when(ok, F.col("hit"))).drop("__t", "__side", "__v", "__at", "__hit_at")
+    ok = F.col("__t") - F.col("__hit_at") <= ttl
+    return both.where("__side = 1").withColumn("hit", F.when(ok, F.col("hit"))).drop("__t", "__side", "__v", "__at", "__hit_at", "__stretch")
 
 
-def usage(log: DataFrame, by: str, ts: str, seconds: int, limit: int) -> DataFrame:
+def usage(log: DataFrame, by: str, ts: str, seconds: int, limit: int, stretch: int = 86_400) -> DataFrame:
     """Requests in the trailing window (bound included) of each request, and whether that is within the limit.
 
-    Counted by second first, then in stretches of the window's length, each with the one before it: a task has at most two
-    rows for each second of the window, however large a group is.
+    A sweep: the requests of a second come in at it and go out after the window, so usage is one running sum. Groups are cut
+    into stretches of time, each with the sum of those before it carried in; work is linear, and a task has at most two
+    rows for each second of a stretch, however large a group is. Requests without a time only see each other.
     """
-    log = log.withColumn("__s", F.unix_timestamp(F.col(ts).cast("timestamp")))
-    each = log.groupBy(by, "__s").agg(F.count("*").alias("__n")).withColumn("__own", F.explode(F.array(F.lit(True), F.lit(False))))
-    stretch = F.floor(F.col("__s") / seconds) + F.when(F.col("__own"), 0).otherwise(1)
-    w = Window.partitionBy(by, "__stretch").orderBy("__s").rangeBetween(-seconds, 0)
-    used = each.withColumn("__stretch", stretch).withColumn("used", F.sum("__n").over(w)).where("__own").select(F.col(by).alias("__by"), F.col("__s").alias("__at"), "used")
-    joined = log.join(used, F.col(by).eqNullSafe(F.col("__by")) & F.col("__s").eqNullSafe(F.col("__at")))
+    second = F.unix_timestamp(F.col(ts).cast("timestamp"))
+    each = log.groupBy(F.col(by).alias("__by"), second.alias("__at")).agg(F.count("*").alias("__n"))
+    step = F.explode(F.array(F.struct(F.col("__at").alias("at"), F.col("__n").alias("n"), F.lit(True).alias("own")), F.struct((F.col("__at") + seconds + 1).alias("at"), (-F.col("__n")).alias("n"), F.lit(False).alias("own"))))
+    steps = each.select("__by", step.alias("x")).select("__by", "x.*").where("own or at is not null").withColumn("__stretch", F.floor(F.col("at") / stretch))
+    whole = steps.groupBy("__by", "__stretch").agg(F.sum("n").alias("sum"))
+    earlier = Window.partitionBy("__by", F.col("__stretch").isNull()).orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
+    carried = whole.select(F.col("__by").alias("__of"), F.col("__stretch").alias("__in"), F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("before"))
+    running = F.sum("n").over(Window.partitionBy("__by", "__stretch").orderBy("at"))  # with all steps at the same second
+    inside = steps.withColumn("inside", running).where("own")
+    known = inside.join(carried, F.col("__by").eqNullSafe(F.col("__of")) & F.col("__stretch").eqNullSafe(F.col("__in")))
+    used = known.select("__by", F.col("at").alias("__at"), (F.col("inside") + F.col("before")).alias("used"))
+    joined = log.withColumn("__s", second).join(used, F.col(by).eqNullSafe(F.col("__by")) & F.col("__s").eqNullSafe(F.col("__at")))
     return joined.withColumn("within", F.col("used") < limit).drop("__s", "__by", "__at")
 
 
@@ -90,6 +104,30 @@ def union_sources(sources: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def union_isolated(sources: Mapping[str, Callable[[], DataFrame]], schema: StructType, folder: str) -> tuple[DataFrame, DataFrame]:
+    """All sources that can be read and cast to ``schema``, with a ``source`` column, and a status row of each source.
+
+    Each source is made and stored by itself below ``folder``, so one that fails, whether when it is opened or at some row,
+    leaves the others as they are: ``source, status (loaded, failed), rows, error``.
+    """
+    spark, out, said = SparkSession.active(), None, []
+    for name, make in sources.items():
+        seen, path = Observation(), f"{folder}/{name}"
+        try:
+            df = make()
+            rows = df.select(*(F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema))
+            rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+        except PySparkException as e:
+            said.append((name, "failed", None, e.getCondition() or str(e).splitlines()[0]))
+            continue
+        said.append((name, "loaded", seen.get["n"], None))
+        stored = spark.read.schema(schema).parquet(path).withColumn("source", F.lit(name))
+        out = stored if out is None else out.unionAll(stored)
+    if out is None:
+        out = spark.createDataFrame([], StructType([*schema.fields, StructField("source", StringType())]))
+    return out, spark.createDataFrame(said, "source string, status string, rows long, error string")
+
+
 # Data Vault
 
 def hash_key(*columns: Column) -> Column:

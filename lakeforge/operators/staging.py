@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+
+from lakeforge.sources.sinks import constrained
 
 # Columns of the staging and audit tables as (source, target, kind).
 STAGE = (
@@ -46,6 +49,66 @@ AUDIT = (
     ("payload_results", "payload_results", "json"),
     ("audit_schema_hash_value", "audit_schema_hash_value", "string"),
 )
+# Columns of the stored staging table (key eid) and of the audit table that keeps reprocessing (key load_id), in order.
+STAGE_TABLE = (
+    ("load_id", "string"),
+    ("scopus_schema_version", "int"),
+    ("scopus_schema_hash_value", "string"),
+    ("scopus_schema_report", "string"),
+    ("checksum_status", "string"),
+    ("checksum_timestamp", "timestamp_ntz"),
+    ("checksum_report", "string"),
+    ("checksum_value", "string"),
+    ("data_source", "string"),
+    ("eid", "string"),
+    ("title", "string"),
+    ("first_author", "string"),
+    ("journal_name", "string"),
+    ("issn", "string"),
+    ("eissn", "string"),
+    ("journal_volume", "int"),
+    ("journal_issue", "string"),
+    ("journal_page_range", "string"),
+    ("publication_date", "date"),
+    ("doi", "string"),
+    ("abstract", "string"),
+    ("citations", "int"),
+    ("affiliations", "string"),
+    ("pubmed_id", "bigint"),
+    ("publishing_format", "string"),
+    ("document_type", "string"),
+    ("author_count", "string"),
+    ("authors", "string"),
+    ("publication_keywords", "string"),
+    ("funder_source_id", "string"),
+    ("funder_acronym", "string"),
+    ("funder_number", "string"),
+    ("funder_name", "string"),
+    ("open_access_flag", "boolean"),
+    ("open_access_status", "string"),
+)
+AUDIT_TABLE = (
+    ("load_id", "string"),
+    ("data_source", "string"),
+    ("ingest_timestamp", "timestamp_ntz"),
+    ("query_parameters", "string"),
+    ("audit_schema_version", "int"),
+    ("audit_schema_checksum", "string"),
+    ("checksum_status", "string"),
+    ("checksum_timestamp", "timestamp_ntz"),
+    ("checksum_report", "string"),
+    ("ingestion_time", "double"),
+    ("validation_status", "string"),
+    ("validation_errors", "string"),
+    ("validation_fails", "string"),
+    ("validation_summary", "string"),
+    ("dq_report", "string"),
+    ("payload_files", "string"),
+    ("payload_results", "string"),
+    ("is_reprocessed", "boolean"),
+    ("original_processing_timestamp", "timestamp_ntz"),
+    ("reprocessing_reason", "string"),
+)
 AUDIT_VERSION = 1
 TOLERANT = ("int", "bigint", "date")
 
@@ -71,3 +134,22 @@ def stage(entries: DataFrame) -> DataFrame:
 def audit(manifests: DataFrame) -> DataFrame:
     """Manifests (JSON parts as text) as rows of the audit table, 9 columns."""
     return project(manifests, AUDIT).withColumn("audit_schema_version", F.lit(AUDIT_VERSION))
+
+
+def schema_of(columns, key: str) -> StructType:
+    """A table's schema, in which only the key is not nullable."""
+    return StructType([StructField(name, _parse_datatype_string(kind), name != key) for name, kind in columns])
+
+
+def staged_table(staged: DataFrame) -> DataFrame:
+    """Staged rows in all 35 columns of the stored table; a null or repeated ``eid`` stops the write."""
+    return constrained(staged, schema_of(STAGE_TABLE, "eid"), ["eid"])
+
+
+def enrich(audits: DataFrame, at: Column) -> DataFrame:
+    """Audit rows by name in the 20 columns of the table that keeps reprocessing: first processed ``at``, not reprocessed, no reason.
+
+    A null or repeated ``load_id`` stops the write.
+    """
+    rows = audits.withColumnRenamed("audit_schema_hash_value", "audit_schema_checksum").withColumn("original_processing_timestamp", at)
+    return constrained(rows, schema_of(AUDIT_TABLE, "load_id"), ["load_id"], {"is_reprocessed": False})

@@ -82,11 +82,11 @@ def _(t):
     return sized.agg(F.count("*").alias("files"), F.bool_and(F.col("size_kb") > 0).alias("all_sized"))
 
 
-@query("scan_check_spec", "select 'known' as check_name, cast(count(*) filter (event_type not in ('click', 'view')) as double) as value, case when count(*) filter (event_type not in ('click', 'view')) > 0 then 'fail' else 'pass' end as outcome from events union all select 'low', min(value), case when min(value) < 0 then 'fail' when min(value) < 1 then 'warn' else 'pass' end from events union all select 'users', cast(count(*) filter (user_id is null) as double), case when count(*) filter (user_id is null) > 0 then 'fail' else 'pass' end from events")
+@query("scan_check_spec", "select 'known' as check_name, cast(count(*) filter (event_type not in ('click', 'view')) as double) as value, case when count(*) filter (event_type not in ('click', 'view')) > 0 then 'fail' else 'pass' end as outcome from events union all select 'low', min(value), case when min(value) < 0 then 'fail' when min(value) < 1 then 'warn' else 'pass' end from events union all select 'users', cast(count(*) filter (user_id is null) as double), case when count(*) filter (user_id is null) > 0 then 'fail' else 'pass' end from events union all select 'high', max(value), case when max(value) > 1 then 'warn' else 'pass' end from events")
 def _(t):
     """Checks written as rows of JSON, read back and compiled to one aggregate."""
     path = scratch(t.spark, "checks")
-    spec = [("quality", "known", "invalid_count", "event_type", "event_type in ('click', 'view')", None, 0.0, None), ("quality", "low", "min", "value", None, 0.0, None, 1.0), ("critical", "users", "missing_count", "user_id", None, None, 0.0, None)]
+    spec = [("quality", "known", "invalid_count", "event_type", "event_type in ('click', 'view')", None, 0.0, None, None), ("quality", "low", "min", "value", None, 0.0, None, 1.0, None), ("critical", "users", "missing_count", "user_id", None, None, 0.0, None, None), ("monitoring", "high", "max", "value", None, None, None, None, 1.0)]
     t.spark.createDataFrame(spec, dq.SPEC).write.json(path)
     return dq.run_checks(t.events, dq.compiled(t.spark.read.schema(dq.SPEC).json(path))).select("check_name", "value", "outcome")
 
@@ -138,9 +138,12 @@ def _(t):
 
 @query("sink_run_status", f"select case when i = 0 then 'idempotent' when i = n then 'all_new' else 'partial' end as status, cast(i as bigint) as inserted, n - cast(i as bigint) as skipped, n as total from (select sum(case when d % 2 = 0 then 1 else 0 end) as i, count(*) as n from ({AUDIT}))")
 def _(t):
-    a = audits(t)
-    marked = a.join(a.where("d % 2 = 1").select("load_id", F.lit(1).alias("there")), "load_id", "left").agg(F.count_if(F.col("there").isNull()).alias("inserted"), F.count("*").alias("total"))
-    return marked.select(K.run_status(F.col("inserted"), F.col("total")).alias("status"), "inserted", (F.col("total") - F.col("inserted")).alias("skipped"), "total")
+    """The counts come from the write that appends the missing rows."""
+    a, path = audits(t), scratch(t.spark, "audit")
+    target = K.reload(a.where("d % 2 = 1").select("load_id", "orders"), path)
+    n = K.append_missing(target, a.select("load_id", "orders"), ["load_id"], path)
+    one = t.spark.range(1).select(*(F.lit(n[c]).cast("long").alias(c) for c in ("inserted", "skipped", "total")))
+    return one.select(K.run_status(F.col("inserted"), F.col("total")).alias("status"), "inserted", "skipped", "total")
 
 
 @query("sink_version_flip", "select user_id, event_id, row_number() over (partition by user_id order by event_id desc) = 1 as is_current from events")
@@ -177,10 +180,11 @@ def _(t):
     return t.spark.read.parquet(path).select("event_id", "yyyymm", "dd")
 
 
-@query("sink_typed_table", "select c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey, cast(null as double) as score from customer")
+@query("sink_typed_table", "select c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey, cast(0 as double) as score from customer")
 def _(t):
-    schema = StructType([StructField("c_custkey", LongType()), StructField("c_name", StringType()), StructField("c_nationkey", LongType()), StructField("score", DoubleType())])
-    return K.typed(t.customer, schema)
+    """A key that is never null or repeated, and a default for a column that the source lacks."""
+    schema = StructType([StructField("c_custkey", LongType(), False), StructField("c_name", StringType()), StructField("c_nationkey", LongType()), StructField("score", DoubleType())])
+    return K.constrained(t.customer, schema, ["c_custkey"], {"score": 0.0})
 
 
 # scalar functions
@@ -287,10 +291,14 @@ def _(t):
     return staging.stage(e)
 
 
+def manifests(t: Tables) -> DataFrame:
+    a = audits(t)
+    return a.select("load_id", F.lit("orders").alias("data_source"), F.regexp_replace("load_id", r"(\d{4})(\d\d)(\d\d)", "$1-$2-$3 00:00:00").alias("ingest_timestamp"), F.to_json(F.struct(F.col("orders").alias("n"))).alias("query_parameters"), (F.col("orders") / 4).alias("ingestion_time"), F.to_json(F.array(F.concat("load_id", F.lit(".json")))).alias("payload_files"), F.md5(F.col("load_id").cast("binary")).alias("audit_schema_hash_value"))
+
+
 @query("audit_projection", f"select load_id, 'orders' as data_source, cast(strptime(load_id, '%Y%m%d') as timestamp) as ingest_timestamp, '{{\"n\":' || orders || '}}' as query_parameters, 1 as audit_schema_version, cast(orders as double) / 4 as ingestion_time, '[\"' || load_id || '.json\"]' as payload_files, cast(null as varchar) as payload_results, md5(load_id) as audit_schema_hash_value from ({AUDIT})")
 def _(t):
-    a = audits(t)
-    return staging.audit(a.select("load_id", F.lit("orders").alias("data_source"), F.regexp_replace("load_id", r"(\d{4})(\d\d)(\d\d)", "$1-$2-$3 00:00:00").alias("ingest_timestamp"), F.to_json(F.struct(F.col("orders").alias("n"))).alias("query_parameters"), (F.col("orders") / 4).alias("ingestion_time"), F.to_json(F.array(F.concat("load_id", F.lit(".json")))).alias("payload_files"), F.md5(F.col("load_id").cast("binary")).alias("audit_schema_hash_value")))
+    return staging.audit(manifests(t))
 
 
 @query("nest_to_json", "select '2-s2.0-' || o_orderkey as eid, '{\"value\":[{\"$\":\"' || o_orderstatus || '\"}]}' as label from orders where o_orderkey in (select l_orderkey from lineitem)")
@@ -457,9 +465,9 @@ def _(t):
     return g.select("event_type", low.alias("low"), high.alias("high"), (F.col("n") + 5).cast("long").alias("max_length"))
 
 
-@query("audit_enrich", f"select load_id, orders, false as is_reprocessed, timestamp '2024-01-01' as original_processing_timestamp, cast(null as varchar) as reprocessing_reason from ({AUDIT})")
+@query("audit_enrich", f"select load_id, 'orders' as data_source, cast(strptime(load_id, '%Y%m%d') as timestamp) as ingest_timestamp, '{{\"n\":' || orders || '}}' as query_parameters, 1 as audit_schema_version, md5(load_id) as audit_schema_checksum, null::varchar as checksum_status, null::timestamp as checksum_timestamp, null::varchar as checksum_report, cast(orders as double) / 4 as ingestion_time, null::varchar as validation_status, null::varchar as validation_errors, null::varchar as validation_fails, null::varchar as validation_summary, null::varchar as dq_report, '[\"' || load_id || '.json\"]' as payload_files, null::varchar as payload_results, false as is_reprocessed, timestamp '2024-01-01' as original_processing_timestamp, null::varchar as reprocessing_reason from ({AUDIT})")
 def _(t):
-    return audits(t).select("load_id", "orders", F.lit(False).alias("is_reprocessed"), F.expr("timestamp_ntz '2024-01-01 00:00:00'").alias("original_processing_timestamp"), F.lit(None).cast("string").alias("reprocessing_reason"))
+    return staging.enrich(staging.audit(manifests(t)), F.expr("timestamp_ntz '2024-01-01 00:00:00'"))
 
 
 @query("entity_status", "select user_id, case when sum(case when event_type = 'error' then 1 else 0 end) > 0 then 'failed' else 'completed' end as status from events group by 1")

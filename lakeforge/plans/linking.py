@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from lakeforge.operators import relational as J
 from lakeforge.plans.fixtures import PAGES_SQL, pages, states
 from lakeforge.plans.landing import AUDIT, audits
 from lakeforge.plans.registry import Tables, query
 from lakeforge.sources import sinks as K
+from lakeforge.sources.scratch import scratch
 
 
 @query("anti_incomplete", "select user_id, event_id from events where user_id % 3 = 0")
@@ -55,8 +57,9 @@ def _(t):
 
 @query("semi_cited_dois", "select p_partkey from part where p_partkey in (select l_partkey from lineitem join orders on l_orderkey = o_orderkey where o_orderstatus = 'F')")
 def _(t):
-    cited = t.lineitem.join(t.orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi").groupBy("l_orderkey").agg(F.collect_list("l_partkey").alias("ids"))
-    return t.part.select("p_partkey").join(cited.select(F.explode("ids").alias("p_partkey")), "p_partkey", "left_semi")
+    closed = t.orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
+    cited = t.lineitem.join(closed, "l_orderkey", "left_semi").select(F.col("l_partkey").alias("p_partkey"))
+    return t.part.select("p_partkey").join(cited, "p_partkey", "left_semi")
 
 
 @query("coverage_join", "select count(*) as requested, count(hit) as matched, count(*) - count(hit) as unmatched, round(100.0::double * count(hit) / count(*), 2) as rate from (select distinct doc_id from documents) left join (select distinct doc_id, 1 as hit from labels) using (doc_id)")
@@ -73,7 +76,7 @@ def _(t):
 @query("file_manifest_join", f"select load_id, cast(entity_id as varchar) || '_' || page_number as file, case when event_id % 3 = 0 then cast(length(props) as bigint) end as size from ({PAGES_SQL})")
 def _(t):
     p = pages(t).withColumn("file", F.concat_ws("_", F.col("entity_id").cast("string"), F.col("page_number").cast("string")))
-    names = p.groupBy("load_id").agg(F.collect_list("file").alias("files")).select("load_id", F.explode("files").alias("file"))
+    names = p.select("load_id", "file")
     stats = p.where("event_id % 3 = 0").select("load_id", "file", F.length("props").cast("long").alias("size"))
     return names.join(stats, ["load_id", "file"], "left")
 
@@ -141,8 +144,7 @@ def _(t):
 
 @query("union_doi_sets", "select count(distinct l_partkey) as n from lineitem")
 def _(t):
-    a = t.lineitem.groupBy("l_orderkey").agg(F.collect_set("l_partkey").alias("ids"))
-    return a.select(F.explode("ids").alias("id")).distinct().agg(F.count("*").alias("n"))
+    return t.lineitem.select("l_partkey").distinct().agg(F.count("*").alias("n"))
 
 
 @query("missing_in_destination", "select doc_id from documents except select doc_id from labels")
@@ -175,7 +177,16 @@ def _(t):
 
 @query("multi_source_union", "select c_custkey as id, c_mktsegment as segment, null::bigint as size, 'customer' as source from customer union all select p_partkey, null, p_size, 'part' from part")
 def _(t):
-    return J.union_sources({"customer": t.customer.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment")), "part": t.part.select(F.col("p_partkey").alias("id"), F.col("p_size").cast("long").alias("size"))})
+    """Two sources that load; one that is not there and one with a value that is no number do not."""
+    schema = StructType([StructField("id", LongType()), StructField("segment", StringType()), StructField("size", LongType())])
+    sources = {
+        "customer": lambda: t.customer.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment")),
+        "absent": lambda: t.spark.read.parquet(scratch(t.spark, "absent")),
+        "part": lambda: t.part.select(F.col("p_partkey").alias("id"), F.col("p_size").alias("size")),
+        "broken": lambda: t.customer.select(F.col("c_name").alias("id")),
+    }
+    rows, _ = J.union_isolated(sources, schema, scratch(t.spark, "sources"))
+    return rows
 
 
 @query("dedup_content_hash", "select user_id, min(event_id) as event_id from events group by user_id, props")

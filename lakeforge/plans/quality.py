@@ -11,6 +11,8 @@ from lakeforge.operators import dq, profile, registry
 from lakeforge.plans.fixtures import PAGES_SQL, pages, states
 from lakeforge.plans.landing import AUDIT, audits
 from lakeforge.plans.registry import Tables, query
+from lakeforge.sources import sinks as K
+from lakeforge.sources.scratch import scratch
 
 
 def holey(t: Tables) -> DataFrame:
@@ -121,7 +123,10 @@ def _(t):
 
 @query("range_extract", "select event_id, event_type from events where ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-12' and event_type = 'click'")
 def _(t):
-    return t.events.where("ts >= timestamp_ntz '2024-01-10 00:00:00' and ts < timestamp_ntz '2024-01-12 00:00:00' and event_type = 'click'").select("event_id", "event_type")
+    """From a dated layout, of which only the days' folders are read."""
+    path = scratch(t.spark, "dated")
+    K.write_dated(t.events, "ts", path)
+    return K.read_range(t.spark, path, "ts", "2024-01-10", "2024-01-12").where("event_type = 'click'").select("event_id", "event_type")
 
 
 @query("whitespace_rows", "select event_id, length(v) as n, length(trim(v)) as trimmed from (select event_id, case when event_id % 11 = 3 then ' x ' else event_type end as v from events) where v <> trim(v)")
@@ -300,7 +305,7 @@ def _(t):
 def _(t):
     a = t.customer.where("c_custkey % 10 <> 2")
     b = t.customer.where("c_custkey % 10 <> 1").withColumn("c_acctbal", F.when(F.col("c_custkey") % 10 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")))
-    return profile.diff_rows(a, b, ["c_custkey"])
+    return profile.diff_by_range(a, b, "c_custkey", 64)
 
 
 # manifests

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.observation import Observation
 from pyspark.sql.types import StructType
 
 
@@ -80,9 +81,52 @@ def report_names(df: DataFrame, table: str, load: str, ts: str) -> DataFrame:
     return named.withColumn("report", F.when(F.col("__n") > 0, F.concat_ws("_", "report", F.col("__n").cast("string"))).otherwise(F.col("report"))).drop("__n")
 
 
+def read_range(spark: SparkSession, path: str, ts: str, low: str, high: str) -> DataFrame:
+    """Rows of a dated table with ``low <= ts < high``; only the days' folders are read."""
+    day = F.col("yyyymm") * 100 + F.col("dd")
+    bound = lambda x: int(x[:10].replace("-", ""))
+    time = lambda x: F.lit(x).cast("timestamp_ntz")
+    return spark.read.parquet(path).where((day >= bound(low)) & (day <= bound(high)) & (F.col(ts) >= time(low)) & (F.col(ts) < time(high))).drop("yyyymm", "dd")
+
+
+def read_days(spark: SparkSession, path: str, days: DataFrame) -> DataFrame:
+    """Rows of a dated table of the days in ``days`` (``yyyymm, dd``), found at run time; only their folders are read."""
+    return spark.read.parquet(path).join(days.distinct(), ["yyyymm", "dd"], "left_semi").drop("yyyymm", "dd")
+
+
 def write_reports(df: DataFrame, path: str) -> None:
     df.write.mode("append").partitionBy("load_id").json(path)
 
 
 def write_sorted_ids(ids: DataFrame, path: str) -> None:
     ids.select(F.col("id").cast("string")).orderBy("id").write.mode("overwrite").text(path)
+
+
+def constrained(df: DataFrame, schema: StructType, key: Sequence[str], defaults: Mapping[str, object] = {}) -> DataFrame:
+    """``df`` in a fixed schema: defaults for what is null or absent; a null in a column that is not nullable, and a key that
+    rows share, stop the job that writes it."""
+    rows = typed(df, schema).withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(schema[c].dataType)) for c, v in defaults.items()})
+    needed = [f.name for f in schema if not f.nullable]
+    rows = rows.withColumns({c: F.coalesce(F.col(c), F.raise_error(F.lit(f"null in {c}")).cast(schema[c].dataType)) for c in needed})
+    n = F.count(F.lit(1)).over(Window.partitionBy(*key))
+    said = F.concat(F.lit(f"repeated key {', '.join(key)}: "), F.to_json(F.struct(*key)))
+    first = key[0]
+    checked = rows.withColumn("__n", n).withColumn(first, F.when(F.col("__n") > 1, F.raise_error(said).cast(schema[first].dataType)).otherwise(F.col(first)))
+    return checked.select(*schema.names)
+
+
+def append_missing(target: DataFrame, source: DataFrame, keys: Sequence[str], path: str) -> dict[str, int]:
+    """Appends the rows of ``source`` whose key ``target`` lacks to the table at ``path``.
+
+    Returns ``total``, ``inserted``, ``skipped`` and ``invalid`` (null key), as counted by the write itself.
+    """
+    known = target.select(*keys).distinct().withColumn("__known", F.lit(True))
+    valid = F.lit(True)
+    for k in keys:
+        valid = valid & F.col(k).isNotNull()
+    marked = source.withColumn("__valid", valid).join(known, list(keys), "left")
+    seen, fresh = Observation(), F.col("__valid") & F.col("__known").isNull()
+    counts = {"total": F.count(F.lit(1)), "inserted": F.count_if(fresh), "skipped": F.count_if(F.col("__known").isNotNull()), "invalid": F.count_if(~F.col("__valid"))}
+    new = marked.observe(seen, *(c.alias(n) for n, c in counts.items())).where(fresh)
+    new.select(*(F.col(c) if c in source.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in target.columns)).write.mode("append").parquet(path)
+    return dict(seen.get)

@@ -185,5 +185,203 @@ def test_missing_rule_types_and_active_order(spark):
 
 
 def test_checks_from_rows(spark):
-    spec = spark.createDataFrame([("critical", "some", "row_count", None, None, 1.0, None, None)], dq.SPEC)
+    spec = spark.createDataFrame([("critical", "some", "row_count", None, None, 1.0, None, None, None)], dq.SPEC)
     assert dq.compiled(spec) == [dq.Check("critical", "some", "row_count", fail_low=1.0)]
+
+
+def stamped(path, n):
+    """Files of a folder get times in the order in which they were written."""
+    import os
+
+    files = sorted((f for f in os.scandir(path) if f.name.endswith(".parquet")), key=lambda f: f.stat().st_mtime_ns)
+    os.utime(files[-1].path, (n, n))
+
+
+def event_files(spark, path, batches):
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, "k string, s string").select("k", F.col("s").cast("timestamp_ntz").alias("ts")).coalesce(1).write.mode("append").parquet(path)
+        stamped(path, 1_700_000_000 + n)
+    return lambda X: X.events_stream(spark, path, spark.read.parquet(path).schema, files=1)
+
+
+def test_windows_close_and_late_rows_are_dropped(spark, tmp_path):
+    from lakeforge.streaming import streams as X
+
+    days = [[("a", f"2024-01-{d:02d} 12:00:00"), ("b", f"2024-01-{d:02d} 13:00:00")] for d in range(1, 9)]
+    days[4].append(("a", "2024-01-04 23:00:00"))  # a day late: its window is open
+    days[6].append(("a", "2024-01-02 09:00:00"))  # its window was closed when the fourth of January came
+    make = event_files(spark, str(tmp_path / "in"), days)
+    s = X.tumbling(make(X), "k", "ts")
+    query = X.finished(s.writeStream.outputMode("append").format("parquet").option("checkpointLocation", str(tmp_path / "c")).option("path", str(tmp_path / "out")))
+    got = {(r.k, r.start.day): r.n for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {(k, d): 2 if (k, d) == ("a", 4) else 1 for k in "ab" for d in range(1, 7)}  # up to a day before the eighth
+    progress = [p for p in query.recentProgress if p.numInputRows]
+    assert len(progress) == 8 and sum(p.stateOperators[0].numRowsDroppedByWatermark for p in query.recentProgress) == 1
+    kept = [p.stateOperators[0].numRowsTotal for p in progress]
+    assert max(kept) <= 8 and kept[-1] < 16  # windows that are closed leave the state
+    out = X.run_to_end(X.sessions(make(X), "k", "ts"), str(tmp_path / "out2"), str(tmp_path / "c2"))
+    assert out.count() == 14  # those of days 1 to 6, the one of a on day 7 and the row that was a day late
+    used = X.run_to_end(X.usage_window(make(X), "k", "ts", 2, "3 days", "1 day"), str(tmp_path / "out3"), str(tmp_path / "c3"))
+    assert {(r.start.day, r.used, r.over_limit) for r in used.where("k = 'b' and start >= '2024-01-01'").collect()} == {(d, 3, True) for d in range(1, 5)}
+
+
+def test_duplicates_and_state_across_batches(spark, tmp_path):
+    from lakeforge.streaming import streams as X
+
+    make = event_files(spark, str(tmp_path / "in"), [[("a", "2024-01-01 00:00:00")], [("a", "2024-01-01 01:00:00"), ("b", "2024-01-01 02:00:00")], [("b", "2024-01-02 00:00:00")]])
+    assert sorted(r.k for r in X.run_to_end(X.dedup_hash(make(X), "ts", ["k"], "2 days").select("k"), str(tmp_path / "o"), str(tmp_path / "c")).collect()) == ["a", "b"]
+    seen = []
+    states = X.entity_state(make(X), "k", F.lit(2), F.hour("ts") == 1, F.dayofmonth("ts") == 2)
+    X.for_each_batch(states, lambda b, n: seen.extend((n, *r) for r in b.collect()), str(tmp_path / "c4"), "update")
+    assert seen[0] == (0, "a", 1, 2, 0, False) and (1, "a", 2, 4, 1, False) in seen and seen[-1] == (2, "b", 2, 4, 0, True)
+
+
+def test_landing_writes_touched_buckets_alone(spark, tmp_path):
+    import os
+
+    from lakeforge.streaming import streams as X
+
+    source, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    start = lambda: X.land(spark.readStream.schema("k long, v string").parquet(source), ["k"], out, progress, buckets=16)
+    spark.range(1000).select(F.col("id").alias("k"), F.lit("old").alias("v")).write.parquet(source)
+    assert start().count() == 1000
+    for n in range(1, 5):
+        spark.createDataFrame([(7, f"v{n}"), (1000, "new")], "k long, v string").coalesce(1).write.mode("append").parquet(source)
+        assert start().where("k = 7").first().v == f"v{n}" and start().count() == 1001
+        assert len([x for x in os.listdir(f"{out}/data/{n}") if x.startswith("__bucket")]) <= 2
+    assert X.versions(spark, out) == [3, 4] and not [x for x in os.listdir(f"{out}/data/1") if x.startswith("__bucket")]
+
+
+def test_gate_takes_its_checks_from_the_write(spark, tmp_path):
+    from lakeforge.streaming import streams as X
+
+    source, good, bad, progress = (str(tmp_path / n) for n in ("in", "good", "bad", "progress"))
+    spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d")], "k int, v string").coalesce(1).write.parquet(source)
+    checks = [dq.Check("quality", "rows", "row_count", fail_low=1), dq.Check("quality", "keys", "missing_count", "k", warn_high=0), dq.Check("quality", "same", "duplicate_count", "k", fail_high=1)]
+    said = X.gate(spark.readStream.schema("k int, v string").parquet(source), checks, good, bad, progress)
+    again = {r.check_name: (r.value, r.outcome) for r in dq.run_checks(spark.read.parquet(source), checks).collect()}
+    assert {f["check_name"]: (f["value"], f["outcome"]) for f in said} == again == {"rows": (4, "pass"), "keys": (1, "warn"), "same": (1, "pass")}
+    assert spark.read.parquet(good).count() == 4
+
+
+def test_appends_count_what_they_write(spark, tmp_path):
+    from lakeforge.sources import sinks
+
+    path = str(tmp_path / "t")
+    target = sinks.reload(spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("v"), F.lit(None).cast("string").alias("w")), path)
+    source = spark.range(50, 150).select(F.when(F.col("id") < 149, F.col("id")).alias("k"), F.lit("y").alias("v"))
+    for want in ({"total": 100, "inserted": 49, "skipped": 50, "invalid": 1}, {"total": 100, "inserted": 0, "skipped": 99, "invalid": 1}):
+        before = spark.read.parquet(path).count()
+        assert sinks.append_missing(spark.read.parquet(path), source, ["k"], path) == want
+        assert spark.read.parquet(path).count() - before == want["inserted"]
+    assert target.count() == 100
+
+
+def test_constrained_tables_stop_the_write(spark, tmp_path):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from lakeforge.operators import staging
+
+    rows = lambda *x: spark.createDataFrame([(i, 7) for i in x], "load_id string, audit_schema_version int")
+    at = F.lit("2024-01-01").cast("timestamp_ntz")
+    good = staging.enrich(rows("a", "b").withColumn("audit_schema_hash_value", F.lit("h")), at)
+    assert good.columns == [c for c, _ in staging.AUDIT_TABLE] and len(good.columns) == 20
+    good.write.parquet(str(tmp_path / "ok"))
+    one = spark.read.parquet(str(tmp_path / "ok")).where("load_id = 'a'").first()
+    assert one.is_reprocessed is False and one.audit_schema_checksum == "h" and one.dq_report is None
+    for bad, said in ((rows("a", None), "null in load_id"), (rows("a", "a"), "repeated key load_id")):
+        with pytest.raises(PySparkException, match=said):
+            staging.enrich(bad, at).write.parquet(str(tmp_path / said.replace(" ", "_")))
+    assert len(staging.staged_table(spark.createDataFrame([("e",)], "eid string")).columns) == 35
+
+
+def test_sources_that_fail_leave_the_others(spark, tmp_path):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    from lakeforge.operators import relational
+
+    schema = StructType([StructField("id", LongType()), StructField("v", StringType())])
+    sources = {"good": lambda: spark.createDataFrame([("1", "a"), ("2", None)], "id string, v string"), "text": lambda: spark.createDataFrame([("x",)], "id string"), "gone": lambda: spark.read.parquet(str(tmp_path / "no")), "more": lambda: spark.createDataFrame([(3,)], "id int")}
+    rows, status = relational.union_isolated(sources, schema, str(tmp_path / "s"))
+    assert sorted(map(tuple, rows.collect())) == [(1, "a", "good"), (2, None, "good"), (3, None, "more")]
+    said = {r.source: (r.status, r.rows, r.error) for r in status.collect()}
+    assert said["good"] == ("loaded", 2, None) and said["more"][:2] == ("loaded", 1) and said["gone"][0] == "failed" and "CAST_INVALID_INPUT" in said["text"][2]
+    none, status = relational.union_isolated({"gone": sources["gone"]}, schema, str(tmp_path / "s2"))
+    assert none.count() == 0 and none.columns == ["id", "v", "source"] and status.count() == 1
+
+
+def test_dated_reads_prune_folders(spark, tmp_path):
+    from lakeforge.sources import sinks
+
+    path = str(tmp_path / "d")
+    rows = spark.range(40).select("id", F.expr("timestamp_ntz '2024-01-01 06:00:00' + make_dt_interval(cast(id as int))").alias("ts"))
+    sinks.write_dated(rows, "ts", path)
+    some = sinks.read_range(spark, path, "ts", "2024-01-30", "2024-02-02 06:00:00")
+    assert sorted(r.id for r in some.collect()) == [29, 30, 31]
+    leaf = lambda df, name: int(df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().get(name).get().value())
+    plan = some._jdf.queryExecution().executedPlan()
+    assert "PartitionFilters: [" in plan.toString() and "yyyymm" in plan.toString().split("PartitionFilters")[1][:200]
+    assert leaf(some.drop("none"), "numFiles") <= 4 if plan.getClass().getSimpleName() != "AdaptiveSparkPlanExec" else True
+    days = spark.createDataFrame([(202401, 31), (202402, 1)], "yyyymm int, dd int")
+    found = sinks.read_days(spark, path, days.where("dd > 0"))
+    assert sorted(r.id for r in found.collect()) == [30, 31]
+
+
+def test_usage_is_a_sweep(spark):
+    import random
+
+    from lakeforge.operators.relational import usage
+
+    rng = random.Random(5)
+    rows = [("hot", rng.randrange(900_000)) for _ in range(3000)] + [("cold", 5), ("cold", 605), ("cold", 606), (None, 5), (None, 6)] + [("hot", 17)] * 500
+    log = spark.createDataFrame([(i, k, s) for i, (k, s) in enumerate(rows)], "i int, k string, s long").withColumn("ts", F.timestamp_seconds("s")).unionByName(spark.createDataFrame([(-1, "hot", None)], "i int, k string, s long").withColumn("ts", F.timestamp_seconds("s")))
+    for stretch in (100, 86_400, 10**7):
+        got = {r.i: r.used for r in usage(log, "k", "ts", 600, 3, stretch).collect()}
+        assert got.pop(-1) == 1 and len(got) == len(rows)
+        assert all(got[i] == sum(1 for g, u in rows if g == k and s - 600 <= u <= s) for i, (k, s) in list(enumerate(rows))[::37] + list(enumerate(rows))[3000:3006])
+
+
+def test_fresh_lookup_splits_hot_keys(spark):
+    import random
+
+    rng = random.Random(6)
+    cached = [("hot", rng.randrange(100_000), v) for v in range(400)] + [(None, 5, -1)]
+    asked = [("hot", rng.randrange(101_000)) for _ in range(600)] + [(None, 6), ("cold", 7)]
+    a = spark.createDataFrame([(i, *r) for i, r in enumerate(asked)], "i int, k string, s long").select("i", "k", F.timestamp_seconds("s").alias("ts"))
+    b = spark.createDataFrame(cached, "k string, s long, v int").select("k", F.timestamp_seconds("s").alias("ts"), "v")
+    hit = fresh_lookup(a, b, ["k"], "ts", 90, "v")
+    for r in hit.select("i", "hit").collect():
+        k, s = asked[r.i]
+        fits = [(t, v) for g, t, v in cached if k is not None and g == k and s - 90 <= t < s]
+        assert r.hit is None if not fits else r.hit in {v for t, v in fits if t == max(fits)[0]}
+    assert "__stretch" in hit._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_checksum_tree_reads_few_rows_again(spark, tmp_path):
+    from lakeforge.operators import profile
+
+    base = spark.range(20_000).select("id", F.concat(F.lit("v"), "id").alias("v"))
+    changed = base.where("id not in (40, 12345)").withColumn("v", F.when(F.col("id").isin(*range(7000, 7006)), "x").otherwise(F.col("v"))).unionAll(spark.createDataFrame([(20_000, "n"), (None, "null")], "id long, v string"))
+    for name, df in (("a", base), ("b", changed)):
+        df.repartitionByRange(64, "id").sortWithinPartitions("id").write.parquet(str(tmp_path / name))
+    a, b = (spark.read.parquet(str(tmp_path / n)) for n in "ab")
+    got = {(r.id, r.side) for r in profile.diff_by_range(a, b, "id").collect()}
+    assert got == {(40, "source"), (12345, "source"), (20_000, "target"), (None, "target")} | {(i, "both") for i in range(7000, 7006)}
+    near = a.where(profile.differing(a, b, "id")).select("id", "v")
+    near.write.format("noop").mode("overwrite").save()
+    inside = near.select(F.input_file_name().alias("f")).distinct().count()
+    assert near.count() < 0.05 * 20_000 and inside <= 5
+    assert profile.diff_by_range(a, a, "id").count() == 0 and profile.differing(a.limit(0), a.limit(0), "id") is None
+
+
+def test_checks_may_warn_on_high_values(spark):
+    spec = spark.createDataFrame([("monitoring", "high", "max", "id", None, None, None, None, 5.0)], dq.SPEC)
+    assert dq.run_checks(spark.range(10), dq.compiled(spec)).first().outcome == "warn"
+
+
+def test_older_rules_win_ties(spark):
+    from lakeforge.operators import registry
+
+    m = spark.createDataFrame([("t", "c", "add_column", "R2", "add_column", "any", "any", "any", 1), ("t", "c", "add_column", "R1", "add_column", "any", "any", "any", 2)], "table_name string, name string, change_type string, rule_id string, rule_type string, from_constraint string, to_constraint string, category string, created_at int")
+    assert registry.best_rule(m).first().rule_id == "R2" and registry.best_rule(m.drop("created_at")).first().rule_id == "R1"
