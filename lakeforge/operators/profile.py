@@ -112,7 +112,9 @@ def suggest_all(df: DataFrame, columns: Sequence[str] | None = None, patterns: d
     found += [F.when(F.col(f"`{c}#short`") > 0, row(c, "length_between", "strict", span(F.col(f"`{c}#short`"), F.col(f"`{c}#long`") + 5))) for c in texts]
     found += [F.when(100.0 * F.col(f"`{c}#some`") > least * F.col("all"), row(c, "matches", strength, F.lit(regex))) for c, (regex, least, strength) in (patterns or {}).items()]
     more = df.agg(*aggs).select(F.inline(F.filter(F.array(*found), lambda x: x.isNotNull())))
-    return suggest(basic(df, columns)).withColumn("detail", F.lit(None).cast("string")).unionByName(more)
+    values = distribution(df, columns).groupBy("column_name").agg(F.to_json(F.array_sort(F.collect_list("value"))).alias("detail"))  # at most ten each
+    listed = suggest(basic(df, columns)).join(values.withColumn("expectation", F.lit("in_set")), ["column_name", "expectation"], "left")
+    return listed.unionByName(more)
 
 
 NULL_MARK = "\u0000"
@@ -198,3 +200,43 @@ def diff_by_range(a: DataFrame, b: DataFrame, key: str, leaves: int = 4096) -> D
     cond = differing(a, b, key, leaves)
     near = lambda df: df.where(F.lit(False) if cond is None else cond)
     return diff_rows(near(a), near(b), [key])
+
+
+# Profiles that are united from sketches of loads
+
+#: Values that a sketch of frequent values tracks; columns with few values are exact.
+TRACKED = 100
+
+
+def sketches(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """A row of mergeable sketches for each column (and group ``by``): counts, distinct values, quantiles of numbers, frequent values.
+
+    They are small and can be stored with each load; :func:`united` makes one profile of many without reading rows again.
+    """
+    columns = [c for c in columns or df.columns if c not in by]
+    kinds = {f.name: f.dataType for f in df.schema}
+    number = lambda c: F.col(f"`{c}`").cast("double") if isinstance(kinds[c], NumericType) else F.lit(None).cast("double")
+    row = lambda c: F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"), number(c).alias("number"))
+    long = df.select(*by, F.inline(F.array(*map(row, columns))))
+    return long.groupBy(*by, "column_name").agg(
+        F.count(F.lit(1)).alias("total"), F.count("value").alias("non_null"), F.min("number").alias("min_value"), F.max("number").alias("max_value"),
+        F.hll_sketch_agg("value", 14).alias("distinct"), F.kll_sketch_agg_double("number", 400).alias("quantiles"), F.expr(f"approx_top_k_accumulate(value, {TRACKED})").alias("frequent"))
+
+
+def united(stored: DataFrame) -> DataFrame:
+    """One row of sketches for each column from those of all loads."""
+    merged = F.reduce(F.collect_list("quantiles"), F.lit(None).cast("binary"), lambda a, b: F.when(a.isNull(), b).otherwise(F.kll_sketch_merge_double(a, b)))
+    return stored.groupBy("column_name").agg(
+        F.sum("total").alias("total"), F.sum("non_null").alias("non_null"), F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"),
+        F.hll_union_agg("distinct").alias("distinct"), merged.alias("quantiles"), F.expr(f"approx_top_k_combine(frequent, {TRACKED})").alias("frequent"))
+
+
+def from_sketches(sketch: DataFrame, most: int = 10) -> DataFrame:
+    """The profile that sketches stand for: nulls, distinct values (standard error 0.8 %), median (rank error 1 %), values where they are at most ``most``."""
+    d = F.hll_sketch_estimate("distinct")
+    top = F.expr(f"approx_top_k_estimate(frequent, {most + 1})")  # null may be one
+    number = F.col("min_value").isNotNull()
+    return sketch.select(
+        "column_name", "total", (F.col("total") - F.col("non_null")).alias("null_count"), d.alias("distinct_count"), "min_value", "max_value",
+        F.when(number, F.kll_sketch_get_quantile_double("quantiles", F.lit(0.5))).alias("median"),
+        F.when((d > 0) & (d <= most), F.array_sort(F.array_compact(F.transform(top, lambda x: x["item"])))).alias("values"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udtf
 from pyspark.sql.types import ArrayType, BooleanType, DateType, DecimalType, DoubleType, FloatType, IntegralType, MapType, StringType, StructType, TimestampNTZType, TimestampType, VariantType
 
 from lakeforge.functions.scalars import varchar_length
@@ -101,6 +104,35 @@ def compare(old: DataFrame, new: DataFrame) -> DataFrame:
     return found.select("table_name", "name", "c.*", "from_category", "to_category", "nullable", "to_default", ((F.col("c.change_type") == "reorder_columns") & F.col("moved")).alias("relative_reorder"))
 
 
+PAIR = ("data_type", "is_nullable", "default_value", "max_length", "position")
+
+
+def paired(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Columns of two catalogues side by side: ``table_name, name, in_old, in_new``, and ``old_*`` and ``new_*`` of what can change."""
+    side = lambda df, s: df.select("table_name", "name", F.lit(True).alias(f"in_{s}"), *(F.col(c).cast("string").alias(f"{s}_{c}") for c in PAIR))
+    both = side(old, "old").join(side(new, "new"), ["table_name", "name"], "full_outer")
+    return both.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("in_old", "in_new")})
+
+
+@arrow_udtf(returnType="table_name string, name string, change_type string")
+class ExpandChanges:
+    """Change rows of all kinds from :func:`paired` columns, by Arrow batches, for SQL callers: ``expand_changes(table(pairs))``."""
+
+    def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
+        pairs = pa.table(batch)
+        both = pc.and_(pairs["in_old"], pairs["in_new"])
+
+        def differ(c: str) -> pa.ChunkedArray:
+            a, b = pairs[f"old_{c}"], pairs[f"new_{c}"]
+            one_null = pc.xor(pc.is_null(a), pc.is_null(b))
+            return pc.and_(both, pc.or_(one_null, pc.fill_null(pc.not_equal(a, b), False)))
+
+        found = dict(zip(KINDS, (pc.invert(pairs["in_old"]), pc.invert(pairs["in_new"]), *map(differ, PAIR)), strict=True))
+        for kind, rows in found.items():
+            some = pairs.filter(rows).select(["table_name", "name"])
+            yield some.append_column("change_type", pa.array([kind] * len(some), pa.string()))
+
+
 def looked_up(values: Mapping[str, str], key: Column, default: str | None = None) -> Column:
     out = F.lit(default)
     for k, v in values.items():

@@ -148,3 +148,8 @@ def satellite_load(satellite: DataFrame, source: DataFrame, key: str, columns: S
     newest = satellite.groupBy(key).agg(F.max_by("hash_diff", "load_ts").alias("__old"))
     new = source.withColumn("hash_diff", hash_key(*map(F.col, columns)))
     return new.join(newest, key, "left").where(~F.col("hash_diff").eqNullSafe(F.col("__old"))).drop("__old")
+
+
+def rolled_up(facts: DataFrame, by: Sequence[str], metrics: Mapping[str, Column]) -> DataFrame:
+    """Metrics of each group, of each leading part of ``by`` (the rest null), and of all."""
+    return facts.rollup(*by).agg(*(c.alias(n) for n, c in metrics.items()))

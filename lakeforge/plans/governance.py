@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udtf
 
 from lakeforge.functions import scalars as S
 from lakeforge.operators import dq, profile, registry as R
@@ -76,14 +75,20 @@ def evaluated(t: Tables) -> DataFrame:
     return R.evaluate(changes(t), R.rules(t.spark))
 
 
-@query("detect_schema", "select table_name, name, position, row_count from (select 'customer' as table_name, unnest(['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment']) as name, unnest([1, 2, 3, 4, 5]) as position, (select count(*) from customer) as row_count union all select 'orders', unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority']), unnest([1, 2, 3, 4, 5, 6]), (select count(*) from orders))")
+DETECTED = " union all ".join(f"select '{t}' as table_name, column_name as name, row_number() over () as position, column_type as kind, (select count(*) from {t}) as row_count, {keys} as is_key_candidate from (describe {t})" for t, keys in (
+    ("customer", "column_name = 'c_custkey' and (select count(*) = count(distinct c_custkey) from customer)"),
+    ("orders", "column_name = 'o_orderkey' and (select count(*) = count(distinct o_orderkey) from orders) or column_name = 'o_custkey' and (select count(*) = count(distinct o_custkey) from orders)")))
+
+
+@query("detect_schema", f"select table_name, name, cast(position as integer) as position, case kind when 'VARCHAR' then 'string' when 'INTEGER' then 'int' when 'TIMESTAMP' then 'timestamp_ntz' else lower(kind) end as data_type, case when kind = 'VARCHAR' then 'string' when kind in ('BIGINT', 'INTEGER') then 'integer' when kind = 'DOUBLE' or kind like 'DECIMAL%' then 'numeric' when kind in ('DATE', 'TIMESTAMP') then 'datetime' else 'other' end as type_category, row_count, is_key_candidate from ({DETECTED})")
 def _(t):
-    tables = {"customer": t.customer, "orders": t.orders}
-    counts = None
+    tables, counts, keys = {"customer": t.customer, "orders": t.orders}, None, None
     for name, df in tables.items():
         n = df.agg(F.count("*").alias("row_count")).withColumn("table_name", F.lit(name))
-        counts = n if counts is None else counts.unionByName(n)
-    return R.catalogue(t.spark, tables).join(counts, "table_name").select("table_name", "name", "position", "row_count")
+        k = R.pk_candidates(df).select(F.lit(name).alias("table_name"), F.col("column_name").alias("name"), F.lit(True).alias("is_key"))
+        counts, keys = (n, k) if counts is None else (counts.unionByName(n), keys.unionAll(k))
+    found = R.catalogue(t.spark, tables).join(counts, "table_name").join(keys, ["table_name", "name"], "left")
+    return found.select("table_name", "name", "position", "data_type", "type_category", "row_count", F.coalesce("is_key", F.lit(False)).alias("is_key_candidate"))
 
 
 @query("compare_schemas", f"select table_name, name, change_type from {CHANGES}")
@@ -227,27 +232,12 @@ def _(t):
     return t.events.groupBy("event_type").agg(n, x)
 
 
-@udtf(returnType="name string, change_type string")
-class ExpandChanges:
-    """Change rows of one column, for SQL callers: LATERAL expand_changes(name, old type, new type)."""
-
-    def eval(self, name: str, old: str, new: str):
-        if old is None:
-            yield name, "add_column"
-        elif new is None:
-            yield name, "remove_column"
-        elif old != new:
-            yield name, "change_datatype"
-
-
-@query("udtf_expand_changes", f"select name, change_type, count(*) as n from {CHANGES} where seq <= 3 group by 1, 2")
+@query("udtf_expand_changes", f"select name, change_type, count(*) as n from {CHANGES} group by 1, 2")
 def _(t):
     old, new = versions(t)
-    t.spark.udtf.register("expand_changes", ExpandChanges)
-    key = ["table_name", "name"]
-    both = old.select(*key, F.col("data_type").alias("a")).join(new.select(*key, F.col("data_type").alias("b")), key, "full_outer")
-    both.createOrReplaceTempView("column_pairs")
-    return t.spark.sql("select x.name, x.change_type, count(*) as n from column_pairs p, lateral expand_changes(p.name, p.a, p.b) x group by 1, 2")
+    t.spark.udtf.register("expand_changes", R.ExpandChanges)
+    R.paired(old, new).createOrReplaceTempView("column_pairs")
+    return t.spark.sql("select name, change_type, count(*) as n from expand_changes(table(column_pairs)) group by 1, 2")
 
 
 @query("dq_custom_check", "select 'value_vs_type' as check_name, cast(count(*) filter (not (value > 10 or event_type <> 'click')) as double) as value from events")

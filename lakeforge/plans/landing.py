@@ -8,6 +8,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 
 from lakeforge.functions import scalars as S
 from lakeforge.operators import dq, staging
+from lakeforge.operators import manifests as M
 from lakeforge.plans.fixtures import PAGES_SQL, entries, pages, payload_files, states
 from lakeforge.plans.registry import Tables, query
 from lakeforge.sources import files as R
@@ -342,8 +343,7 @@ def _(t):
 
 @query("page_plan", "select user_id, p as page, (p - 1) * 25 as offset_at from (select user_id, unnest(range(1, cast(ceil(count(*) / 25.0) as bigint) + 1)) as p from events group by 1)")
 def _(t):
-    n = t.events.groupBy("user_id").agg(F.count("*").alias("total"))
-    return n.select("user_id", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("total") / 25))).alias("page")).withColumn("offset_at", (F.col("page") - 1) * 25)
+    return M.page_plan(t.events.groupBy("user_id").agg(F.count("*").alias("total")), ["user_id"], "total")
 
 
 LOADS = "select event_id, event_type || '_' || strftime(ts, '%Y%m%d_%H%M%S') || '_' || substr(md5(cast(event_id as varchar)), 1, 8) as load_id from events"
@@ -413,8 +413,8 @@ def _(t):
 
 @query("metric_defaults", "select event_id, coalesce(case when event_id % 17 <> 0 then value end, 0) as score, coalesce(case when event_id % 17 <> 0 then value end, 0) <> 0 as has_metrics from events")
 def _(t):
-    score = F.coalesce(F.when(F.col("event_id") % 17 != 0, F.col("value")), F.lit(0.0))
-    return t.events.select("event_id", score.alias("score"), (score != 0).alias("has_metrics"))
+    e = t.events.select("event_id", F.when(F.col("event_id") % 17 != 0, F.col("value")).alias("score"))
+    return M.with_defaults(e, {"score": 0.0})
 
 
 @query("duration_seconds", "select user_id, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 2) as seconds from events group by 1")
@@ -431,7 +431,8 @@ def _(t):
 
 @query("explode_errors", f"select load_id, entity_id, array_to_string(list_sort(list(distinct page_number)), ',') as failed from ({PAGES_SQL}) where event_type = 'error' group by 1, 2")
 def _(t):
-    return pages(t).where("event_type = 'error'").groupBy("load_id", "entity_id").agg(F.array_join(F.sort_array(F.collect_set("page_number")).cast("array<string>"), ",").alias("failed"))
+    failed = M.failed_items(pages(t).where("event_type = 'error'"), ["load_id", "entity_id"], "page_number")
+    return failed.select("load_id", "entity_id", F.array_join(F.col("failed").cast("array<string>"), ",").alias("failed"))
 
 
 @query("array_append_distinct", "select user_id, string_agg(distinct event_type, ',' order by event_type) || case when max(case when event_type = 'view' then 1 else 0 end) = 0 then ',view' else '' end as types from events group by 1")
@@ -450,10 +451,14 @@ def _(t):
 @query("restart_trim", f"select load_id, entity_id, entity_id % 5 as last_page, count(*) filter (page_number <= entity_id % 5) as files, count(distinct case when page_number <= entity_id % 5 then md5(props) end) as hashes, count(*) filter (event_type = 'error' and page_number <= entity_id % 5) as errors, false as completed from ({PAGES_SQL}) group by 1, 2")
 def _(t):
     """Each entity restarts at its own page; what earlier pages left stays."""
-    p = pages(t).withColumn("restart", F.col("entity_id") % 5 + 1)
-    below = F.col("page_number") < F.col("restart")
-    s = p.groupBy("load_id", "entity_id", "restart").agg(F.count_if(below).alias("files"), F.count_distinct(F.when(below, F.md5(F.col("props").cast("binary")))).alias("hashes"), F.count_if(below & (F.col("event_type") == "error")).alias("errors"))
-    return s.select("load_id", "entity_id", (F.col("restart") - 1).alias("last_page"), "files", "hashes", "errors", F.lit(False).alias("completed"))
+    page, kept = F.col("page_number").alias("page"), lambda c: F.collect_list(c)
+    s = pages(t).groupBy("load_id", "entity_id").agg(
+        kept(F.struct(page, F.col("event_id").alias("file"))).alias("files"), kept(F.struct(page, F.md5(F.col("props").cast("binary")).alias("hash"))).alias("hashes"),
+        kept(F.when(F.col("event_type") == "error", F.struct(page, F.col("props").alias("message")))).alias("errors"))
+    s = M.trimmed(s, F.col("entity_id") % 5 + 1)
+    different = F.array_distinct(F.transform("hashes", lambda x: x["hash"]))
+    n = lambda c: F.size(c).cast("long")
+    return s.select("load_id", "entity_id", "last_page", n("files").alias("files"), n(different).alias("hashes"), n("errors").alias("errors"), "completed")
 
 
 @query("range_buffer", "select event_type, min(value) - (max(value) - min(value)) * 0.1 as low, max(value) + (max(value) - min(value)) * 0.1 as high, max(length(props)) + 5 as max_length from events group by 1")

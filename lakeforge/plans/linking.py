@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from lakeforge.operators import relational as J
+from lakeforge.operators import manifests as M
 from lakeforge.plans.fixtures import PAGES_SQL, pages, states
 from lakeforge.plans.landing import AUDIT, audits
 from lakeforge.plans.registry import Tables, query
@@ -105,7 +106,7 @@ def _(t):
 
 @query("resume_point", f"select load_id, entity_id, max(page_number) + 1 as next_page, min(case when event_type = 'error' then page_number end) as first_invalid from ({PAGES_SQL}) group by 1, 2")
 def _(t):
-    return pages(t).groupBy("load_id", "entity_id").agg((F.max("page_number") + 1).cast("long").alias("next_page"), F.min(F.when(F.col("event_type") == "error", F.col("page_number"))).cast("long").alias("first_invalid"))
+    return M.resume_points(pages(t), ["load_id", "entity_id"], "page_number", F.col("event_type") == "error")
 
 
 @query("version_delta", "select event_id, lag(props) over (partition by user_id order by event_id) as previous, props is distinct from lag(props) over (partition by user_id order by event_id) as changed from events")
@@ -152,12 +153,12 @@ def _(t):
     return t.documents.select("doc_id").subtract(t.labels.select("doc_id"))
 
 
-OLD, NEW = ("(select distinct event_type || '_' || user_id as name from events where ts %s timestamp '2024-01-15')" % op for op in ("<", ">="))
+OLD, NEW = ("(select distinct event_type || '_' || user_id || '_' || (event_id %% 8) as name from events where ts %s timestamp '2024-01-15')" % op for op in ("<", ">="))
 
 
 def names(t: Tables, cond: str):
     """Column names seen in a load: those of events of one half of the month."""
-    return t.events.where(f"ts {cond} timestamp_ntz '2024-01-15 00:00:00'").select(F.concat_ws("_", "event_type", F.col("user_id").cast("string")).alias("name"))
+    return t.events.where(f"ts {cond} timestamp_ntz '2024-01-15 00:00:00'").select(F.concat_ws("_", "event_type", F.col("user_id").cast("string"), (F.col("event_id") % 8).cast("string")).alias("name"))
 
 
 @query("schema_added", f"select name from {NEW} except select name from {OLD}")
@@ -217,6 +218,8 @@ def _(t):
     return J.satellite_load(old, t.customer.select("c_custkey", "c_mktsegment"), "c_custkey", ["c_mktsegment"]).select("c_custkey", "c_mktsegment")
 
 
-@query("gold_metrics", "select o_custkey as entity, cast(year(o_orderdate) as integer) as year, count(*) as orders, round(sum(o_totalprice), 2) as total from orders group by 1, 2")
+@query("gold_metrics", "select o_custkey as entity, cast(year(o_orderdate) as integer) as year, count(*) as orders, cast(sum(cast(o_totalprice as decimal(18, 2))) as double) as total from orders group by rollup (1, 2)")
 def _(t):
-    return t.orders.groupBy(F.col("o_custkey").alias("entity"), F.year("o_orderdate").alias("year")).agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    """By customer and year, with sums of each customer and of all."""
+    years = t.orders.select(F.col("o_custkey").alias("entity"), F.year("o_orderdate").alias("year"), "o_totalprice")
+    return J.rolled_up(years, ["entity", "year"], {"orders": F.count("*"), "total": F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")})

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakeforge.functions import predicates as P
 from lakeforge.functions import scalars as S
 from lakeforge.operators import dq, profile, registry
+from lakeforge.operators import manifests as M
 from lakeforge.plans.fixtures import PAGES_SQL, pages, states
 from lakeforge.plans.landing import AUDIT, audits
 from lakeforge.plans.registry import Tables, query
@@ -99,14 +100,12 @@ def _(t):
 
 @query("rows_exist", "select c_custkey, c_custkey in (select o_custkey from orders) as there from customer")
 def _(t):
-    keys = t.orders.select(F.col("o_custkey").alias("c_custkey")).distinct().withColumn("there", F.lit(True))
-    return t.customer.select("c_custkey").join(keys, "c_custkey", "left").select("c_custkey", F.coalesce("there", F.lit(False)).alias("there"))
+    return M.rows_exist(t.customer.select("c_custkey"), t.orders.select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
 
 
 @query("rows_integrity", f"select load_id, entity_id, count(*) > 0 and sum(case when event_id % 17 = 0 then 1 else 0 end) = 0 as ok from ({PAGES_SQL}) group by 1, 2")
 def _(t):
-    raw = F.when(F.col("event_id") % 17 != 0, F.col("props"))
-    return pages(t).groupBy("load_id", "entity_id").agg(((F.count("*") > 0) & (F.count(raw) == F.count("*"))).alias("ok"))
+    return M.rows_intact(pages(t), ["load_id", "entity_id"], F.when(F.col("event_id") % 17 != 0, F.col("props")))
 
 
 @query("file_integrity", "select event_id, event_id % 13 <> 0 and event_id % 7 <> 0 and event_id % 11 <> 0 as ok from events")
@@ -269,10 +268,13 @@ def _(t):
 BOUNDS = " union all ".join(f"select '{c}' as column_name, '{kind}' as data_type, {low} as low, {high} as high, {short} as short, {long} as long from {HOLEY}" for c, kind, low, high, short, long in (("event_type", "string", "null", "null", "min(length(event_type))", "max(length(event_type))"), ("user_id", "bigint", "min(user_id)", "max(user_id)", "null", "null"), ("props", "string", "null", "null", "min(length(props))", "max(length(props))")))
 
 
+VALUES = " union all ".join(f"select '{c}' as column_name, to_json(list(distinct cast({c} as varchar) order by cast({c} as varchar)) filter ({c} is not null))::varchar as vals from {HOLEY}" for c in PROFILED)
+
+
 @query("suggest_expectations", f"""with p as ({BASIC}), b as ({BOUNDS})
 select column_name, 'not_null' as expectation, 'strict' as strength, cast(null as varchar) as detail from p where null_percent = 0 union all select column_name, 'not_null', 'mostly', null from p where null_percent > 0 and null_percent < 5
 union all select column_name, 'unique', 'strict', null from p where uniqueness = 100 union all select column_name, 'unique', 'mostly', null from p where uniqueness > 95 and uniqueness < 100
-union all select column_name, 'in_set', 'strict', null from p where distinct_count between 1 and 10
+union all select column_name, 'in_set', 'strict', vals from p join ({VALUES}) using (column_name) where distinct_count between 1 and 10
 union all select column_name, 'of_type', 'strict', data_type from b
 union all select column_name, 'between', 'strict', cast(cast(low - pad as decimal(20, 1)) as varchar) || '..' || cast(cast(high + pad as decimal(20, 1)) as varchar) from (select *, case when high = low then 1 else (high - low) * 0.1 end as pad from b) where low is not null
 union all select column_name, 'length_between', 'strict', short || '..' || (long + 5) from b where short > 0
@@ -321,33 +323,32 @@ ENTITIES = "(select user_id, cast(user_id % 4 as varchar) as load_id, count(*) a
 
 @query("manifest_summary", f"select load_id, count(*) as entities, count(*) filter (status = 'completed') as completed, count(*) filter (status = 'failed') as failed, count(*) filter (status = 'partial') as partial_count, round(100.0::double * count(*) filter (status = 'completed') / count(*), 2) as success_percent, sum(pages)::bigint as pages, round(avg(pages), 2) as pages_per_entity from {ENTITIES} group by 1")
 def _(t):
-    n = lambda s: F.count_if(F.col("status") == s)
-    return entities(t).groupBy("load_id").agg(F.count("*").alias("entities"), n("completed").alias("completed"), n("failed").alias("failed"), n("partial").alias("partial_count"), F.round(100.0 * n("completed") / F.count("*"), 2).alias("success_percent"), F.sum("pages").alias("pages"), F.round(F.avg("pages"), 2).alias("pages_per_entity"))
+    return M.summary(entities(t), ["load_id"])
 
 
 @query("manifest_errors", "select cast(user_id % 4 as varchar) as load_id, props as error_type, count(*) as errors, count(distinct user_id) as entities from events where event_type = 'error' group by 1, 2")
 def _(t):
-    return t.events.where("event_type = 'error'").groupBy((F.col("user_id") % 4).cast("string").alias("load_id"), F.col("props").alias("error_type")).agg(F.count("*").alias("errors"), F.count_distinct("user_id").alias("entities"))
+    e = t.events.where("event_type = 'error'").withColumn("load_id", (F.col("user_id") % 4).cast("string"))
+    return M.error_types(e, ["load_id"], F.col("props"), "user_id")
 
 
 @query("manifest_duration", f"select load_id, min(start_time) as start_time, max(end_time) as end_time, round((epoch_us(max(end_time)) - epoch_us(min(start_time))) / 1e6, 2) as seconds, round((epoch_us(max(end_time)) - epoch_us(min(start_time))) / 1e6 / count(*), 2) as seconds_per_entity from {ENTITIES} group by 1")
 def _(t):
-    g = entities(t).groupBy("load_id").agg(F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"), F.count("*").alias("n"))
-    s = (F.unix_micros(F.col("end_time").cast("timestamp")) - F.unix_micros(F.col("start_time").cast("timestamp"))) / 1e6
-    return g.select("load_id", "start_time", "end_time", F.round(s, 2).alias("seconds"), F.round(s / F.col("n"), 2).alias("seconds_per_entity"))
+    return M.durations(entities(t), ["load_id"])
 
 
-@query("manifest_entities", f"select load_id, user_id, status, pages, errors from {ENTITIES}")
+@query("manifest_entities", f"select load_id, user_id, status, pages, errors, coalesce(error_list, '') as error_list from {ENTITIES} left join (select user_id, string_agg(distinct props, ',' order by props) as error_list from events where event_type = 'error' group by 1) using (user_id)")
 def _(t):
-    return entities(t).select("load_id", "user_id", "status", "pages", "errors")
+    """The errors of each entity as a list."""
+    e = M.with_error_list(entities(t), t.events.where("event_type = 'error'"), ["user_id"], "props")
+    return e.select("load_id", "user_id", "status", "pages", "errors", F.array_join("error_list", ",").alias("error_list"))
 
 
 @query("manifest_authors", "select o_custkey % 20 as author_id, count(distinct o_orderkey) as publications, count(distinct l_partkey) as unique_ids, count(*) as ids, count(distinct case when l_returnflag = 'R' then o_orderkey end) as failed, count(*) filter (l_returnflag = 'R') > 0 as with_errors from orders join lineitem on o_orderkey = l_orderkey group by 1")
 def _(t):
     """Lines that came back stand for errors."""
     j = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
-    bad = F.col("l_returnflag") == "R"
-    return j.groupBy((F.col("o_custkey") % 20).alias("author_id")).agg(F.count_distinct("o_orderkey").alias("publications"), F.count_distinct("l_partkey").alias("unique_ids"), F.count("*").alias("ids"), F.count_distinct(F.when(bad, F.col("o_orderkey"))).alias("failed"), F.bool_or(bad).alias("with_errors"))
+    return M.authors(j, F.col("o_custkey") % 20, "o_orderkey", "l_partkey", F.col("l_returnflag") == "R")
 
 
 @query("manifest_chunks", "with c as (select doc_id, (row_number() over (order by doc_id) - 1) // 25 + 1 as chunk from documents), l as (select distinct doc_id, 1 as hit from labels) select cast(chunk as bigint) as chunk, count(*) as ids, count(hit) as results, round(100.0::double * count(hit) / count(*), 2) as coverage from c left join l using (doc_id) group by 1")
@@ -356,20 +357,19 @@ def _(t):
 
     c = chunked(t.documents.select("doc_id"), "doc_id")
     j = c.join(t.labels.select("doc_id", F.lit(1).alias("hit")).distinct(), "doc_id", "left")
-    return j.groupBy("chunk").agg(F.count("*").alias("ids"), F.count("hit").alias("results"), F.round(100.0 * F.count("hit") / F.count("*"), 2).alias("coverage"))
+    return M.hits(j, ["chunk"], F.col("hit").isNotNull())
 
 
 @query("manifest_batches", "select cast(p_partkey // 25 as bigint) as batch, count(*) as ids, count(c) as cited, round(100.0::double * count(c) / count(*), 2) as cited_percent, coalesce(sum(c), 0)::bigint as citations from part left join (select l_partkey, count(*) as c from lineitem group by 1) on p_partkey = l_partkey group by 1")
 def _(t):
     cited = t.lineitem.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count("*").alias("c"))
     j = t.part.select("p_partkey").join(cited, "p_partkey", "left")
-    return j.groupBy(F.floor(F.col("p_partkey") / 25).alias("batch")).agg(F.count("*").alias("ids"), F.count("c").alias("cited"), F.round(100.0 * F.count("c") / F.count("*"), 2).alias("cited_percent"), F.coalesce(F.sum("c"), F.lit(0)).alias("citations"))
+    return M.hits(j, [F.floor(F.col("p_partkey") / 25).alias("batch")], F.col("c").isNotNull(), "ids", "cited", "cited_percent", citations=F.coalesce(F.sum("c"), F.lit(0)))
 
 
 @query("manifest_items", "select event_type, count(*) as items, count(*) filter (value > 50) as with_metrics, round(100.0::double * count(*) filter (value > 50) / count(*), 2) as coverage, round(sum(value), 2) as mentions from events group by 1")
 def _(t):
-    some = F.count_if(F.col("value") > 50)
-    return t.events.groupBy("event_type").agg(F.count("*").alias("items"), some.alias("with_metrics"), F.round(100.0 * some / F.count("*"), 2).alias("coverage"), F.round(F.sum("value"), 2).alias("mentions"))
+    return M.hits(t.events, ["event_type"], F.col("value") > 50, "items", "with_metrics", mentions=F.round(F.sum("value"), 2))
 
 
 @query("manifest_rebuild", "select user_id % 20 as author_id, count(*) as pages, count(distinct event_type) as kinds from events where event_id % 13 <> 0 group by 1")
@@ -382,15 +382,14 @@ def _(t):
 @query("collect_query_params", "select event_type as load_id, event_id // 1000 as page, string_agg(cast(event_id as varchar), ',' order by event_id) as params from events group by 1, 2")
 def _(t):
     """In pages of a thousand ids, so that no row holds all of a load."""
-    ids = F.transform(F.sort_array(F.collect_list("event_id")), lambda x: x.cast("string"))
-    return t.events.groupBy(F.col("event_type").alias("load_id"), F.floor(F.col("event_id") / 1000).alias("page")).agg(F.array_join(ids, ",").alias("params"))
+    return M.params_by_page(t.events, F.col("event_type"), "event_id")
 
 
-@query("collect_payload_audit", "select cast(user_id % 10 as varchar) as load_id, string_agg(user_id || ':' || n, ',' order by user_id) as authors from (select user_id, count(*) as n from events group by 1) group by 1")
+@query("collect_payload_audit", f"select load_id, entity_id, '[' || string_agg('{{\"file\":\"' || entity_id || '_' || lpad(cast(page_number as varchar), 6, '0') || '\",\"size_kb\":' || cast(length(props)::double as varchar) || '}}', ',' order by page_number) || ']' as payload_files from ({PAGES_SQL}) group by 1, 2")
 def _(t):
-    n = t.events.groupBy("user_id").agg(F.count("*").alias("n"))
-    rows = F.sort_array(F.collect_list(F.struct("user_id", "n")))
-    return n.groupBy((F.col("user_id") % 10).cast("string").alias("load_id")).agg(F.array_join(F.transform(rows, lambda x: F.concat_ws(":", x["user_id"].cast("string"), x["n"].cast("string"))), ",").alias("authors"))
+    """Files and sizes of each entity of a load."""
+    files = pages(t).select("load_id", "entity_id", F.concat_ws("_", F.col("entity_id").cast("string"), F.lpad(F.col("page_number").cast("string"), 6, "0")).alias("name"), (F.length("props") * 1024).alias("bytes"))
+    return M.payload_files(files, ["load_id", "entity_id"], "name", "bytes")
 
 
 @query("distinct_load_ids", f"select distinct load_id from ({PAGES_SQL})")
@@ -405,12 +404,12 @@ def _(t):
 
 @query("rows_per_load", f"select load_id, count(*) as n from ({PAGES_SQL}) group by 1")
 def _(t):
-    return t.events.groupBy(F.date_format("ts", "yyyyMMdd").alias("load_id")).agg(F.count("*").alias("n"))
+    return M.rows_per(t.events, F.date_format("ts", "yyyyMMdd"))
 
 
 @query("duplicate_keys", "select user_id, event_type, count(*) as n from events group by 1, 2 having count(*) > 1")
 def _(t):
-    return t.events.groupBy("user_id", "event_type").agg(F.count("*").alias("n")).where("n > 1")
+    return M.duplicate_keys(t.events, ["user_id", "event_type"])
 
 
 AUDITED = "(select case when event_id % 501 = 0 then 'again' else cast(event_id as varchar) end as load_id, case when event_id % 17 <> 0 then event_type end as data_source, ts as ingest_timestamp, case when event_id % 19 = 0 then 'broken' else props end as query_parameters, event_id % 3 = 0 as is_reprocessed, case when event_id % 6 = 0 then 'manual' end as reprocessing_reason from events)"
@@ -425,12 +424,9 @@ def _(t):
 
 @query("ops_metrics", "select count(*) as total, count(*) filter (ts > timestamp '2024-01-30' - interval 24 hours and ts <= timestamp '2024-01-30') as last_day, min(ts) as oldest, max(ts) as newest, count(distinct event_type) as sources from events")
 def _(t):
-    as_of = F.expr("timestamp_ntz '2024-01-30 00:00:00'")
-    recent = (F.col("ts") > as_of - F.expr("interval 24 hours")) & (F.col("ts") <= as_of)
-    return t.events.agg(F.count("*").alias("total"), F.count_if(recent).alias("last_day"), F.min("ts").alias("oldest"), F.max("ts").alias("newest"), F.count_distinct("event_type").alias("sources"))
+    return M.operations(t.events, "ts", F.expr("timestamp_ntz '2024-01-30 00:00:00'"), "event_type")
 
 
 @query("run_statistics", f"select count(*) as runs, count(*) filter (status = 'completed') as successes, count(*) filter (status = 'failed') as failures, sum(pages)::bigint as rows_inserted, round(avg((epoch_us(end_time) - epoch_us(start_time)) / 1e6), 2) as mean_seconds from {ENTITIES}")
 def _(t):
-    s = (F.unix_micros(F.col("end_time").cast("timestamp")) - F.unix_micros(F.col("start_time").cast("timestamp"))) / 1e6
-    return entities(t).agg(F.count("*").alias("runs"), F.count_if(F.col("status") == "completed").alias("successes"), F.count_if(F.col("status") == "failed").alias("failures"), F.sum("pages").alias("rows_inserted"), F.round(F.avg(s), 2).alias("mean_seconds"))
+    return M.run_statistics(entities(t))

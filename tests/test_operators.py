@@ -385,3 +385,69 @@ def test_older_rules_win_ties(spark):
 
     m = spark.createDataFrame([("t", "c", "add_column", "R2", "add_column", "any", "any", "any", 1), ("t", "c", "add_column", "R1", "add_column", "any", "any", "any", 2)], "table_name string, name string, change_type string, rule_id string, rule_type string, from_constraint string, to_constraint string, category string, created_at int")
     assert registry.best_rule(m).first().rule_id == "R2" and registry.best_rule(m.drop("created_at")).first().rule_id == "R1"
+
+
+def test_manifest_operators_take_any_columns(spark):
+    from lakeforge.operators import manifests as M
+
+    e = spark.createDataFrame([("l1", "a", "completed", 3), ("l1", "b", "failed", 1), ("l2", "c", "partial", 2), (None, "d", None, None)], "load string, who string, state string, n int")
+    got = {r.load: r for r in M.summary(e, ["load"], "state", "n").collect()}
+    assert (got["l1"].entities, got["l1"].completed, got["l1"].failed, got["l1"].success_percent, got["l1"].pages_per_entity) == (2, 1, 1, 50.0, 2.0) and got[None].pages is None
+    errors = spark.createDataFrame([("a", "y"), ("a", "x"), ("a", "x"), ("b", None)], "who string, why string")
+    assert {r.who: r.error_list for r in M.with_error_list(e, errors, ["who"], "why").collect()} == {"a": ["x", "y"], "b": [], "c": [], "d": []}
+    assert {r.error_type: (r.errors, r.entities) for r in M.error_types(errors, [], F.col("why"), "who").collect()} == {"x": (2, 1), "y": (1, 1), None: (1, 1)}
+    plan = spark.createDataFrame([("a", 51), ("b", 0), ("c", None), ("d", 25)], "k string, found int")
+    assert sorted(tuple(r) for r in M.page_plan(plan, ["k"], "found").collect()) == [("a", 1, 0), ("a", 2, 25), ("a", 3, 50), ("d", 1, 0)]
+    files = spark.createDataFrame([("l", "b.json", 2048), ("l", "a.json", 100)], "l string, f string, b int")
+    assert M.payload_files(files, ["l"], "f", "b").first().payload_files == '[{"file":"a.json","size_kb":0.1},{"file":"b.json","size_kb":2.0}]'
+    pages = spark.createDataFrame([("a", 1, True), ("a", 3, False), ("a", 2, False)], "k string, p int, ok boolean")
+    assert tuple(M.resume_points(pages, ["k"], "p", ~F.col("ok")).first()) == ("a", 4, 2)
+    state = spark.createDataFrame([("a", [(1, "f1"), (2, "f2"), (3, "f3")], [(1, "h")], [(3, "bad")], 3, True), ("b", None, [], [], 0, False)], "k string, files array<struct<page:int,f:string>>, hashes array<struct<page:int,h:string>>, errors array<struct<page:int,m:string>>, last_page int, completed boolean")
+    r = {x.k: x for x in M.trimmed(state, F.lit(3)).collect()}
+    assert [f.f for f in r["a"].files] == ["f1", "f2"] and r["a"].errors == [] and r["a"].last_page == 2 and r["a"].completed is False and r["b"].files is None
+    m = M.with_defaults(spark.createDataFrame([(1, None, None), (2, 3.0, None)], "k int, score double, cites double"), {"score": 0.0, "cites": 0.0})
+    assert {x.k: (x.score, x.cites, x.has_metrics) for x in m.collect()} == {1: (0.0, 0.0, False), 2: (3.0, 0.0, True)}
+    there = M.rows_exist(errors.select("who").distinct(), e, ["who"])
+    assert {x.who: x.there for x in there.collect()} == {"a": True, "b": True}
+    assert {x.k: x.ok for x in M.rows_intact(pages, ["k"], F.when(F.col("p") < 3, F.col("p"))).collect()} == {"a": False}
+    run = M.run_statistics(spark.createDataFrame([("completed", 5, "2024-01-01 00:00:00", "2024-01-01 00:00:10"), ("failed", 0, "2024-01-01 00:00:00", None)], "status string, pages int, a string, b string").select("status", "pages", F.col("a").cast("timestamp").alias("start_time"), F.col("b").cast("timestamp").alias("end_time"))).first()
+    assert tuple(run) == (2, 1, 1, 5, 10.0)
+
+
+def test_profiles_from_sketches_of_loads(spark, tmp_path):
+    from lakeforge.operators import profile
+
+    rows = spark.range(50_000).select("id", (F.col("id") % 10).alias("load"), (F.col("id") % 7000).alias("n"), F.when(F.col("id") % 9 > 0, F.concat(F.lit("k"), F.col("id") % 4)).alias("kind"), F.lit(None).cast("string").alias("none"))
+    path = str(tmp_path / "sketches")
+    for half in (0, 1):  # stored load by load
+        profile.sketches(rows.where(F.col("load") % 2 == half), by=["load"]).write.mode("append").parquet(path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 40
+    got = {r.column_name: r for r in profile.from_sketches(profile.united(stored)).collect()}
+    exact = {r.column_name: r for r in profile.basic(rows.drop("load")).collect()}
+    for c, r in got.items():
+        assert (r.total, r.null_count) == (exact[c].total, exact[c].null_count)
+        assert abs(r.distinct_count - exact[c].distinct_count) <= 0.03 * exact[c].distinct_count
+    assert got["kind"]["values"] == ["k0", "k1", "k2", "k3"] and got["id"]["values"] is None and got["none"]["values"] is None
+    assert (got["n"].min_value, got["n"].max_value) == (0, 6999) and abs(got["n"].median - 3500) < 150 and abs(got["id"].median - 25_000) < 750 and got["kind"].median is None
+    assert profile.from_sketches(profile.united(profile.sketches(rows.limit(0).drop("load")))).count() == 0
+
+
+def test_suggested_sets_list_their_values(spark):
+    from lakeforge.operators import profile
+
+    found = profile.suggest_all(spark.createDataFrame([("b",), ("a",), (None,)], "c string")).where("expectation = 'in_set'").first()
+    assert found.detail == '["a","b"]'
+
+
+def test_arrow_table_function_equals_compare(spark):
+    from lakeforge.operators import registry
+
+    old = [("t", "a", "INTEGER", True, None, 1, "integer", None), ("t", "b", "VARCHAR(5)", False, "x", 2, "string", 5), ("t", "gone", "INTEGER", True, None, 3, "integer", None)]
+    new = [("t", "b", "VARCHAR(9)", True, None, 1, "string", 9), ("t", "a", "INTEGER", True, None, 2, "integer", None), ("t", "more", "BOOL", True, None, 3, "boolean", None)]
+    a, b = (spark.createDataFrame(x, registry.CATALOGUE) for x in (old, new))
+    spark.udtf.register("expand_changes", registry.ExpandChanges)
+    registry.paired(a, b).createOrReplaceTempView("pairs_tested")
+    got = sorted(tuple(r) for r in spark.sql("select * from expand_changes(table(pairs_tested))").collect())
+    assert got == sorted(tuple(r) for r in registry.compare(a, b).select("table_name", "name", "change_type").collect())
+    assert {r[2] for r in got} == set(registry.KINDS)
