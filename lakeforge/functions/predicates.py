@@ -57,16 +57,17 @@ def response_structure(s: Column, keys: Sequence[str] = STRUCTURE_KEYS) -> Colum
     return F.coalesce(F.exists(F.json_object_keys(s), lambda k: k.isin(*keys)), F.lit(False))
 
 
-def response_valid(s: Column, complete: Column, not_empty: Column, structure: Column, path: str = TOTAL_PATH) -> Column:
-    """All checks that are enabled (boolean columns, null: off) pass."""
-    on = lambda flag, ok: ~F.coalesce(flag, F.lit(False)) | ok
-    return on(complete, response_complete(s, path)) & on(not_empty, ~response_empty(s)) & on(structure, response_structure(s))
-
-
 def header_present(headers: Column, required: str | None) -> Column:
     return F.lit(True) if required is None else F.coalesce(F.map_contains_key(headers, required), F.lit(False))
 
 
+def response_valid(s: Column, complete: Column, not_empty: Column, structure: Column, path: str = TOTAL_PATH, headers: Column | None = None, required: str | None = None) -> Column:
+    """All checks that are enabled (boolean columns, null: off) pass; with ``headers``, the ``required`` one must be among them."""
+    on = lambda flag, ok: ~F.coalesce(flag, F.lit(False)) | ok
+    header = F.lit(True) if headers is None else header_present(headers, required)
+    return on(complete, response_complete(s, path)) & on(not_empty, ~response_empty(s)) & on(structure, response_structure(s)) & header
+
+
 def error_is_critical(message: Column, kind: Column) -> Column:
     m = F.lower(F.coalesce(message, F.lit("")))
     return m.like("%rate limit%") | m.like("%auth%") | m.like("%401%") | F.coalesce(kind.isin(*STOPPING), F.lit(False))

@@ -146,8 +146,8 @@ def decision(results: DataFrame) -> DataFrame:
 
 
 def report(results: DataFrame, n_rows: DataFrame, n_columns: int) -> DataFrame:
-    """One row: totals, pass rate, table size, names of what did not pass."""
-    names = lambda o: F.array_join(F.sort_array(F.collect_list(F.when(F.col("outcome") == o, F.col("check_name")))), ",").alias(f"{o}_checks")
+    """One row: totals, pass rate, table size, names of what did not pass, each with its tier (``tier:name``)."""
+    names = lambda o: F.array_join(F.sort_array(F.collect_list(F.when(F.col("outcome") == o, F.concat_ws(":", "tier", "check_name")))), ",").alias(f"{o}_checks")
     total = F.count(F.lit(1))
     one = results.agg(total.alias("total_checks"), F.round(100.0 * F.count_if(F.col("outcome") == "pass") / total, 2).alias("pass_rate"), names("fail"), names("error"), names("warn"))
     return one.crossJoin(n_rows).withColumn("column_count", F.lit(n_columns))  # one row each

@@ -192,7 +192,7 @@ def _(t):
 
 @query("json_drop_keys", "select event_id, '{}' as props from events")
 def _(t):
-    return t.events.select("event_id", S.clean_json(drop=["k"])("props").alias("props"))
+    return t.events.select("event_id", S.clean_json_column(t.events, "props", drop=["k"]).alias("props"))
 
 
 @query("json_drop_patterns", "select event_id, case event_type when 'click' then '{}' when 'view' then replace(props, ': ', ':') else props end as props from events")

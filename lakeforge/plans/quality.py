@@ -84,10 +84,12 @@ def _(t):
     return t.events.select("event_id", P.header_present(h, "X-Id").alias("ok"))
 
 
-@query("response_valid", f"select user_id, day, {SOUND} and (n % 2 <> 0 or user_id % 3 = 0 and user_id % 5 <> 0) as ok from {USERS}")
+@query("response_valid", f"select user_id, day, {SOUND} and (n % 2 <> 0 or user_id % 3 = 0 and user_id % 5 <> 0) and user_id % 7 <> 0 as ok from {USERS}")
 def _(t):
-    """Completeness is enabled for responses of an even number of events."""
-    return responses(t).select("user_id", "day", P.response_valid(F.col("raw"), F.col("n") % 2 == 0, F.lit(True), F.lit(True)).alias("ok"))
+    """Completeness is enabled for responses of an even number of events; those of some users lack a header."""
+    headers = F.create_map(F.when(F.col("user_id") % 7 != 0, "X-Id").otherwise("Other"), F.lit("1"))
+    ok = P.response_valid(F.col("raw"), F.col("n") % 2 == 0, F.lit(True), F.lit(True), headers=headers, required="X-Id")
+    return responses(t).select("user_id", "day", ok.alias("ok"))
 
 
 @query("error_is_critical", "select event_id, event_id % 4 <> 2 as critical from events")
@@ -226,7 +228,7 @@ def _(t):
     return dq.decision(results(t))
 
 
-@query("dq_report", f"select count(*) as total_checks, round(100.0::double * count(*) filter (outcome = 'pass') / count(*), 2) as pass_rate, coalesce(string_agg(case when outcome = 'fail' then check_name end, ',' order by check_name), '') as fail_checks, coalesce(string_agg(case when outcome = 'error' then check_name end, ',' order by check_name), '') as error_checks, coalesce(string_agg(case when outcome = 'warn' then check_name end, ',' order by check_name), '') as warn_checks, (select count(*) from events) as row_count, 6 as column_count from ({OUTCOMES})")
+@query("dq_report", f"select count(*) as total_checks, round(100.0::double * count(*) filter (outcome = 'pass') / count(*), 2) as pass_rate, coalesce(string_agg(case when outcome = 'fail' then tier || ':' || check_name end, ',' order by tier || ':' || check_name), '') as fail_checks, coalesce(string_agg(case when outcome = 'error' then tier || ':' || check_name end, ',' order by tier || ':' || check_name), '') as error_checks, coalesce(string_agg(case when outcome = 'warn' then tier || ':' || check_name end, ',' order by tier || ':' || check_name), '') as warn_checks, (select count(*) from events) as row_count, 6 as column_count from ({OUTCOMES})")
 def _(t):
     return dq.report(results(t), t.events.agg(F.count("*").alias("row_count")), len(t.events.columns))
 

@@ -451,3 +451,39 @@ def test_arrow_table_function_equals_compare(spark):
     got = sorted(tuple(r) for r in spark.sql("select * from expand_changes(table(pairs_tested))").collect())
     assert got == sorted(tuple(r) for r in registry.compare(a, b).select("table_name", "name", "change_type").collect())
     assert {r[2] for r in got} == set(registry.KINDS)
+
+
+def test_json_of_one_shape_is_cleaned_natively(spark):
+    import json
+
+    from lakeforge.functions import scalars as S
+
+    texts = ['{"dc:title": "a", "x.y": 1, "afid": [{"$": "7", "@_fa": true}, {"$": "8", "@_fa": false}], "in": {"@_fa": 1, "authid": "é"}}', '{"afid": [], "in": {"authid": "2"}, "@_fa": "z"}', "no json", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, j string")
+    native = df.select("i", S.clean_json_column(df, "j", ["@_fa"], S.RENAMES).alias("j"))
+    assert "Python" not in native._jdf.queryExecution().executedPlan().toString()
+    plain = lambda rows: {r.i: json.loads(r.j) if r.j and r.j[0] == "{" else r.j for r in rows}
+    assert plain(native.collect()) == plain(df.select("i", S.clean_json(["@_fa"], S.RENAMES)("j").alias("j")).collect())
+    mixed = spark.createDataFrame([(0, '{"a": 1, "b": 2}'), (1, '{"a": {"b": 1}}')], "i int, j string")
+    both = mixed.select("i", S.clean_json_column(mixed, "j", ["b"]).alias("j"))
+    assert "Python" in both._jdf.queryExecution().executedPlan().toString() and plain(both.collect()) == {0: {"a": 1}, 1: {"a": {}}}
+    clash = spark.createDataFrame([(0, '{"a": 1, "b": 2}')], "i int, j string")
+    assert plain(clash.select("i", S.clean_json_column(clash, "j", rename={"a": "b"}).alias("j")).collect()) == {0: {"b": 2}}
+
+
+def test_native_json_equals_the_function_on_entries(spark):
+    import json
+
+    from conftest import SF
+
+    from lakeforge.functions import scalars as S
+    from lakeforge.plans.fixtures import entries
+    from lakeforge.plans.registry import Tables
+
+    e = entries(Tables(spark, SF)).select("eid", F.to_json(F.struct("eid", "`dc:title`", "authkeywords", "author", "author-count", "freetoreadLabel")).alias("j"))
+    native = e.select("eid", S.clean_json_column(e, "j", ["@seq", "@limit"], {k: v for k, v in S.RENAMES.items() if k != "@seq"}).alias("j"))
+    assert "Python" not in native._jdf.queryExecution().executedPlan().toString()
+    udf = e.select("eid", S.clean_json(["@seq", "@limit"], {k: v for k, v in S.RENAMES.items() if k != "@seq"})("j").alias("j"))
+    read = lambda df: {r.eid: json.loads(r.j) for r in df.collect()}
+    got = read(native)
+    assert len(got) > 100 and got == read(udf)
