@@ -1,10 +1,10 @@
 """Personal data by weak supervision, in DataFrame functions only.
 
 Fixed patterns give the base spans, which always stay. Weaker patterns propose more. Five labelers vote (+1, 0, -1)
-on every proposed span: format (regex), gazetteer, context words before it, checksum, and clean edges.
-Votes are counted by pattern (at most kinds x 3^5 rows, whatever the input); expectation-maximisation
-over those counts estimates how far each labeler can be trusted, and a logistic span classifier trained on its
-posteriors becomes one SQL expression. Proposals it accepts that overlap no base span are added.
+on every proposed span: format (regex), gazetteer (the lists of ``gazetteers.json``), context words before it, checksum, and
+clean edges. Votes are counted by pattern (at most 2 x kinds x 3^5 rows, whatever the input); expectation-maximisation
+over those counts, in which base spans are known to be right, estimates how far each labeler can be trusted, and a logistic
+span classifier trained on its posteriors becomes one SQL expression. Proposals it accepts that overlap no base span are added.
 
 Places are code points from 0, ends exclusive. Null texts count as empty. Patterns have no nested
 loops that recurse or scan quadratically, so long runs of digits or letters are safe; n matches in a text are worked on in
@@ -14,16 +14,18 @@ treated alike. Empty tables give empty results.
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 from functools import partial
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeforge.llm.common import staged
 
-KINDS = ("email", "ip", "card", "phone", "ssn")
+KINDS = ("email", "ip", "card", "phone", "ssn", "iban", "street")
 VOTES = ("format", "gazetteer", "context", "checksum", "edges")
 
 # Base patterns. They find what the plain patterns find, leftmost and whole, but start only where a
@@ -32,17 +34,29 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){15,18}(?![ -]?[0-9])"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
+#: Lists of top-level domains, mail providers, calling codes, card prefixes, IBAN lengths and street words.
+LISTS = json.loads(Path(__file__).with_name("gazetteers.json").read_text(encoding="utf-8"))
+
+
+def any_of(*names: str) -> str:
+    """Street words of the lists ``names`` as an alternation."""
+    return "(?:" + "|".join(w.replace(".", r"\.") for n in names for w in LISTS["street_words"][n]) + ")"
+
+
+NAME = r"\p{Lu}[\p{L}'’.-]{1,30}"
 # Weaker proposals.
 WEAK = (
-    (0, r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++ ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]++)++", "at"),
+    (0, r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++(?: ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}) ?[A-Za-z0-9-]++)++| at [A-Za-z0-9-]++(?: dot [A-Za-z0-9-]++)++)", "at"),
     (1, r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])", ":"),
     (2, r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])", ""),
-    (3, r"(?<![0-9A-Za-z+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|[.-][0-9])", ""),
+    (3, r"(?<![0-9A-Za-z+.-])(?<![0-9] )(?:(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|0[1-9](?:[ .][0-9]{2}){4}|00[1-9][0-9]{0,2}(?:[ -][0-9]{2,4}){3,4})(?![0-9]|[ .-][0-9])", ""),
     (4, r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-"),
+    (5, r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])", ""),
+    (6, rf"(?<![0-9\p{{L}}.,-])(?:[0-9]{{1,5}}[A-Za-z]? (?:{NAME} ){{1,3}}{any_of('after_name', 'after_name_weak')}|[0-9]{{1,4}},? {any_of('before_name', 'before_name_weak')}(?: (?:de|du|des|la|le|del|los|las)){{0,2}} {NAME}(?: {NAME}){{0,2}})(?!\p{{L}})|(?<!\p{{L}})(?:\p{{Lu}}\p{{Ll}}{{2,30}}{any_of('suffix', 'suffix_weak')} [0-9]{{1,4}}[a-z]?|(?i:{any_of('before_name', 'before_name_weak')})(?: (?:de|del|la|los|las)){{0,2}}(?: {NAME}){{1,3}},? [0-9]{{1,4}})(?![0-9\p{{L}}])", ""),
 )
-# Gazetteers (beginnings or parts of values) and words that announce a value, by kind.
-GAZETTEER = (r"(?i)\.(com|org|net|edu|gov|info|io|de|fr|es|uk|eu)$", r"^(10|127|172|192|8|1|2001|fe80)[.:]", r"^(4|5[1-5]|2[2-7]|3[47]|6011|65)", r"^(\+?1|\+?4[0-9]|\+?3[0-9]|\(?[2-9])", r"^(?!000|666|9)[0-9]{3}-(?!00)")
-CONTEXT = (r"(e-?mail|mail|contact|write|reach|correo|courriel|kontakt)", r"\b(ip|host|server|address|addr|login|adresse)\b", r"(card|visa|mastercard|amex|credit|debit|payment|karte|carte|tarjeta)", r"(phone|tel|call|mobile|cell|fax|telefon|whatsapp|sms|numero)", r"(ssn|social security|soc\. sec|tax id)")
+# Words that announce a value, by kind, and words that announce some other number.
+CONTEXT = (r"(e-?mail|mail|contact|write|reach|correo|courriel|kontakt)", r"\b(ip|host|server|address|addr|login|adresse)\b", r"(card|visa|mastercard|amex|credit|debit|payment|karte|carte|tarjeta)", r"(phone|tel|call|mobile|cell|fax|telefon|whatsapp|sms|numero)", r"(ssn|social security|soc\. sec|tax id)", r"(iban|account|bank|konto|compte|cuenta|transfer|überweis|virement)", r"(address|live[sd]? (at|in|on)|home|resid|wohn|adresse|anschrift|habite|domicil|direcci|vive en)")
+OTHER = r"\b(order|invoice|isbn|issn|serial|version|model|part|sku|tracking|ticket|build|bestellung|rechnung|commande|facture|pedido|factura)( (no\.?|number|nr\.?|id))?[ :#]*$"
 #: Code points before a span that are read for context.
 BEFORE = 32
 
@@ -62,6 +76,45 @@ def luhn(d: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(d), F.lit(1))), F.lit(0), add) % 10 == 0
 
 
+def remainder_97(value: Column) -> Column:
+    """What remains of an account number by the IBAN rule: its first four signs last, letters as 10 to 35; 1 if it is right."""
+    v = F.regexp_replace(value, " ", "")
+    turned = F.concat(F.substring(v, F.lit(5), F.length(v)), F.substring(v, 1, 4))
+
+    def add(rest, i):
+        c = F.ascii(F.substring(turned, i, F.lit(1)))
+        return F.when(c <= 57, rest * 10 + c - 48).otherwise(rest * 100 + c - 55) % 97
+
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(turned), F.lit(1))), F.lit(0), add)
+
+
+def listed(kind: int, value: Column) -> Column:
+    """The gazetteer's vote: 1 if the value's beginning or end is on the lists of its kind, -1 if not, 0 if it can't tell."""
+    d, words = digits(value), LISTS["street_words"]
+    prefix = lambda n: F.substring(d, 1, n)
+    yes_no = lambda good: F.when(good, 1).otherwise(-1)
+    if kind == 0:
+        labels = F.split(F.regexp_replace(F.lower(value), r"^.*(@|[(\[{]at[)\]}]| at )| ?[(\[{]?\bdot\b[)\]}]? ?| ", "."), r"\.+")
+        return F.when(F.exists(labels, lambda x: x.isin(LISTS["providers"])), 1).otherwise(yes_no(F.element_at(labels, -1).isin(LISTS["tlds"])))
+    if kind == 1:
+        return yes_no(F.when(F.contains(value, F.lit(":")), F.lower(value).rlike("^([23][0-9a-f]{3}|f[cd][0-9a-f]{2}|fe[89ab][0-9a-f]):")).otherwise(value.rlike("^0*([1-9]|[1-9][0-9]|1[0-9]{2}|2[01][0-9]|22[0-3])[.]")))
+    if kind == 2:
+        ranges = [prefix(len(low)).between(low, high) for low, high in LISTS["card_prefixes"]]
+        return yes_no(F.exists(F.array(*ranges), lambda x: x))
+    if kind == 3:
+        code = F.when(value.rlike("^00"), F.substring(d, 3, 3)).otherwise(prefix(3))
+        known = F.exists(F.array(*(F.substring(code, 1, n) for n in (1, 2, 3))), lambda x: x.isin(LISTS["calling_codes"]))
+        return yes_no(F.when(value.rlike(r"^(\+|00)"), known).when(value.rlike("^0"), F.length(d) == 10).otherwise(d.rlike("^[2-9][0-9]{2}[2-9]")))
+    if kind == 4:
+        return yes_no(value.rlike("^(?!000|666|9)[0-9]{3}-(?!00)"))
+    if kind == 5:
+        v = F.regexp_replace(value, " ", "")
+        return yes_no(F.concat(F.substring(v, 1, 2), F.length(v).cast("string")).isin(LISTS["iban_lengths"]))
+    strong = [w.lower() for n in ("after_name", "before_name") for w in words[n]]
+    tokens = F.split(F.lower(value), "[ ,]+")
+    return F.when(F.exists(tokens, lambda x: x.isin(strong) | x.rlike(any_of("suffix") + "$")), 1).otherwise(0)
+
+
 def octets(x: Column) -> Column:
     """Whether all four parts are at most 255, whatever zeros lead."""
     return x.rlike(r"^(0*(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(\.|$)){4}$")
@@ -119,9 +172,11 @@ def votes(kind: int, base: bool, m: Column) -> Column:
     """One proposal as (kind, start, end, base, the five votes)."""
     value, d, before, sides = m["value"], digits(m["value"]), F.lower(m["before"]), m["sides"]
     sign = lambda good, bad=None: F.when(good, 1).otherwise(F.lit(-1) if bad is None else F.when(bad, -1).otherwise(0)).cast("int")
-    check = {0: F.lit(0), 1: sign(octets(value)) if base else F.lit(0), 2: sign(luhn(d)), 3: sign(F.length(d).between(8, 15)), 4: sign(value.rlike(r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)"))}[kind]
-    form = F.lit(1) if base else (sign(F.length(d) >= 15, F.length(d) < 13) if kind == 2 else sign(value.rlike(r"[-.()@:\[]")))
-    return F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), F.lit(base).alias("base"), form.cast("int").alias("format"), sign(value.rlike(GAZETTEER[kind])).alias("gazetteer"), sign(before.rlike(CONTEXT[kind]), F.lit(False)).alias("context"), check.cast("int").alias("checksum"), sign(sides.rlike(r"^[\s(\[<:,;|\"']([\s)\]>.,;:|!?\"']|$)"), sides.rlike(r"[0-9A-Za-z]")).alias("edges"))
+    check = {0: F.lit(0), 1: sign(octets(value)) if base else F.lit(0), 2: sign(luhn(d)), 3: sign(F.length(d).between(8, 15)) if base else F.lit(0), 4: sign(value.rlike(r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)")), 5: sign(remainder_97(value) == 1), 6: F.lit(0)}[kind]
+    shape = {2: sign(F.length(d) >= 15, F.length(d) < 13), 3: sign(value.rlike(r"[-.()]|^00|^0[1-9]( [0-9]{2}){4}$")), 5: sign(value.rlike(r"^[A-Z0-9]+$|^[A-Z0-9]{4}( [A-Z0-9]{4})+( [A-Z0-9]{1,3})?$")), 6: sign(value.rlike(r"^([0-9]+[A-Za-z]?,? )?\p{L}[\p{L}'’.-]+ "))}
+    form = F.lit(1) if base else shape.get(kind, sign(value.rlike(r"[-.()@:\[{]"), F.lit(False)))
+    clue = F.when(before.rlike(OTHER), -1).otherwise(sign(before.rlike(CONTEXT[kind]), F.lit(False)))
+    return F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), F.lit(base).alias("base"), form.cast("int").alias("format"), listed(kind, value).cast("int").alias("gazetteer"), clue.cast("int").alias("context"), check.cast("int").alias("checksum"), sign(sides.rlike(r"^[\s(\[<:,;|\"']([\s)\]>.,;:|!?\"']|$)"), sides.rlike(r"[0-9A-Za-z]")).alias("edges"))
 
 
 def proposals(text: Column) -> tuple[Column, Column]:
@@ -169,9 +224,12 @@ class Classifier:
         return score > 0
 
 
-def estimate(patterns: list[tuple[int, tuple[int, ...], int]], rounds: int = 40) -> tuple[list[float], dict[str, float]]:
-    """EM for a two-class model in which labelers vote independently; returns a posterior for each pattern."""
-    post = [min(0.9, max(0.1, 0.5 + 0.2 * sum(v))) for _, v, _ in patterns]
+def estimate(patterns: list[tuple[int, bool, tuple[int, ...], int]], rounds: int = 40) -> tuple[list[float], dict[str, float]]:
+    """EM for a two-class model in which labelers vote independently; returns a posterior for each pattern.
+
+    Base spans are right; what share of the others is, is estimated by kind.
+    """
+    post = [1.0 if base else min(0.9, max(0.1, 0.5 + 0.2 * sum(v))) for _, base, v, _ in patterns]
     table: list[dict] = []
     for _ in range(rounds):
         table = []
@@ -179,37 +237,40 @@ def estimate(patterns: list[tuple[int, tuple[int, ...], int]], rounds: int = 40)
             t = {}
             for y in (0, 1):
                 n = {x: 1.0 + (2.0 if x == (1 if y else -1) else 0.0) for x in (-1, 0, 1)}
-                for (_, v, c), p in zip(patterns, post, strict=True):
+                for (_, _, v, c), p in zip(patterns, post, strict=True):
                     n[v[i]] += c * (p if y else 1 - p)
                 t[y] = {x: n[x] / sum(n.values()) for x in n}
             table.append(t)
         prior = {}
         for kind in range(len(KINDS)):
-            rows = [(c, p) for (k, _, c), p in zip(patterns, post, strict=True) if k == kind]
+            rows = [(c, p) for (k, base, _, c), p in zip(patterns, post, strict=True) if k == kind and not base]
             prior[kind] = (1.0 + sum(c * p for c, p in rows)) / (2.0 + sum(c for c, _ in rows))
-        for j, (kind, v, _) in enumerate(patterns):
+        for j, (kind, base, v, _) in enumerate(patterns):
             z = math.log(prior[kind] / (1 - prior[kind])) + sum(math.log(table[i][1][x] / table[i][0][x]) for i, x in enumerate(v))
-            post[j] = 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+            post[j] = 1.0 if base else 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
     return post, {name: table[i][1][1] / (table[i][1][1] + table[i][0][1]) for i, name in enumerate(VOTES)}
 
 
 def train(spans: DataFrame) -> Classifier:
-    """``spans`` has ``kind``, the votes and nothing that grows: only counts of vote patterns reach the driver."""
-    rows = spans.groupBy("kind", *VOTES).agg(F.count("*").alias("n")).collect()
-    patterns = sorted((r.kind, tuple(r[v] for v in VOTES), r.n) for r in rows)
+    """``spans`` has ``kind``, ``base``, the votes and nothing that grows: only counts of vote patterns reach the driver.
+
+    Base spans teach the weights but have a bias of their own, so that they do not raise those of proposals.
+    """
+    rows = spans.groupBy("kind", "base", *VOTES).agg(F.count("*").alias("n")).collect()
+    patterns = sorted((r.kind, r.base, tuple(r[v] for v in VOTES), r.n) for r in rows)
     post, trust = estimate(patterns) if patterns else ([], {})
-    bias, weight = [-0.5] * len(KINDS), {(name, vote): 0.6 * vote for name in VOTES for vote in (-1, 1)}
-    total = sum(n for _, _, n in patterns) or 1
+    bias, known, weight = [-0.5] * len(KINDS), 0.0, {(name, vote): 0.6 * vote for name in VOTES for vote in (-1, 1)}
+    totals = {base: sum(n for _, b, _, n in patterns if b == base) or 1 for base in (False, True)}
     for _ in range(400):
-        gb, gw = [0.01 * (b + 0.5) for b in bias], {k: 0.01 * w for k, w in weight.items()}
-        for (kind, v, n), p in zip(patterns, post, strict=True):
-            z = bias[kind] + sum(weight.get((VOTES[i], x), 0.0) for i, x in enumerate(v))
-            g = (1 / (1 + math.exp(-max(-30.0, min(30.0, z)))) - p) * n / total
-            gb[kind] += g
+        gb, gk, gw = [0.01 * (b + 0.5) for b in bias], 0.0, {k: 0.01 * w for k, w in weight.items()}
+        for (kind, base, v, n), p in zip(patterns, post, strict=True):
+            z = bias[kind] + known * base + sum(weight.get((VOTES[i], x), 0.0) for i, x in enumerate(v))
+            g = (1 / (1 + math.exp(-max(-30.0, min(30.0, z)))) - p) * n / totals[base]
+            gk, gb[kind] = gk + g * base, gb[kind] + g * (not base)
             for i, x in enumerate(v):
                 if x:
                     gw[VOTES[i], x] += g
-        bias, weight = [b - 0.5 * g for b, g in zip(bias, gb, strict=True)], {k: w - 0.5 * gw[k] for k, w in weight.items()}
+        bias, known, weight = [b - 0.5 * g for b, g in zip(bias, gb, strict=True)], known - 0.5 * gk, {k: w - 0.5 * gw[k] for k, w in weight.items()}
     return Classifier(bias, weight, trust)
 
 

@@ -224,6 +224,51 @@ def test_pii_base_spans(spark, odd, empty):
             assert set(filter(None, text.split(","))) <= set(g.spans.split(","))
 
 
+#: Personal data that no base pattern finds: kind, the words before it, the span.
+PLANTED = [
+    ("email", "write to ", "anna.berg (at) gmail (dot) com"), ("email", "contact ", "j.doe[at]example.org"), ("email", "mail me: ", "lee at posteo dot de"), ("email", "reach us: ", "info{at}firma.fr"),
+    ("ip", "the server ", "2001:db8:0:1:1:1:1:1"), ("ip", "host ", "fe80:0:0:0:202:b3ff:fe1e:8329"),
+    ("card", "amex card ", "378282246310005"), ("card", "credit card: ", "3714 496353 98431"),
+    ("phone", "call ", "(212) 555-0187"), ("phone", "tel ", "01 42 68 53 00"), ("phone", "mobile ", "0049 30 1234 5678"), ("phone", "phone: ", "415-555-2671"),
+    ("ssn", "his ssn is ", "219-09-9999"), ("ssn", "social security ", "457-55-5462"),
+    ("iban", "transfer to ", "DE89 3704 0044 0532 0130 00"), ("iban", "my iban is ", "GB29NWBK60161331926819"), ("iban", "compte ", "FR14 2004 1010 0505 0001 3M02 606"), ("iban", "", "ES91 2100 0418 4502 0005 1332"),
+    ("street", "she lives at ", "221 Baker Street"), ("street", "wohnt in der ", "Lindenstraße 14b"), ("street", "habite au ", "12 rue de Rivoli"), ("street", "vive en ", "Calle Mayor 25"), ("street", "home address ", "1600 Pennsylvania Avenue"),
+]
+#: What weak patterns propose, or nearly, and is none.
+DECOYS = [
+    ("looked at ", "example dot painting"), ("order no ", "378282246310006"), ("invoice ", "4000 0000 0000 01"), ("tracking id ", "9999999999999"), ("isbn ", "9783161484101"), ("serial ", "AB12 3456 7890 1234 5678"), ("part ", "DE89 3704 0044 0532 0130 01"),
+    ("model ", "XX00ABCD1234EFGH"), ("ticket ", "000-12-3456"), ("version ", "666-45-6789"), ("order ", "123-456-7890"), ("serial ", "100.200.3000"),
+]
+
+
+def test_pii_proposals_planted_and_decoys(spark):
+    """Labelers that nobody taught tell planted spans from decoys, also where either is rare; texts of plain words get no span."""
+    rows, want = [], {}
+    for times in range(6):
+        for kind, before, value in PLANTED:
+            text = f"on day {times} we said {before}{value} and went on"
+            start = text.index(value)
+            want[len(rows)] = f"{kind}:{start}:{start + len(value)}"
+            rows.append((len(rows), text))
+        for before, value in DECOYS * 2:
+            want[len(rows)] = ""
+            rows.append((len(rows), f"on day {times} we said {before}{value} and went on"))
+        base = f"mail a{times}@example.org or call +1 212 555 018{times}, card 4111111111111111"
+        rows += [(len(rows), base), (len(rows) + 1, "12 way to go, 5 place, I met at noon dot. Chapter 12 of Rue 5 and 100 men at 10:30:20")]
+        want[len(rows) - 1] = ""
+    got = {r.doc_id: r.spans for r in pii.digest(pii.find(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    wrong = [(rows[i][1], got[i], w) for i, w in want.items() if got[i] != w]
+    assert not wrong, wrong[:40]
+
+
+def test_pii_account_numbers_and_lists(spark):
+    good, bad = "GB82WEST12345698765432", "GB83WEST12345698765432"
+    numeric = lambda v: int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97
+    r = spark.createDataFrame([(good, bad, "NO93 8601 1117 947")], "a string, b string, c string").select(*(pii.remainder_97(F.col(c)).alias(c) for c in "abc")).first()
+    assert list(r) == [1, numeric(bad), numeric("NO9386011117947")] and r.b != 1
+    assert sum(len(v) for k, v in pii.LISTS.items() if k not in ("sources", "street_words")) > 500 and set(pii.LISTS["sources"]) == set(pii.LISTS) - {"sources"}
+
+
 def test_pii_many_matches_and_clashing_names(spark):
     import time
 
