@@ -46,13 +46,13 @@ def any_of(*names: str) -> str:
 NAME = r"\p{Lu}[\p{L}'’.-]{1,30}"
 # Weaker proposals.
 WEAK = (
-    (0, r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++(?: ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}) ?[A-Za-z0-9-]++)++| at [A-Za-z0-9-]++(?: dot [A-Za-z0-9-]++)++)", "at"),
-    (1, r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])", ":"),
-    (2, r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])", ""),
-    (3, r"(?<![0-9A-Za-z+.-])(?<![0-9] )(?:(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|0[1-9](?:[ .][0-9]{2}){4}|00[1-9][0-9]{0,2}(?:[ -][0-9]{2,4}){3,4})(?![0-9]|[ .-][0-9])", ""),
-    (4, r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-"),
-    (5, r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])", ""),
-    (6, rf"(?<![0-9\p{{L}}.,-])(?:[0-9]{{1,5}}[A-Za-z]? (?:{NAME} ){{1,3}}{any_of('after_name', 'after_name_weak')}|[0-9]{{1,4}},? {any_of('before_name', 'before_name_weak')}(?: (?:de|du|des|la|le|del|los|las)){{0,2}} {NAME}(?: {NAME}){{0,2}})(?!\p{{L}})|(?<!\p{{L}})(?:\p{{Lu}}\p{{Ll}}{{2,30}}{any_of('suffix', 'suffix_weak')} [0-9]{{1,4}}[a-z]?|(?i:{any_of('before_name', 'before_name_weak')})(?: (?:de|del|la|los|las)){{0,2}}(?: {NAME}){{1,3}},? [0-9]{{1,4}})(?![0-9\p{{L}}])", ""),
+    (0, r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++(?: ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}) ?[A-Za-z0-9-]++)++| at [A-Za-z0-9-]++(?: dot [A-Za-z0-9-]++)++)", r"at[)\]}]| dot "),
+    (1, r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])", "[0-9A-Fa-f]:[0-9A-Fa-f]"),
+    (2, r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])", "[0-9]"),
+    (3, r"(?<![0-9A-Za-z+.-])(?<![0-9] )(?:(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|0[1-9](?:[ .][0-9]{2}){4}|00[1-9][0-9]{0,2}(?:[ -][0-9]{2,4}){3,4})(?![0-9]|[ .-][0-9])", "[0-9]"),
+    (4, r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "[0-9]-[0-9]"),
+    (5, r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])", "[0-9]"),
+    (6, rf"(?<![0-9\p{{L}}.,-])(?:[0-9]{{1,5}}[A-Za-z]? (?:{NAME} ){{1,3}}{any_of('after_name', 'after_name_weak')}|[0-9]{{1,4}},? {any_of('before_name', 'before_name_weak')}(?: (?:de|du|des|la|le|del|los|las)){{0,2}} {NAME}(?: {NAME}){{0,2}})(?!\p{{L}})|(?<!\p{{L}})(?:\p{{Lu}}\p{{Ll}}{{2,30}}{any_of('suffix', 'suffix_weak')} [0-9]{{1,4}}[a-z]?|(?i:{any_of('before_name', 'before_name_weak')})(?: (?:de|del|la|los|las)){{0,2}}(?: {NAME}){{1,3}},? [0-9]{{1,4}})(?![0-9\p{{L}}])", "[0-9]"),
 )
 # Words that announce a value, by kind, and words that announce some other number.
 CONTEXT = (r"(e-?mail|mail|contact|write|reach|correo|courriel|kontakt)", r"\b(ip|host|server|address|addr|login|adresse)\b", r"(card|visa|mastercard|amex|credit|debit|payment|karte|carte|tarjeta)", r"(phone|tel|call|mobile|cell|fax|telefon|whatsapp|sms|numero)", r"(ssn|social security|soc\. sec|tax id)", r"(iban|account|bank|konto|compte|cuenta|transfer|überweis|virement)", r"(address|live[sd]? (at|in|on)|home|resid|wohn|adresse|anschrift|habite|domicil|direcci|vive en)")
@@ -144,7 +144,7 @@ def running(sums: Column) -> Column:
 def matches(text: Column, pattern: str, sign: str = "") -> Column:
     """Array of (start, end, value, before: the text before it, sides: the characters around it) of all matches.
 
-    Texts without ``sign`` are not searched.
+    Texts in which ``sign``, a short pattern that is part of each match, does not occur are not searched.
     """
     values, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     empty = F.expr("cast(array() as array<struct<start:int,end:int,value:string,before:string,sides:string>>)")
@@ -165,7 +165,7 @@ def matches(text: Column, pattern: str, sign: str = "") -> Column:
 
         return F.aggregate(x["pairs"], F.struct(x["at"].alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
 
-    return F.when(F.contains(text, F.lit(sign)) & text.rlike(pattern) if sign else text.rlike(pattern), F.flatten(F.transform(placed, found))).otherwise(empty)
+    return F.when(text.rlike(sign) & text.rlike(pattern) if sign else text.rlike(pattern), F.flatten(F.transform(placed, found))).otherwise(empty)
 
 
 def votes(kind: int, base: bool, m: Column) -> Column:
@@ -184,9 +184,9 @@ def proposals(text: Column) -> tuple[Column, Column]:
     text = F.coalesce(text.cast("string"), F.lit(""))
     good = (
         (0, EMAIL, "@", lambda m: F.lit(True)),
-        (1, IP, ".", lambda m: octets(m["value"])),
-        (2, CARD, "", lambda m: luhn(digits(m["value"]))),
-        (3, PHONE, "+", lambda m: F.length(digits(m["value"])).between(8, 15)),
+        (1, IP, r"[0-9]\.[0-9]", lambda m: octets(m["value"])),
+        (2, CARD, "[0-9]", lambda m: luhn(digits(m["value"]))),
+        (3, PHONE, r"\+[0-9]", lambda m: F.length(digits(m["value"])).between(8, 15)),
     )
     base = F.concat(*(F.transform(F.filter(matches(text, p, s), ok), partial(votes, k, True)) for k, p, s, ok in good))
     weak = F.concat(*(F.transform(matches(text, p, s), partial(votes, k, False)) for k, p, s in WEAK))
