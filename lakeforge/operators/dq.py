@@ -113,6 +113,13 @@ def missing_columns(catalogue: DataFrame, required: Sequence[str]) -> DataFrame:
     return have.select("table_name", F.explode(F.array_except(want, "have")).alias("column_name"))
 
 
+def whitespace_rows(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """``keys, column, n, trimmed``: values with blanks at an end, with their lengths as they are and trimmed; one pass."""
+    each = F.array(*(F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns))
+    long = df.select(*keys, F.inline(each)).where(F.col("value") != F.trim("value"))
+    return long.select(*keys, "column", F.length("value").cast("long").alias("n"), F.length(F.trim("value")).cast("long").alias("trimmed"))
+
+
 def validate_audit(audit: DataFrame, required: Sequence[str], latest: Column) -> DataFrame:
     """``check_name, ok`` of six checks on an audit table; repeated load ids come from one count by load id."""
     some = lambda c: F.max(F.coalesce(c, F.lit(False)))

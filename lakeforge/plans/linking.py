@@ -7,6 +7,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from lakeforge.operators import relational as J
 from lakeforge.operators import manifests as M
+from lakeforge.operators import versions as V
 from lakeforge.plans.fixtures import PAGES_SQL, pages, states
 from lakeforge.plans.landing import AUDIT, audits
 from lakeforge.plans.registry import Tables, query
@@ -53,14 +54,14 @@ def _(t):
 @query("log_with_version", "select l_orderkey, l_linenumber, o_orderstatus from lineitem join orders on l_orderkey = o_orderkey where o_orderpriority = '1-URGENT'")
 def _(t):
     o = t.orders.where("o_orderpriority = '1-URGENT'").select("o_orderkey", "o_orderstatus")
-    return t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_orderkey").alias("o_orderkey")).join(o, "o_orderkey").drop("o_orderkey")
+    log = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_orderkey").alias("o_orderkey"))
+    return V.logged(log, o, "o_orderkey", ["o_orderstatus"]).drop("o_orderkey")
 
 
 @query("semi_cited_dois", "select p_partkey from part where p_partkey in (select l_partkey from lineitem join orders on l_orderkey = o_orderkey where o_orderstatus = 'F')")
 def _(t):
     closed = t.orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
-    cited = t.lineitem.join(closed, "l_orderkey", "left_semi").select(F.col("l_partkey").alias("p_partkey"))
-    return t.part.select("p_partkey").join(cited, "p_partkey", "left_semi")
+    return V.cited(t.part.select("p_partkey"), "p_partkey", t.lineitem, "l_partkey", closed, "l_orderkey")
 
 
 @query("coverage_join", "select count(*) as requested, count(hit) as matched, count(*) - count(hit) as unmatched, round(100.0::double * count(hit) / count(*), 2) as rate from (select distinct doc_id from documents) left join (select distinct doc_id, 1 as hit from labels) using (doc_id)")
@@ -101,7 +102,7 @@ def _(t):
 
 @query("current_version", "select user_id, event_type, max_by(event_id, (ts, event_id)) as event_id from events group by 1, 2")
 def _(t):
-    return t.events.groupBy("user_id", "event_type").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
+    return V.current(t.events.select("user_id", "event_type", "ts", "event_id"), ["user_id", "event_type"], ["ts", "event_id"]).drop("ts")
 
 
 @query("resume_point", f"select load_id, entity_id, max(page_number) + 1 as next_page, min(case when event_type = 'error' then page_number end) as first_invalid from ({PAGES_SQL}) group by 1, 2")
@@ -111,26 +112,23 @@ def _(t):
 
 @query("version_delta", "select event_id, lag(props) over (partition by user_id order by event_id) as previous, props is distinct from lag(props) over (partition by user_id order by event_id) as changed from events")
 def _(t):
-    from pyspark.sql import Window
-
-    before = F.lag("props").over(Window.partitionBy("user_id").orderBy("event_id"))
-    return t.events.select("event_id", before.alias("previous"), (~F.col("props").eqNullSafe(before)).alias("changed"))
+    return V.deltas(t.events.select("user_id", "event_id", "props"), ["user_id"], "event_id", "props", 10_000).select("event_id", "previous", "changed")
 
 
 @query("history_limit", "select event_id, event_type from events order by ts desc, event_id desc limit 10")
 def _(t):
-    return t.events.orderBy(F.desc("ts"), F.desc("event_id")).limit(10).select("event_id", "event_type")
+    return V.newest(t.events, ["ts", "event_id"], 10).select("event_id", "event_type")
 
 
 @query("recent_changes", "select event_id, c_mktsegment from events join customer on user_id = c_custkey where event_type = 'click' order by ts desc, event_id desc limit 20")
 def _(t):
-    j = t.events.where("event_type = 'click'").join(t.customer.select(F.col("c_custkey").alias("user_id"), "c_mktsegment"), "user_id")
-    return j.orderBy(F.desc("ts"), F.desc("event_id")).limit(20).select("event_id", "c_mktsegment")
+    j = V.logged(t.events, t.customer.withColumnRenamed("c_custkey", "user_id"), "user_id", ["c_mktsegment"])
+    return V.newest(j, ["ts", "event_id"], 20, F.col("event_type") == "click").select("event_id", "c_mktsegment")
 
 
 @query("recent_loads", f"select load_id, orders from ({AUDIT}) order by load_id desc limit 10")
 def _(t):
-    return audits(t).orderBy(F.desc("load_id")).limit(10).select("load_id", "orders")
+    return V.newest(audits(t), ["load_id"], 10).select("load_id", "orders")
 
 
 @query("any_load_id", f"select min(load_id) as load_id from ({PAGES_SQL})")
@@ -140,7 +138,7 @@ def _(t):
 
 @query("unique_identifiers", "select distinct 'part' as kind, l_partkey as id from lineitem union all select distinct 'supplier', l_suppkey from lineitem")
 def _(t):
-    return t.lineitem.select(F.inline(F.array(F.struct(F.lit("part").alias("kind"), F.col("l_partkey").alias("id")), F.struct(F.lit("supplier").alias("kind"), F.col("l_suppkey").alias("id"))))).distinct()
+    return V.identifiers(t.lineitem, {"part": "l_partkey", "supplier": "l_suppkey"})
 
 
 @query("union_doi_sets", "select count(distinct l_partkey) as n from lineitem")
@@ -163,17 +161,17 @@ def names(t: Tables, cond: str):
 
 @query("schema_added", f"select name from {NEW} except select name from {OLD}")
 def _(t):
-    return names(t, ">=").subtract(names(t, "<"))
+    return V.compared(names(t, "<"), names(t, ">="), "name").where("change = 'added'").select("name")
 
 
 @query("schema_removed", f"select name from {OLD} except select name from {NEW}")
 def _(t):
-    return names(t, "<").subtract(names(t, ">="))
+    return V.compared(names(t, "<"), names(t, ">="), "name").where("change = 'removed'").select("name")
 
 
 @query("schema_common", f"select name from {OLD} intersect select name from {NEW}")
 def _(t):
-    return names(t, "<").intersect(names(t, ">="))
+    return V.compared(names(t, "<"), names(t, ">="), "name").where("change = 'common'").select("name")
 
 
 @query("multi_source_union", "select c_custkey as id, c_mktsegment as segment, null::bigint as size, 'customer' as source from customer union all select p_partkey, null, p_size, 'part' from part")

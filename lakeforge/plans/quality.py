@@ -133,7 +133,7 @@ def _(t):
 @query("whitespace_rows", "select event_id, length(v) as n, length(trim(v)) as trimmed from (select event_id, case when event_id % 11 = 3 then ' x ' else event_type end as v from events) where v <> trim(v)")
 def _(t):
     v = F.when(F.col("event_id") % 11 == 3, " x ").otherwise(F.col("event_type"))
-    return t.events.select("event_id", v.alias("v")).where(F.col("v") != F.trim("v")).select("event_id", F.length("v").cast("long").alias("n"), F.length(F.trim("v")).cast("long").alias("trimmed"))
+    return dq.whitespace_rows(t.events.select("event_id", v.alias("v")), ["event_id"], ["v"]).select("event_id", "n", "trimmed")
 
 
 # data quality
@@ -201,12 +201,12 @@ def results(t: Tables) -> DataFrame:
 
 OUTCOMES = f"""
 select 'critical' as tier, 'has_rows' as check_name, case when count(*) < 1 then 'fail' else 'pass' end as outcome from events
-union all select 'critical', 'type_missing', 'pass' from region where r_regionkey = 0
+union all select 'critical', 'type_missing', case when count(*) filter (event_type is null) > 1e12 then 'fail' else 'pass' end from {HOLEY}
 union all select 'critical', 'id_unique', case when count(*) > count(distinct event_id) then 'fail' else 'pass' end from events
 union all select 'quality', 'type_known', case when count(*) filter (event_type not in ('signup', 'error', 'click', 'view', 'purchase')) > 0 then 'fail' else 'pass' end from {HOLEY}
 union all select 'quality', 'value_low', case when min(value) < -1e12 then 'fail' else 'pass' end from events
 union all select 'monitoring', 'type_mostly', case when round(100.0 * count(*) filter (event_type is null) / count(*), 4) > 5 then 'warn' else 'pass' end from {HOLEY}
-union all select 'monitoring', 'props_repeat', 'pass' from region where r_regionkey = 0"""
+union all select 'monitoring', 'props_repeat', case when p > 2000 then 'fail' when p > 1000 then 'warn' else 'pass' end from (select 100.0::double * count(*) filter (n > 1 and props is not null) / sum(n)::double as p from (select props, count(*) as n from events group by 1))"""
 
 
 @query("dq_threshold_outcome", OUTCOMES)

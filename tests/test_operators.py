@@ -487,3 +487,42 @@ def test_native_json_equals_the_function_on_entries(spark):
     read = lambda df: {r.eid: json.loads(r.j) for r in df.collect()}
     got = read(native)
     assert len(got) > 100 and got == read(udf)
+
+
+def test_versions_of_any_history(spark):
+    from lakeforge.operators import versions as V
+
+    rows = [("a", 1, "x", None), ("a", 5, "x", "p"), ("a", 12, None, "p"), ("a", 31, None, "q"), ("a", None, "z", "r"), (None, 3, "u", "s"), (None, 40, "w", "s"), ("b", None, "k", "t"), ("b", None, "k", "t")]
+    h = spark.createDataFrame(rows, "tab string, nr int, hash string, note string")
+    got = {(r.tab, r.nr): (r.previous, r.changed) for r in V.deltas(h, ["tab"], "nr", "hash", 10).collect()}
+    assert got == {("a", 1): (None, True), ("a", 5): ("x", False), ("a", 12): ("x", True), ("a", 31): (None, False), ("a", None): (None, True), (None, 3): (None, True), (None, 40): ("u", True), ("b", None): (None, True)}
+    assert V.deltas(h, ["tab"], "nr", "hash", 10).count() == len(rows) and V.deltas(h.where("nr < 0"), ["tab"], "nr", "hash").count() == 0
+    assert {tuple(r) for r in V.current(h, ["tab"], ["nr"]).collect()} == {("a", 31, None, "q"), (None, 40, "w", "s"), ("b", None, "k", "t")}
+    assert [r.nr for r in V.newest(h, ["nr"], 2, h.tab == "a").collect()] == [31, 12]
+    assert {r.note for r in V.logged(h, spark.createDataFrame([("a", 7)], "tab string, version int"), "tab", ["version"]).collect()} == {None, "p", "q", "r"}
+
+
+def test_deltas_split_hot_groups(spark):
+    """All rows in one group, cut into stretches, get what one plain window gives."""
+    from pyspark.sql import Window
+
+    from lakeforge.operators import versions as V
+
+    h = spark.range(20_000).select(F.lit("hot").alias("tab"), (F.col("id") * 7 % 20_011).alias("nr"), F.when(F.col("id") % 5 != 0, (F.col("id") % 3).cast("string")).alias("hash"))
+    want = h.select("nr", F.lag("hash").over(Window.orderBy("nr")).alias("previous"))
+    got = V.deltas(h, ["tab"], "nr", "hash", 1_000).select("nr", "previous")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_names_identifiers_citations_and_blanks(spark):
+    from lakeforge.operators import dq
+    from lakeforge.operators import versions as V
+
+    col = lambda *v: spark.createDataFrame([(x,) for x in v], "c string")
+    assert {tuple(r) for r in V.compared(col("a", "b", "b", None), col("b", "c"), "c").collect()} == {("a", "removed"), ("b", "common"), ("c", "added"), (None, "removed")}
+    refs = spark.createDataFrame([(1, 10, 7), (2, 20, None), (3, 10, 8)], "src int, dst int, other int")
+    assert {tuple(r) for r in V.identifiers(refs, {"d": "dst", "o": "other"}).collect()} == {("d", 10), ("d", 20), ("o", 7), ("o", 8)}
+    items, kept = spark.createDataFrame([(10,), (20,), (30,)], "item int"), spark.createDataFrame([(1,), (3,)], "src int")
+    assert [r.item for r in V.cited(items, "item", refs, "dst", kept, "src").collect()] == [10]
+    b = spark.createDataFrame([(1, " x ", "y"), (2, None, " "), (3, "ok", None)], "k int, v string, w string")
+    assert {tuple(r) for r in dq.whitespace_rows(b, ["k"], ["v", "w"]).collect()} == {(1, "v", 3, 1), (2, "w", 1, 0)}
