@@ -18,6 +18,16 @@ def valid_length(c: Column, low: int | None = None, high: int | None = None) ->
     return (n >= low if low is not None else F.lit(True)) & (n <= high if high is not None else F.lit(True))
 
 
+def valid_regex(c: Column, pattern: str) -> Column:
+    """Whether the whole value matches; null for null."""
+    return c.rlike(f"^(?:{pattern})$")
+
+
+def valid_values(c: Column, values: Sequence) -> Column:
+    """Whether the value is one of those listed; null for null."""
+    return c.isin(*values)
+
+
 def total_of(v: Column, path: str = TOTAL_PATH) -> Column:
     """The announced total of a parsed response; ``path`` is configured by source."""
     return F.try_variant_get(v, path, "long")

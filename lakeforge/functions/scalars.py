@@ -141,6 +141,34 @@ def null_normalise(df: DataFrame, keep: Sequence[str] = ("load_id", "data_source
     return df.select(*(F.col(c) if c in keep else F.when(~F.trim(F.col(c).cast("string")).isin(*MISSING), F.col(c)).alias(c) for c in df.columns))
 
 
+def nested_as_json(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The listed nested columns as JSON text; nulls stay null."""
+    return df.withColumns({c: F.to_json(F.col(f"`{c}`")) for c in columns})
+
+
+def json_items(s: Column) -> Column:
+    """How many items a JSON array has; null for any other text."""
+    return F.json_array_length(s)
+
+
+def append_distinct(items: Column, value: Column) -> Column:
+    """The array with ``value`` at its end if it lacks it; a null array counts as empty, a null value adds nothing."""
+    some = F.coalesce(items, F.array_compact(F.array(F.when(F.lit(False), value))))
+    return F.array_union(some, F.array_compact(F.array(value)))
+
+
+def safe_name(c: Column, unsafe: str = "/", by: str = "_") -> Column:
+    """A name with each of the signs ``unsafe`` replaced."""
+    return F.translate(c, unsafe, by * len(unsafe))
+
+
+def query_parameters(manifest: Column) -> Column:
+    """JSON array of a manifest's parameters: ``all_query_parameters``, else the one of ``query_parameters``, else none."""
+    m = F.try_parse_json(manifest)
+    every, one = F.try_variant_get(m, "$.all_query_parameters", "array<variant>"), F.try_variant_get(m, "$.query_parameters", "variant")
+    return F.coalesce(F.to_json(F.coalesce(every, F.when(one.isNotNull(), F.array(one)))), F.lit("[]"))
+
+
 def first_non_empty(*columns: Column) -> Column:
     return F.coalesce(*(F.nullif(c, F.lit("")) for c in columns), F.lit(""))
 

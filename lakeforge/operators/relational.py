@@ -16,6 +16,11 @@ def incomplete(ids: DataFrame, states: DataFrame, key: str, completed: str = "co
     return ids.join(states.where(completed).select(key), key, "left_anti")
 
 
+def absent(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose keys ``others`` lacks; repeated rows stay, and so do those with a null key, which equals none."""
+    return rows.join(others.select(*keys), list(keys), "left_anti")
+
+
 def numbered(df: DataFrame, order: str, name: str = "pos", parts: int | None = None) -> DataFrame:
     """Adds a global row number from 1 in the order of one column, without bringing all rows to one task.
 

@@ -304,12 +304,12 @@ def _(t):
 
 @query("nest_to_json", "select '2-s2.0-' || o_orderkey as eid, '{\"value\":[{\"$\":\"' || o_orderstatus || '\"}]}' as label from orders where o_orderkey in (select l_orderkey from lineitem)")
 def _(t):
-    return entries(t).select("eid", F.to_json("freetoreadLabel").alias("label"))
+    return S.nested_as_json(entries(t).select("eid", F.col("freetoreadLabel").alias("label")), ["label"])
 
 
 @query("json_array_length", "select '2-s2.0-' || l_orderkey as eid, cast(count(*) as integer) as n from lineitem join orders on l_orderkey = o_orderkey group by l_orderkey")
 def _(t):
-    return entries(t).select("eid", F.json_array_length(F.to_json("author")).alias("n"))
+    return entries(t).select("eid", S.json_items(F.to_json("author")).alias("n"))
 
 
 @query("json_path_int", "select event_id, case event_id % 4 when 0 then null when 1 then null else cast(user_id as integer) end as total from events")
@@ -384,7 +384,7 @@ def _(t):
 
 @query("safe_name", "select page_id, replace(url, '/', '_') as name from pages")
 def _(t):
-    return t.pages.select("page_id", F.translate("url", "/", "_").alias("name"))
+    return t.pages.select("page_id", S.safe_name(F.col("url")).alias("name"))
 
 
 TYPES = [("VARCHAR(20)", "string"), ("BIGINT", "integer"), ("DECIMAL(10,2)", "numeric"), ("BOOLEAN", "boolean"), ("TIMESTAMP", "datetime"), ("JSON", "json"), ("BLOB", "other")]
@@ -438,7 +438,7 @@ def _(t):
 @query("array_append_distinct", "select user_id, string_agg(distinct event_type, ',' order by event_type) || case when max(case when event_type = 'view' then 1 else 0 end) = 0 then ',view' else '' end as types from events group by 1")
 def _(t):
     a = t.events.groupBy("user_id").agg(F.sort_array(F.collect_set("event_type")).alias("a"))
-    return a.select("user_id", F.array_join(F.array_union("a", F.array(F.lit("view"))), ",").alias("types"))
+    return a.select("user_id", F.array_join(S.append_distinct(F.col("a"), F.lit("view")), ",").alias("types"))
 
 
 @query("map_upsert", "select event_id, event_type as old_value, 'new' as new_value, 2 as n from events where event_id % 2 = 0 union all select event_id, null, 'new', 1 from events where event_id % 2 = 1")

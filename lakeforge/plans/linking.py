@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from lakeforge.functions import scalars as S
 from lakeforge.operators import relational as J
 from lakeforge.operators import manifests as M
 from lakeforge.operators import versions as V
@@ -30,7 +31,7 @@ def _(t):
 @query("anti_not_exists", f"select load_id, orders from ({AUDIT}) where d % 2 = 0")
 def _(t):
     a = audits(t)
-    return a.join(a.where("d % 2 = 1"), "load_id", "left_anti").select("load_id", "orders")
+    return J.absent(a, a.where("d % 2 = 1"), ["load_id"]).select("load_id", "orders")
 
 
 @query("update_from", "select c_custkey, case when c_custkey % 3 = 0 then 'X' else c_mktsegment end as c_mktsegment from customer")
@@ -44,11 +45,9 @@ def _(t):
     """Manifests in three forms: with all parameters, with the one of the query, with none."""
     r = F.col("c_custkey") % 3
     manifest = F.when(r == 0, F.to_json(F.struct(F.array(F.lit("a"), F.lit("b")).alias("all_query_parameters")))).when(r == 1, F.to_json(F.struct(F.col("c_mktsegment").alias("query_parameters")))).otherwise("{}")
-    m = t.customer.select("c_custkey", F.try_parse_json(manifest).alias("m"))
+    m = t.customer.select("c_custkey", manifest.alias("m"))
     o = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderstatus").alias("s"))
-    every, one = F.try_variant_get("m", "$.all_query_parameters", "array<variant>"), F.try_variant_get("m", "$.query_parameters", "variant")
-    parameters = F.coalesce(every, F.when(one.isNotNull(), F.array(one)))
-    return m.join(o, "c_custkey", "left").select("c_custkey", F.coalesce("s", F.lit("scopus_search_api")).alias("source"), F.coalesce(F.to_json(parameters), F.lit("[]")).alias("query_parameters"))
+    return m.join(o, "c_custkey", "left").select("c_custkey", F.coalesce("s", F.lit("scopus_search_api")).alias("source"), S.query_parameters(F.col("m")).alias("query_parameters"))
 
 
 @query("log_with_version", "select l_orderkey, l_linenumber, o_orderstatus from lineitem join orders on l_orderkey = o_orderkey where o_orderpriority = '1-URGENT'")

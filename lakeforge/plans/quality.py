@@ -30,12 +30,12 @@ def _(t):
 
 @query("valid_regex", "select page_id, regexp_full_match(url, 'https?://.*') as ok from pages")
 def _(t):
-    return t.pages.select("page_id", F.col("url").rlike("^https?://.*$").alias("ok"))
+    return t.pages.select("page_id", P.valid_regex(F.col("url"), "https?://.*").alias("ok"))
 
 
 @query("valid_values", "select event_id, event_type in ('click', 'view', 'purchase') as ok from events")
 def _(t):
-    return t.events.select("event_id", F.col("event_type").isin("click", "view", "purchase").alias("ok"))
+    return t.events.select("event_id", P.valid_values(F.col("event_type"), ["click", "view", "purchase"]).alias("ok"))
 
 
 def responses(t: Tables) -> DataFrame:

@@ -526,3 +526,17 @@ def test_names_identifiers_citations_and_blanks(spark):
     assert [r.item for r in V.cited(items, "item", refs, "dst", kept, "src").collect()] == [10]
     b = spark.createDataFrame([(1, " x ", "y"), (2, None, " "), (3, "ok", None)], "k int, v string, w string")
     assert {tuple(r) for r in dq.whitespace_rows(b, ["k"], ["v", "w"]).collect()} == {(1, "v", 3, 1), (2, "w", 1, 0)}
+
+
+def test_small_builders_on_nulls_and_odd_values(spark):
+    from lakeforge.operators.relational import absent
+
+    df = spark.createDataFrame([(1, ["a"], "b", '[1, 2]', "x/y z"), (2, None, "b", "{}", None), (3, ["b", "a"], "b", "oops", "/"), (4, ["a"], None, None, "p.q")], "k int, a array<string>, v string, j string, n string")
+    got = df.select("k", S.append_distinct(F.col("a"), F.col("v")).alias("a"), S.json_items(F.col("j")).alias("j"), S.safe_name(F.col("n"), "/ .").alias("n")).orderBy("k").collect()
+    assert [r.a for r in got] == [["a", "b"], ["b"], ["b", "a"], ["a"]] and [r.j for r in got] == [2, None, None, None] and [r.n for r in got] == ["x_y_z", None, "_", "p_q"]
+    assert [r.a for r in S.nested_as_json(df, ["a"]).orderBy("k").collect()] == ['["a"]', None, '["b","a"]', '["a"]']
+    m = spark.createDataFrame([('{"all_query_parameters": [1, "x"], "query_parameters": 2}',), ('{"query_parameters": {"q": 2}}',), ("{}",), ("oops",), (None,)], "m string")
+    assert [r[0] for r in m.select(S.query_parameters(F.col("m"))).collect()] == ['[1,"x"]', '[{"q":2}]', "[]", "[]", "[]"]
+    p = df.select(P.valid_regex(F.col("n"), "x|x/y z|/"), P.valid_values(F.col("v"), ["b"])).collect()
+    assert [tuple(r) for r in p] == [(True, True), (None, True), (True, True), (False, None)]
+    assert sorted(r.k for r in absent(df, df.where("k = 1"), ["v"]).collect()) == [4] and absent(df, df.limit(0), ["k"]).count() == 4
