@@ -2,12 +2,15 @@
 
 Rotations are learned on a bounded sample (``SAMPLE`` distinct vectors by hash): from a random start, codes are the
 signs of the rotated, centred vectors, and the rotation is refitted to the codes. Several rotations give enough bits for
-``T`` tables of ``b`` bits each; ``b`` grows with the logarithm of the largest label, and ``T`` such that a pair at the
-threshold shares a table but for ``MISS`` of such pairs. As centring widens the angle of vectors that share a direction,
-this is measured on partners made for the sample's vectors nearest to the mean, and tables are added until it holds; where
-``MOST`` times as many don't do, vectors are not centred. Every vector is indexed in all tables. Keys alone are counted and
-joined first; vectors follow to the entries that have more than one. Those that share an entry are compared by exact cosine of
-the original vectors; a pair counts in the first table it shares.
+``T`` tables of ``b`` bits each. Both numbers are measured on vectors that the rotations were not fitted to: for each ``b``, tables
+are added until partners made at the threshold, and likewise the sample's own links, share one but for ``MISS`` of them, and of these layouts that is taken
+which costs least to send and to compare at the largest label's size, by the share of the sample's pairs that meet. As
+centring widens the angle of vectors that share a direction, partners are made for the vectors nearest to the mean, and
+where there is such a direction, codes without centring are tried too. A large label (1 / ``LABELS`` of all rows or more)
+that lies apart from the common mean gets a mean, rotations and layout of its own, from at most ``OWN`` of its vectors.
+
+Every vector is indexed in all tables. Keys alone are counted and joined first; vectors follow to the entries that have
+more than one. Those that share an entry are compared by exact cosine of the original vectors, in the first table that they share only.
 
 Equal vectors are merged first, with their number. Large entries are cut into blocks, and pairs of blocks are worked on
 apart. Pairs never leave a task: it returns sums of links and one edge for each vector to its local component.
@@ -30,7 +33,11 @@ from pyspark.sql import functions as F
 from lakeforge.llm.common import components, small_batches, staged
 from lakeforge.llm.topk import valid
 
-SAMPLE, MISS, MOST = 20_000, 0.02, 12
+SAMPLE, OWN, LABELS, MISS = 20_000, 4_000, 32, 0.02
+#: Bits that an entry may have, most tables, and comparisons that cost as much as sending a vector to one more table.
+BITS, MOST, SENT = range(4, 30, 2), 400, 16
+#: Squared distance from the common mean, of unit vectors, from which on a mean matters.
+APART = 0.05
 #: Rows of a table entry that are compared in one piece, and rows of one task's group of entries.
 BLOCK, GROUP = 512, 20_000
 
@@ -45,32 +52,54 @@ def rotation(x: np.ndarray, seed: int, rounds: int = 25) -> np.ndarray:
     return r
 
 
-def layout(largest: int, threshold: float) -> tuple[int, int]:
-    """Bits of an entry and number of tables."""
-    bits = min(28, max(8, round(math.log2(max(2, largest)))))
-    hit = (1 - math.acos(threshold) / math.pi) ** bits
-    return bits, math.ceil(math.log(MISS) / math.log(1 - hit))
+def codes(x: np.ndarray, mean: np.ndarray, r: np.ndarray, bits: int) -> np.ndarray:
+    """Entry of each unit vector in each table."""
+    return (((x - mean) @ r >= 0).reshape(len(x), -1, bits) @ (1 << np.arange(bits))).astype("<i4")
 
 
-def learn(x: np.ndarray, bits: int, tables: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Mean to subtract and ``bits`` columns for each table, at least ``tables``, from unit vectors ``x``."""
-    d = x.shape[1]
+def meeting(code: np.ndarray, group: np.ndarray) -> float:
+    """Share of the pairs within a group that have one code."""
+    pairs = lambda c: float((c * (c - 1.0)).sum())
+    key = (group.astype(np.int64) << 32) + code
+    return pairs(np.unique(key, return_counts=True)[1]) / max(1.0, pairs(np.unique(group, return_counts=True)[1]))
+
+
+def learn(x: np.ndarray, group: np.ndarray, n: int, threshold: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """Mean to subtract, columns of all tables, and bits of a table, from unit vectors ``x``; ``n``: rows of the largest group."""
+    d, best = x.shape[1], None
+    fit, held = (x[::2], x[1::2]) if len(x) >= 2000 else (x, x)
+    # linked pairs among the held vectors: dense places have many, and there they are not like made partners
+    few = np.arange(0, len(held), max(1, len(held) // 500))
+    i, j = np.nonzero((held[few] @ held.T >= threshold) & (few[:, None] != np.arange(len(held))))
+    drawn = np.random.default_rng(1).permutation(len(i))[:5000] if len(i) >= 50 else np.zeros(0, int)
+    links = held[few[i[drawn]]], held[j[drawn]]
     for mean in (x.mean(0), np.zeros(d)):
-        near = x[np.argsort(np.linalg.norm(x - mean, axis=1), kind="stable")[: max(1000, len(x) // 4)]]
+        near = held[np.argsort(np.linalg.norm(held - mean, axis=1), kind="stable")[: max(1000, len(held) // 4)]]
+        near = near[np.arange(max(1000, len(near))) % len(near)]  # few vectors get several partners each
         w = np.random.default_rng(0).normal(size=near.shape)
         w -= (w * near).sum(1, keepdims=True) * near
         w /= np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-12)
-        u, v = near - mean, threshold * near + math.sqrt(1 - threshold**2) * w - mean
-        r, shared, t = np.zeros((d, 0)), np.zeros(len(near), bool), 0
-        while t < tables or (shared.mean() < 1 - MISS and t < MOST * tables):
-            while r.shape[1] < (t + 1) * bits:
-                r = np.concatenate([r, rotation(x - mean, r.shape[1] // d)], 1)
-            part = r[:, t * bits : (t + 1) * bits]
-            shared |= ((u @ part >= 0) == (v @ part >= 0)).all(1)
-            t += 1
-        if shared.mean() >= 1 - MISS:
+        made = len(near)
+        left = np.concatenate([near, links[0]])
+        right = np.concatenate([threshold * near + math.sqrt(1 - threshold**2) * w, links[1]])
+        reach = lambda hit: min(hit[:made].mean(), hit[made:].mean() if len(hit) > made else 1.0)
+        r = np.zeros((d, 0))
+        for bits in BITS:
+            shared, met, t = np.zeros(len(left), bool), [], 0
+            while reach(shared) < 1 - MISS and t < MOST and (best is None or t * SENT < best[0]):
+                while r.shape[1] < (t + 1) * bits:
+                    r = np.concatenate([r, rotation(fit - mean, r.shape[1] // d)], 1)
+                part = r[:, t * bits : (t + 1) * bits]
+                shared |= (codes(left, mean, part, bits) == codes(right, mean, part, bits))[:, 0]
+                if t < 8:
+                    met.append(meeting(codes(x, mean, part, bits)[:, 0], group))
+                t += 1
+            cost = t * (SENT + n * float(np.mean(met)))
+            if reach(shared) >= 1 - MISS and (best is None or cost < best[0]):
+                best = cost, mean, r[:, : t * bits], bits
+        if best and (mean**2).sum() < APART:
             break
-    return mean, r[:, : t * bits]
+    return best[1:]
 
 
 def min_labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -109,40 +138,53 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame
     ok = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & valid(F.col("embedding")) & F.exists("embedding", lambda x: x != 0)
     single = "float" in embeddings.schema["embedding"].dataType.simpleString()
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").alias("label"), F.when(ok, F.transform("embedding", lambda x: x + F.lit(0.0).cast("float") if single else x + 0.0)).alias("v"))
-    distinct = staged(rows.where(F.col("v").isNotNull()).groupBy("label", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("w")).withColumn("d", F.size("v")))
-    sizes = distinct.groupBy("label", "d").agg(F.count("*").alias("n")).agg(F.max("n"), F.sum("n"), F.max("d")).first()
-    if sizes[0] is None:
+    distinct = rows.where(F.col("v").isNotNull()).groupBy("label", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("w")).withColumn("d", F.size("v"))
+    distinct = staged(distinct.withColumn("space", F.xxhash64("label", "d")))
+    sizes = distinct.groupBy("space", "d").agg(F.count("*").alias("n"))
+    total = sizes.agg(F.sum("n")).first()[0]
+    if total is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.coalesce(F.lit(True) & F.col("vec_id").isNotNull()).alias("kept"))
-    bits, least = layout(sizes[0], threshold)
-    # rotations for each length of vector (one, as a rule)
-    drawn = distinct.where(F.pmod(F.xxhash64(F.lit(3), "rep"), F.lit(1_000_000)) < int(1e6 * min(1.0, SAMPLE / sizes[1])))
-    learned: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for d in [r.d for r in distinct.select("d").distinct().collect()]:
-        x = np.array(drawn.where(F.col("d") == d).select("v").toArrow().column("v").to_pylist(), float).reshape(-1, d)
-        x = x / np.linalg.norm(x, axis=1, keepdims=True) if len(x) else np.eye(d)
-        learned[d] = learn(x, bits, least, threshold)
-    tables = max(r.shape[1] for _, r in learned.values()) // bits
-    sent = spark.sparkContext.broadcast(learned)
+    large = sizes.where((F.col("n") >= 2000) & (F.col("n") * LABELS >= total)).collect()  # LABELS rows at most
+
+    def sample(part: DataFrame, most: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """About ``most`` of ``n`` rows: unit vectors and spaces."""
+        drawn = part.where(F.pmod(F.xxhash64(F.lit(3), "rep"), F.lit(1_000_000)) < int(1e6 * min(1.0, most / n))).select("space", "v").toArrow()
+        x = drawn.column("v").combine_chunks().flatten().to_numpy().astype(float).reshape(len(drawn), -1) if len(drawn) else np.zeros((0, 1))
+        return x / np.linalg.norm(x, axis=1, keepdims=True), drawn.column("space").to_numpy()
+
+    # (length of vector, space of a label apart or None): what is learned
+    learned: dict[tuple, tuple[np.ndarray, np.ndarray, int]] = {}
+    for d, n in sizes.groupBy("d").agg(F.max("n")).collect():
+        x, space = sample(distinct.where(F.col("d") == d), SAMPLE, total)
+        if not len(x):
+            x, space = np.eye(d), np.zeros(d, np.int64)
+        learned[d, None] = learn(x, np.unique(space, return_inverse=True)[1], n, threshold)
+        for own in large:
+            if own.d == d and (space == own.space).any() and ((x[space == own.space].mean(0) - x.mean(0)) ** 2).sum() >= APART:
+                y, _ = sample(distinct.where(F.col("space") == own.space), OWN, own.n)
+                learned[d, own.space] = learn(y, np.zeros(len(y), np.int64), own.n, threshold)
+    tables = max(r.shape[1] // bits for _, r, bits in learned.values())
+    sent = spark.sparkContext.broadcast(learned)  # at most LABELS sets more than lengths
 
     kind = "<f4" if single else "<f8"  # as stored; all arithmetic is in double precision
 
     def index(batches):
-        weights = (1 << np.arange(bits)).astype(np.int64)
         for batch in batches:
             pdf = batch.to_pandas()
-            for d, part in pdf.groupby("d"):
+            apart = pdf["space"].where([k in sent.value for k in zip(pdf["d"], pdf["space"], strict=True)], 0)
+            for _, part in pdf.groupby([pdf["d"], apart]):
                 stored = np.stack(part["v"].to_numpy()).astype(kind)
                 x = stored.astype(float)
-                mean, r = sent.value[d]
-                codes = (((x / np.linalg.norm(x, axis=1, keepdims=True) - mean) @ r >= 0).reshape(len(x), -1, bits) @ weights).astype("<i4")
-                own = codes.shape[1]
-                padded = np.pad(codes, ((0, 0), (0, tables - own)))  # lengths may differ in tables
-                listed = pa.ListArray.from_arrays(pa.array(np.arange(0, codes.size + 1, own), pa.int32()), pa.array(codes.reshape(-1)))
+                d, space = int(part["d"].iloc[0]), int(part["space"].iloc[0])
+                code = codes(x / np.linalg.norm(x, axis=1, keepdims=True), *sent.value.get((d, space), sent.value[d, None]))
+                own = code.shape[1]
+                padded = np.pad(code, ((0, 0), (0, tables - own)))  # sets may differ in tables
+                listed = pa.ListArray.from_arrays(pa.array(np.arange(0, code.size + 1, own), pa.int32()), pa.array(code.reshape(-1)))
                 raw = lambda a: pa.array([y.tobytes() for y in a], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(part["rep"].to_numpy()), pa.array(part["w"].to_numpy()), pa.array(part["space"].to_numpy()), listed, raw(padded), raw(stored)], ["rep", "w", "space", "list", "codes", "x"])
 
     small_batches(spark)
-    coded = distinct.select("rep", "w", F.xxhash64(F.col("label"), "d").alias("space"), "d", "v").mapInArrow(index, "rep long, w long, space long, list array<int>, codes binary, x binary")
+    coded = distinct.select("rep", "w", "space", "d", "v").mapInArrow(index, "rep long, w long, space long, list array<int>, codes binary, x binary")
     coded = staged(coded)
     keyed = coded.select("rep", "space", F.posexplode("list").alias("t", "code")).select("rep", "t", F.xxhash64("space", "t", "code").alias("key"))
     # an entry of one row has no pair and stays behind; a large one is cut into nb blocks, and each pair of blocks meets once
@@ -155,7 +197,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("run", kind="stable")
         run, blk, within, t = (pdf[c].to_numpy() for c in ("run", "blk", "within", "t"))
-        codes = np.frombuffer(b"".join(pdf["codes"]), "<i4").reshape(len(pdf), -1)
+        code = np.frombuffer(b"".join(pdf["codes"]), "<i4").reshape(len(pdf), -1)
         sizes_ = pdf["x"].map(len).to_numpy()
         size = np.dtype(kind).itemsize
         x = np.zeros((len(pdf), sizes_.max() // size))
@@ -169,12 +211,13 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame
                 p, q = i[a : a + 200_000], j[a : a + 200_000]
                 may = within[p] | (blk[p] != blk[q])
                 p, q = p[may], q[may]
+                first = (code[p] == code[q]).argmax(1) == t[p]
+                p, q = p[first], q[first]
                 linked = np.einsum("ij,ij->i", x[p], x[q]) / (norm[p] * norm[q]) >= threshold
                 p, q = p[linked], q[linked]
                 edges.append((place[p], place[q]))
-                first = (codes[p] == codes[q]).argmax(1) == t[p]
-                np.add.at(links, place[p[first]], w[q[first]])
-                np.add.at(links, place[q[first]], w[p[first]])
+                np.add.at(links, place[p], w[q])
+                np.add.at(links, place[q], w[p])
         i, j = (np.concatenate([e[k] for e in edges] or [np.zeros(0, int)]) for k in (0, 1))
         label = min_labels(len(ids), i, j)
         hit = np.unique(np.concatenate([i, j])).astype(int)

@@ -174,6 +174,51 @@ def test_itq_recall_with_a_common_component(spark, common):
     assert truth > 500 and 0.95 * truth <= found <= truth
 
 
+def _unit(a):
+    return a / np.linalg.norm(a, axis=1, keepdims=True)
+
+
+def _tight(rng, n, groups, d=64):
+    """Groups of cosine 0.85, a quarter of the rows near copies of others."""
+    x = _unit(np.sqrt(0.85) * _unit(rng.normal(size=(groups, d)))[rng.integers(0, groups, n)] + np.sqrt(0.15) * _unit(rng.normal(size=(n, d))))
+    h = n // 4
+    x[:h] = _unit(0.95 * x[h : 2 * h] + np.sqrt(1 - 0.95**2) * _unit(rng.normal(size=(h, d))))
+    return x
+
+
+@pytest.mark.parametrize("kind, most", [("groups", 0.1), ("spectrum", 0.1), ("even", 0.03)])
+def test_itq_layout_is_selective(kind, most):
+    rng = np.random.default_rng(1)
+    x = _tight(rng, 4000, 20) if kind == "groups" else _unit(rng.normal(size=(4000, 64)) / (np.sqrt(np.arange(1, 65)) if kind == "spectrum" else 1.0))
+    code = itq.codes(x, *itq.learn(x, np.zeros(4000, int), 4000, 0.93))
+    some = rng.choice(4000, 500, replace=False)
+    met = (code[some][:, None] == code[None]).any(2)
+    near = x[some] @ x.T >= 0.93
+    assert met.mean() < most and (met & near).sum() >= 0.95 * near.sum()
+
+
+def test_itq_meeting_counts_pairs():
+    assert itq.meeting(np.array([1, 1, 2, 1, 1, 1]), np.array([0, 0, 0, 1, 1, 1])) == (1 + 3) / 6
+    assert itq.meeting(np.array([1]), np.array([0])) == 0
+
+
+def test_itq_equals_brute_force_on_labels_apart(spark):
+    rng = np.random.default_rng(2)
+    x = np.concatenate([_tight(rng, 2500, 1), _tight(rng, 2000, 10), _unit(rng.normal(size=(500, 64)))])
+    x[4900:] = x[4800:4900]  # copies
+    label = np.repeat([0, 1, 2], [2500, 2000, 500])
+    near = np.triu((x @ x.T >= 0.93) & (label[:, None] == label[None]), 1)
+    truth = near | near.T
+    i, j = np.nonzero(near)
+    parent = itq.min_labels(5000, i, j)
+    df = spark.createDataFrame([(k, v.tolist(), int(b), "x", 1) for k, (v, b) in enumerate(zip(x, label, strict=True))], "vec_id long, embedding array<double>, label int, space string, rep int")  # names that the operator uses itself
+    got = {r.vec_id: r for r in itq.near_duplicates(df).collect()}
+    assert len(got) == 5000 and all(got[k].n_links <= truth[k].sum() for k in got)
+    assert sum(r.n_links for r in got.values()) >= 0.95 * truth.sum()
+    assert all(parent[k] == parent[r.component_id] and r.kept == (k == r.component_id) for k, r in got.items())  # none joined that is not
+    assert np.mean([parent[k] == r.component_id for k, r in got.items()]) >= 0.95
+
+
 def test_preference(spark):
     rows = [(0, True, 0, "user", "hi"), (0, True, 1, "assistant", "a"), (0, False, 0, "user", "hi"), (0, False, 1, "assistant", "b<|x"), (1, True, 0, "user", None), (1, False, 0, "user", None), (2, True, 0, "user", "alone")]
     got = {r.pair_id: r for r in preference.format_pairs(spark.createDataFrame(rows, "pair_id long, chosen boolean, turn int, role string, text string")).collect()}
