@@ -6,7 +6,8 @@ scan, whatever its length. It is counted for one full cycle, so each shard count
 are counted side by side; the scans end when nothing is open.
 
 A scan counts 64-bit keys of (lang, phrase). Which phrases have reached the threshold, and from which scan on, is told
-by a table of ``SLOTS`` bytes, the only thing that is sent to tasks: phrases that share a slot are at worst counted in vain. A last
+by a table of ``SLOTS`` bytes, the only thing that is sent to tasks: phrases that share a slot are at worst counted in vain, and a
+phrase's cycle begins only when both parts are seen themselves. A last
 pass counts the words themselves of what has reached the threshold, so collisions of keys and slots never change a result.
 
 Null texts are empty, null languages ``und``. Repeated rows and ids each count; ids and extra columns, whatever their names,
@@ -60,10 +61,15 @@ def levels(w: Words, piece: np.ndarray, reached: np.ndarray):
         known = np.zeros(n + 1, np.uint8)
         known[at] = reached[(key & mask).astype(np.int64)]
         yield k, at, key, since, known[at]
+        if k == LONGEST:
+            return
         go = (known[at] > 0) & (known[at + 1] > 0) & (at + k < n)
         go[go] = piece[at[go]] == piece[at[go] + k]
-        at, key = at[go], key[go]
-        key, since = mixed(key * STEP + w.keys[at + k]), np.maximum(known[at], known[at + 1])
+        before, at, key = at, at[go], key[go]
+        # a part that shares a slot may count as known before it is seen itself
+        seen, key = np.zeros(n + 1, np.uint8), mixed(key * STEP + w.keys[at + k])
+        seen[before] = since
+        since = np.maximum.reduce([known[at], known[at + 1], seen[at], seen[at + 1]])
 
 
 def sent(spark: SparkSession, reached: np.ndarray):
@@ -114,8 +120,7 @@ def frequent_keys(texts: DataFrame, threshold: int, cycle: int, slots: int) -> n
         slot, k = got.column("slot").to_numpy(), got.column("k").to_numpy()
         fresh = reached[slot] == 0  # a slot stays as first set, so the cycle in which a phrase counts never changes
         reached[slot[fresh]] = scan + 1
-        if (k[fresh] < LONGEST).any():
-            last = scan + 1
+        last = max(last, int(reached[slot[k < LONGEST]].max(initial=0)))  # the slot may have been set by another, even of the longest
         state, before = merged.where(F.col("since") + cycle > scan + 1), merged  # the rest have completed their cycle
         state.staged_path = before.staged_path
         scan += 1

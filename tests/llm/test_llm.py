@@ -698,6 +698,14 @@ def test_phrases_equal_brute_force(spark, threshold, shards, slots, top):
     assert want and sorted(tuple(r) for r in phrases.mine(docs, threshold, top, shards, slots).collect()) == want
 
 
+@pytest.mark.parametrize("slots", [1 << 11, 1 << 13])
+def test_phrases_that_share_slots_count_a_full_cycle(spark, slots):
+    """A phrase whose slot another has set is known before it is seen; what it begins still counts in every shard."""
+    docs = table(spark, SF, "documents")
+    want = collocations([tuple(r) for r in docs.select("text", "lang").collect()], 5)
+    assert want and sorted(tuple(r) for r in phrases.mine(docs, 5, slots=slots).collect()) == want
+
+
 def test_phrases_on_odd_texts(spark, odd, empty):
     rows = [("A b\tc  d. a b c d, " * 3, "x"), (None, "x"), ("a b c d", None), ("é  É é\r\nb\x0bc", None), ("a\x00b c " * 9, "x"), ("x " * 9, "und")] * 4
     docs = spark.createDataFrame(rows, "text string, lang string").withColumn("phrase", F.lit("clash")).withColumn("n", F.lit(1))
