@@ -79,11 +79,11 @@ def crc32_of_id(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary"))
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, roots: bool = True) -> DataFrame:
     """Connected components by alternating large-star and small-star steps.
 
     ``edges`` has long columns ``a`` and ``b``. Returns ``id, component_id`` (smallest id reachable) for every
-    id of an edge between two different ids. Every step is joins and min aggregates, so a hub with many
+    id of an edge between two different ids; without ``roots``, those that are their component's are left out. Every step is joins and min aggregates, so a hub with many
     edges is combined before the shuffle and its join side can be split; nothing reaches the driver but
     one count per round.
     """
@@ -93,15 +93,17 @@ def components(edges: DataFrame) -> DataFrame:
         ends = e.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(e.select("v", F.lit(0), F.lit(1)))
         ends = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
         if not ends.where("up > 1 or (up > 0 and down > 0)").agg(F.count("*")).first()[0]:
-            out = e.select(F.col("u").alias("id"), F.col("v").alias("component_id")).unionAll(
-                e.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct())
-            return staged(out, e)
+            out = e.select(F.col("u").alias("id"), F.col("v").alias("component_id"))
+            if roots:
+                return staged(out.unionAll(e.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct()), e)
+            out.staged_path = e.staged_path
+            return out
         # large star: each larger neighbour goes to the smallest id around
         both = e.select("u", "v").unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        big = both.where("v > u").join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        big = staged(big, e)
+        big = both.where("v > u").join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        big = staged(big, e)  # as many rows as edges at most
         # small star: the smaller neighbours and the id itself go to the smallest of them
         low = big.groupBy("u").agg(F.min("v").alias("m"))
-        small = big.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = staged(small.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), big)
+        small = big.join(low, "u").select(F.inline(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))))
+        e = staged(small.where("u <> v").distinct(), big)

@@ -315,9 +315,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def marked(bits: DataFrame) -> np.ndarray:
     """Bits of all slots from Spark's bitmap buckets (at most ``SLOTS`` / 32768 rows of 4 KB)."""
     out = np.zeros(SLOTS // 8, np.uint8)
-    for r in bits.toLocalIterator():
-        at = (r.bucket - 1) * 4096
-        out[at : at + 4096] |= np.frombuffer(r.bits, np.uint8)
+    for bucket, x in zip(*(c.to_pylist() for c in bits.select("bucket", "bits").toArrow().columns), strict=True):  # in one job, not one for each partition
+        at = (bucket - 1) * 4096
+        out[at : at + 4096] |= np.frombuffer(x, np.uint8)
     return out
 
 
@@ -351,6 +351,23 @@ def full_sets(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return found.groupBy("node").agg(F.first("text").alias("text")).mapInArrow(run, "id long, set binary")
 
 
+def in_parts(df: DataFrame, parts: DataFrame, col: str, new: str) -> DataFrame:
+    """``df`` with the component of ``col`` in ``parts`` (``id, component_id``) as ``new``: itself, if it is not there."""
+    return df.join(parts.select(F.col("id").alias(col), F.col("component_id").alias(new)), col, "left").withColumn(new, F.coalesce(new, col))
+
+
+def joined(parts: DataFrame, edges: DataFrame) -> DataFrame:
+    """The components ``parts`` (staged, deleted then) with the ``edges`` between them: only components with an edge are worked on."""
+    edges = staged(edges)
+    if not edges.take(1):
+        dropped(edges)
+        return parts
+    up = components(in_parts(in_parts(edges, parts, "a", "ca"), parts, "b", "cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")), roots=False)
+    moved = parts.join(up.select(F.col("id").alias("component_id"), F.col("component_id").alias("top")), "component_id", "left")
+    single = up.join(parts.select("id"), "id", "left_anti").select("id", "component_id")
+    return staged(moved.select("id", F.coalesce("top", "component_id").alias("component_id")).unionAll(single), parts, edges, up)
+
+
 def linked_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Two staged tables: ``id, h, o, n, f, g`` of each row, and ``n, f, g, c, row`` of each different set that is not empty.
 
@@ -381,12 +398,11 @@ def linked_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataF
     # one edge for each document first; then those that still join different components; then what failed edges hid
     first = pairs.groupBy("a").agg(F.min("b").alias("b"))
     linked = staged(verified(first, sets, percent))
-    parts = components(linked)
-    in_parts = lambda df, col, new: df.join(parts.select(F.col("id").alias(col), F.col("component_id").alias(new)), col, "left").withColumn(new, F.coalesce(new, col))
-    rest = in_parts(in_parts(pairs.join(first, ["a", "b"], "left_anti"), "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b")
-    more = staged(linked.union(verified(rest, sets, percent)), linked, parts)
-    linked, parts = more, components(more)
-    open_ = in_parts(in_parts(pairs, "a", "ca"), "b", "cb").where("ca <> cb")
+    parts = components(linked, roots=False)
+    dropped(linked)
+    between = lambda df: in_parts(in_parts(df, parts, "a", "ca"), parts, "b", "cb").where("ca <> cb").select("a", "b")
+    parts = joined(parts, verified(between(pairs.join(first, ["a", "b"], "left_anti")), sets, percent))
+    open_ = between(pairs)
     hidden = staged(open_.select(F.col("a").alias("id")).union(open_.select("b")).distinct())
     if hidden.take(1):
         runs = met.join(hidden, "id", "left_semi").select("run").distinct()
@@ -394,22 +410,21 @@ def linked_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataF
         firsts = staged(prefixes(sets.join(around.select("id"), "id", "left_semi"), percent))
         tried, k, more = pairs, 16, True
         while more:
-            now = staged(in_parts(around, "id", "c"))
+            now = staged(in_parts(around, parts, "id", "c"))
             kept = firsts.join(now.select("id", "c"), "id").groupBy("key").agg(F.count("*").alias("m"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key", "m")
             shared = staged(kept)
             found = staged(grouped(meetings(firsts.join(shared, "key").join(now, "id"), "c", "pos"), compare(percent, k)), shared, now)
             more = bool(found.where("more").take(1))
             fresh = staged(found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), found)
             if fresh.take(1):
-                wider = staged(linked.union(verified(fresh, sets, percent)), linked, parts)
-                linked, parts = wider, components(wider)
+                parts = joined(parts, verified(fresh, sets, percent))
             if more:
                 tried, old, k = staged(tried.union(fresh)), tried, 16 * k
                 dropped(*(x for x in (old,) if x is not pairs))
             dropped(fresh)
         dropped(firsts, around, *(x for x in (tried,) if x is not pairs))
     component = F.coalesce("component_id", "node").alias("c")
-    out = staged(same.join(parts.withColumnRenamed("id", "node"), "node", "left").select("n", "f", "g", component, "row"), same, met, pairs, sets, linked, parts, hidden)
+    out = staged(same.join(parts.withColumnRenamed("id", "node"), "node", "left").select("n", "f", "g", component, "row"), same, met, pairs, sets, parts, hidden)
     return narrow, out
 
 

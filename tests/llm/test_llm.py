@@ -537,6 +537,23 @@ def test_minhash_hidden_links(spark):
     assert sum(got[i] != label[i] for i in got) <= 0.01 * len(texts)  # a pair at the threshold may share no table (0.16 %)
 
 
+def test_components_are_joined(spark, monkeypatch):
+    """New edges between components give what all edges at once give; without any, nothing is worked on; the bitmap is read in one job."""
+    edges = [(1, 2), (2, 3), (5, 6), (8, 7), (9, 8)], [(3, 6), (11, 10), (6, 10)], [(12, 7), (12, 13)]
+    frame = lambda e: spark.createDataFrame(e, "a long, b long")
+    parts = minhash.components(frame(edges[0]), roots=False)
+    for more in edges[1:]:
+        parts = minhash.joined(parts, frame(more))
+    got = {r.id: r.component_id for r in parts.collect()}
+    want = {r.id: r.component_id for r in minhash.components(frame(sum(edges, []))).collect()}
+    assert want == {i: 1 if i in (1, 2, 3, 5, 6, 10, 11) else 7 for i in want} and {i: got.get(i, i) for i in want} == want
+    monkeypatch.setattr(minhash, "components", None)
+    assert minhash.joined(parts, frame([])) is parts
+    bits = spark.range(0, 400_000, 1000).select((F.col("id") + 1).alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    monkeypatch.setattr(type(bits), "toLocalIterator", None)
+    assert np.flatnonzero(np.unpackbits(minhash.marked(bits), bitorder="little")).tolist() == list(range(0, 400_000, 1000))
+
+
 def test_forest_spans_and_takes_the_best():
     rng = np.random.default_rng(9)
     for _ in range(20):
