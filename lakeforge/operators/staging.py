@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import ArrayType, BooleanType, DataType, IntegerType, LongType, MapType, StringType, StructField, StructType, _parse_datatype_string
 
 from lakeforge.sources.sinks import constrained
 
@@ -113,21 +113,45 @@ AUDIT_VERSION = 1
 TOLERANT = ("int", "bigint", "date")
 
 
-def shaped(c: Column, kind: str) -> Column:
-    """Numbers and dates that do not parse become null; malformed booleans, timestamps and JSON stop the job."""
+def plain(kind: DataType) -> bool:
+    """Whether JSON of this type is the same after parsing, but for the order of its keys."""
+    if isinstance(kind, StructType):
+        return len({f.name.lower() for f in kind}) == len(kind) > 0 and all(plain(f.dataType) for f in kind)
+    return plain(kind.elementType) if isinstance(kind, ArrayType) else kind in (StringType(), IntegerType(), LongType(), BooleanType())
+
+
+def by_key(c: Column, kind: DataType) -> Column:
+    """A nested column with the fields of each struct by name, as parsed JSON has them."""
+    if isinstance(kind, ArrayType):
+        return F.transform(c, lambda x: by_key(x, kind.elementType))
+    if isinstance(kind, StructType):
+        fields = sorted(kind, key=lambda f: f.name.encode("utf-16-be"))
+        return F.when(c.isNotNull(), F.struct(*(by_key(c[f.name], f.dataType).alias(f.name) for f in fields)))
+    return c
+
+
+def shaped(c: Column, kind: str, given: DataType = StringType()) -> Column:
+    """Numbers and dates that do not parse become null; malformed booleans, timestamps and JSON stop the job.
+
+    JSON that is ``given`` as a nested type is written once, not written, parsed and written again.
+    """
     if kind == "json":
+        if isinstance(given, (ArrayType, MapType, StructType)):
+            if plain(given):
+                return F.to_json(by_key(c, given))
+            c = F.to_json(c)
         return F.to_json(F.parse_json(c))
     return c.try_cast(kind) if kind in TOLERANT else c.cast(kind)
 
 
 def project(df: DataFrame, columns) -> DataFrame:
     """The listed columns, those that ``df`` lacks as null."""
-    there = set(df.columns)
-    return df.select(*(shaped(F.col(f"`{old}`") if old in there else F.lit(None).cast("string"), kind).alias(new) for old, new, kind in columns))
+    there = {f.name: f.dataType for f in df.schema}
+    return df.select(*(shaped(F.col(f"`{old}`") if old in there else F.lit(None).cast("string"), kind, there.get(old, StringType())).alias(new) for old, new, kind in columns))
 
 
 def stage(entries: DataFrame) -> DataFrame:
-    """Entries (JSON parts as text) as rows of the staging table, 28 columns."""
+    """Entries (JSON parts as text or nested) as rows of the staging table, 28 columns."""
     return project(entries, STAGE)
 
 

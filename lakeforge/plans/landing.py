@@ -281,14 +281,14 @@ from orders join a on o_orderkey = l_orderkey"""
 
 @query("stage_projection", STAGED)
 def _(t):
-    """Volumes, dates and ids that do not parse, and columns that payloads lack, are null."""
+    """Volumes, dates and ids that do not parse, and columns that payloads lack, are null; affiliations come as text, other JSON nested."""
     k = F.col("o_orderkey")
     odd = lambda m, c: F.when(k % m == 0, "none").otherwise(c)
     e = entries(t).withColumns({
         "load_id": F.lit("scopus_20240101000000"), "data_source": F.lit("scopus_search_api"), "dc:creator": F.col("freetoreadLabel.value")[0]["$"], "prism:publicationName": F.concat(F.lit("J"), F.col("grp").cast("string")),
         "prism:volume": odd(6, (k % 40).cast("string")), "prism:pageRange": F.concat_ws("-", k.cast("string"), (k + 9).cast("string")), "prism:coverDate": odd(4, F.col("`prism:coverDate`")), "prism:doi": F.concat(F.lit("10.1/"), k.cast("string")),
-        "affiliation": F.to_json(F.struct(F.col("freetoreadLabel.value")[0]["$"].alias("b"), F.lit(1).alias("a"))), "pubmed-id": odd(5, k.cast("string")), "prism:aggregationType": F.lit("Journal"), "author-count": F.to_json("author-count"), "author": F.to_json("author"),
-        "openaccessFlag": (k % 2 == 0).cast("string"), "open_access_status": F.to_json("freetoreadLabel")})
+        "affiliation": F.to_json(F.struct(F.col("freetoreadLabel.value")[0]["$"].alias("b"), F.lit(1).alias("a"))), "pubmed-id": odd(5, k.cast("string")), "prism:aggregationType": F.lit("Journal"),
+        "openaccessFlag": (k % 2 == 0).cast("string"), "open_access_status": F.col("freetoreadLabel")})
     return staging.stage(e)
 
 

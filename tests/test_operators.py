@@ -540,3 +540,16 @@ def test_small_builders_on_nulls_and_odd_values(spark):
     p = df.select(P.valid_regex(F.col("n"), "x|x/y z|/"), P.valid_values(F.col("v"), ["b"])).collect()
     assert [tuple(r) for r in p] == [(True, True), (None, True), (True, True), (False, None)]
     assert sorted(r.k for r in absent(df, df.where("k = 1"), ["v"]).collect()) == [4] and absent(df, df.limit(0), ["k"]).count() == 4
+
+
+def test_stage_takes_nested_json(spark):
+    """Nested parts give the text that their JSON gives when it is parsed; types whose numbers or keys parsing changes are parsed."""
+    from lakeforge.operators import staging
+
+    inner = "struct<b:string,`a$`:array<struct<z:int,`@y`:string>>,`Ü`:boolean,c:array<string>,d:bigint>"
+    item = ('q"\\\n\x01é😀/', [(1, None), None, (None, "x")], True, ["v", None], 1 << 60)
+    rows = [(item, [item, None], {"k": "v", "a": None}, [1.0, 2.5], '{"b":1,"a":[ ]}'), ((None,) * 5, [], {}, None, "null"), (None, None, None, None, None)]
+    df = spark.createDataFrame(rows, f"`author-count` {inner}, author array<{inner}>, affiliation map<string,string>, publication_keywords array<double>, open_access_status string")
+    text = df.select(*(F.to_json(F.col(f"`{c}`")).alias(c) if c != "open_access_status" else F.col(c) for c in df.columns))
+    assert staging.stage(df).collect() == staging.stage(text).collect()
+    assert [staging.plain(f.dataType) for f in df.schema] == [True, True, False, False, True]
